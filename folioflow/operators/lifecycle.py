@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,12 +51,16 @@ def _first(rows: DataFrame, limit: int | None) -> DataFrame:
 
 
 def stuck_documents(
-    docs: DataFrame, now: dt.datetime, minutes: int = STUCK_MINUTES, limit: int | None = None
+    docs: DataFrame,
+    now: dt.datetime,
+    minutes: int = STUCK_MINUTES,
+    limit: int | None = None,
+    columns: Sequence[str] = ("id", "storage_path", "file_type", "updated_at"),
 ) -> DataFrame:
     rows = docs.where(
         (F.col("status") == EXTRACTING) & before(F.col("updated_at"), now, minutes)
     )
-    return _first(rows.select("id", "storage_path", "file_type", "updated_at"), limit)
+    return _first(rows.select(*columns), limit)
 
 
 def fail_stuck(
@@ -79,22 +84,25 @@ def retry_candidates(
     max_retries: int = MAX_RETRIES,
     cool_down: int = COOL_DOWN_MINUTES,
     limit: int | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     rows = docs.where(
         (F.col("status") == EXTRACTION_FAILED)
         & before(F.col("updated_at"), now, cool_down)
         & (attempts() < max_retries)
-    ).select("id", "storage_path", "file_type", attempts().alias("retry_count"), "updated_at")
+    ).select(
+        "id", "storage_path", "file_type", attempts().alias("retry_count"), "updated_at", *keep
+    )
     return _first(rows, limit)
 
 
 def start_attempt(candidates: DataFrame, now: dt.datetime) -> DataFrame:
-    """Count the attempt before it is made."""
-    return candidates.select(
-        "id",
-        (attempts() + 1).cast("int").alias("retry_count"),
-        instant(now).alias("updated_at"),
-    )
+    """Count the attempt, and show the document as being extracted, before it is made."""
+    return candidates.withColumns({
+        "status": F.lit(EXTRACTING),
+        "retry_count": (attempts() + 1).cast("int"),
+        "updated_at": instant(now),
+    })
 
 
 def settle_attempts(

@@ -21,33 +21,37 @@ def _names(values: list[str]) -> str:
     return ", ".join(f"'{v}'" for v in values)
 
 
+STATE_COLUMNS = [
+    "doc_id AS id",
+    f"element_at(array({_names(STATUSES)}), CAST(doc_id % 15 AS INT) + 1) AS status",
+    f"element_at(array({_names(FILE_TYPES)}),"
+    " CAST((doc_id + doc_id div 15) % 18 AS INT) + 1) AS file_type",
+    "CASE WHEN doc_id % 97 <> 0 THEN concat('objects/', source, '/', CAST(doc_id AS STRING))"
+    " END AS storage_path",
+    "CAST(doc_id % 50 AS STRING) AS uploaded_by_user_id",
+    "CASE WHEN (doc_id div 15) % 5 <> 4 THEN CAST((doc_id div 15) % 5 AS INT)"
+    " END AS retry_count",
+    f"timestampadd(MINUTE, CAST((doc_id * 37) % 1440 AS INT), {DAY}) AS updated_at",
+    "CASE WHEN (doc_id div 15) % 3 <> 0 THEN timestampadd(SECOND,"
+    f" CAST((doc_id * 37) % 1440 * 60 - (doc_id % 600 + 1) AS INT), {DAY})"
+    " END AS processing_started_at",
+    "CASE WHEN doc_id % 2 <> 0 THEN 'note' END AS processing_notes",
+    "n_chars AS file_size",
+]
+CHUNK_COLUMNS = [
+    "conv_id AS document_id",
+    "CAST(turn AS INT) AS chunk_index",
+    "text AS content",
+    "CASE WHEN (conv_id * 31 + turn) % 4 <> 0 THEN (conv_id * 31 + turn) % 500 END AS vec_id",
+]
+
+
 def document_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").selectExpr(
-        "doc_id AS id",
-        f"element_at(array({_names(STATUSES)}), CAST(doc_id % 15 AS INT) + 1) AS status",
-        f"element_at(array({_names(FILE_TYPES)}),"
-        " CAST((doc_id + doc_id div 15) % 18 AS INT) + 1) AS file_type",
-        "CASE WHEN doc_id % 97 <> 0 THEN concat('objects/', source, '/', CAST(doc_id AS STRING))"
-        " END AS storage_path",
-        "CAST(doc_id % 50 AS STRING) AS uploaded_by_user_id",
-        "CASE WHEN (doc_id div 15) % 5 <> 4 THEN CAST((doc_id div 15) % 5 AS INT)"
-        " END AS retry_count",
-        f"timestampadd(MINUTE, CAST((doc_id * 37) % 1440 AS INT), {DAY}) AS updated_at",
-        "CASE WHEN (doc_id div 15) % 3 <> 0 THEN timestampadd(SECOND,"
-        f" CAST((doc_id * 37) % 1440 * 60 - (doc_id % 600 + 1) AS INT), {DAY})"
-        " END AS processing_started_at",
-        "CASE WHEN doc_id % 2 <> 0 THEN 'note' END AS processing_notes",
-        "n_chars AS file_size",
-    )
+    return table(spark, sf_dir, "documents").selectExpr(*STATE_COLUMNS)
 
 
 def chunk_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "conversations").selectExpr(
-        "conv_id AS document_id",
-        "CAST(turn AS INT) AS chunk_index",
-        "text AS content",
-        "CASE WHEN (conv_id * 31 + turn) % 4 <> 0 THEN (conv_id * 31 + turn) % 500 END AS vec_id",
-    )
+    return table(spark, sf_dir, "conversations").selectExpr(*CHUNK_COLUMNS)
 
 
 def configurations(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import types as T
 
@@ -337,3 +337,8 @@ _TABLES = [
     ),
 ]
 CONTRACTS = {table.name: table for table in _TABLES}
+
+
+def migrated(contract: Contract) -> Contract:
+    """The contract with the columns the retry migration adds."""
+    return replace(contract, schema=T.StructType([*contract.schema.fields, *MIGRATION]))

@@ -7,6 +7,7 @@ update costs as much as its batch, not as much as the table.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,9 +22,14 @@ def read_batch(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All batches, with their ``batch_id``."""
+    """All batches, with their ``batch_id``; no rows where none was written yet."""
     whole = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-    return spark.read.schema(whole).parquet(path)
+    try:
+        return spark.read.schema(whole).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], whole)
 
 
 def latest_set(rows: DataFrame, key: str = "document_id") -> DataFrame:
