@@ -91,7 +91,7 @@ def chunk_array(text: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERL
     @F.arrow_udf(T.ArrayType(T.StringType()))
     def chunks(batch: pa.Array) -> pa.Array:
         return pa.array(
-            [split_text(value.as_py(), size, overlap) for value in batch],
+            [split_text(text, size, overlap) for text in batch.to_pylist()],
             type=pa.list_(pa.string()),
         )
 

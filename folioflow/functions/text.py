@@ -110,7 +110,8 @@ def extractor(extension: Column) -> Column:
 
 
 def fold_newlines(text: Column) -> Column:
-    return F.regexp_replace(text, "\r\n?", "\n")
+    lines = F.replace(text, F.lit("\r\n"), F.lit("\n"))
+    return F.replace(lines, F.lit("\r"), F.lit("\n"))
 
 
 def decoded_as(content: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,8 +11,9 @@ from pyspark.sql import types as T
 
 from folioflow.functions.embedding import VECTOR, EmbedFn
 from folioflow.operators.chunks import build_chunk_table
+from folioflow.operators.lifecycle import STUCK_MINUTES, stuck_documents
 from folioflow.operators.process import process_documents
-from folioflow.schemas import EXTRACTING, PROCESSED
+from folioflow.schemas import EXTRACTING, EXTRACTION_FAILED, PROCESSED
 from folioflow.session import instant
 from folioflow.sources.batches import latest_set, read_batch, read_batches, write_batch
 from folioflow.sources.queue import dead_letters, deliverable, parse_messages
@@ -48,7 +50,7 @@ def process_batch(
     started: dt.datetime,
     finished: dt.datetime | None = None,
     embed_fn: EmbedFn | None = None,
-    extracted: DataFrame | None = None,
+    pages: DataFrame | None = None,
     **options,
 ) -> None:
     """Run one batch to its end; a replay of the same batch writes the same folders.
@@ -73,7 +75,7 @@ def process_batch(
         batch_id,
     )
     write_batch(
-        process_documents(messages, blobs, extracted, **options), f"{out}/outcomes", batch_id
+        process_documents(messages, blobs, pages, **options), f"{out}/outcomes", batch_id
     )
     outcomes = read_batch(spark, f"{out}/outcomes", batch_id)
     finished = finished or started
@@ -91,20 +93,51 @@ def process_batch(
     )
 
 
-def current_states(spark: SparkSession, out: str) -> DataFrame:
-    """The last state of every document, a begun one included."""
-    begun = read_batches(spark, f"{out}/started", STATE).withColumn("step", F.lit(0))
-    ended = read_batches(spark, f"{out}/states", STATE).withColumn("step", F.lit(1))
+def _written_states(spark: SparkSession, out: str) -> DataFrame:
+    steps = ["started", "states", "sweeps"]
+    tables = [
+        read_batches(spark, f"{out}/{name}", STATE).withColumn("step", F.lit(i))
+        for i, name in enumerate(steps)
+    ]
+    return reduce(DataFrame.unionByName, tables)
+
+
+def _latest_states(written: DataFrame) -> DataFrame:
     latest = F.max(F.struct("batch_id", "step", "status", "error", "processing_started_at",
                             "updated_at"))
     return (
-        begun.unionByName(ended)
-        .groupBy("document_id")
+        written.groupBy("document_id")
         .agg(latest.alias("s"))
         .select("document_id", "s.status", "s.error", "s.processing_started_at", "s.updated_at")
     )
 
 
+def current_states(spark: SparkSession, out: str) -> DataFrame:
+    """The last state of every document, a begun or swept one included."""
+    return _latest_states(_written_states(spark, out))
+
+
+def sweep_stuck(
+    spark: SparkSession, out: str, batch_id: int, now: dt.datetime, minutes: int = STUCK_MINUTES
+) -> None:
+    """Fail the documents whose extraction began too long ago and never ended."""
+    earlier = ~((F.col("step") == 2) & (F.col("batch_id") >= batch_id))
+    states = _latest_states(_written_states(spark, out).where(earlier))
+    stuck = stuck_documents(
+        states.withColumnRenamed("document_id", "id"), now, minutes,
+        columns=["id", "processing_started_at"],
+    )
+    write_batch(
+        _states(stuck.withColumnRenamed("id", "document_id"), {
+            "status": F.lit(EXTRACTION_FAILED),
+            "error": F.lit("stuck"),
+            "updated_at": instant(now),
+        }),
+        f"{out}/sweeps",
+        batch_id,
+    )
+
+
 def current_chunks(spark: SparkSession, out: str) -> DataFrame:
     return latest_set(read_batches(spark, f"{out}/chunks", CHUNK))
 

@@ -53,7 +53,7 @@ def run_cycle(
     now: dt.datetime,
     max_retries: int = L.MAX_RETRIES,
     limit: int | None = None,
-    extracted: DataFrame | None = None,
+    pages: DataFrame | None = None,
     **options,
 ) -> DataFrame:
     """One cycle over all candidates at once; returns its statistics (one row).
@@ -68,7 +68,7 @@ def run_cycle(
     attempted = read_batch(spark, f"{out}/attempts", cycle)
 
     messages = attempted.select(F.col("id").alias("document_id"), "storage_path", "file_type")
-    outcomes = process_documents(messages, blobs, extracted, **options).select(
+    outcomes = process_documents(messages, blobs, pages, **options).select(
         F.col("document_id").alias("id"), F.col("status").alias("outcome"), "text", "summary"
     )
     settled = L.settle_attempts(attempted.drop("status").join(outcomes, "id"), now, max_retries)

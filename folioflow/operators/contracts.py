@@ -70,16 +70,21 @@ def length_audit(rows: DataFrame, limits: Mapping[str, int]) -> DataFrame:
     })
 
 
+def _overflows(column: str, precision: int, scale: int) -> Column:
+    """Only values that rounding might carry over the limit need the slow conversion."""
+    limit = 10 ** (precision - scale)
+    size = F.abs(column)
+    carried = (size >= limit - 10.0**-scale) & F.col(column).try_cast(
+        f"decimal({precision},{scale})"
+    ).isNull()
+    return (size >= limit) | carried
+
+
 def decimal_audit(rows: DataFrame, types: Mapping[str, tuple[int, int]]) -> DataFrame:
     """Values whose whole part does not fit DECIMAL(precision, scale)."""
-    return _per_column(rows, {
-        c: {
-            "n_overflow": _tally(
-                F.col(c).isNotNull() & F.col(c).try_cast(f"decimal({p},{s})").isNull()
-            )
-        }
-        for c, (p, s) in types.items()
-    })
+    return _per_column(
+        rows, {c: {"n_overflow": _tally(_overflows(c, p, s))} for c, (p, s) in types.items()}
+    )
 
 
 def required_columns(rows: DataFrame, names: Sequence[str]) -> DataFrame:

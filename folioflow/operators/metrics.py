@@ -23,9 +23,34 @@ REPORT_FORMAT = (
 RETRY_FORMAT = "%d docs com %d tentativas"
 
 
+def micros_between(end: Column, start: Column) -> Column:
+    """Elapsed microseconds between time stamps without a zone, whatever the session's."""
+    return ((end - start).cast("interval second").cast("decimal(18,6)") * 1_000_000).cast("bigint")
+
+
 def seconds_between(end: Column, start: Column) -> Column:
-    """Elapsed seconds with fraction, for time stamps without a zone."""
-    return F.timestamp_diff("MICROSECOND", start, end) / F.lit(1e6)
+    return micros_between(end, start) / 1e6
+
+
+def processing_micros() -> Column:
+    """How long a processed document took; NULL for all others."""
+    return F.when(
+        F.col("status") == PROCESSED,
+        micros_between(F.col("updated_at"), F.col("processing_started_at")),
+    )
+
+
+def timing(took: Column) -> list[Column]:
+    """Exact sums: whole seconds apart from the rest, so no number of rows overflows."""
+    return [
+        F.sum(F.floor(took / 1_000_000)).alias("took_seconds"),
+        F.sum(F.pmod(took, F.lit(1_000_000))).alias("took_rest"),
+        F.count(took).alias("n_timed"),
+    ]
+
+
+def mean_seconds(seconds: Column, rest: Column, n: Column) -> Column:
+    return F.round(F.coalesce(F.try_divide(seconds + rest / 1e6, n), F.lit(0.0)), 6)
 
 
 def percent(part: Column, total: Column) -> Column:
@@ -34,14 +59,8 @@ def percent(part: Column, total: Column) -> Column:
 
 def document_cells(docs: DataFrame) -> DataFrame:
     """Counts and summed processing time per (status, attempts)."""
-    took = F.when(
-        F.col("status") == PROCESSED,
-        F.timestamp_diff("MICROSECOND", F.col("processing_started_at"), F.col("updated_at")),
-    )
     return docs.groupBy("status", attempts().alias("retry_count")).agg(
-        F.count("*").alias("n"),
-        F.sum(took).alias("took_micros"),
-        F.count(took).alias("n_timed"),
+        F.count("*").alias("n"), *timing(processing_micros())
     )
 
 
@@ -69,15 +88,14 @@ def reprocessable(docs: DataFrame, max_retries: int = MAX_RETRIES) -> DataFrame:
 
 
 def mean_processing_time(docs: DataFrame) -> DataFrame:
-    took = F.timestamp_diff("MICROSECOND", F.col("processing_started_at"), F.col("updated_at"))
-    return docs.where(
+    timed = docs.where(
         (F.col("status") == PROCESSED) & F.col("processing_started_at").isNotNull()
-    ).agg(_mean_seconds(F.sum(took), F.count(took)).alias("avg_processing_time_seconds"))
-
-
-def _mean_seconds(micros: Column, n: Column) -> Column:
-    # Whole microseconds add up exactly, whatever order the partitions arrive in.
-    return F.round(F.coalesce(F.try_divide(micros, n) / 1e6, F.lit(0.0)), 6)
+    ).agg(*timing(processing_micros()))
+    return timed.select(
+        mean_seconds(F.col("took_seconds"), F.col("took_rest"), F.col("n_timed")).alias(
+            "avg_processing_time_seconds"
+        )
+    )
 
 
 def total_failed(docs: DataFrame) -> DataFrame:
@@ -120,7 +138,8 @@ def document_summary(cells: DataFrame, max_retries: int = MAX_RETRIES) -> DataFr
 
     by_status = cells.groupBy("status").agg(
         F.sum("n").alias("n"),
-        F.sum("took_micros").alias("took_micros"),
+        F.sum("took_seconds").alias("took_seconds"),
+        F.sum("took_rest").alias("took_rest"),
         F.sum("n_timed").alias("n_timed"),
         total(failed & (F.col("retry_count") < max_retries)).alias("reprocessable"),
         F.array_sort(F.collect_list(F.when(failed, F.struct("retry_count", "n")))).alias("retries"),
@@ -139,7 +158,9 @@ def document_summary(cells: DataFrame, max_retries: int = MAX_RETRIES) -> DataFr
         total(status == PROCESSED).alias("processed_documents"),
         total(status.isin(FAILED, EXTRACTION_FAILED)).alias("failed_documents"),
         F.coalesce(F.sum("reprocessable"), F.lit(0)).alias("reprocessable_documents"),
-        _mean_seconds(F.sum("took_micros"), F.sum("n_timed")).alias("avg_processing_time_seconds"),
+        mean_seconds(F.sum("took_seconds"), F.sum("took_rest"), F.sum("n_timed")).alias(
+            "avg_processing_time_seconds"
+        ),
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from folioflow.functions import text as X
 
 MIN_DIRECT_CHARS = 50
-PAGES_PER_BLOCK = 256
+PAGES_PER_BLOCK = 64
 
 
 def page_part(page: Column, direct: Column, recognised: Column) -> Column:
@@ -32,44 +32,50 @@ def assemble_pages(
 ) -> DataFrame:
     """``(document_id, page, page_text, ocr_text)`` to ``(document_id, text, n_pages)``.
 
-    Texts longer than ``max_chars`` end in the truncation marker, so pages starting
-    beyond the limit never have to meet in one group: block lengths are summed
-    first, and only the blocks and pages that begin within the limit are collected.
-    A document of any number of pages thus gathers at most ``max_chars`` characters
-    plus one page.
+    Texts longer than ``max_chars`` end in the truncation marker, so pages far beyond
+    the limit never have to meet in one group: lengths are summed per block of pages
+    first, and only blocks that begin within the limit are collected. A document of
+    any number of pages thus gathers at most ``max_chars`` characters plus one block.
     """
+    part = F.col("part")
     parts = pages.select(
         "document_id",
         "page",
         F.floor(F.col("page") / pages_per_block).alias("block"),
         page_part(F.col("page"), F.col("page_text"), F.col("ocr_text")).alias("part"),
     )
-    in_order = Window.partitionBy("document_id").orderBy("block")
-    blocks = (
+    whole_document = Window.partitionBy("document_id")
+    so_far = whole_document.orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
+    # Headers are never blank: white space ends the text only after the last page, and
+    # at its start there is just the newline before the first header.
+    last_tail = F.max_by("tail", "block").over(whole_document)
+    starts = (
         parts.groupBy("document_id", "block")
-        .agg(F.sum(F.length("part")).alias("chars"), F.count("*").alias("pages"))
-        .withColumn("block_start", F.sum("chars").over(in_order) - F.col("chars"))
-    )
-    starts = blocks.where(F.col("block_start") <= max_chars + 1).select(
-        "document_id", "block", "block_start"
+        .agg(
+            F.sum(F.length(part)).alias("chars"),
+            F.count("*").alias("pages"),
+            F.max_by(F.length(part) - F.length(X.rstrip(part)), "page").alias("tail"),
+        )
+        .select(
+            "document_id",
+            "block",
+            (F.sum("chars").over(so_far) - F.col("chars")).alias("start"),
+            F.sum("pages").over(whole_document).alias("n_pages"),
+            (F.sum("chars").over(whole_document) - last_tail - 1).alias("n_chars"),
+        )
+        .where(F.col("start") <= max_chars + 1)
     )
-    in_block = Window.partitionBy("document_id", "block").orderBy("page")
-    size = F.length("part")
     kept = (
         parts.join(starts, ["document_id", "block"])
-        .withColumn("start", F.col("block_start") + F.sum(size).over(in_block) - size)
-        .where(F.col("start") <= max_chars + 1)
         .groupBy("document_id")
         .agg(
             F.array_sort(F.collect_list(F.struct("page", "part"))).alias("kept"),
-            # Headers are never blank, so the last page decides where the text ends.
-            # The newline before the first header is not part of the text.
-            F.max(F.col("start") + F.length(X.rstrip(F.col("part"))) - 1).alias("n_chars"),
+            F.max("n_pages").alias("n_pages"),
+            F.max("n_chars").alias("n_chars"),
         )
     )
     whole = F.array_join(F.transform("kept", lambda p: p["part"]), "")
-    totals = blocks.groupBy("document_id").agg(F.sum("pages").alias("n_pages"))
-    return kept.join(totals, "document_id").select(
+    return kept.select(
         "document_id",
         F.when(
             F.col("n_chars") > max_chars,

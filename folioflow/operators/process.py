@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioflow.functions import text as X
+from folioflow.operators.pages import assemble_pages
 from folioflow.schemas import EXTRACTION_FAILED, PROCESSED
 from folioflow.sources.blobs import fetch
 
@@ -16,10 +19,34 @@ def route(fetched: DataFrame, complete: bool = False) -> DataFrame:
     ).withColumn("extractor", X.extractor(F.col("extension")))
 
 
+def extracted_texts(
+    messages: DataFrame,
+    pages: DataFrame | None,
+    recognised: DataFrame | None,
+    max_chars: int = X.MAX_TEXT_CHARS,
+) -> DataFrame | None:
+    """``(document_id, text)`` of the paged and image documents among ``messages``.
+
+    Only the pages of documents at hand are assembled, so a retry of a few documents
+    does not put the whole page table together.
+    """
+    wanted = messages.select("document_id")
+    parts = []
+    if pages is not None:
+        own = pages.join(wanted, "document_id", "left_semi")
+        parts.append(assemble_pages(own, max_chars).select("document_id", "text"))
+    if recognised is not None:
+        parts.append(
+            recognised.join(wanted, "document_id", "left_semi").select("document_id", "text")
+        )
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
 def process_documents(
     messages: DataFrame,
     blobs: DataFrame,
-    extracted: DataFrame | None = None,
+    pages: DataFrame | None = None,
+    recognised: DataFrame | None = None,
     max_bytes: int = X.MAX_FILE_BYTES,
     max_chars: int = X.MAX_TEXT_CHARS,
     parity: bool = False,
@@ -27,19 +54,19 @@ def process_documents(
 ) -> DataFrame:
     """Outcome of every message: state, text, summary and a typed error.
 
-    ``extracted`` brings ``(document_id, text)`` for paged and image documents, from
-    :func:`assemble_pages` or an outside recogniser. With ``parity`` a paged or image
-    document without text counts as processed and empty, and a text that begins with
-    the error phrase counts as failed; otherwise the reverse.
+    ``pages`` is the page table of paged documents, ``recognised`` brings
+    ``(document_id, text)`` from an outside recogniser; a document is in one of them.
+    With ``parity`` a paged or image document without text counts as processed and
+    empty, and a text that begins with the error phrase counts as failed; otherwise
+    the reverse.
     """
     rows = route(fetch(messages, blobs), complete)
+    extracted = extracted_texts(messages, pages, recognised, max_chars)
     if extracted is None:
         rows = rows.withColumn("_extracted", F.lit(None).cast("string"))
     else:
         rows = rows.join(
-            extracted.select("document_id", F.col("text").alias("_extracted")),
-            "document_id",
-            "left",
+            extracted.withColumnRenamed("text", "_extracted"), "document_id", "left"
         )
     plain = F.col("extractor") == "text"
     lost = ~plain & F.col("_extracted").isNull()

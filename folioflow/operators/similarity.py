@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 MAX_SHIPPED_QUERIES = 2048  # at most this many query vectors travel inside a task
 MAX_CELLS = 4096
 ROWS_PER_GROUP = 50_000
+BLOCK_VALUES = 4_000_000
 FOUND = "query_id bigint, vec_id bigint, distance double"
 
 
@@ -48,10 +49,12 @@ def nearest_cells(vector: Column, centroids: np.ndarray, n: int) -> Column:
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def cells(batch: pa.Array) -> pa.Array:
         out = []
-        for row in batch:
-            gap = centroids - np.asarray(row.values, dtype=float)
-            order = np.argsort((gap * gap).sum(axis=1), kind="stable")
-            out.append(order[:n].astype(np.int32))
+        step = max(1, BLOCK_VALUES // centroids.size)
+        for at in range(0, len(batch), step):
+            block = _matrix(batch.slice(at, step), centroids.shape[1])
+            gap = block[:, None, :] - centroids[None, :, :]
+            order = np.argsort((gap * gap).sum(axis=2), axis=1, kind="stable")
+            out.extend(order[:, :n].astype(np.int32))
         return pa.array(out, type=pa.list_(pa.int32()))
 
     return cells(vector)
@@ -61,6 +64,19 @@ def assign_cells(vectors: DataFrame, centroids: np.ndarray) -> DataFrame:
     return vectors.withColumn("cell", nearest_cells(F.col("embedding"), centroids, 1)[0])
 
 
+def centroids_of(rows: DataFrame) -> np.ndarray:
+    """Centroids from a table of ``(query_id, embedding)`` that must not exceed the cells."""
+    found = rows.select("query_id", "embedding").limit(MAX_CELLS + 1).collect()
+    if len(found) > MAX_CELLS:
+        raise ValueError(f"at most {MAX_CELLS} cells")
+    return np.array([row["embedding"] for row in sorted(found)])
+
+
+def _matrix(vectors: pa.Array, dim: int) -> np.ndarray:
+    """Rows of one dimension as a matrix, without a Python object per value."""
+    return vectors.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim).astype(float)
+
+
 def _closest(ids: np.ndarray, matrix: np.ndarray, query: np.ndarray, k: int) -> list[tuple]:
     gap = matrix - query
     distance = np.sqrt((gap * gap).sum(axis=1))
@@ -88,7 +104,7 @@ def _scan(queries: Sequence, k: int, by_cell: bool) -> Callable:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            matrix = np.array(batch.column("embedding").to_pylist(), dtype=float)
+            matrix = _matrix(batch.column("embedding"), points.shape[1])
             vec_ids = batch.column("vec_id").to_numpy(zero_copy_only=False)
             cells = batch.column("cell").to_numpy(zero_copy_only=False) if by_cell else None
             for i, point in enumerate(points):

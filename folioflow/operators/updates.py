@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from folioflow.schemas import NOW, Contract
 from folioflow.session import instant
 
-ID_BUCKET_DIGITS = 3  # 16^3 buckets: the offset table has at most 4096 rows
+ID_BUCKET_DIGITS = 4  # 16^4 buckets: the offset table has at most 65536 rows
 
 
 def latest_changes(

@@ -14,7 +14,7 @@ from folioflow.operators.chunks import SWEEP
 from folioflow.operators.lifecycle import FAILURE_NOTE
 from folioflow.operators.metrics import REPORT_FORMAT, RETRY_FORMAT
 from folioflow.plans.fixtures import NOW
-from folioflow.plans.queries import CYCLE_TIMES, SMALL_FILE, STREAM_NOW
+from folioflow.plans.queries import CYCLE_TIMES, SMALL_FILE
 from folioflow.schemas import FILE_TYPES, STATUSES
 
 SPACES = "(" + "||".join(f"chr({ord(c)})" for c in WHITESPACE) + ")"
@@ -385,7 +385,7 @@ def oracle_sql() -> dict[str, str]:
             LEFT JOIN n USING (document_id, chunk_index)""",
         "insert_defaults": f"""WITH {DS}, k AS (SELECT 'doc_' || id || '.pdf' AS f, updated_at
               FROM ds)
-            SELECT (SELECT MAX(id) FROM ds) + ROW_NUMBER() OVER (ORDER BY substr(md5(f), 1, 3), f)
+            SELECT (SELECT MAX(id) FROM ds) + ROW_NUMBER() OVER (ORDER BY substr(md5(f), 1, 4), f)
                 AS id, f AS processed_file_name, 'TextExtractionFailed' AS status,
               0 AS retry_count, updated_at, {at(NOW)} AS created_at, '' AS original_file_name,
               0::BIGINT AS file_size, '' AS summary, '' AS processing_notes,
@@ -536,14 +536,13 @@ def oracle_sql() -> dict[str, str]:
         "stream_dead_letters": """SELECT CASE WHEN event_type = 'error' THEN event_type ELSE props
               END AS value, CASE WHEN event_type = 'error' THEN 'bad_json' ELSE 'no_document_id' END
               AS reason, COUNT(*) AS n FROM events GROUP BY ALL""",
-        "stream_stuck": f"""WITH l AS (SELECT user_id AS id, MAX(ts) AS updated_at, arg_max(
+        "stream_stuck": """WITH l AS (SELECT user_id AS id, MAX(ts) AS updated_at, arg_max(
               CASE event_type WHEN 'error' THEN 'TextExtractionFailed'
                 WHEN 'purchase' THEN 'Processed' ELSE 'ExtractingText' END, ts) AS status
-              FROM events GROUP BY 1),
-            s AS (SELECT *, status = 'ExtractingText'
-              AND updated_at < {at(STREAM_NOW)} - INTERVAL 30 MINUTE AS stuck FROM l)
-            SELECT id, CASE WHEN stuck THEN 'TextExtractionFailed' ELSE status END AS status,
-              CASE WHEN stuck THEN {at(STREAM_NOW)} ELSE updated_at END AS updated_at FROM s""",
+              FROM events GROUP BY 1)
+            SELECT id, 'TextExtractionFailed' AS status, updated_at AS stuck_since
+            FROM l WHERE status = 'ExtractingText' AND epoch_ms(updated_at) + 1800000
+              < (SELECT epoch_ms(MAX(ts)) FROM events)""",
         "stream_backfill": f"""WITH {DS}, {CK}, {CF}, {PR}, {BACKLOG}, {RESOLVED}, {PLAN}
             SELECT document_id, chunk_index, CASE WHEN embed_status = 'ready' THEN 'embedded'
                 ELSE embed_status END AS embed_status, credential_source,

@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,7 +43,6 @@ QUERIES: dict[str, Query] = {}
 
 SMALL_FILE = 4000
 CYCLE_TIMES = [NOW + dt.timedelta(minutes=30 * i) for i in range(3)]
-STREAM_NOW = dt.datetime(2024, 1, 30, 12, 0, 0)
 
 
 def query(fn: Query) -> Query:
@@ -279,7 +277,7 @@ def process_outcome(spark, sf_dir):
     """Fetch, decode or assemble, truncate and judge every document."""
     docs = fx.document_state(spark, sf_dir)
     rows = process_documents(
-        messages(docs), blobs(spark, sf_dir), assemble_pages(paged(spark, sf_dir)), SMALL_FILE, 3000
+        messages(docs), blobs(spark, sf_dir), paged(spark, sf_dir), None, SMALL_FILE, 3000
     )
     return rows.select(
         "document_id", "status", "error", "decoded_as", F.md5("text").alias("text_digest"),
@@ -291,7 +289,7 @@ def process_outcome(spark, sf_dir):
 def process_outcome_parity(spark, sf_dir):
     """The same with empty extractions counted as processed."""
     docs = fx.document_state(spark, sf_dir)
-    rows = process_documents(messages(docs), blobs(spark, sf_dir), None, SMALL_FILE, parity=True)
+    rows = process_documents(messages(docs), blobs(spark, sf_dir), max_bytes=SMALL_FILE, parity=True)
     return rows.groupBy("status", "error", F.col("text") == "").agg(F.count("*").alias("n")).select(
         "status", "error", F.col("(text = )").alias("empty_text"), "n"
     )
@@ -595,9 +593,8 @@ def vector_topk(spark, sf_dir):
 def vector_topk_ivf(spark, sf_dir):
     """The same among the two nearest cells, one cell per label."""
     vectors = table(spark, sf_dir, "embeddings")
-    means = S.mean_vectors(vectors, "label").orderBy("query_id").limit(S.MAX_CELLS).collect()
-    centroids = np.array([row["embedding"] for row in means])
-    return _ranked(S.nearest_in_cells(vectors, S.mean_vectors(vectors, "label"), centroids, 10, 2))
+    means = S.mean_vectors(vectors, "label")
+    return _ranked(S.nearest_in_cells(vectors, means, S.centroids_of(means), 10, 2))
 
 
 # --- contracts --------------------------------------------------------------------------
@@ -754,7 +751,7 @@ def stream_ingest(spark, sf_dir):
     out = workspace(spark, "ingest")
     J.ingest(
         _queue_stream(spark, sf_dir), blobs(spark, sf_dir), f"{out}/tables", f"{out}/checkpoint",
-        seconds=None, clock=lambda: NOW, extracted=assemble_pages(paged(spark, sf_dir)),
+        seconds=None, clock=lambda: NOW, pages=paged(spark, sf_dir),
         max_bytes=SMALL_FILE,
     ).awaitTermination()
     counts = P.current_chunks(spark, f"{out}/tables").groupBy("document_id").agg(
@@ -785,17 +782,18 @@ def stream_dead_letters(spark, sf_dir):
 
 @query
 def stream_stuck(spark, sf_dir):
+    """Users whose last event began something half an hour before the last event of all."""
     out = workspace(spark, "stuck")
     changes = _stream(spark, sf_dir, "events").selectExpr(
         "user_id AS id", "ts AS updated_at",
         "CASE event_type WHEN 'error' THEN 'TextExtractionFailed' WHEN 'purchase' THEN 'Processed'"
         " ELSE 'ExtractingText' END AS status",
     )
-    J.watch_states(
-        changes, f"{out}/tables", f"{out}/checkpoint", seconds=None, clock=lambda: STREAM_NOW,
-        sweep_every=1,
+    J.watch_stuck(
+        changes, f"{out}/tables", f"{out}/checkpoint", seconds=None, lateness="0 seconds",
+        partitions=spark.sparkContext.defaultParallelism,
     ).awaitTermination()
-    return J.watched_states(spark, f"{out}/tables")
+    return J.found_stuck(spark, f"{out}/tables").select("id", "status", "stuck_since")
 
 
 @query
@@ -814,11 +812,10 @@ def stream_backfill(spark, sf_dir):
 def _cycles(spark: SparkSession, sf_dir: str, after_each: Callable | None = None) -> str:
     out = workspace(spark, "cycles")
     base = fx.document_state(spark, sf_dir)
-    pages = assemble_pages(paged(spark, sf_dir))
     for number, now in enumerate(CYCLE_TIMES):
         R.run_cycle(
             R.current_documents(base, out, number), blobs(spark, sf_dir), out, number, now,
-            extracted=pages, max_bytes=SMALL_FILE,
+            pages=paged(spark, sf_dir), max_bytes=SMALL_FILE,
         )
         if after_each:
             after_each(R.current_documents(base, out, number + 1), out, number, now)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MESSAGE = "DocumentId STRING, StoragePath STRING, FileType STRING"
+MESSAGE = "DocumentId: STRING, StoragePath: STRING, FileType: STRING"
+JSON_SPACE = " \t\r\n"
 VALID, FAILED, DEAD = "valid", "failed", "dead_letter"
 
 
@@ -29,32 +30,36 @@ def parse_messages(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """
     value = F.col(value_col)
     # Inside brackets, text after the first JSON value is an error instead of ignored.
-    values = F.from_json(F.concat(F.lit("["), value, F.lit("]")), "array<string>")
-    parsed = F.from_json(value, MESSAGE)
+    listed = F.concat(F.lit("["), value, F.lit("]"))
     kept = [F.col(c) for c in lines.columns]
     rows = lines.select(
+        *kept, F.from_json(listed, f"array<struct<{MESSAGE}>>").alias("_messages")
+    ).select(
         *kept,
-        (F.coalesce(F.size(values), F.lit(-1)) == 1).alias("_json"),
-        F.ltrim(value, F.lit(" \t\r\n")).startswith("{").alias("_object"),
-        parsed["DocumentId"].alias("_id"),
-        parsed["StoragePath"].alias("storage_path"),
-        parsed["FileType"].alias("file_type"),
+        F.when((F.size("_messages") == 1) & F.ltrim(value, F.lit(JSON_SPACE)).startswith("{"),
+               F.col("_messages")[0]).alias("_m"),
+    ).select(
+        *kept,
+        F.col("_m").isNotNull().alias("_usable"),
+        F.col("_m.DocumentId").alias("_id"),
+        F.col("_m.StoragePath").alias("storage_path"),
+        F.col("_m.FileType").alias("file_type"),
     )
+    # Only lines that are no message are parsed again, to tell why.
+    other = F.coalesce(F.size(F.from_json(listed, "array<string>")), F.lit(-1)) == 1
     number = F.expr("try_cast(_id AS BIGINT)")
     absent = F.col("_id").isNull() | F.col("_id").isin("", "0", "0.0", "false", "[]", "{}")
     reason = (
-        F.when(~F.col("_json"), "bad_json")
-        .when(~F.col("_object"), "not_an_object")
+        F.when(~F.col("_usable"), F.when(other, "not_an_object").otherwise("bad_json"))
         .when(absent, "no_document_id")
         .when(number.isNull(), "bad_document_id")
         .when(F.coalesce(F.col("storage_path"), F.lit("")) == "", "no_storage_path")
     )
-    usable = F.col("_json") & F.col("_object")
     return rows.withColumn("reason", reason).select(
         *[c for c in lines.columns],
-        F.when(usable & ~absent, number).alias("document_id"),
-        F.when(usable, F.col("storage_path")).alias("storage_path"),
-        F.when(usable, F.col("file_type")).alias("file_type"),
+        F.when(~absent, number).alias("document_id"),
+        "storage_path",
+        "file_type",
         F.when(F.col("reason").isNull(), VALID)
         .when(F.col("reason") == "no_storage_path", FAILED)
         .otherwise(DEAD)

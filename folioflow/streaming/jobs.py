@@ -8,29 +8,30 @@ that folder, so results do not depend on failures.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from folioflow.functions.embedding import VECTOR, EmbedFn
-from folioflow.jobs.process import process_batch
+from folioflow.jobs.process import process_batch, sweep_stuck
 from folioflow.operators.embeddings import embedding_backlog, plan_backfill, run_backfill
-from folioflow.operators.lifecycle import STUCK_MINUTES, stuck_documents
-from folioflow.schemas import EXTRACTION_FAILED
-from folioflow.session import instant
+from folioflow.operators.lifecycle import STUCK_MINUTES
+from folioflow.schemas import EXTRACTING, EXTRACTION_FAILED
 from folioflow.sources.batches import latest_set, read_batches, write_batch
 
 SWEEP_EVERY = 20
 Clock = Callable[[], dt.datetime]
 
-CHANGE = T.StructType([
+STUCK = T.StructType([
     T.StructField("id", T.LongType()),
     T.StructField("status", T.StringType()),
-    T.StructField("updated_at", T.TimestampNTZType()),
-    T.StructField("kind", T.StringType()),
+    T.StructField("stuck_since", T.TimestampNTZType()),
 ])
 VECTORS = T.StructType([
     T.StructField("document_id", T.LongType()),
@@ -47,17 +48,28 @@ def utc_now() -> dt.datetime:
 
 
 def _start(
-    rows: DataFrame, handle: Callable, checkpoint: str, seconds: int | None, mode: str = "append"
+    rows: DataFrame,
+    handle: Callable,
+    checkpoint: str,
+    seconds: int | None,
+    partitions: int | None = None,
 ) -> StreamingQuery:
     """``seconds`` between micro-batches, or everything available once when None."""
-    writer = rows.writeStream.foreachBatch(handle).outputMode(mode).option(
-        "checkpointLocation", checkpoint
-    )
+    writer = rows.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     if seconds is None:
         writer = writer.trigger(availableNow=True)
     else:
         writer = writer.trigger(processingTime=f"{seconds} seconds")
-    return writer.start()
+    if partitions is None:
+        return writer.start()
+    # A stateful query keeps the partition count it first starts with.
+    conf = rows.sparkSession.conf
+    usual = conf.get("spark.sql.shuffle.partitions")
+    conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        return writer.start()
+    finally:
+        conf.set("spark.sql.shuffle.partitions", usual)
 
 
 def ingest(
@@ -67,64 +79,123 @@ def ingest(
     checkpoint: str,
     seconds: int | None = 5,
     clock: Clock = utc_now,
+    sweep_every: int = SWEEP_EVERY,
     **options,
 ) -> StreamingQuery:
     """Process a stream of queue messages; see :func:`process_batch`.
 
     ``blobs`` may be a function that lists the objects afresh for each micro-batch.
+    Every ``sweep_every`` micro-batches the states written so far are swept for
+    documents whose extraction began long ago and never ended.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         objects = blobs() if callable(blobs) else blobs
         process_batch(batch, batch_id, objects, out, clock(), **options)
+        if (batch_id + 1) % sweep_every == 0:
+            sweep_stuck(batch.sparkSession, out, batch_id, clock())
 
     return _start(lines, handle, checkpoint, seconds)
 
 
-def watch_states(
+def _last_changes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per Arrow batch only the last change of each document: a combine before the shuffle."""
+    for batch in batches:
+        ordered = pa.Table.from_batches([batch]).sort_by([
+            ("micros", "ascending"), ("status", "ascending")
+        ])
+        columns = ["status", "updated_at", "micros"]
+        last = ordered.group_by("id", use_threads=False).aggregate([(c, "last") for c in columns])
+        yield from last.select(["id", *[f"{c}_last" for c in columns]]).rename_columns(
+            ["id", *columns]
+        ).to_batches()
+
+
+def _watch(minutes: int, event_time: bool) -> Callable:
+    """State function: remembers only documents whose extraction is under way."""
+    patience = minutes * 60_000
+
+    def watch(
+        key: tuple, frames: Iterator[pd.DataFrame], state: GroupState
+    ) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            since = state.get[0]
+            state.remove()
+            yield pd.DataFrame({"id": [key[0]], "since": [since]})
+            return
+        moment, status = max(
+            max(zip(frame["micros"].tolist(), frame["status"].tolist())) for frame in frames
+        )
+        if state.exists and state.get[0] > moment:
+            return
+        if status != EXTRACTING:
+            if state.exists:
+                state.remove()
+            return
+        state.update((moment,))
+        if event_time:
+            deadline = moment // 1000 + patience
+            # A deadline already passed is due with the next watermark.
+            state.setTimeoutTimestamp(max(deadline, state.getCurrentWatermarkMs() + 1))
+        else:
+            waited = state.getCurrentProcessingTimeMs() - moment // 1000
+            state.setTimeoutDuration(max(patience - waited, 1))
+
+    return watch
+
+
+def stuck_stream(
+    changes: DataFrame, minutes: int = STUCK_MINUTES, lateness: str | None = None
+) -> DataFrame:
+    """Documents whose extraction began more than ``minutes`` ago and brought no news.
+
+    ``changes`` is ``(id, status, updated_at)``. A document is kept in state only
+    while it is being extracted, so the state is as large as the work in progress,
+    not as the table. With ``lateness`` time is event time behind that watermark,
+    which gives the same result on every replay; without, it is the clock.
+    """
+    moment = F.col("updated_at").cast("timestamp")
+    rows = changes.select(
+        "id", "status", moment.alias("updated_at"), F.unix_micros(moment).alias("micros")
+    )
+    rows = rows.mapInArrow(_last_changes, rows.schema)
+    if lateness is not None:
+        rows = rows.withWatermark("updated_at", lateness)
+    timeout = GroupStateTimeout.ProcessingTimeTimeout
+    if lateness is not None:
+        timeout = GroupStateTimeout.EventTimeTimeout
+    found = rows.groupBy("id").applyInPandasWithState(
+        _watch(minutes, lateness is not None),
+        "id bigint, since bigint", "since bigint", "append", timeout,
+    )
+    return found.select(
+        "id",
+        F.lit(EXTRACTION_FAILED).alias("status"),
+        F.timestamp_micros("since").cast("timestamp_ntz").alias("stuck_since"),
+    )
+
+
+def watch_stuck(
     changes: DataFrame,
     out: str,
     checkpoint: str,
     seconds: int | None = 5,
-    clock: Clock = utc_now,
     minutes: int = STUCK_MINUTES,
-    sweep_every: int = SWEEP_EVERY,
+    lateness: str | None = None,
+    partitions: int | None = None,
 ) -> StreamingQuery:
-    """Keep the last state per document and sweep for stuck ones every so many batches.
-
-    The state is a native streaming maximum, combined before its shuffle: a document
-    with most of the changes sends one row per task. Only documents that changed in
-    a micro-batch are written.
-    """
+    """Record the findings of :func:`stuck_stream`, batch by batch."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, f"{out}/changes/kind=stream", batch_id)
-        if (batch_id + 1) % sweep_every == 0:
-            sweep(batch.sparkSession, out, batch_id, clock(), minutes)
-
-    return _start(_latest(changes), handle, checkpoint, seconds, "update")
+        write_batch(batch, out, batch_id)
 
-
-def _latest(changes: DataFrame) -> DataFrame:
-    latest = F.max(F.struct("updated_at", "status")).alias("s")
-    return changes.groupBy("id").agg(latest).select("id", "s.status", "s.updated_at")
-
-
-def watched_states(spark: SparkSession, out: str) -> DataFrame:
-    """The last state per document, failures found by sweeps included."""
-    return _latest(read_batches(spark, f"{out}/changes", CHANGE))
+    return _start(
+        stuck_stream(changes, minutes, lateness), handle, checkpoint, seconds, partitions
+    )
 
 
-def sweep(
-    spark: SparkSession, out: str, number: int, now: dt.datetime, minutes: int = STUCK_MINUTES
-) -> None:
-    """Fail the documents stuck at ``now``; recorded as changes of their own."""
-    own = (F.col("kind") == "sweep") & (F.col("batch_id") == number)
-    states = _latest(read_batches(spark, f"{out}/changes", CHANGE).where(~own))
-    failed = stuck_documents(states, now, minutes, columns=["id"]).select(
-        "id", F.lit(EXTRACTION_FAILED).alias("status"), instant(now).alias("updated_at")
-    )
-    write_batch(failed, f"{out}/changes/kind=sweep", number)
+def found_stuck(spark: SparkSession, out: str) -> DataFrame:
+    return read_batches(spark, out, STUCK)
 
 
 def backfill(
