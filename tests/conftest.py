@@ -9,6 +9,7 @@ SF = "/root/testdata/sf0.001"
 def spark():
     session = local_session("4", **{
         "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g",
+        "spark.sql.maxMetadataStringLength": "2000",
     })
     yield session
     session.stop()
