@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,8 @@ from folioflow.session import instant
 from folioflow.sources.batches import latest_set, read_batch, read_batches, write_batch
 from folioflow.sources.queue import dead_letters, deliverable, parse_messages
 
+Blobs = DataFrame | Callable[[DataFrame], DataFrame]
+
 STATE = T.StructType([
     T.StructField("document_id", T.LongType()),
     T.StructField("status", T.StringType()),
@@ -25,6 +28,11 @@ STATE = T.StructType([
     T.StructField("processing_started_at", T.TimestampNTZType()),
     T.StructField("updated_at", T.TimestampNTZType()),
 ])
+TEXT = T.StructType([
+    T.StructField("document_id", T.LongType()),
+    T.StructField("text", T.StringType()),
+    T.StructField("summary", T.StringType()),
+])
 CHUNK = T.StructType([
     T.StructField("document_id", T.LongType()),
     T.StructField("chunk_index", T.IntegerType()),
@@ -45,7 +53,7 @@ def _states(rows: DataFrame, at: dict) -> DataFrame:
 def process_batch(
     lines: DataFrame,
     batch_id: int,
-    blobs: DataFrame,
+    blobs: Blobs,
     out: str,
     started: dt.datetime,
     finished: dt.datetime | None = None,
@@ -55,27 +63,28 @@ def process_batch(
 ) -> None:
     """Run one batch to its end; a replay of the same batch writes the same folders.
 
-    The outcomes are written once and read back by the steps after them, so losing an
-    executor later never repeats the fetching. Chunks are complete before a document
-    is reported as processed.
+    ``blobs`` may be a function from the messages at hand to their stored objects, as
+    ``lambda wanted: read_blobs(spark, root, wanted=wanted)``. Messages and outcomes
+    are written once and read back by the steps after them, so losing an executor
+    later never repeats the parsing or the fetching. Chunks are complete before a
+    document is reported as processed.
     """
     spark = lines.sparkSession
     parsed = parse_messages(lines)
     write_batch(dead_letters(parsed).select("value", "reason"), f"{out}/dead_letters", batch_id)
-
-    messages = deliverable(parsed)
-    write_batch(
-        _states(messages, {
-            "status": F.lit(EXTRACTING),
-            "error": F.lit(None).cast("string"),
-            "processing_started_at": instant(started),
-            "updated_at": instant(started),
-        }),
-        f"{out}/started",
-        batch_id,
+    begun = deliverable(parsed).withColumns({
+        "status": F.lit(EXTRACTING),
+        "error": F.lit(None).cast("string"),
+        "processing_started_at": instant(started),
+        "updated_at": instant(started),
+    })
+    write_batch(begun, f"{out}/started", batch_id)
+    messages = read_batch(spark, f"{out}/started", batch_id).select(
+        "document_id", "storage_path", "file_type"
     )
+    objects = blobs(messages) if callable(blobs) else blobs
     write_batch(
-        process_documents(messages, blobs, pages, **options), f"{out}/outcomes", batch_id
+        process_documents(messages, objects, pages, **options), f"{out}/outcomes", batch_id
     )
     outcomes = read_batch(spark, f"{out}/outcomes", batch_id)
     finished = finished or started
@@ -142,5 +151,9 @@ def current_chunks(spark: SparkSession, out: str) -> DataFrame:
     return latest_set(read_batches(spark, f"{out}/chunks", CHUNK))
 
 
+def current_texts(spark: SparkSession, out: str) -> DataFrame:
+    return latest_set(read_batches(spark, f"{out}/outcomes", TEXT).where("text IS NOT NULL"))
+
+
 def current_dead_letters(spark: SparkSession, out: str) -> DataFrame:
     return read_batches(spark, f"{out}/dead_letters", DEAD_LETTER)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from folioflow.jobs.process import Blobs
 from folioflow.operators import lifecycle as L
 from folioflow.operators.contracts import add_columns
 from folioflow.operators.process import process_documents
@@ -47,7 +48,7 @@ def current_documents(base: DataFrame, out: str, cycle: int) -> DataFrame:
 
 def run_cycle(
     documents: DataFrame,
-    blobs: DataFrame,
+    blobs: Blobs,
     out: str,
     cycle: int,
     now: dt.datetime,
@@ -68,7 +69,8 @@ def run_cycle(
     attempted = read_batch(spark, f"{out}/attempts", cycle)
 
     messages = attempted.select(F.col("id").alias("document_id"), "storage_path", "file_type")
-    outcomes = process_documents(messages, blobs, pages, **options).select(
+    objects = blobs(messages) if callable(blobs) else blobs
+    outcomes = process_documents(messages, objects, pages, **options).select(
         F.col("document_id").alias("id"), F.col("status").alias("outcome"), "text", "summary"
     )
     settled = L.settle_attempts(attempted.drop("status").join(outcomes, "id"), now, max_retries)
@@ -99,7 +101,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         cycle = int(time.time())
         stats = run_cycle(
             current_documents(base, args.out, cycle),
-            read_blobs(spark, args.blobs),
+            lambda wanted: read_blobs(spark, args.blobs, wanted=wanted),
             args.out,
             cycle,
             now,

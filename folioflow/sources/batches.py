@@ -40,3 +40,13 @@ def latest_set(rows: DataFrame, key: str = "document_id") -> DataFrame:
     """
     last = rows.groupBy(key).agg(F.max("batch_id").alias("batch_id"))
     return rows.join(last, [key, "batch_id"], "left_semi")
+
+
+def compact(rows: DataFrame, path: str, upto: int) -> None:
+    """Fold the batches up to ``upto`` into one, in a new table at ``path``.
+
+    Readers move to the new table and later batches are written there; the old one is
+    never overwritten while it is read.
+    """
+    kept = latest_set(rows.where(F.col("batch_id") <= upto))
+    write_batch(kept.drop("batch_id"), path, upto)

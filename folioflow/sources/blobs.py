@@ -2,26 +2,54 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.functions.text import MAX_FILE_BYTES
 
+MAX_NAMED_PATHS = 10_000
+PLAIN_PATH = re.compile(r"[A-Za-z0-9/._-]+")
+
+
+def _named(wanted: DataFrame) -> list[str] | None:
+    """The wanted paths if they are few and need no escaping, else None."""
+    paths = wanted.select("storage_path").where(F.col("storage_path").isNotNull()).distinct()
+    names = [row[0] for row in paths.limit(MAX_NAMED_PATHS + 1).collect()]
+    plain = all(PLAIN_PATH.fullmatch(name) for name in names)
+    return names if plain and len(names) <= MAX_NAMED_PATHS else None
+
 
-def read_blobs(spark: SparkSession, root: str, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
+def read_blobs(
+    spark: SparkSession,
+    root: str,
+    max_bytes: int = MAX_FILE_BYTES,
+    wanted: DataFrame | None = None,
+) -> DataFrame:
     """Every object below ``root``, keyed by its path relative to ``root``.
 
-    The length filter reaches the scan, so objects over the limit are listed
-    without their bytes ever being read.
+    The length filter reaches the scan, so objects over the limit are listed without
+    their bytes ever being read. With ``wanted``, a frame with few ``storage_path``
+    values, only those files are opened: a small batch does not read the store. Many
+    wanted paths are left to the join.
     """
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     )
     base = root.rstrip("/").split(":", 1)[-1].lstrip("/")
-    key = F.regexp_replace("path", rf"^[^:]+:/+\Q{base}\E/", "").alias("path")
-    small = files.where(F.col("length") <= max_bytes).select(key, "length", "content")
+
+    def key(path: str) -> Column:
+        return F.regexp_replace(path, rf"^[^:]+:/+\Q{base}\E/", "")
+
+    names = None if wanted is None else _named(wanted)
+    if names is not None:
+        files = files.where(key("_metadata.file_path").isin(names))
+    small = files.where(F.col("length") <= max_bytes).select(
+        key("path").alias("path"), "length", "content"
+    )
     large = files.where(F.col("length") > max_bytes).select(
-        key, "length", F.lit(None).cast("binary").alias("content")
+        key("path").alias("path"), "length", F.lit(None).cast("binary").alias("content")
     )
     return small.unionByName(large)
 

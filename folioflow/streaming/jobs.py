@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from folioflow.functions.embedding import VECTOR, EmbedFn
-from folioflow.jobs.process import process_batch, sweep_stuck
+from folioflow.jobs.process import Blobs, process_batch, sweep_stuck
 from folioflow.operators.embeddings import embedding_backlog, plan_backfill, run_backfill
 from folioflow.operators.lifecycle import STUCK_MINUTES
 from folioflow.schemas import EXTRACTING, EXTRACTION_FAILED
@@ -74,7 +74,7 @@ def _start(
 
 def ingest(
     lines: DataFrame,
-    blobs: DataFrame | Callable[[], DataFrame],
+    blobs: Blobs,
     out: str,
     checkpoint: str,
     seconds: int | None = 5,
@@ -84,14 +84,12 @@ def ingest(
 ) -> StreamingQuery:
     """Process a stream of queue messages; see :func:`process_batch`.
 
-    ``blobs`` may be a function that lists the objects afresh for each micro-batch.
     Every ``sweep_every`` micro-batches the states written so far are swept for
     documents whose extraction began long ago and never ended.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        objects = blobs() if callable(blobs) else blobs
-        process_batch(batch, batch_id, objects, out, clock(), **options)
+        process_batch(batch, batch_id, blobs, out, clock(), **options)
         if (batch_id + 1) % sweep_every == 0:
             sweep_stuck(batch.sparkSession, out, batch_id, clock())
 

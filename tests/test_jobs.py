@@ -4,9 +4,10 @@ import datetime as dt
 
 import pytest
 
-from folioflow.jobs import monitor, reprocess
+from folioflow.jobs import backfill, monitor, process, reprocess, worker
 from folioflow.operators import metrics as M
 from folioflow.sources.batches import read_batches
+from folioflow.streaming import jobs as J
 from folioflow.sources.blobs import read_blobs
 
 NOW = dt.datetime(2024, 5, 1, 12)
@@ -79,3 +80,34 @@ def test_command_lines(spark, store):
     lines = M.report_lines(spark.read.parquet(f"{out}/metrics")).first()
     assert lines.retry_detail == "1 docs com 0 tentativas, 1 docs com 1 tentativas, 1 docs com 3 tentativas"
     assert "Tempo médio: 90.00s" in lines.report and "(50.00%)" in lines.report
+
+
+def test_worker_and_backfill_commands(spark, store):
+    (store / "queue").mkdir()
+    (store / "queue" / "1.txt").write_text(
+        '{"DocumentId": 1, "StoragePath": "ok.txt", "FileType": "TXT"}\n'
+        '{"DocumentId": 2, "StoragePath": "gone.txt", "FileType": "TXT"}\n')
+    out = str(store / "work")
+    worker.main(["--queue", str(store / "queue"), "--blobs", str(store / "objects"), "--out", out,
+                 "--checkpoint", str(store / "c1"), "--run-once"], spark)
+    got = {r.document_id: (r.status, r.error) for r in process.current_states(spark, out).collect()}
+    assert got == {1: ("Processed", None), 2: ("TextExtractionFailed", "not_found")}
+    assert [r.text for r in process.current_texts(spark, out).collect()] == ["fine text in here"]
+    chunks = process.current_chunks(spark, out).drop("batch_id")
+    assert [r.embedding for r in chunks.collect()] == [None]
+
+    def put(name, df):
+        df.write.parquet(str(store / name))
+        return str(store / name)
+
+    backfill.main([
+        "--chunks", put("found", chunks),
+        "--documents", put("owners", spark.createDataFrame([(1, "u")], "id long, uploaded_by_user_id string")),
+        "--configurations", put("cf", spark.createDataFrame(
+            [(5, "u", "openai")], "id long, user_id string, default_provider string")),
+        "--providers", put("pr", spark.createDataFrame(
+            [(9, 5, "openai", True)],
+            "id long, a_i_configuration_id long, provider string, is_enabled boolean")),
+        "--out", f"{out}/vectors", "--checkpoint", str(store / "c2"), "--run-once"], spark)
+    [row] = J.backfilled(spark, f"{out}/vectors").collect()
+    assert (row.document_id, row.embed_status, row.credential_source, row.dim) == (1, "embedded", "user", 1536)

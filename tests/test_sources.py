@@ -75,6 +75,24 @@ def test_objects_over_the_limit_are_listed_but_not_read(spark, objects):
     assert bytes(rows["edge.txt"].content) == b"y" * 100
 
 
+def test_few_wanted_objects_open_only_those(spark, objects, monkeypatch):
+    def wanted(*paths):
+        return spark.createDataFrame([(p,) for p in paths], "storage_path string")
+
+    def seen(df):
+        return sorted(r.path for r in df.collect())
+
+    some = read_blobs(spark, objects, 100, wanted("a.txt", "big.txt", "gone.txt", None))
+    assert seen(some) == ["a.txt", "big.txt"]
+    whole = read_blobs(spark, objects, 100)
+    assert some.rdd.getNumPartitions() < whole.rdd.getNumPartitions()
+    assert len(seen(read_blobs(spark, objects, 100, wanted("a.txt", "o d d.txt")))) == 4
+    monkeypatch.setattr("folioflow.sources.blobs.MAX_NAMED_PATHS", 1)
+    assert len(seen(read_blobs(spark, objects, 100, wanted("a.txt", "edge.txt")))) == 4
+    plan = whole._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(length,100)" in plan and "GreaterThan(length,100)" in plan
+
+
 def test_processing_stored_objects(spark, objects):
     messages = spark.createDataFrame(
         [(1, "a.txt", "TXT"), (2, "sub/b.txt", "txt"), (3, "big.txt", "TXT"), (4, "edge.txt", "TXT"),
@@ -134,6 +152,11 @@ def test_batches_replace_themselves(spark, tmp_path):
     assert rows.count() == 4
     last = B.latest_set(rows).orderBy("document_id").collect()
     assert [(r.document_id, r.content) for r in last] == [(1, "z"), (2, "c")]
+    B.compact(rows, str(tmp_path / "new"), 3)
+    put([(2, "y")], 5)  # a later batch of the old table does not matter to the new one
+    folded = B.read_batches(spark, str(tmp_path / "new"), spark.createDataFrame([], schema).schema)
+    assert sorted((r.document_id, r.content, r.batch_id) for r in folded.collect()) == [
+        (1, "z", 3), (2, "c", 3)]
 
 
 def test_queue_files(spark, tmp_path):

@@ -51,7 +51,7 @@ def test_ingest_equals_batch_and_survives_replay(spark, queue, tmp_path):
 
     def run(checkpoint):
         lines = Q.stream_messages(spark, folder, files_per_trigger=1)
-        query = J.ingest(lines, lambda: read_blobs(spark, objects), out, checkpoint, seconds=None,
+        query = J.ingest(lines, lambda wanted: read_blobs(spark, objects, wanted=wanted), out, checkpoint, seconds=None,
                          clock=lambda: NOW, embed_fn=embed, sweep_every=2)
         query.awaitTermination()
 
