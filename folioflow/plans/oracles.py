@@ -472,6 +472,7 @@ def oracle_sql() -> dict[str, str]:
         "dimension_audit": """SELECT CAST(len(embedding) AS INT) AS dim, COUNT(*) AS n,
             len(embedding) <> 768 AS unexpected FROM embeddings GROUP BY ALL""",
         "vector_topk": f"WITH {MEANS} {RANKED} FROM pairs QUALIFY rank <= 10",
+        "vector_topk_kmeans": f"WITH {MEANS} {RANKED} FROM pairs QUALIFY rank <= 10",
         "vector_topk_ivf": f"""WITH {MEANS}, cells AS (SELECT vec_id, arg_min(query_id, distance)
               AS cell FROM pairs GROUP BY 1),
             probes AS (SELECT a.query_id, b.query_id AS cell FROM means a CROSS JOIN means b

@@ -597,6 +597,14 @@ def vector_topk_ivf(spark, sf_dir):
     return _ranked(S.nearest_in_cells(vectors, means, S.centroids_of(means), 10, 2))
 
 
+@query
+def vector_topk_kmeans(spark, sf_dir):
+    """Trained cells, all of them probed: the approximate search must then be exact."""
+    vectors = table(spark, sf_dir, "embeddings")
+    cells = S.train_cells(vectors, 8)
+    return _ranked(S.nearest_in_cells(vectors, S.mean_vectors(vectors, "label"), cells, 10, 8))
+
+
 # --- contracts --------------------------------------------------------------------------
 
 

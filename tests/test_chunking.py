@@ -1,8 +1,11 @@
 import random
+import subprocess
+import sys
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark import cloudpickle
 
 from folioflow.functions.chunking import split_text
 from folioflow.functions.text import WHITESPACE
@@ -94,3 +97,21 @@ def test_replacing_chunks_twice_changes_nothing(spark):
     once = C.replace_chunks(old, new)
     assert sorted(map(tuple, once.collect())) == [(1, 0, "z"), (2, 0, "c")]
     assert sorted(C.replace_chunks(once, new).collect()) == sorted(once.collect())
+
+
+def test_executors_need_no_copy_of_the_package():
+    code = "import pickle, sys; print(len(pickle.load(sys.stdin.buffer)('a' * 2500)))"
+    done = subprocess.run([sys.executable, "-c", code], input=cloudpickle.dumps(split_text),
+                          capture_output=True, cwd="/", check=True)
+    assert done.stdout.strip() == b"3"
+
+
+INDENTED = "".join(
+    f"\n    Paragraph {i} speaks of many things: ships, shoes; wax.\n    \n    - item {i}\n"
+    for i in range(60)
+)
+
+
+def test_indented_text_without_paragraph_breaks():
+    for size, overlap, _ in C.SWEEP:
+        assert split_text(INDENTED, size, overlap) == spec_chunks(INDENTED, size, overlap)
