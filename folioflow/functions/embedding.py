@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -81,6 +81,20 @@ def embed(text: Column, embed_fn: EmbedFn | None) -> Column:
     return vectors(F.substring(text, 1, MAX_EMBED_CHARS))
 
 
+def dimension(vector: Column) -> Column:
+    """Length of a vector, NULL where there is none."""
+    return F.when(vector.isNotNull(), F.size(vector))
+
+
+def vector_marker(chunks: DataFrame) -> str:
+    """The column telling whether a chunk has its vector.
+
+    ``dim`` where the table has it: testing that reads a few bytes a row, testing the
+    vector itself would read every value.
+    """
+    return "dim" if "dim" in chunks.columns else "embedding"
+
+
 def vector_to_text(vector: Column) -> Column:
     """``[a,b,c]`` as vector columns of relational databases read it."""
     items = F.transform(vector, lambda x: x.cast("string"))

@@ -121,8 +121,10 @@ def decoded_as(content: Column) -> Column:
     )
 
 
-def decode_text(content: Column) -> Column:
-    text = F.when(F.is_valid_utf8(content.cast("string")), content.cast("string")).otherwise(
+def decode_text(content: Column, encoding: Column | None = None) -> Column:
+    """Text of the bytes in the ``encoding`` that :func:`decoded_as` found."""
+    encoding = decoded_as(content) if encoding is None else encoding
+    text = F.when(encoding == "utf-8", content.cast("string")).otherwise(
         F.decode(content, "ISO-8859-1")
     )
     return fold_newlines(text)

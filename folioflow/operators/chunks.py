@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from folioflow.functions import text as X
 from folioflow.functions.chunking import CHUNK_OVERLAP, CHUNK_SIZE, chunk_array
-from folioflow.functions.embedding import EmbedFn, embed
+from folioflow.functions.embedding import EmbedFn, dimension, embed
 from folioflow.session import instant
 
 # The three settings the splitter is demonstrated with.
@@ -96,15 +96,16 @@ def build_chunk_table(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """Chunks with their vectors; a chunk whose vector fails is kept without one."""
-    chunks = chunk_documents(docs, id_col, text_col)
-    return chunks.select(
-        "document_id",
-        "chunk_index",
-        "content",
-        embed(F.col("content"), embed_fn).alias("embedding"),
-        instant(now).alias("created_at"),
+    """Chunks with their vectors; a chunk whose vector fails is kept without one.
+
+    ``dim`` repeats the vector's length, so that later counts need not read vectors.
+    """
+    chunks = chunk_documents(docs, id_col, text_col).withColumn(
+        "embedding", embed(F.col("content"), embed_fn)
     )
+    return chunks.withColumns({
+        "dim": dimension(F.col("embedding")), "created_at": instant(now)
+    })
 
 
 def replace_chunks(current: DataFrame, fresh: DataFrame) -> DataFrame:

@@ -2,22 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.functions.embedding import BACKFILL_DIM, MODEL_DIM, EmbedFn, embed, zero_vector
+from folioflow.functions.embedding import (
+    BACKFILL_DIM,
+    MODEL_DIM,
+    EmbedFn,
+    dimension,
+    embed,
+    vector_marker,
+    zero_vector,
+)
 from folioflow.functions.text import is_blank
 
 VENDOR = "openai"
 
 
 def embedding_backlog(
-    chunks: DataFrame, docs: DataFrame, limit: int | None = None, vector_col: str = "embedding"
+    chunks: DataFrame, docs: DataFrame, limit: int | None = None, vector_col: str | None = None
 ) -> DataFrame:
     """Chunks without a vector, with the owner of their document."""
     owners = docs.select(F.col("id").alias("document_id"), "uploaded_by_user_id")
     rows = (
-        chunks.where(F.col(vector_col).isNull())
+        chunks.where(F.col(vector_col or vector_marker(chunks)).isNull())
         .select("document_id", "chunk_index", "content")
         .join(owners, "document_id")
     )
@@ -91,11 +99,7 @@ def run_backfill(
         vector.alias("embedding"),
         status.alias("embed_status"),
         "credential_source",
-    ).withColumn("dim", _dim(F.col("embedding")))
-
-
-def _dim(vector: Column) -> Column:
-    return F.when(vector.isNotNull(), F.size(vector))
+    ).withColumn("dim", dimension(F.col("embedding")))
 
 
 def dimension_audit(
@@ -103,7 +107,7 @@ def dimension_audit(
 ) -> DataFrame:
     """Vectors per dimension, flagging any but the expected one."""
     return (
-        vectors.groupBy(_dim(F.col(vector_col)).alias("dim"))
+        vectors.groupBy(dimension(F.col(vector_col)).alias("dim"))
         .agg(F.count("*").alias("n"))
         .withColumn("unexpected", F.coalesce(F.col("dim") != expected, F.lit(False)))
     )

@@ -11,6 +11,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioflow.functions.embedding import vector_marker
 from folioflow.operators.lifecycle import MAX_RETRIES, attempts
 from folioflow.schemas import EXTRACTION_FAILED, FAILED, PROCESSED
 from folioflow.session import instant
@@ -113,11 +114,11 @@ def status_by_retry(docs: DataFrame) -> DataFrame:
     )
 
 
-def embedding_progress(chunks: DataFrame, vector_col: str = "embedding") -> DataFrame:
-    """Chunk and vector counts. Counting non-NULLs reads no vector values."""
+def embedding_progress(chunks: DataFrame, vector_col: str | None = None) -> DataFrame:
+    """Chunk and vector counts; see :func:`vector_marker` for the column counted."""
     return chunks.agg(
         F.count("*").alias("total_chunks"),
-        F.count(vector_col).alias("chunks_with_embeddings"),
+        F.count(vector_col or vector_marker(chunks)).alias("chunks_with_embeddings"),
     ).withColumn(
         "embedding_completion_percent",
         F.round(percent(F.col("chunks_with_embeddings"), F.col("total_chunks")), 6),
@@ -169,7 +170,7 @@ def metrics_snapshot(
     chunks: DataFrame,
     now: dt.datetime,
     max_retries: int = MAX_RETRIES,
-    vector_col: str = "embedding",
+    vector_col: str | None = None,
 ) -> DataFrame:
     """All figures in one record: one narrow pass over each table."""
     parts = document_summary(document_cells(docs), max_retries).unionByName(

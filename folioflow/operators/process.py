@@ -68,10 +68,15 @@ def process_documents(
         rows = rows.join(
             extracted.withColumnRenamed("text", "_extracted"), "document_id", "left"
         )
+    # One step per column: a later step then refers to a value instead of deriving it again.
     plain = F.col("extractor") == "text"
-    lost = ~plain & F.col("_extracted").isNull()
-    raw = F.when(plain, X.decode_text(F.col("content"))).otherwise(
-        F.coalesce(F.col("_extracted"), F.lit(""))
+    rows = rows.withColumn(
+        "decoded_as", F.when(plain, X.decoded_as(F.col("content")))
+    ).withColumn(
+        "raw",
+        F.when(plain, X.decode_text(F.col("content"), F.col("decoded_as"))).otherwise(
+            F.coalesce(F.col("_extracted"), F.lit(""))
+        ),
     )
     error = (
         F.when(F.coalesce(F.col("storage_path"), F.lit("")) == "", "no_storage_path")
@@ -79,14 +84,12 @@ def process_documents(
         .when(F.col("length") > max_bytes, "too_large")
     )
     if parity:
-        error = error.when(X.is_error_text(raw), "extraction_error")
+        error = error.when(X.is_error_text(F.col("raw")), "extraction_error")
     else:
-        error = error.when(lost, "not_extracted")
-    judged = rows.withColumns({
-        "error": error,
-        "text": X.truncate(raw, max_chars),
-        "decoded_as": F.when(plain, X.decoded_as(F.col("content"))),
-    })
+        error = error.when(~plain & F.col("_extracted").isNull(), "not_extracted")
+    judged = rows.withColumn("error", error).withColumn(
+        "text", X.truncate(F.col("raw"), max_chars)
+    )
     fine = F.col("error").isNull()
     return judged.select(
         "document_id",

@@ -47,11 +47,11 @@ def apply_updates(state: DataFrame, changes: DataFrame, key: str = "id") -> Data
 
 
 def write_vectors(chunks: DataFrame, vectors: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Chunks with ``embedding`` replaced wherever ``vectors`` brings one."""
-    fresh = vectors.select(*keys, F.col("embedding").alias("new_embedding"))
+    """Chunks with ``embedding`` (and ``dim``) replaced wherever ``vectors`` brings one."""
+    brought = [c for c in ("embedding", "dim") if c in chunks.columns and c in vectors.columns]
+    fresh = vectors.select(*keys, *[F.col(c).alias(f"new_{c}") for c in brought])
     return chunks.join(fresh, list(keys), "left").select(*[
-        F.coalesce("new_embedding", "embedding").alias("embedding") if c == "embedding" else c
-        for c in chunks.columns
+        F.coalesce(f"new_{c}", c).alias(c) if c in brought else c for c in chunks.columns
     ])
 
 

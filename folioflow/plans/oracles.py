@@ -282,6 +282,15 @@ LISTING = {  # column: (type, nullable, default)
 
 def oracle_sql() -> dict[str, str]:
     main = chunked(1000, 200)
+    processed = f"""WITH {DS}, {assembled(WHOLE)}, {outcome(WHOLE)},
+        ready AS (SELECT document_id AS doc_id, text, '' AS lang FROM outcomes
+          WHERE status = 'Processed'),
+        {chunked(1000, 200, source='ready')},
+        counts AS (SELECT document_id, COUNT(*) AS n, SUM(length(content)) AS chars
+          FROM chunks GROUP BY 1)
+        SELECT o.document_id, o.status, o.error, {at(NOW)} AS updated_at,
+          coalesce(c.n, 0) AS n_chunks, coalesce(c.chars, 0)::BIGINT AS chunk_chars
+        FROM outcomes o LEFT JOIN counts c USING (document_id) WHERE o.document_id <> 0"""
     return {
         "chunk_documents": f"WITH {main} SELECT document_id, chunk_index, content FROM chunks",
         "chunk_sweep": "WITH "
@@ -485,8 +494,9 @@ def oracle_sql() -> dict[str, str]:
             GROUP BY 1, 2 HAVING COUNT(*) > 1 OR l_orderkey IS NULL OR l_linenumber IS NULL""",
         "unique_audit": f"WITH {CF} SELECT user_id, COUNT(*) AS n FROM cf WHERE user_id IS NOT NULL"
         " GROUP BY 1 HAVING COUNT(*) > 1",
-        "fk_orphans": f"""WITH {DS}, {CK} SELECT 'chunk' AS reference, document_id AS key_value,
-              COUNT(*) AS n FROM ck WHERE document_id NOT IN (SELECT id FROM ds WHERE id % 7 <> 0)
+        "fk_orphans": f"""WITH {DS}, {CK}, {TOXIC}
+            SELECT 'chunk' AS reference, document_id AS key_value, COUNT(*) AS n FROM ck
+              WHERE document_id NOT IN (SELECT id FROM ds EXCEPT SELECT doc_id FROM toxic)
               GROUP BY 2
             UNION ALL SELECT 'line', l_orderkey, COUNT(*) FROM lineitem WHERE l_orderkey NOT IN
               (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') GROUP BY 2""",
@@ -525,15 +535,8 @@ def oracle_sql() -> dict[str, str]:
             f" CAST({default} AS VARCHAR) AS column_default, COUNT(*) - COUNT({c}) AS n_null"
             for c, (t, null, default) in LISTING.items()
         }),
-        "stream_ingest": f"""WITH {DS}, {assembled(WHOLE)}, {outcome(WHOLE)},
-            ready AS (SELECT document_id AS doc_id, text, '' AS lang FROM outcomes
-              WHERE status = 'Processed'),
-            {chunked(1000, 200, source='ready')},
-            counts AS (SELECT document_id, COUNT(*) AS n, SUM(length(content)) AS chars
-              FROM chunks GROUP BY 1)
-            SELECT o.document_id, o.status, o.error, {at(NOW)} AS updated_at,
-              coalesce(c.n, 0) AS n_chunks, coalesce(c.chars, 0)::BIGINT AS chunk_chars
-            FROM outcomes o LEFT JOIN counts c USING (document_id) WHERE o.document_id <> 0""",
+        "stream_ingest": processed,
+        "batch_replayed": processed,
         "stream_dead_letters": """SELECT CASE WHEN event_type = 'error' THEN event_type ELSE props
               END AS value, CASE WHEN event_type = 'error' THEN 'bad_json' ELSE 'no_document_id' END
               AS reason, COUNT(*) AS n FROM events GROUP BY ALL""",

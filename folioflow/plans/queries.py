@@ -125,7 +125,7 @@ def build_chunk_table(spark, sf_dir):
         "document_id",
         "chunk_index",
         F.length("content").alias("n_chars"),
-        F.size("embedding").alias("dim"),
+        "dim",
         F.size(F.filter("embedding", lambda v: v != 0)).alias("n_buckets"),
         "created_at",
     )
@@ -158,7 +158,7 @@ def truncate_text(spark, sf_dir):
 @query
 def strip_and_blank(spark, sf_dir):
     padded = F.concat(F.lit("　\x1c "), "text", F.lit("\t "))
-    return documents(spark, sf_dir).select(
+    return texts(spark, sf_dir).select(
         "doc_id",
         X.strip(padded).alias("stripped"),
         X.is_blank(F.regexp_replace("text", "[a-m]", " ")).alias("blank"),
@@ -197,7 +197,7 @@ def decode_bytes(spark, sf_dir):
     wire = F.regexp_replace("text", "\n", "\r\n")
     content = F.when(latin, F.encode(wire, "ISO-8859-1")).otherwise(F.encode(wire, "UTF-8"))
     return (
-        documents(spark, sf_dir)
+        texts(spark, sf_dir)
         .select("doc_id", content.alias("content"))
         .select(
             "doc_id",
@@ -223,7 +223,7 @@ def assemble_page_texts_limited(spark, sf_dir):
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as queue lines, broken in every way a line can be."""
-    return table(spark, sf_dir, "events").selectExpr(
+    return C.spread(table(spark, sf_dir, "events")).selectExpr(
         "event_id",
         """CASE event_id % 11
              WHEN 0 THEN concat('{bad ', event_type)
@@ -621,8 +621,8 @@ def unique_audit(spark, sf_dir):
 
 @query
 def fk_orphans(spark, sf_dir):
-    """Chunks whose document is gone, and order lines whose order was never final."""
-    docs = fx.document_state(spark, sf_dir).where("id % 7 <> 0")
+    """Chunks whose document went as toxic, and order lines whose order was never final."""
+    docs = fx.document_state(spark, sf_dir).join(_toxic(spark, sf_dir), "id", "left_anti")
     chunks = G.orphans(fx.chunk_state(spark, sf_dir), "document_id", docs, "id")
     orders = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'")
     lines = G.orphans(table(spark, sf_dir, "lineitem"), "l_orderkey", orders, "o_orderkey")
@@ -743,14 +743,24 @@ def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(sf_dir)
 
 
-def _queue_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _stream(spark, sf_dir, "documents").selectExpr(*fx.STATE_COLUMNS)
+def _queue_lines(docs: DataFrame) -> DataFrame:
     message = F.to_json(F.struct(
         F.col("id").alias("DocumentId"),
         F.col("storage_path").alias("StoragePath"),
         F.col("file_type").alias("FileType"),
     ))
-    return docs.select(message.alias("value"))
+    return docs.selectExpr(*fx.STATE_COLUMNS).select(message.alias("value"))
+
+
+def _states_and_chunks(spark: SparkSession, out: str) -> DataFrame:
+    counts = P.current_chunks(spark, out).groupBy("document_id").agg(
+        F.count("*").alias("n"), F.sum(F.length("content")).alias("chars")
+    )
+    return P.current_states(spark, out).join(counts, "document_id", "left").select(
+        "document_id", "status", "error", "updated_at",
+        F.coalesce("n", F.lit(0)).alias("n_chunks"),
+        F.coalesce("chars", F.lit(0)).alias("chunk_chars"),
+    )
 
 
 @query
@@ -758,18 +768,24 @@ def stream_ingest(spark, sf_dir):
     """Messages streamed through fetch, extraction and chunking into batch folders."""
     out = workspace(spark, "ingest")
     J.ingest(
-        _queue_stream(spark, sf_dir), blobs(spark, sf_dir), f"{out}/tables", f"{out}/checkpoint",
-        seconds=None, clock=lambda: NOW, pages=paged(spark, sf_dir),
+        _queue_lines(_stream(spark, sf_dir, "documents")), blobs(spark, sf_dir), f"{out}/tables",
+        f"{out}/checkpoint", seconds=None, clock=lambda: NOW, pages=paged(spark, sf_dir),
         max_bytes=SMALL_FILE,
     ).awaitTermination()
-    counts = P.current_chunks(spark, f"{out}/tables").groupBy("document_id").agg(
-        F.count("*").alias("n"), F.sum(F.length("content")).alias("chars")
-    )
-    return P.current_states(spark, f"{out}/tables").join(counts, "document_id", "left").select(
-        "document_id", "status", "error", "updated_at",
-        F.coalesce("n", F.lit(0)).alias("n_chunks"),
-        F.coalesce("chars", F.lit(0)).alias("chunk_chars"),
-    )
+    return _states_and_chunks(spark, f"{out}/tables")
+
+
+@query
+def batch_replayed(spark, sf_dir):
+    """The same batch processed twice, as after a lost driver: nothing may change."""
+    out = workspace(spark, "replay")
+    lines = _queue_lines(documents(spark, sf_dir))
+    for _ in range(2):
+        P.process_batch(
+            lines, 0, blobs(spark, sf_dir), out, NOW, pages=paged(spark, sf_dir),
+            max_bytes=SMALL_FILE,
+        )
+    return _states_and_chunks(spark, out)
 
 
 @query

@@ -206,7 +206,7 @@ def backfill(
     has_fallback: bool = False,
     parity: bool = False,
     seconds: int | None = 1,
-    vector_col: str = "embedding",
+    vector_col: str | None = None,
 ) -> StreamingQuery:
     """Embed chunks as they arrive without a vector."""
 

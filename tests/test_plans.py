@@ -26,14 +26,14 @@ def stored(spark, tmp_path_factory):
         " TIMESTAMP_NTZ'2024-01-01' AS updated_at, TIMESTAMP_NTZ'2024-01-01' AS processing_started_at"
         " FROM range(100)").write.parquet(f"{root}/documents")
     spark.sql("SELECT id AS document_id, 1 AS chunk_index, 'c' AS content,"
-              " array(1.0f, 2.0f) AS embedding FROM range(100)").write.parquet(f"{root}/chunks")
+              " array(1.0f, 2.0f) AS embedding, 2 AS dim FROM range(100)").write.parquet(f"{root}/chunks")
     return spark.read.parquet(f"{root}/documents"), spark.read.parquet(f"{root}/chunks")
 
 
 def test_metrics_read_no_texts(stored):
     docs, chunks = stored
     text = plan(M.metrics_snapshot(docs, chunks, NOW))
-    assert "text_extracted" not in text and "content" not in text
+    assert not any(c in text for c in ["text_extracted", "content", "array<float>"])
     assert text.count("FileScan") == 2
     assert "ReadSchema: struct<status:string,retry_count:int" in text
 
@@ -47,6 +47,12 @@ def test_candidates_are_filtered_in_the_scan_and_never_fully_sorted(stored):
     assert "Exchange" not in plan(L.fail_stuck(docs, NOW))
 
 
+def test_backlog_is_filtered_in_the_scan(stored):
+    docs, chunks = stored
+    text = plan(E.embedding_backlog(chunks, docs.withColumn("uploaded_by_user_id", F.lit("u"))))
+    assert "IsNull(dim)" in text and "array<float>" not in text
+
+
 def test_no_operator_multiplies_rows_blindly(stored):
     docs, chunks = stored
     for df in [M.metrics_snapshot(docs, chunks, NOW), C.chunk_sweep(docs, id_col="id", text_col="text_extracted")]:
