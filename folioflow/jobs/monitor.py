@@ -13,7 +13,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 
 from folioflow.operators.metrics import metrics_snapshot, report_lines
-from folioflow.sources.batches import read_batch, write_batch
+from folioflow.sources.batches import write_batch
 from folioflow.sources.tables import read_table
 
 log = logging.getLogger("folioflow.monitor")
@@ -23,8 +23,7 @@ def record_metrics(
     docs: DataFrame, chunks: DataFrame, out: str, number: int, now: dt.datetime, **options
 ) -> DataFrame:
     """Write snapshot ``number`` to the history and return it."""
-    write_batch(metrics_snapshot(docs, chunks, now, **options).coalesce(1), out, number)
-    return read_batch(docs.sparkSession, out, number)
+    return write_batch(metrics_snapshot(docs, chunks, now, **options), out, number)
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:

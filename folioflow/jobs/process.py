@@ -14,9 +14,10 @@ from folioflow.functions.embedding import VECTOR, EmbedFn
 from folioflow.operators.chunks import build_chunk_table
 from folioflow.operators.lifecycle import STUCK_MINUTES, stuck_documents
 from folioflow.operators.process import process_documents
+from folioflow.operators.updates import apply_updates
 from folioflow.schemas import EXTRACTING, EXTRACTION_FAILED, PROCESSED
 from folioflow.session import instant
-from folioflow.sources.batches import latest_set, read_batch, read_batches, write_batch
+from folioflow.sources.batches import latest_set, read_batches, write_batch
 from folioflow.sources.queue import dead_letters, deliverable, parse_messages
 
 Blobs = DataFrame | Callable[[DataFrame], DataFrame]
@@ -51,6 +52,31 @@ def _states(rows: DataFrame, at: dict) -> DataFrame:
     return rows.withColumns(at).select(*STATE.fieldNames())
 
 
+def store_outcomes(
+    messages: DataFrame,
+    batch_id: int,
+    blobs: Blobs,
+    out: str,
+    now: dt.datetime,
+    embed_fn: EmbedFn | None = None,
+    pages: DataFrame | None = None,
+    **options,
+) -> DataFrame:
+    """Fetch, extract and chunk the messages; returns their outcomes as stored.
+
+    Outcomes are written once and read back by the steps after them, so losing an
+    executor later never repeats the fetching.
+    """
+    objects = blobs(messages) if callable(blobs) else blobs
+    outcomes = write_batch(
+        process_documents(messages, objects, pages, **options), f"{out}/outcomes", batch_id
+    )
+    processed = outcomes.where(F.col("status") == PROCESSED)
+    chunks = build_chunk_table(processed, embed_fn, now, "document_id")
+    write_batch(chunks, f"{out}/chunks", batch_id)
+    return outcomes
+
+
 def process_batch(
     lines: DataFrame,
     batch_id: int,
@@ -58,19 +84,15 @@ def process_batch(
     out: str,
     started: dt.datetime,
     finished: dt.datetime | None = None,
-    embed_fn: EmbedFn | None = None,
-    pages: DataFrame | None = None,
     **options,
 ) -> None:
     """Run one batch to its end; a replay of the same batch writes the same folders.
 
     ``blobs`` may be a function from the messages at hand to their stored objects, as
-    ``lambda wanted: read_blobs(spark, root, wanted=wanted)``. Messages and outcomes
-    are written once and read back by the steps after them, so losing an executor
-    later never repeats the parsing or the fetching. Chunks are complete before a
-    document is reported as processed.
+    ``lambda wanted: read_blobs(spark, root, wanted=wanted)``; for the other options
+    see :func:`store_outcomes`. Chunks are complete before a document is reported as
+    processed.
     """
-    spark = lines.sparkSession
     parsed = parse_messages(lines)
     write_batch(dead_letters(parsed).select("value", "reason"), f"{out}/dead_letters", batch_id)
     begun = deliverable(parsed).withColumns({
@@ -79,20 +101,11 @@ def process_batch(
         "processing_started_at": instant(started),
         "updated_at": instant(started),
     })
-    write_batch(begun, f"{out}/started", batch_id)
-    messages = read_batch(spark, f"{out}/started", batch_id).select(
+    messages = write_batch(begun, f"{out}/started", batch_id).select(
         "document_id", "storage_path", "file_type"
     )
-    objects = blobs(messages) if callable(blobs) else blobs
-    write_batch(
-        process_documents(messages, objects, pages, **options), f"{out}/outcomes", batch_id
-    )
-    outcomes = read_batch(spark, f"{out}/outcomes", batch_id)
     finished = finished or started
-    processed = outcomes.where(F.col("status") == PROCESSED)
-    write_batch(
-        build_chunk_table(processed, embed_fn, finished, "document_id"), f"{out}/chunks", batch_id
-    )
+    outcomes = store_outcomes(messages, batch_id, blobs, out, finished, **options)
     write_batch(
         _states(outcomes, {
             "processing_started_at": instant(started),
@@ -156,5 +169,19 @@ def current_texts(spark: SparkSession, out: str) -> DataFrame:
     return latest_set(read_batches(spark, f"{out}/outcomes", TEXT).where("text IS NOT NULL"))
 
 
+def updated_documents(documents: DataFrame, out: str) -> DataFrame:
+    """The documents table with the states, texts and summaries written so far."""
+    spark = documents.sparkSession
+    texts = current_texts(spark, out).select(
+        "document_id", F.col("text").alias("text_extracted"), "summary"
+    )
+    changes = current_states(spark, out).join(texts, "document_id", "left").select(
+        F.col("document_id").alias("id"), "status", "updated_at", "processing_started_at",
+        "text_extracted", "summary",
+    )
+    known = [c for c in changes.columns if c in documents.columns]
+    return apply_updates(documents, changes.select(*known))
+
+
 def current_dead_letters(spark: SparkSession, out: str) -> DataFrame:
     return read_batches(spark, f"{out}/dead_letters", DEAD_LETTER)

@@ -14,14 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioflow.jobs.process import Blobs
+from folioflow.jobs.process import Blobs, store_outcomes
 from folioflow.operators import lifecycle as L
 from folioflow.operators.contracts import add_columns
-from folioflow.operators.process import process_documents
 from folioflow.operators.updates import apply_updates, latest_changes
 from folioflow.schemas import MIGRATION
 from folioflow.session import instant
-from folioflow.sources.batches import read_batch, read_batches, write_batch
+from folioflow.sources.batches import read_batches, write_batch
 from folioflow.sources.blobs import read_blobs
 from folioflow.sources.tables import read_table
 
@@ -54,31 +53,28 @@ def run_cycle(
     now: dt.datetime,
     max_retries: int = L.MAX_RETRIES,
     limit: int | None = None,
-    pages: DataFrame | None = None,
     **options,
 ) -> DataFrame:
     """One cycle over all candidates at once; returns its statistics (one row).
 
     The candidate set is written before anything is attempted: it is read twice, and
-    its attempts count even if the cycle dies. Rerunning a cycle replaces its folders.
+    its attempts count even if the cycle dies. Texts and chunks of the documents that
+    come through are stored like those of any batch, below ``out``, which belongs to
+    the cycles alone. Rerunning a cycle replaces its folders. For the options see
+    :func:`store_outcomes`.
     """
-    spark = documents.sparkSession
     keep = ["processing_notes"]
     candidates = L.retry_candidates(documents, now, max_retries, limit=limit, keep=keep)
-    write_batch(L.start_attempt(candidates, now), f"{out}/attempts", cycle)
-    attempted = read_batch(spark, f"{out}/attempts", cycle)
+    attempted = write_batch(L.start_attempt(candidates, now), f"{out}/attempts", cycle)
 
     messages = attempted.select(F.col("id").alias("document_id"), "storage_path", "file_type")
-    objects = blobs(messages) if callable(blobs) else blobs
-    outcomes = process_documents(messages, objects, pages, **options).select(
-        F.col("document_id").alias("id"), F.col("status").alias("outcome"), "text", "summary"
+    outcomes = store_outcomes(messages, cycle, blobs, out, now, **options).select(
+        F.col("document_id").alias("id"), F.col("status").alias("outcome")
     )
     settled = L.settle_attempts(attempted.drop("status").join(outcomes, "id"), now, max_retries)
-    write_batch(settled, f"{out}/settled", cycle)
-
-    stats = L.cycle_stats(read_batch(spark, f"{out}/settled", cycle))
-    write_batch(stats.withColumn("finished_at", instant(now)), f"{out}/cycle_stats", cycle)
-    return stats
+    stats = L.cycle_stats(write_batch(settled, f"{out}/settled", cycle))
+    stored = stats.withColumn("finished_at", instant(now))
+    return write_batch(stored, f"{out}/cycle_stats", cycle).drop("finished_at")
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:

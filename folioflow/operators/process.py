@@ -13,8 +13,8 @@ from folioflow.schemas import EXTRACTION_FAILED, PROCESSED
 from folioflow.sources.blobs import fetch
 
 
-def route(fetched: DataFrame, complete: bool = False) -> DataFrame:
-    return fetched.withColumn(
+def route(messages: DataFrame, complete: bool = False) -> DataFrame:
+    return messages.withColumn(
         "extension", X.file_extension(F.col("file_type"), complete)
     ).withColumn("extractor", X.extractor(F.col("extension")))
 
@@ -30,7 +30,7 @@ def extracted_texts(
     Only the pages of documents at hand are assembled, so a retry of a few documents
     does not put the whole page table together.
     """
-    wanted = messages.select("document_id")
+    wanted = messages.where(F.col("extractor") != "text").select("document_id")
     parts = []
     if pages is not None:
         own = pages.join(wanted, "document_id", "left_semi")
@@ -60,8 +60,9 @@ def process_documents(
     empty, and a text that begins with the error phrase counts as failed; otherwise
     the reverse.
     """
-    rows = route(fetch(messages, blobs), complete)
-    extracted = extracted_texts(messages, pages, recognised, max_chars)
+    routed = route(messages, complete)
+    rows = fetch(routed, blobs)
+    extracted = extracted_texts(routed, pages, recognised, max_chars)
     if extracted is None:
         rows = rows.withColumn("_extracted", F.lit(None).cast("string"))
     else:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folioflow.schemas import FILE_TYPES, STATUSES
 
@@ -13,8 +13,15 @@ NOW = dt.datetime(2024, 1, 1, 12, 0, 0)
 DAY = "TIMESTAMP_NTZ'2024-01-01 00:00:00'"
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; its schema is read from the file once, not for every scan."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _names(values: list[str]) -> str:

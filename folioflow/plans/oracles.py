@@ -282,12 +282,13 @@ LISTING = {  # column: (type, nullable, default)
 
 def oracle_sql() -> dict[str, str]:
     main = chunked(1000, 200)
-    processed = f"""WITH {DS}, {assembled(WHOLE)}, {outcome(WHOLE)},
+    counted = f"""{DS}, {assembled(WHOLE)}, {outcome(WHOLE)},
         ready AS (SELECT document_id AS doc_id, text, '' AS lang FROM outcomes
           WHERE status = 'Processed'),
         {chunked(1000, 200, source='ready')},
         counts AS (SELECT document_id, COUNT(*) AS n, SUM(length(content)) AS chars
-          FROM chunks GROUP BY 1)
+          FROM chunks GROUP BY 1)"""
+    processed = f"""WITH {counted}
         SELECT o.document_id, o.status, o.error, {at(NOW)} AS updated_at,
           coalesce(c.n, 0) AS n_chunks, coalesce(c.chars, 0)::BIGINT AS chunk_chars
         FROM outcomes o LEFT JOIN counts c USING (document_id) WHERE o.document_id <> 0"""
@@ -551,9 +552,10 @@ def oracle_sql() -> dict[str, str]:
             SELECT document_id, chunk_index, CASE WHEN embed_status = 'ready' THEN 'embedded'
                 ELSE embed_status END AS embed_status, credential_source,
               CASE WHEN embed_status = 'ready' THEN 1536 END AS dim FROM plan""",
-        "reprocess_cycle_job": f"WITH {DS}, {assembled(WHOLE)}, {outcome(WHOLE)}, {cycles()} "
-        + " UNION ALL ".join(
-            f"SELECT {i}::BIGINT AS cycle, id, status, retry_count, processing_notes FROM done{i}"
+        "reprocess_cycle_job": f"WITH {counted}, {cycles()} " + " UNION ALL ".join(
+            f"""SELECT {i}::BIGINT AS cycle, d.id, d.status, d.retry_count, d.processing_notes,
+              coalesce(c.n, 0) AS n_chunks FROM done{i} d
+              LEFT JOIN counts c ON c.document_id = d.id"""
             for i in range(len(CYCLE_TIMES))
         ),
         "metrics_history": f"WITH {DS}, {CK}, {assembled(WHOLE)}, {outcome(WHOLE)}, {cycles()}, "

@@ -835,11 +835,12 @@ def stream_backfill(spark, sf_dir):
 
 def _cycles(spark: SparkSession, sf_dir: str, after_each: Callable | None = None) -> str:
     out = workspace(spark, "cycles")
-    base = fx.document_state(spark, sf_dir)
+    base, pages = fx.document_state(spark, sf_dir), paged(spark, sf_dir)
+    objects = blobs(spark, sf_dir)
     for number, now in enumerate(CYCLE_TIMES):
         R.run_cycle(
-            R.current_documents(base, out, number), blobs(spark, sf_dir), out, number, now,
-            pages=paged(spark, sf_dir), max_bytes=SMALL_FILE,
+            R.current_documents(base, out, number), objects, out, number, now, pages=pages,
+            max_bytes=SMALL_FILE,
         )
         if after_each:
             after_each(R.current_documents(base, out, number + 1), out, number, now)
@@ -848,10 +849,15 @@ def _cycles(spark: SparkSession, sf_dir: str, after_each: Callable | None = None
 
 @query
 def reprocess_cycle_job(spark, sf_dir):
-    """Three cycles half an hour apart, and the documents they touched."""
+    """Three cycles half an hour apart, the documents they touched and their chunks."""
     out = _cycles(spark, sf_dir)
-    return read_batches(spark, f"{out}/settled", R.CHANGE).select(
-        F.col("batch_id").alias("cycle"), "id", "status", "retry_count", "processing_notes"
+    chunks = read_batches(spark, f"{out}/chunks", P.CHUNK).groupBy(
+        "batch_id", F.col("document_id").alias("id")
+    ).agg(F.count("*").alias("n"))
+    settled = read_batches(spark, f"{out}/settled", R.CHANGE)
+    return settled.join(chunks, ["batch_id", "id"], "left").select(
+        F.col("batch_id").alias("cycle"), "id", "status", "retry_count", "processing_notes",
+        F.coalesce("n", F.lit(0)).alias("n_chunks"),
     )
 
 

@@ -13,12 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
-    rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-
-def read_batch(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
-    return spark.read.parquet(f"{path}/batch_id={batch_id}")
+def write_batch(rows: DataFrame, path: str, batch_id: int) -> DataFrame:
+    """Write one batch and return it as stored, free of what it was derived from."""
+    folder = f"{path}/batch_id={batch_id}"
+    rows.write.mode("overwrite").parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

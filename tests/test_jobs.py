@@ -54,6 +54,9 @@ def test_cycles_until_nothing_is_left(spark, store):
     note = {r.id: r.processing_notes for r in after.collect()}
     assert note[2].startswith("n\n[2024-05-01 12:30:00] Documento marcado") and note[1] is None
     assert cycle(2) == (0, 0, 0, 0)
+    assert [(r.document_id, r.content) for r in process.current_chunks(spark, out).collect()] == [
+        (1, "fine text in here")]
+    assert [r.summary for r in process.current_texts(spark, out).collect()] == ["fine text in here"]
 
 
 def test_an_attempt_that_died_still_counts(spark, store):
@@ -93,6 +96,11 @@ def test_worker_and_backfill_commands(spark, store):
     got = {r.document_id: (r.status, r.error) for r in process.current_states(spark, out).collect()}
     assert got == {1: ("Processed", None), 2: ("TextExtractionFailed", "not_found")}
     assert [r.text for r in process.current_texts(spark, out).collect()] == ["fine text in here"]
+    table = spark.createDataFrame(
+        [(i, "Queued", "old", NOW) for i in (1, 2, 3)],
+        "id long, status string, text_extracted string, updated_at timestamp_ntz")
+    after = {r.id: (r.status, r.text_extracted) for r in process.updated_documents(table, out).collect()}
+    assert after == {1: ("Processed", "fine text in here"), 2: ("TextExtractionFailed", "old"), 3: ("Queued", "old")}
     chunks = process.current_chunks(spark, out).drop("batch_id")
     assert [r.embedding for r in chunks.collect()] == [None]
 
