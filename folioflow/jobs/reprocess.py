@@ -28,6 +28,8 @@ log = logging.getLogger("folioflow.reprocess")
 
 CHANGE = T.StructType([
     T.StructField("id", T.LongType()),
+    T.StructField("storage_path", T.StringType()),
+    T.StructField("file_type", T.StringType()),
     T.StructField("status", T.StringType()),
     T.StructField("retry_count", T.IntegerType()),
     T.StructField("updated_at", T.TimestampNTZType()),
@@ -36,13 +38,35 @@ CHANGE = T.StructType([
 CHANGED = ["status", "retry_count", "updated_at", "processing_notes"]
 
 
-def current_documents(base: DataFrame, out: str, cycle: int) -> DataFrame:
-    """The base table with the changes of every cycle before ``cycle``."""
-    spark = base.sparkSession
+def latest_states(spark: SparkSession, out: str, cycle: int) -> DataFrame:
+    """The last state of every document touched by a cycle before ``cycle``."""
     begun = read_batches(spark, f"{out}/attempts", CHANGE).withColumn("step", F.lit(0))
     ended = read_batches(spark, f"{out}/settled", CHANGE).withColumn("step", F.lit(1))
     earlier = begun.unionByName(ended).where(F.col("batch_id") < cycle)
-    return apply_updates(base, latest_changes(earlier, "id", ["batch_id", "step"], CHANGED))
+    columns = [c for c in CHANGE.fieldNames() if c != "id"]
+    return latest_changes(earlier, "id", ["batch_id", "step"], columns)
+
+
+def current_documents(base: DataFrame, out: str, cycle: int) -> DataFrame:
+    """The base table with the changes of every cycle before ``cycle``."""
+    return apply_updates(base, latest_states(base.sparkSession, out, cycle).select("id", *CHANGED))
+
+
+def candidates(
+    base: DataFrame, out: str, cycle: int, now: dt.datetime, max_retries: int, limit: int | None
+) -> DataFrame:
+    """Documents to retry, without joining the whole table to its changes.
+
+    The base table is filtered in its scan; documents a cycle has touched are known
+    in full from the cycles' own records.
+    """
+    touched = latest_states(base.sparkSession, out, cycle)
+
+    def due(rows: DataFrame) -> DataFrame:
+        return L.retry_candidates(rows, now, max_retries, keep=["processing_notes"])
+
+    fresh = due(base).join(touched.select("id"), "id", "left_anti")
+    return L.oldest_first(fresh.unionByName(due(touched)), limit)
 
 
 def run_cycle(
@@ -57,21 +81,24 @@ def run_cycle(
 ) -> DataFrame:
     """One cycle over all candidates at once; returns its statistics (one row).
 
-    The candidate set is written before anything is attempted: it is read twice, and
-    its attempts count even if the cycle dies. Texts and chunks of the documents that
-    come through are stored like those of any batch, below ``out``, which belongs to
-    the cycles alone. Rerunning a cycle replaces its folders. For the options see
-    :func:`store_outcomes`.
+    ``documents`` is the base table; what earlier cycles changed is read from ``out``,
+    which belongs to the cycles alone. The candidate set is written before anything is
+    attempted: it is read twice, and its attempts count even if the cycle dies. Texts
+    and chunks of the documents that come through are stored like those of any batch.
+    Rerunning a cycle replaces its folders. For the options see :func:`store_outcomes`.
     """
-    keep = ["processing_notes"]
-    candidates = L.retry_candidates(documents, now, max_retries, limit=limit, keep=keep)
-    attempted = write_batch(L.start_attempt(candidates, now), f"{out}/attempts", cycle)
+    due = candidates(documents, out, cycle, now, max_retries, limit)
+    attempts = L.start_attempt(due, now).select(*CHANGE.fieldNames())
+    attempted = write_batch(attempts, f"{out}/attempts", cycle)
 
     messages = attempted.select(F.col("id").alias("document_id"), "storage_path", "file_type")
     outcomes = store_outcomes(messages, cycle, blobs, out, now, **options).select(
         F.col("document_id").alias("id"), F.col("status").alias("outcome")
     )
-    settled = L.settle_attempts(attempted.drop("status").join(outcomes, "id"), now, max_retries)
+    settled = L.settle_attempts(
+        attempted.drop("status").join(outcomes, "id"), now, max_retries,
+        keep=["storage_path", "file_type"],
+    )
     stats = L.cycle_stats(write_batch(settled, f"{out}/settled", cycle))
     stored = stats.withColumn("finished_at", instant(now))
     return write_batch(stored, f"{out}/cycle_stats", cycle).drop("finished_at")
@@ -96,7 +123,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         cycle = int(time.time())
         stats = run_cycle(
-            current_documents(base, args.out, cycle),
+            base,
             lambda wanted: read_blobs(spark, args.blobs, wanted=wanted),
             args.out,
             cycle,

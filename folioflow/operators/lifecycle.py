@@ -45,8 +45,8 @@ def domain_audit(docs: DataFrame) -> DataFrame:
     )
 
 
-def _first(rows: DataFrame, limit: int | None) -> DataFrame:
-    """Oldest rows first when limited; without a limit nothing needs sorting."""
+def oldest_first(rows: DataFrame, limit: int | None) -> DataFrame:
+    """The rows changed longest ago when limited; without a limit nothing needs sorting."""
     return rows if limit is None else rows.orderBy("updated_at", "id").limit(limit)
 
 
@@ -60,7 +60,7 @@ def stuck_documents(
     rows = docs.where(
         (F.col("status") == EXTRACTING) & before(F.col("updated_at"), now, minutes)
     )
-    return _first(rows.select(*columns), limit)
+    return oldest_first(rows.select(*columns), limit)
 
 
 def fail_stuck(
@@ -93,7 +93,7 @@ def retry_candidates(
     ).select(
         "id", "storage_path", "file_type", attempts().alias("retry_count"), "updated_at", *keep
     )
-    return _first(rows, limit)
+    return oldest_first(rows, limit)
 
 
 def start_attempt(candidates: DataFrame, now: dt.datetime) -> DataFrame:
@@ -106,7 +106,10 @@ def start_attempt(candidates: DataFrame, now: dt.datetime) -> DataFrame:
 
 
 def settle_attempts(
-    attempted: DataFrame, now: dt.datetime, max_retries: int = MAX_RETRIES
+    attempted: DataFrame,
+    now: dt.datetime,
+    max_retries: int = MAX_RETRIES,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Final state after an attempt.
 
@@ -124,6 +127,7 @@ def settle_attempts(
         "retry_count",
         instant(now).alias("updated_at"),
         F.when(gave_up, note).otherwise(F.col("processing_notes")).alias("processing_notes"),
+        *keep,
     )
 
 

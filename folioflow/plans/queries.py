@@ -31,7 +31,7 @@ from folioflow.operators.pages import assemble_pages
 from folioflow.operators.process import process_documents, route
 from folioflow.plans import fixtures as fx
 from folioflow.plans.fixtures import NOW, table
-from folioflow.schemas import CONTRACTS, FAILED, MIGRATION, PROCESSED, EXTRACTION_FAILED, migrated
+from folioflow.schemas import CONTRACTS, EXTRACTION_FAILED, MIGRATION, PROCESSED, migrated
 from folioflow.session import workspace
 from folioflow.sources import queue as Q
 from folioflow.sources.batches import read_batches
@@ -839,8 +839,7 @@ def _cycles(spark: SparkSession, sf_dir: str, after_each: Callable | None = None
     objects = blobs(spark, sf_dir)
     for number, now in enumerate(CYCLE_TIMES):
         R.run_cycle(
-            R.current_documents(base, out, number), objects, out, number, now, pages=pages,
-            max_bytes=SMALL_FILE,
+            base, objects, out, number, now, pages=pages, max_bytes=SMALL_FILE,
         )
         if after_each:
             after_each(R.current_documents(base, out, number + 1), out, number, now)

@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 
 from folioflow.jobs import backfill, monitor, process, reprocess, worker
+from folioflow.operators import lifecycle as L
 from folioflow.operators import metrics as M
 from folioflow.sources.batches import read_batches
 from folioflow.streaming import jobs as J
@@ -39,9 +40,8 @@ def test_cycles_until_nothing_is_left(spark, store):
     blobs = read_blobs(spark, str(store / "objects"))
 
     def cycle(number):
-        docs = reprocess.current_documents(base, out, number)
         now = NOW + dt.timedelta(minutes=30 * number)
-        return tuple(reprocess.run_cycle(docs, blobs, out, number, now).first())
+        return tuple(reprocess.run_cycle(base, blobs, out, number, now).first())
 
     assert cycle(0) == (2, 1, 1, 0)
     assert states(reprocess.current_documents(base, out, 1)) == {
@@ -62,9 +62,28 @@ def test_cycles_until_nothing_is_left(spark, store):
 def test_an_attempt_that_died_still_counts(spark, store):
     out = str(store / "out")
     base = spark.read.parquet(str(store / "documents"))
-    begun = spark.createDataFrame([(2, "ExtractingText", 2, NOW, "n")], reprocess.CHANGE)
+    begun = spark.createDataFrame(
+        [(2, "gone.txt", "TXT", "ExtractingText", 2, NOW, "n")], reprocess.CHANGE)
     begun.write.parquet(f"{out}/attempts/batch_id=0")
     assert states(reprocess.current_documents(base, out, 1))[2] == ("ExtractingText", 2)
+    later = NOW + dt.timedelta(hours=1)
+    due = reprocess.candidates(base, out, 1, later, 3, None)
+    assert [r.id for r in due.collect()] == [1]  # 2 is under extraction now
+
+
+def test_candidates_equal_those_of_the_whole_table(spark, store):
+    out = str(store / "out")
+    base = spark.read.parquet(str(store / "documents"))
+    blobs = read_blobs(spark, str(store / "objects"))
+    for number in range(3):
+        now = NOW + dt.timedelta(minutes=11 * number)
+        whole = L.retry_candidates(
+            reprocess.current_documents(base, out, number), now, 3, keep=["processing_notes"])
+        due = reprocess.candidates(base, out, number, now, 3, None)
+        assert sorted(map(tuple, due.collect())) == sorted(map(tuple, whole.collect()))
+        reprocess.run_cycle(base, blobs, out, number, now)
+    plan = reprocess.candidates(base, out, 3, now, 3, 10)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(status,TextExtractionFailed)" in plan and "TakeOrderedAndProject" in plan
 
 
 def test_command_lines(spark, store):
