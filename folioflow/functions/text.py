@@ -94,7 +94,7 @@ def is_error_text(text: Column) -> Column:
 def file_extension(file_type: Column, complete: bool = False) -> Column:
     """Extension of a file type; unknown, numeric and missing types count as PDF."""
     table = {**EXTENSIONS, **MISSING_EXTENSIONS} if complete else EXTENSIONS
-    pairs = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
+    pairs = F.str_to_map(F.lit(",".join(f"{k}:{v}" for k, v in table.items())))
     return F.coalesce(
         F.try_element_at(pairs, F.upper(file_type.cast("string"))), F.lit(DEFAULT_EXTENSION)
     )

@@ -19,7 +19,6 @@ from folioflow.operators import lifecycle as L
 from folioflow.operators.contracts import add_columns
 from folioflow.operators.updates import apply_updates, latest_changes
 from folioflow.schemas import MIGRATION
-from folioflow.session import instant
 from folioflow.sources.batches import read_batches, write_batch
 from folioflow.sources.blobs import read_blobs
 from folioflow.sources.tables import read_table
@@ -99,9 +98,7 @@ def run_cycle(
         attempted.drop("status").join(outcomes, "id"), now, max_retries,
         keep=["storage_path", "file_type"],
     )
-    stats = L.cycle_stats(write_batch(settled, f"{out}/settled", cycle))
-    stored = stats.withColumn("finished_at", instant(now))
-    return write_batch(stored, f"{out}/cycle_stats", cycle).drop("finished_at")
+    return L.cycle_stats(write_batch(settled, f"{out}/settled", cycle))
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
