@@ -16,7 +16,7 @@ HEADLINE = [
     "build_chunk_table",
     "chunk_replace",
     "decode_bytes",
-    "assemble_page_texts",
+    "assemble_pages",
     "queue_parse",
     "process_outcome",
     "status_merge",

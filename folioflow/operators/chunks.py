@@ -17,13 +17,16 @@ from folioflow.session import instant
 SWEEP = [(500, 100, "small"), (1000, 200, "medium"), (1500, 300, "large")]
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core for a CPU-bound stage when the scan yields fewer splits than cores.
+def spread(scan: DataFrame) -> DataFrame:
+    """Use every core for a CPU-bound stage over a table of few files.
 
-    A large input always has more splits than cores and passes through unshuffled.
+    A scan that already yields a split per core, or files enough to feed a quarter of
+    them, passes through unshuffled; so does every large table.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores or 4 * len(scan.inputFiles()) > cores:
+        return scan
+    return scan.repartition(cores)
 
 
 def chunk_documents(

@@ -29,6 +29,7 @@ def assemble_pages(
     pages: DataFrame,
     max_chars: int = X.MAX_TEXT_CHARS,
     pages_per_block: int = PAGES_PER_BLOCK,
+    wanted: DataFrame | None = None,
 ) -> DataFrame:
     """``(document_id, page, page_text, ocr_text)`` to ``(document_id, text, n_pages)``.
 
@@ -36,6 +37,10 @@ def assemble_pages(
     the limit never have to meet in one group: lengths are summed per block of pages
     first, and only blocks that begin within the limit are collected. A document of
     any number of pages thus gathers at most ``max_chars`` characters plus one block.
+
+    With ``wanted``, a frame of ``document_id``, only those documents are assembled.
+    They are picked among the blocks: joining the pages by document would bring all
+    pages of a hot document to one task.
     """
     part = F.col("part")
     parts = pages.select(
@@ -65,6 +70,8 @@ def assemble_pages(
         )
         .where(F.col("start") <= max_chars + 1)
     )
+    if wanted is not None:
+        starts = starts.join(wanted.select("document_id"), "document_id", "left_semi")
     kept = (
         parts.join(starts, ["document_id", "block"])
         .groupBy("document_id")

@@ -33,8 +33,8 @@ def extracted_texts(
     wanted = messages.where(F.col("extractor") != "text").select("document_id")
     parts = []
     if pages is not None:
-        own = pages.join(wanted, "document_id", "left_semi")
-        parts.append(assemble_pages(own, max_chars).select("document_id", "text"))
+        assembled = assemble_pages(pages, max_chars, wanted=wanted)
+        parts.append(assembled.select("document_id", "text"))
     if recognised is not None:
         parts.append(
             recognised.join(wanted, "document_id", "left_semi").select("document_id", "text")

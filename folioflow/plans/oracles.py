@@ -341,9 +341,9 @@ def oracle_sql() -> dict[str, str]:
             CASE WHEN lang <> 'en' AND regexp_full_match(text, '(?s)[\\x{00}-\\x{FF}]*')
               AND NOT regexp_full_match(text, '(?s)[\\x{00}-\\x{7F}]*')
               THEN 'latin-1' ELSE 'utf-8' END AS decoded_as FROM documents""",
-        "assemble_page_texts": f"WITH {assembled(WHOLE)} SELECT document_id, text, n_pages"
+        "assemble_pages": f"WITH {assembled(WHOLE)} SELECT document_id, text, n_pages"
         " FROM pages_text",
-        "assemble_page_texts_limited": f"WITH {assembled(1500)} SELECT document_id, text, n_pages"
+        "assemble_pages_limited": f"WITH {assembled(1500)} SELECT document_id, text, n_pages"
         " FROM pages_text",
         "queue_parse": f"WITH {LINES} SELECT event_id, document_id, storage_path, file_type, route,"
         " reason FROM parsed",

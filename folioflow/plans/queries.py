@@ -25,9 +25,9 @@ from folioflow.operators import contracts as G
 from folioflow.operators import embeddings as E
 from folioflow.operators import lifecycle as L
 from folioflow.operators import metrics as M
+from folioflow.operators import pages as PG
 from folioflow.operators import similarity as S
 from folioflow.operators import updates as U
-from folioflow.operators.pages import assemble_pages
 from folioflow.operators.process import process_documents, route
 from folioflow.plans import fixtures as fx
 from folioflow.plans.fixtures import NOW, table
@@ -135,7 +135,7 @@ def build_chunk_table(spark, sf_dir):
 def chunk_replace(spark, sf_dir):
     """Swap in fresh chunks for the documents labelled good."""
     good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
-    fresh = C.chunk_documents(C.spread(documents(spark, sf_dir).join(good, "doc_id", "left_semi")))
+    fresh = C.chunk_documents(texts(spark, sf_dir).join(good, "doc_id", "left_semi"))
     old = fx.chunk_state(spark, sf_dir).drop("vec_id")
     return C.replace_chunks(old, fresh)
 
@@ -208,14 +208,14 @@ def decode_bytes(spark, sf_dir):
 
 
 @query
-def assemble_page_texts(spark, sf_dir):
-    return assemble_pages(paged(spark, sf_dir))
+def assemble_pages(spark, sf_dir):
+    return PG.assemble_pages(paged(spark, sf_dir))
 
 
 @query
-def assemble_page_texts_limited(spark, sf_dir):
+def assemble_pages_limited(spark, sf_dir):
     """The same under a limit that many documents pass, in blocks of two pages."""
-    return assemble_pages(paged(spark, sf_dir), max_chars=1500, pages_per_block=2)
+    return PG.assemble_pages(paged(spark, sf_dir), max_chars=1500, pages_per_block=2)
 
 
 # --- queue, objects, updates ------------------------------------------------------------

@@ -67,3 +67,12 @@ def test_far_pages_are_not_collected(spark):
     assert out.first().n_pages == 5000
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "<= 1001)" in plan
+
+
+def test_only_wanted_documents(spark):
+    docs = make(8)
+    rows = [(d, *p) for d, pages in docs.items() for p in pages]
+    df = spark.createDataFrame(rows, "document_id long, page int, page_text string, ocr_text string")
+    wanted = spark.createDataFrame([(0,), (3,), (99,)], "document_id long")
+    got = {r.document_id: r.text for r in assemble_pages(df, 500, 4, wanted).collect()}
+    assert got == {d: python_text(docs[d], 500) for d in (0, 3)}
