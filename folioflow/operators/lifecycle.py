@@ -149,3 +149,14 @@ def exhausted_limbo(docs: DataFrame, max_retries: int = MAX_RETRIES) -> DataFram
     return docs.where(
         (F.col("status") == EXTRACTION_FAILED) & (attempts() >= max_retries)
     ).select("id", attempts().alias("retry_count"), "updated_at")
+
+
+def fail_exhausted(
+    docs: DataFrame, now: dt.datetime, max_retries: int = MAX_RETRIES
+) -> DataFrame:
+    """New snapshot with the documents of :func:`exhausted_limbo` marked Failed."""
+    lost = (F.col("status") == EXTRACTION_FAILED) & (attempts() >= max_retries)
+    return docs.withColumns({
+        "status": F.when(lost, F.lit(FAILED)).otherwise(F.col("status")),
+        "updated_at": F.when(lost, instant(now)).otherwise(F.col("updated_at")),
+    })

@@ -431,6 +431,10 @@ def oracle_sql() -> dict[str, str]:
             COUNT(*) FILTER (WHERE gave_up) AS permanently_failed FROM final""",
         "exhausted_limbo": f"""WITH {DS} SELECT id, retry_count, updated_at FROM ds
             WHERE status = 'TextExtractionFailed' AND coalesce(retry_count, 0) >= 3""",
+        "limbo_to_failed": f"""WITH {DS}, l AS (SELECT *, status = 'TextExtractionFailed'
+              AND coalesce(retry_count, 0) >= 3 AS lost FROM ds)
+            SELECT id, CASE WHEN lost THEN 'Failed' ELSE status END AS status,
+              CASE WHEN lost THEN {at(NOW)} ELSE updated_at END AS updated_at FROM l""",
         "count_documents": f"WITH {DS} SELECT COUNT(*) AS total_documents FROM ds",
         "docs_by_status": f"WITH {DS} SELECT status, COUNT(*) AS n FROM ds GROUP BY 1",
         "failed_by_retry": f"""WITH {DS} SELECT coalesce(retry_count, 0) AS retry_count,

@@ -440,6 +440,12 @@ def exhausted_limbo(spark, sf_dir):
     return L.exhausted_limbo(fx.document_state(spark, sf_dir))
 
 
+@query
+def limbo_to_failed(spark, sf_dir):
+    docs = L.fail_exhausted(fx.document_state(spark, sf_dir), NOW)
+    return docs.select("id", "status", "updated_at")
+
+
 # --- metrics ----------------------------------------------------------------------------
 
 

@@ -87,3 +87,18 @@ def test_mean_vectors(spark):
     df = spark.createDataFrame([(1, [1.0, 3.0]), (1, [3.0, 5.0]), (2, [0.0, 1.0])], "label int, embedding array<float>")
     assert {r.query_id: list(r.embedding) for r in S.mean_vectors(df, "label").collect()} == {
         1: [2.0, 4.0], 2: [0.0, 1.0]}
+
+
+def test_vectors_stored_by_cell_are_pruned(spark, data, tmp_path):
+    _, _, vectors, asked = data
+    centroids = S.train_cells(vectors, 6)
+    path = str(tmp_path / "cells")
+    S.assign_cells(vectors, centroids).write.partitionBy("cell").parquet(path)
+    probing = asked.where("query_id < 2").withColumn(
+        "cells", S.nearest_cells(F.col("embedding"), centroids, 1))
+    out = S.nearest(spark.read.parquet(path), probing, 5)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    [filters] = [line for line in plan.splitlines() if "PartitionFilters" in line]
+    assert "cell#" in filters.split("PartitionFilters:")[1].split("PushedFilters")[0]
+    want = S.nearest(S.assign_cells(vectors, centroids), probing, 5)
+    assert found(out) == found(want)
