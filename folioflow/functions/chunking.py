@@ -95,6 +95,4 @@ def chunk_array(text: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERL
             type=pa.list_(pa.string()),
         )
 
-    # Nondeterministic only in name: it keeps the optimizer from inferring a filter
-    # on the generated array, which would run the splitter a second time.
-    return chunks.asNondeterministic()(text)
+    return chunks(text)

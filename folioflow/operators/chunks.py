@@ -41,11 +41,16 @@ def chunk_documents(
 
     ``chunk_index`` is dense per document, counted after tiny chunks are dropped.
     """
-    return docs.select(
+    chunks = docs.select(
         F.col(id_col).alias("document_id"),
         *keep,
         chunk_array(F.col(text_col), size, overlap).alias("chunks"),
-    ).select("document_id", *keep, F.posexplode("chunks").alias("chunk_index", "content"))
+    )
+    # From an inner explode the optimizer infers a filter on the array below it, which would
+    # run the splitter a second time. The outer one keeps filters on other columns pushable.
+    return chunks.select(
+        "document_id", *keep, F.posexplode_outer("chunks").alias("chunk_index", "content")
+    ).where(F.col("chunk_index").isNotNull())
 
 
 def chunk_sweep(

@@ -73,9 +73,12 @@ def test_chunk_rows_equal_the_rules(spark, sf_dir):
 
 def test_splitter_runs_once_per_plan(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    plan = C.chunk_documents(docs)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("ArrowEvalPython") == 1
-    assert "Exchange" not in plan
+    rows = C.chunk_documents(docs, keep=["lang"])
+    for some in (rows, rows.where("lang = 'en' AND document_id = 5")):
+        plan = some._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1
+        assert "Exchange" not in plan
+    assert "EqualTo(doc_id,5)" in plan and "EqualTo(lang,en)" in plan
 
 
 def test_sweep_equals_single_settings(spark, sf_dir):
