@@ -120,7 +120,7 @@ def replace_chunks(current: DataFrame, fresh: DataFrame) -> DataFrame:
     """All chunks after swapping out every document that has fresh ones.
 
     Documents without a fresh chunk keep theirs. Applying the same set twice
-    changes nothing.
+    changes nothing. ``fresh`` is read twice: pass it as stored, not as derived.
     """
     replaced = fresh.select("document_id").distinct()
     return current.join(replaced, "document_id", "left_anti").unionByName(

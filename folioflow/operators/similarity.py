@@ -174,12 +174,17 @@ def _grid(vectors: DataFrame, queries: DataFrame, k: int, max_queries: int) -> D
 
 
 def nearest(
-    vectors: DataFrame, queries: DataFrame, k: int, max_queries: int = MAX_SHIPPED_QUERIES
+    vectors: DataFrame,
+    queries: DataFrame,
+    k: int,
+    max_queries: int = MAX_SHIPPED_QUERIES,
+    stored_cells: bool = True,
 ) -> DataFrame:
     """The ``k`` nearest rows of ``(vec_id, embedding)`` for each ``(query_id, embedding)``.
 
     With a ``cell`` on the vectors and an array ``cells`` on the queries, only probed
-    cells are compared (stored by cell, the others are not even read). A query set of
+    cells are compared; where the vectors are stored by cell, the others are not even
+    read. (A filter on a cell derived on the fly would derive it twice.) A query set of
     proven small size travels to the vectors, which then never shuffle; a larger one
     meets them in bounded groups.
     """
@@ -198,7 +203,7 @@ def nearest(
     if len(shipped) <= max_queries:
         rows = vectors.select(F.col("vec_id").cast("bigint"), "embedding",
                               *(["cell"] if by_cell else []))
-        if by_cell:
+        if by_cell and stored_cells:
             probed = sorted({c for q in shipped for c in q["cells"]})
             rows = rows.where(F.col("cell").isin(probed))
         found = rows.mapInArrow(_scan(shipped, k, by_cell), FOUND)
@@ -220,4 +225,5 @@ def nearest_in_cells(
         assign_cells(vectors, centroids),
         queries.withColumn("cells", nearest_cells(F.col("embedding"), centroids, probes)),
         k,
+        stored_cells=False,
     )

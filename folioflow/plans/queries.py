@@ -34,7 +34,7 @@ from folioflow.plans.fixtures import NOW, table
 from folioflow.schemas import CONTRACTS, EXTRACTION_FAILED, MIGRATION, PROCESSED, migrated
 from folioflow.session import workspace
 from folioflow.sources import queue as Q
-from folioflow.sources.batches import read_batches
+from folioflow.sources.batches import read_batches, write_batch
 from folioflow.sources.blobs import fetch
 from folioflow.streaming import jobs as J
 
@@ -88,7 +88,7 @@ def messages(docs: DataFrame) -> DataFrame:
 def nonzero(rows: DataFrame, *keep: str) -> DataFrame:
     """Non-zero vector entries as rows; one row per entry pins the whole vector."""
     return (
-        rows.select(*keep, F.posexplode("embedding").alias("bucket", "value"))
+        rows.select(*keep, F.posexplode_outer("embedding").alias("bucket", "value"))
         .where(F.col("value") != 0)
         .withColumn("value", F.round(F.col("value").cast("double"), 6))
     )
@@ -136,8 +136,8 @@ def chunk_replace(spark, sf_dir):
     """Swap in fresh chunks for the documents labelled good."""
     good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
     fresh = C.chunk_documents(texts(spark, sf_dir).join(good, "doc_id", "left_semi"))
-    old = fx.chunk_state(spark, sf_dir).drop("vec_id")
-    return C.replace_chunks(old, fresh)
+    stored = write_batch(fresh, workspace(spark, "fresh"), 0)
+    return C.replace_chunks(fx.chunk_state(spark, sf_dir).drop("vec_id"), stored)
 
 
 @query

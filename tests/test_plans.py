@@ -10,6 +10,7 @@ from folioflow.operators import lifecycle as L
 from folioflow.operators import metrics as M
 from folioflow.operators import updates as U
 from folioflow.plans.fixtures import NOW
+from folioflow.plans.queries import QUERIES
 
 
 def plan(df):
@@ -59,6 +60,14 @@ def test_no_operator_multiplies_rows_blindly(stored):
         assert "CartesianProduct" not in plan(df) and "NestedLoop" not in plan(df)
 
 
+@pytest.mark.parametrize("name,times", [
+    ("chunk_sweep", 1), ("chunk_stats_by_lang", 1), ("build_chunk_table", 2), ("chunk_replace", 0),
+    ("embed_hash", 1), ("backfill_vectors", 1), ("vector_write_back", 1), ("vector_topk_ivf", 1),
+])
+def test_batch_functions_run_once(spark, sf_dir, name, times):
+    assert plan(QUERIES[name](spark, sf_dir)).count("ArrowEvalPython [") == times
+
+
 def test_a_third_of_the_rows_on_one_key(spark):
     """Joins that split the hot key must still return everything."""
     settings = {
