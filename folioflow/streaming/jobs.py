@@ -149,8 +149,9 @@ def stuck_stream(
 
     ``changes`` is ``(id, status, updated_at)``. A document is kept in state only
     while it is being extracted, so the state is as large as the work in progress,
-    not as the table; older news is recognised as such that long. With ``lateness`` time is event time behind that watermark,
-    which gives the same result on every replay; without, it is the clock.
+    not as the table; older news is recognised as such that long. With ``lateness``
+    time is event time behind that watermark, which gives the same result on every
+    replay; without, it is the clock.
     """
     moment = F.col("updated_at").cast("timestamp")
     rows = changes.select(
