@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.llm import decontaminate, jaccard, language, mixing, quality, wavelet
+from folioflow.llm import chat, decontaminate, jaccard, language, mixing, projections, quality, secrets, warc, wavelet
 from folioflow.llm.store import fold
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -42,12 +42,34 @@ def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"), "doc_id", "text").select("doc_id", "class_id", "n_links", "exact_id", "kept")
 
 
+@query
+def op3_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's links and component."""
+    return projections.near_duplicates(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+
+
 @query
 def op4_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write all documents' ids as wavelet shards and read every shard back."""
     return wavelet.token_table(table(spark, sf_dir, "documents"), "doc_id", "text", str(public_tokenizers.path(VOCABULARY)))
 
 
+@query
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one full of control strings, packed and read back."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    conv_id, text = chat.PROBE
+    probe = spark.createDataFrame([(conv_id, 0, "user", text), (conv_id, 1, "assistant", text)], rows.schema)
+    return chat.formatted(rows.union(probe), "conv_id", "turn", "role", "text", str(public_tokenizers.path(VOCABULARY)))
+
+
+@query
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document; a source is an owner, its texts of one language a repository."""
+    repository = F.concat_ws("/", F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")))
+    return secrets.scan(table(spark, sf_dir, "documents"), "doc_id", "text", F.col("source"), repository)
+
+
 @query
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item found in a document."""
@@ -67,6 +89,12 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write every page to WARC files and read them back."""
+    return warc.archive(table(spark, sf_dir, "pages"), "page_id", "url", "html")
+
+
 @query
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mix all documents to the sources' target weights."""

@@ -41,7 +41,7 @@ def write_file(store: fs.FileSystem, path: str, content: bytes) -> None:
     twice replaces a file by the same bytes.
     """
     temporary = f"{path}.{uuid.uuid4().hex}.tmp"
-    with store.open_output_stream(temporary) as out:
+    with store.open_output_stream(temporary, compression=None) as out:
         out.write(content)
     store.move(temporary, path)
 
