@@ -6,8 +6,8 @@ number of ones before each block of bits, single ids can be read (access), count
 and found (select) without unpacking the rest.
 
 File: ``WMX1``, the length of a JSON header (little-endian unsigned 32 bits), the header,
-then zlib members: the documents' ids, their token counts, and for every plane its bits in
-blocks of ``BLOCK`` bits. The header has the member lengths and the ones before each block.
+then zstd frames: the documents' ids, their token counts, and for every plane its bits in
+blocks of ``BLOCK`` bits. The header has the frames' lengths and the ones before each block.
 
 NULL texts are empty; every document ends with the end id. NULL ids sort first, repeated
 ids by their text's digest; equal rows are equal anyway. An empty table has no shard.
@@ -21,11 +21,11 @@ import struct
 import sys
 import types
 import zlib
-from collections import ChainMap
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,15 +35,16 @@ from folioflow.session import workspace
 MAGIC = b"WMX1"
 BLOCK = 1 << 19
 LEVEL = 1
-CACHE_UNITS = 1 << 20
+CACHE_UNITS = 600_000
 
 
 class Encoder:
     """Whole texts to ids of a byte-level BPE file, by way of the distinct pieces between spaces.
 
-    The tokenizer never merges across the start of a piece ``space + non-space``, so a
-    text's ids are those of its pieces in a row, and the library encodes a piece it has met
-    before only once. Spaces before other white space are not such starts.
+    The tokenizer never merges across the start of ``space + non-space``, so a text's ids are
+    those of its pieces in a row, and the library encodes a piece it has met before only
+    once. Spaces before other white space are not such starts. New pieces are encoded many
+    in a row; a piece's ids are those that cover its bytes.
     """
 
     def __init__(self, path: str) -> None:
@@ -51,25 +52,41 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, np.ndarray] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.width = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, number in vocabulary.items():
+            self.width[number] = len(token)  # one character a byte
+        self.kind = np.uint16 if len(self.width) <= 1 << 16 else np.uint32
+        self.known: dict[str, bytes] = {}
         self.ambiguous = re.compile(r" (?:\s|$)")
         self.start = re.compile(r" (?=\S)")
 
-    def pieces(self, text: str) -> list[str]:
-        parts = self.start.split(text) if self.ambiguous.search(text) else text.split(" ")
-        return [parts[0], *[" " + part for part in parts[1:]]]
+    def _learn(self, new: list[str]) -> dict[str, bytes]:
+        groups = [new[k:k + 512] for k in range(0, len(new), 512)]
+        found: dict[str, bytes] = {}
+        size = np.dtype(self.kind).itemsize
+        for group, encoded in zip(groups, self._encode([" " + " ".join(g) for g in groups]), strict=True):
+            last = np.cumsum(self.width[encoded])
+            ends = np.cumsum([len(piece.encode()) + 1 for piece in group])
+            cut = ((np.searchsorted(last, ends) + 1) * size).tolist()
+            raw = encoded.tobytes()
+            found.update(zip(group, map(raw.__getitem__, map(slice, [0, *cut], cut)), strict=True))
+        return found
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, self.kind) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [self.pieces(text) for text in texts]
+        cut = [self.start.split(text) if self.ambiguous.search(text) else text.split(" ") for text in texts]
+        firsts = self._encode([parts.pop(0) for parts in cut])
         known = self.known
-        new = list({p for parts in cut for p in parts}.difference(known))
-        found = {p: e.ids for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True)}
-        found = {p: np.array(ids, np.uint32).tobytes() for p, ids in found.items()}
-        if len(known) < CACHE_UNITS:
-            known.update(found)
-        else:  # remember no more pieces: the frequent ones came early
-            known = ChainMap(found, known)
-        return [np.frombuffer(b"".join([known[p] for p in parts]), np.uint32) for parts in cut]
+        found = self._learn(list(set().union(*cut).difference(known)))
+        known.update(found)
+        rest = [np.frombuffer(b"".join(map(known.__getitem__, parts)), self.kind) for parts in cut]
+        if len(known) > CACHE_UNITS:  # remember no more pieces: the frequent ones came early
+            for piece in found:
+                del known[piece]
+        return [np.concatenate(pair) for pair in zip(firsts, rest, strict=True)]
 
 
 def encoder(path: str) -> Encoder:
@@ -176,10 +193,11 @@ def depth_of(ids: np.ndarray) -> int:
 
 def pack(matrix: WaveletMatrix, doc_ids: list[int | None], counts: np.ndarray) -> bytes:
     """The bytes of a shard's file."""
-    members, ones = [zlib.compress(json.dumps(doc_ids).encode(), LEVEL), zlib.compress(counts.astype("<i8").tobytes(), LEVEL)], []
+    compress = zstandard.ZstdCompressor(level=LEVEL).compress
+    members, ones = [compress(json.dumps(doc_ids).encode()), compress(counts.astype("<i8").tobytes())], []
     for plane, before in zip(matrix.planes, matrix.before, strict=True):
         ones.append([int(before[at]) for at in range(0, len(plane), BLOCK // 8)])
-        members += [zlib.compress(plane[at:at + BLOCK // 8].tobytes(), LEVEL) for at in range(0, len(plane), BLOCK // 8)]
+        members += [compress(plane[at:at + BLOCK // 8].tobytes()) for at in range(0, len(plane), BLOCK // 8)]
     header = json.dumps({"size": matrix.size, "planes": len(matrix.planes), "members": [len(m) for m in members], "ones": ones}).encode()
     return b"".join([MAGIC, struct.pack("<I", len(header)), header, *members])
 
@@ -190,8 +208,9 @@ def unpack(content: bytes) -> tuple[WaveletMatrix, list[int | None], np.ndarray]
     (length,) = struct.unpack("<I", content[4:8])
     header, at = json.loads(content[8:8 + length]), 8 + length
     members = []
+    decompress = zstandard.ZstdDecompressor().decompress
     for size in header["members"]:
-        members.append(zlib.decompress(content[at:at + size]))
+        members.append(decompress(content[at:at + size]))
         at += size
     doc_ids, counts = json.loads(members[0]), np.frombuffer(members[1], "<i8")
     per = len(header["ones"][0])
@@ -222,9 +241,8 @@ def write_shards(docs: DataFrame, key: str, text: str, folder: str, vocabulary:
             doc_ids += batch.column(0).to_pylist()
             for at in range(0, batch.num_rows, 256):
                 for found in encode(batch.column(1).slice(at, 256).to_pylist()):
-                    small = np.append(found, np.uint32(end_id))
-                    ids.append(small.astype(np.uint16) if small.max() < 1 << 16 else small)
-                    counts.append(len(small))
+                    ids += [found, np.array([end_id], found.dtype)]
+                    counts.append(len(found) + 1)
         if doc_ids:
             name = f"shard-{TaskContext.get().partitionId():06d}.wm"
             store, path = open_store(folder)
