@@ -9,7 +9,7 @@ commits the archive, so leftovers of failed tasks are never read.
 Of records with equal payloads of at least ``REVISIT_BYTES`` bytes the one with the
 largest key is a response and the others revisit it; smaller ones are all responses. NULL
 payloads are empty. NULL keys sort first and lose against any key; of rows with an equal
-key and payload one is the response. An empty table gives an empty manifest.
+key and payload one is the response, the others refer to it. An empty table gives an empty manifest.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.llm.store import materialise, open_store, write_file
+from folioflow.llm.store import open_store, write_file
 from folioflow.session import workspace
 
 REVISIT_BYTES = 1000
@@ -49,40 +49,42 @@ def header_text(value: str | None) -> str | None:
     return None if value is None else value.replace("%", "%25").replace("\r", "%0D").replace("\n", "%0A") if "\n" in value or "\r" in value else value
 
 
-def page_record(row: int, page: int | None, url: str | None, html: str, sha1: str, refers_row: int | None, refers_page: int | None) -> bytes:
+def record_id(page: int | None, sha1: str, nth: int) -> str:
+    return f"<urn:page:{'' if page is None else page}:{sha1}:{nth}>"
+
+
+def page_record(page: int | None, url: str | None, html: str, sha1: str, nth: int, refers: tuple[int | None] | None) -> bytes:
+    """The nth record of an equal page and payload; ``refers`` holds the response's page for a revisit."""
     payload = html.encode()
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     fields = {
-        "WARC-Record-ID": f"<urn:page:{row}>", "WARC-Target-URI": header_text(url), "WARC-Page-ID": None if page is None else str(page),
+        "WARC-Record-ID": record_id(page, sha1, nth), "WARC-Target-URI": header_text(url), "WARC-Page-ID": None if page is None else str(page),
         "WARC-Payload-Digest": f"sha1:{sha1}", "Content-Type": "application/http; msgtype=response",
     }
-    if refers_row is None:
+    if refers is None:
         block = http + payload
         return record("response", fields | {"WARC-Block-Digest": f"sha1:{hashlib.sha1(block).hexdigest()}"}, block)
     fields |= {
-        "WARC-Profile": PROFILE, "WARC-Refers-To": f"<urn:page:{refers_row}>",
-        "WARC-Refers-To-Page-ID": None if refers_page is None else str(refers_page), "WARC-Block-Digest": f"sha1:{hashlib.sha1(http).hexdigest()}",
+        "WARC-Profile": PROFILE, "WARC-Refers-To": record_id(refers[0], sha1, 0),
+        "WARC-Refers-To-Page-ID": None if refers[0] is None else str(refers[0]), "WARC-Block-Digest": f"sha1:{hashlib.sha1(http).hexdigest()}",
     }
     return record("revisit", fields, http)
 
 
 def plan(pages: DataFrame, key: str, url: str, payload: str) -> DataFrame:
-    """Every row with its digest and, for a revisit, the response's row and key.
+    """Every page, and before each page of a repeated payload a note that names the response.
 
     Only keys and digests are grouped and joined; a group of equal payloads is one row after
-    the first, combined, aggregation.
+    the first, combined, aggregation. The payloads themselves are shuffled once, together
+    with the notes, by the range of their keys.
     """
     rows = pages.select(
-        F.monotonically_increasing_id().alias("row"), F.col(key).cast("long").alias("page_id"), F.col(url).alias("url"),
-        F.coalesce(F.col(payload), F.lit("")).alias("html"),
-    ).withColumn("sha1", F.sha1(F.col("html").cast("binary"))).withColumn("size", F.octet_length("html").cast("long"))
-    stored = materialise(rows, "warc-pages")
-    large = stored.where(F.col("size") >= REVISIT_BYTES).select("row", "page_id", "sha1", "size")
-    first = large.groupBy("sha1", "size").agg(F.max(F.struct("page_id", "row")).alias("lead"), F.count("*").alias("n")).where("n > 1")
-    revisits = large.join(first, ["sha1", "size"]).where("row != lead.row").select(
-        "row", F.col("lead.row").alias("refers_row"), F.col("lead.page_id").alias("refers_page")
-    )
-    return stored.join(revisits, "row", "left")
+        F.col(key).cast("long").alias("page_id"), F.col(url).alias("url"), F.coalesce(F.col(payload), F.lit("")).alias("html")
+    ).withColumn("sha1", F.sha1(F.col("html").cast("binary")))
+    large = rows.where(F.octet_length("html") >= REVISIT_BYTES).groupBy("page_id", "sha1").agg(F.count("*").alias("n"))
+    first = large.groupBy("sha1").agg(F.max("page_id").alias("lead"), F.sum("n").alias("n")).where("n > 1")
+    notes = large.join(first.drop("n"), "sha1").select("page_id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"), "sha1", "lead")
+    return notes.union(rows.withColumn("lead", F.lit(None).cast("long")))
 
 
 def write(pages: DataFrame, key: str, url: str, payload: str, folder: str, roll_bytes: int = ROLL_BYTES) -> DataFrame:
@@ -98,6 +100,7 @@ def write(pages: DataFrame, key: str, url: str, payload: str, folder: str, roll_
         store, path = open_store(folder)
         part = TaskContext.get().partitionId()
         held, size, number = [], 0, 0
+        last, nth, lead = None, 0, None
 
         def roll() -> pa.RecordBatch:
             nonlocal held, size, number
@@ -111,18 +114,26 @@ def write(pages: DataFrame, key: str, url: str, payload: str, folder: str, roll_
             return pa.RecordBatch.from_pydict(out)
 
         for batch in batches:
-            for r in zip(*[batch.column(k) for k in range(batch.num_columns)], strict=True):
-                held.append(page_record(*[value.as_py() for value in r]))
+            for values in zip(*[batch.column(k) for k in range(batch.num_columns)], strict=True):
+                page, url, html, sha1, named = [value.as_py() for value in values]
+                if (page, sha1) != last:
+                    last, nth, lead = (page, sha1), 0, None
+                if html is None:
+                    lead = (named,)
+                    continue
+                refers = lead if lead and (lead[0] != page or nth) else None
+                held.append(page_record(page, url, html, sha1, nth, refers))
+                nth += 1
                 size += len(held[-1])
                 if size >= roll_bytes:
                     yield roll()
         if held:
             yield roll()
 
-    total = planned.agg(F.sum("size")).first()[0] or 0
+    total = pages.agg(F.sum(F.octet_length(payload))).first()[0] or 0
     ranges = max(1, -(-total // SPLIT_BYTES))
-    dealt = planned.select("row", "page_id", "url", "html", "sha1", "refers_row", "refers_page").repartitionByRange(int(ranges), "page_id", "row")
-    dealt.sortWithinPartitions("page_id", "row").mapInArrow(run, MANIFEST).write.json(f"{folder}-manifest")
+    dealt = planned.repartitionByRange(int(ranges), "page_id", "sha1").sortWithinPartitions("page_id", "sha1", F.col("html").isNotNull(), "url")
+    dealt.mapInArrow(run, MANIFEST).write.json(f"{folder}-manifest")
     return manifest(spark, folder)
 
 
