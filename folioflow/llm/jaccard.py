@@ -23,8 +23,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from folioflow.llm.blocks import meetings, tally, whole_groups
 from folioflow.llm.components import components
@@ -60,19 +62,20 @@ def signatures(items: np.ndarray, bounds: np.ndarray, bands: int, rows: int) ->
 
 
 def sign(docs: DataFrame, key: str, text: str, carry: list[Column], size: int, bands: int, rows: int) -> DataFrame:
-    """Every row with a row number, the digest of its words, and its band numbers.
+    """Every row with a row number, its compressed text, the digest of its words, and its band numbers.
 
     ``carry`` are columns to keep with the row; they come back in the struct ``carried``.
     """
     source = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"),
+        F.coalesce(F.col(text), F.lit("")).alias("text"), F.monotonically_increasing_id().alias("row"), F.col(key).alias("doc_id"),
         F.struct(F.lit(True).alias("here"), *carry).alias("carried"),
     )
+    kept = source.drop("text").schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher()
+        hasher, compress = WordHasher(), zstandard.ZstdCompressor().compress
         for batch in batches:
-            for start, stop, data, bounds in slices(batch.column(2)):
+            for start, stop, data, bounds in slices(batch.column(0)):
                 begin, end, at = hasher.spans(data, bounds)
                 words = hasher.hashes(data, begin, end)
                 digest = np.zeros((stop - start, 2), np.int64)
@@ -85,14 +88,17 @@ def sign(docs: DataFrame, key: str, text: str, carry: list[Column], size: int, b
                         digest[some, k] = np.add.reduceat(term, at[some]).view(np.int64)
                     items, bound = shingles(words, at, size)
                     found[some] = signatures(items, np.append(bound[some], len(items)), bands, rows)
+                raw = data.tobytes()
+                packed = [compress(raw[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
                 part = batch.slice(start, stop - start)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(stop - start + 1) * bands, pa.int32()), pa.array(found.ravel(), pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(np.diff(at)), pa.array(digest[:, 0]), pa.array(digest[:, 1]), lists],
-                    names=["row", "doc_id", "text", "carried", "words", "d1", "d2", "bands"],
+                    [*part.columns[1:], pa.array(packed, pa.binary()), pa.array(np.diff(bounds)), pa.array(np.diff(at)),
+                     pa.array(digest[:, 0]), pa.array(digest[:, 1]), lists],
+                    names=[*kept.names, "packed", "size", "words", "d1", "d2", "bands"],
                 )
 
-    return source.mapInArrow(run, extended(source.schema, "words long, d1 long, d2 long, bands array<long>"))
+    return source.mapInArrow(run, extended(kept, "packed binary, size long, words long, d1 long, d2 long, bands array<long>"))
 
 
 def candidates(texts: DataFrame) -> DataFrame:
@@ -161,12 +167,12 @@ def verify(members: DataFrame, size: int, threshold: float) -> DataFrame:
     """(class, links, root) per text and meeting with links: the copies it links to, and its local cluster."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher()
+        hasher, decompress = WordHasher(), zstandard.ZstdDecompressor().decompress
         for (low, high), table in whole_groups(batches, ("root", "low", "high")):
             ids, copies = table["class"].to_numpy(), table["copies"].to_numpy()
             lists = table["bands"].combine_chunks()
             bands = lists.flatten().to_numpy().reshape(len(ids), -1)
-            texts = table["text"].combine_chunks()
+            texts = pa.array([decompress(text) for text in table["packed"].to_pylist()], pa.binary())
             left, right = linked(texts, bands, table["block"].to_numpy(), low, high, size, threshold, hasher)
             if not len(left):
                 continue
@@ -189,8 +195,16 @@ def deduplicate(docs: DataFrame, key: str, text: str, size: int = SIZE, threshol
     carry = [F.struct(*others).alias("others"), F.col(text).isNull().alias("none")]
     stored = materialise(sign(docs, key, text, carry, size, *banding(threshold, recall)), "jaccard-signed")
     gone = decide(stored, size, threshold).where("NOT kept").select("row")
-    rest = stored.select("row", "text", "carried").join(gone, "row", "left_anti")
-    return rest.select(*[
+    rest = stored.select("row", "packed", "carried").hint("merge").join(gone, "row", "left_anti").select("packed", "carried")
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decompress = zstandard.ZstdDecompressor().decompress
+        for batch in batches:
+            texts = [decompress(text).decode() for text in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), batch.column(1)], names=["text", "carried"])
+
+    whole = rest.mapInArrow(unpack, StructType([StructField("text", StringType()), rest.schema["carried"]]))
+    return whole.select(*[
         (F.when(~F.col("carried.none"), F.col("text")) if c == text else F.col(f"carried.others.`{c}`")).alias(c) for c in docs.columns
     ])
 
@@ -207,11 +221,12 @@ def decide(stored: DataFrame, size: int, threshold: float) -> DataFrame:
     classes = materialise(known, "jaccard-classes")
     texts = stored.select(F.col("row").alias("class"), "bands").join(classes.select("class"), "class", "left_semi")
     roots = materialise(candidates(texts), "jaccard-roots")
-    members = (
-        stored.select(F.col("row").alias("class"), "text", "bands").join(roots.withColumnRenamed("node", "class"), "class")
-        .join(classes.select("class", "copies"), "class").withColumn("_bytes", F.octet_length("text"))
-    )
-    found = materialise(verify(meetings(members, "root", "class", "_bytes").drop("_bytes"), size, threshold), "jaccard-links")
+    sized = stored.select(F.col("row").alias("class"), "size").join(roots.withColumnRenamed("node", "class"), "class")
+    members = materialise(sized.join(classes.select("class", "copies"), "class"), "jaccard-members")
+    # the only shuffle of texts; merged at every size, so that a table's growth never changes the plan
+    whole = stored.select(F.col("row").alias("class"), "packed", "bands").hint("merge")
+    dealt = meetings(members, "root", "class", "size").join(whole, "class")
+    found = materialise(verify(dealt.drop("size"), size, threshold), "jaccard-links")
     links = found.groupBy("class").agg(F.sum("links").alias("links"))
     linked_roots = materialise(components(found.select(F.col("class").alias("a"), F.col("root").alias("b")), "jaccard-linked"), "jaccard-linked-roots")
     of_class = (

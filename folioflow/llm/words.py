@@ -29,9 +29,9 @@ def numbers(seed: int, count: int) -> np.ndarray:
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All bytes of a string column and the n + 1 row bounds; NULL counts as empty."""
+    """All bytes of a string or binary column and the n + 1 row bounds; NULL counts as empty."""
     column = column.fill_null("") if column.null_count else column
-    width = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    width = np.int64 if pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type) else np.int32
     _, bounds, data = column.buffers()
     if not len(column):
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
