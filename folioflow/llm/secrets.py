@@ -93,13 +93,14 @@ def scan(docs: DataFrame, key: str, text: str, owner: Column, repository: Column
     # an added finding inside a base finding says nothing new
     base = F.col("kind") < len(BASE)
     reach = F.max(F.when(base, F.col("end"))).over(Window.partitionBy("row").orderBy("start").rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    kept = judged.withColumn("reach", reach).where(base | (F.col("live") & ~F.col("example") & (F.coalesce("reach", F.lit(-1)) < F.col("end"))))
+    added = F.col("live") & ~F.col("example") & (F.coalesce("reach", F.lit(-1)) < F.col("end"))
+    kept = judged.withColumn("reach", reach).withColumn("kept", base | added)
     name = F.element_at(F.array(*[F.lit(kind) for kind, *_ in PATTERNS]), F.col("kind") + 1)
     entry = F.struct("start", "kind", F.concat_ws(":", name, "start", "end").alias("name"))
     per_row = kept.groupBy("row").agg(
-        *[F.count_if(F.col("kind") == k).alias(f"n_{kind}") for k, (kind, *_) in enumerate(PATTERNS)],
+        *[F.count_if((F.col("kind") == k) & F.col("kept")).alias(f"n_{kind}") for k, (kind, *_) in enumerate(PATTERNS)],
         F.count_if("example").alias("n_examples"), F.count_if(F.col("live") & ~F.col("example")).alias("n_live"),
-        F.sort_array(F.collect_list(F.when(base, entry))).alias("base"), F.sort_array(F.collect_list(entry)).alias("all"),
+        F.sort_array(F.collect_list(F.when(base, entry))).alias("base"), F.sort_array(F.collect_list(F.when(F.col("kept"), entry))).alias("all"),
     )
     counts = [f"n_{kind}" for kind, *_ in PATTERNS] + ["n_examples", "n_live"]
     joined = stored.select("row", "doc_id").join(per_row, "row", "left")
