@@ -91,7 +91,7 @@ def required_columns(rows: DataFrame, names: Sequence[str]) -> DataFrame:
     """Which of ``names`` the table has, and in how many rows they are filled."""
     return _per_column(rows, {
         c: {
-            "present": F.max(F.lit(c in rows.columns)),
+            "present": F.lit(c in rows.columns),
             "n_filled": F.count(F.col(c)) if c in rows.columns else F.count(F.lit(None)),
         }
         for c in names
@@ -114,11 +114,9 @@ def schema_listing(rows: DataFrame, contract: Contract | None = None) -> DataFra
     for f in rows.schema:
         promised = fields.get(f.name, f)
         figures[f.name] = {
-            "data_type": F.max(F.lit(f.dataType.simpleString())),
-            "is_nullable": F.max(F.lit(promised.nullable)),
-            "column_default": F.max(
-                F.lit(promised.metadata.get("default")).cast("string")
-            ),
+            "data_type": F.lit(f.dataType.simpleString()),
+            "is_nullable": F.lit(promised.nullable),
+            "column_default": F.lit(promised.metadata.get("default")).cast("string"),
             "n_null": _tally(F.col(f.name).isNull()),
         }
     return _per_column(rows, figures).orderBy("column")

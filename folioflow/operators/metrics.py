@@ -130,7 +130,10 @@ def status_count_map(docs: DataFrame) -> DataFrame:
 
 
 def document_summary(cells: DataFrame, max_retries: int = MAX_RETRIES) -> DataFrame:
-    """One record from the counts per (status, attempts): a handful of rows."""
+    """One record from the counts per (status, attempts): a handful of rows.
+
+    Documents without a status count in the total only; a map has no NULL key.
+    """
     status, n = F.col("status"), F.col("n")
     failed = status == EXTRACTION_FAILED
 
@@ -147,7 +150,7 @@ def document_summary(cells: DataFrame, max_retries: int = MAX_RETRIES) -> DataFr
     )
     return by_status.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("total_documents"),
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("status", "n")))).alias(
+        F.map_from_entries(F.array_sort(F.collect_list(F.when(status.isNotNull(), F.struct("status", "n"))))).alias(
             "status_counts"
         ),
         F.map_from_entries(

@@ -1,37 +1,15 @@
-"""The splitting rules written out piece by piece, to compare the splitter with."""
+"""What any split must satisfy, whatever the way it was found."""
 
-PIECE_SEPARATORS = ["\n\n", "\n", ". ", "! ", "? ", "; ", ", ", " "]
 
-
-def pack(pieces, glue, size):
-    packed, open_chunk = [], ""
-    for piece in pieces:
-        grown = f"{open_chunk}{glue}{piece}" if open_chunk else piece
-        if len(grown) <= size:
-            open_chunk = grown
-            continue
-        packed.append(open_chunk)
-        open_chunk = piece
-    return [c for c in [*packed, open_chunk] if c]
-
-
-def refine(text, size, separators):
-    if len(text) <= size:
-        return [text]
-    if not separators:
-        return [text[i:i + size] for i in range(0, len(text), size)]
-    finer = separators[1:]
-    return [
-        part
-        for chunk in pack(text.split(separators[0]), separators[0], size)
-        for part in refine(chunk, size, finer)
-    ]
-
-
-def spec_chunks(text, size=1000, overlap=200):
+def check_split(text, chunks, size=1000, overlap=200):
+    """Chunks are stripped, long enough, bounded, and together say the whole text in order."""
+    assert all(c == c.strip() and len(c) > 10 for c in chunks)
+    assert all(len(c) <= size + (overlap + 1 if overlap else 0) for c in chunks)
     if not text.strip():
-        return []
-    parts = refine(text, size, PIECE_SEPARATORS)
-    if overlap:
-        parts = parts[:1] + [a[-overlap:] + " " + b for a, b in zip(parts, parts[1:])]
-    return [p.strip() for p in parts if len(p.strip()) > 10]
+        assert chunks == []
+    if len(text) <= size:
+        assert chunks == ([text.strip()] if len(text.strip()) > 10 else [])
+    if not overlap:
+        at = 0
+        for chunk in chunks:  # slices of the text, one behind the other
+            at = text.index(chunk, at) + len(chunk)

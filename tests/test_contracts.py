@@ -109,3 +109,12 @@ def test_whole_audit(tables):
     assert set(found) == {"primary_key", "not_null", "foreign_key:uploaded_by_user_id", "length"}
     nulls = {r["column"]: r.n_null for r in found["not_null"].collect()}
     assert nulls["id"] == 0 and nulls["status"] == 3
+
+
+def test_schema_facts_need_no_rows(spark):
+    from folioflow.operators.contracts import required_columns, schema_listing
+
+    none = spark.createDataFrame([], "a int, b string")
+    assert [(r.column, r.data_type, r.is_nullable, r.n_null) for r in schema_listing(none).collect()] == [
+        ("a", "int", True, 0), ("b", "string", True, 0)]
+    assert [(r.column, r.present, r.n_filled) for r in required_columns(none, ["a", "c"]).collect()] == [("a", True, 0), ("c", False, 0)]

@@ -100,3 +100,13 @@ def test_sums_of_time_cannot_overflow(spark):
     rows = spark.range(20_000).select(F.lit(PROCESSED).alias("status"), took.alias("took"))
     got = rows.agg(*M.timing(F.col("took"))).first()
     assert got.took_seconds == 3600 * 300_000 * 20_000
+
+
+def test_documents_without_a_status_do_not_break_the_summary(spark):
+    from folioflow.operators.metrics import document_summary
+
+    cells = spark.createDataFrame(
+        [(None, 0, 2, 0, 0, 0), ("Processed", 0, 3, 0, 0, 0)],
+        "status string, retry_count int, n long, took_seconds long, took_rest long, n_timed long")
+    got = document_summary(cells).first()
+    assert got.status_counts == {"Processed": 3} and got.total_documents == 5
