@@ -35,7 +35,7 @@ from folioflow.session import workspace
 MAGIC = b"WMX1"
 BLOCK = 1 << 19
 LEVEL = 1
-CACHE_UNITS = 600_000
+CACHE_UNITS, SHARD_BYTES = 600_000, 16 << 20
 
 
 class Encoder:
@@ -47,9 +47,10 @@ class Encoder:
     in a row; a piece's ids are those that cover its bytes.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, units: int) -> None:
         from tokenizers import Tokenizer
 
+        self.units = units
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         vocabulary = self.tokenizer.get_vocab()
@@ -83,20 +84,20 @@ class Encoder:
         found = self._learn(list(set().union(*cut).difference(known)))
         known.update(found)
         rest = [np.frombuffer(b"".join(map(known.__getitem__, parts)), self.kind) for parts in cut]
-        if len(known) > CACHE_UNITS:  # remember no more pieces: the frequent ones came early
+        if len(known) > self.units:  # remember no more pieces: the frequent ones came early
             for piece in found:
                 del known[piece]
         return [np.concatenate(pair) for pair in zip(firsts, rest, strict=True)]
 
 
-def encoder(path: str) -> Encoder:
-    """The worker's encoder of a file: the pieces it knows outlive a task."""
+def encoder(path: str, units: int = CACHE_UNITS) -> Encoder:
+    """The worker's encoder of a file: the pieces it knows, about ``units``, outlive a task."""
     home = sys.modules.setdefault("folioflow_worker", types.ModuleType("folioflow_worker"))
     if not hasattr(home, "encoders"):
         home.encoders = {}
-    if path not in home.encoders:
-        home.encoders[path] = Encoder(path)
-    return home.encoders[path]
+    if (path, units) not in home.encoders:
+        home.encoders[path, units] = Encoder(path, units)
+    return home.encoders[path, units]
 
 
 class WaveletMatrix:
@@ -222,7 +223,7 @@ def stored_ids(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
 
-def write_shards(docs: DataFrame, key: str, text: str, folder: str, vocabulary: str, end_id: int = 0, shard_bytes: int = 16 << 20) -> DataFrame:
+def write_shards(docs: DataFrame, key: str, text: str, folder: str, vocabulary: str, end_id: int = 0, shard_bytes: int = SHARD_BYTES, units: int = CACHE_UNITS) -> DataFrame:
     """Write the documents' ids in ascending order of ``key``; one row per shard (name, docs, tokens).
 
     Texts are dealt by range of the key into shards of about ``shard_bytes``; a task holds
@@ -235,7 +236,7 @@ def write_shards(docs: DataFrame, key: str, text: str, folder: str, vocabulary:
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode = encoder(vocabulary)
+        encode = encoder(vocabulary, units)
         ids, doc_ids, counts = [], [], []
         for batch in batches:
             doc_ids += batch.column(0).to_pylist()
@@ -275,12 +276,15 @@ def read_shards(spark: SparkSession, shards: DataFrame, folder: str, rows: Calla
     return shards.mapInArrow(read, schema)
 
 
-def token_table(docs: DataFrame, key: str, text: str, vocabulary: str, end_id: int = 0, name: str = "wavelet") -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) read back from the written shards."""
+def token_table(docs: DataFrame, key: str, text: str, vocabulary: str, end_id: int = 0, shard_bytes: int = SHARD_BYTES, units: int = CACHE_UNITS) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32) read back from the written shards.
+
+    ``units`` bounds the pieces a worker remembers: fewer save memory and cost time.
+    """
     spark = docs.sparkSession
-    folder = workspace(spark, name)
+    folder = workspace(spark, "wavelet")
     manifest = f"{folder}-manifest"
-    write_shards(docs, key, text, folder, vocabulary, end_id).write.parquet(manifest)
+    write_shards(docs, key, text, folder, vocabulary, end_id, shard_bytes, units).write.parquet(manifest)
     shards = spark.read.schema("name string, docs long, tokens long").parquet(manifest)
     # one row a shard: its first position follows from the shards before it
     listed = shards.orderBy("name").collect()
