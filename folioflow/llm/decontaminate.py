@@ -196,8 +196,7 @@ def item_slices(items: DataFrame, key: str, text: str) -> Iterator[list[tuple[in
 
 def clean(docs: DataFrame, text: str, items: DataFrame, item_key: str, item_text: str) -> DataFrame:
     """The rows of ``docs``, all columns, in whose text no item is found."""
-    spark = docs.sparkSession
-    rest = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))
+    spark, at_text, rest = docs.sparkSession, docs.columns.index(text), docs
     for part in item_slices(items, item_key, item_text):
         index = spark.sparkContext.broadcast(Index(part))  # bounded by the slice
 
@@ -205,14 +204,14 @@ def clean(docs: DataFrame, text: str, items: DataFrame, item_key: str, item_text
             tool = hasher()
             for batch in batches:
                 free = np.ones(batch.num_rows, bool)
-                for start, _, data, bounds in slices(batch.column(1)):
+                for start, _, data, bounds in slices(batch.column(at_text)):
                     begin, end, at = tool.spans(data, bounds)
                     for t, *_ in index.value.search(tool.hashes(data, begin, end), at):
                         free[start + t] = False
                 yield batch.filter(pa.array(free))
 
-        rest = rest.mapInArrow(run, rest.schema)
-    return rest.select("row.*")
+        rest = rest.mapInArrow(run, docs.schema)
+    return rest
 
 
 def hits(docs: DataFrame, key: str, text: str, items: DataFrame, item_key: str, item_text: str) -> DataFrame:

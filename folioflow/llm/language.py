@@ -25,6 +25,8 @@ from folioflow.llm.words import SLICE_BYTES, numbers, slices
 DIMENSIONS = 512
 SYMBOLS = 64
 UNDETERMINED = "und"
+#: Rows counted at once: the table of counts has a row for each of them.
+COUNT_ROWS = 512
 
 
 def symbol_table() -> bytes:
@@ -129,6 +131,23 @@ def learn(docs: DataFrame, text: str, lang: str, dimensions: int = DIMENSIONS) -
     return names, prototypes / np.where(length > 0, length, 1)
 
 
+def nearest(column: pa.Array, prototypes: np.ndarray, table: np.ndarray, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the prototype nearest to each text, -1 for texts without a letter, and the cosine."""
+    best, score = np.full(len(column), -1), np.zeros(len(column))
+    if not len(prototypes):
+        return best, score
+    for start, stop, data, bounds in slices(column, SLICE_BYTES // 2, COUNT_ROWS):
+        codes, row = trigrams(data, bounds, table)
+        distinct, counts = count_matrix(codes, row, stop - start)
+        vectors = (counts.astype(np.float32) @ trigram_vectors(distinct, letters)).astype(np.float64)
+        length = np.linalg.norm(vectors, axis=1)
+        cosine = vectors @ prototypes.T / np.where(length > 0, length, 1)[:, None]
+        some = np.bincount(row, minlength=stop - start) > 0
+        best[start:stop] = np.where(some, cosine.argmax(axis=1), -1)
+        score[start:stop] = np.where(some, cosine.max(axis=1).clip(0, 1), 0)
+    return best, score
+
+
 def predict(docs: DataFrame, text: str, keep: list[Column], names: list[str], prototypes: np.ndarray) -> DataFrame:
     """The kept columns, ``lang_pred`` and ``score`` of every row."""
     packed = symbol_table()
@@ -140,18 +159,7 @@ def predict(docs: DataFrame, text: str, keep: list[Column], names: list[str], pr
         table = np.frombuffer(zlib.decompress(packed), np.uint8)
         letters = letter_vectors(dimensions)
         for batch in batches:
-            best = np.full(batch.num_rows, -1)
-            score = np.zeros(batch.num_rows)
-            for start, stop, data, bounds in slices(batch.column(batch.num_columns - 1), SLICE_BYTES // 2):
-                codes, row = trigrams(data, bounds, table)
-                distinct, counts = count_matrix(codes, row, stop - start)
-                vectors = (counts.astype(np.float32) @ trigram_vectors(distinct, letters)).astype(np.float64)
-                length = np.linalg.norm(vectors, axis=1)
-                if len(names):
-                    cosine = vectors @ prototypes.T / np.where(length > 0, length, 1)[:, None]
-                    some = np.bincount(row, minlength=stop - start) > 0
-                    best[start:stop] = np.where(some, cosine.argmax(axis=1), -1)
-                    score[start:stop] = np.where(some, cosine.max(axis=1).clip(0, 1), 0)
+            best, score = nearest(batch.column(batch.num_columns - 1), prototypes, table, letters)
             label = np.array([*names, UNDETERMINED], object)[best]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(label, pa.string()), pa.array(score)],
@@ -159,3 +167,18 @@ def predict(docs: DataFrame, text: str, keep: list[Column], names: list[str], pr
             )
 
     return source.mapInArrow(compare, extended(kept, "lang_pred string, score double"))
+
+
+def speaking(docs: DataFrame, text: str, prototypes: np.ndarray, least: float) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text has a letter and a prototype at ``least`` this near."""
+    packed = symbol_table()
+    dimensions, at = prototypes.shape[1], docs.columns.index(text)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.frombuffer(zlib.decompress(packed), np.uint8)
+        letters = letter_vectors(dimensions)
+        for batch in batches:
+            best, score = nearest(batch.column(at), prototypes, table, letters)
+            yield batch.filter(pa.array((best >= 0) & (score >= least)))
+
+    return docs.mapInArrow(keep, docs.schema)

@@ -149,11 +149,14 @@ def gradients(net: Network, data: np.ndarray, bounds: np.ndarray, y: np.ndarray,
 def training_sample(docs: DataFrame, labels: DataFrame, text: str, key: str, label: str, allowed: Column) -> tuple[list[bytes], list[int]]:
     """Up to SAMPLE_ROWS rows of each label in the order of their keys' hash, texts up to SAMPLE_BYTES.
 
-    Contradictory labels of a key count as they stand; rows without key, text or label are left out.
+    Of a key's rows the least text and label count; rows without key, text or label are left out.
     """
     marked = labels.select(F.col(key).alias("_key"), F.col(label).alias("_label")).where("_key IS NOT NULL AND _label IN (0, 1)")
     sized = docs.where(allowed).select(F.col(key).alias("_key"), F.octet_length(text).alias("_bytes")).where(f"_bytes <= {SAMPLE_BYTES}")
-    both = sized.join(marked, "_key").select("_key", "_label", F.xxhash64("_key").alias("_order"))
+    both = (
+        sized.select("_key").distinct().join(marked.groupBy("_key").agg(F.min("_label").alias("_label")), "_key")
+        .select("_key", "_label", F.xxhash64("_key").alias("_order"))
+    )
     picked = []
     for value in (0, 1):
         picked += both.where(F.col("_label") == value).orderBy("_order", "_key").limit(SAMPLE_ROWS).collect()
@@ -163,9 +166,9 @@ def training_sample(docs: DataFrame, labels: DataFrame, text: str, key: str, lab
     rows = (
         docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
         .where(F.col("_key").isin(list(wanted)) & (F.octet_length("_text") <= SAMPLE_BYTES))
-        .collect()
+        .groupBy("_key").agg(F.min("_text").alias("_text")).collect()
     )
-    rows.sort(key=lambda r: (r._key, r._text))
+    rows.sort(key=lambda r: r._key)
     return [r._text.encode() for r in rows], [wanted[r._key] for r in rows]
 
 

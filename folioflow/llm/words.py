@@ -40,12 +40,12 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[bounds[0]:bounds[-1]], bounds - bounds[0]
 
 
-def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Row ranges of about ``limit`` bytes with their bytes and bounds; a longer text stands alone."""
+def slices(column: pa.Array, limit: int = SLICE_BYTES, most_rows: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Row ranges of about ``limit`` bytes, of ``most_rows`` rows at most, with their bytes and bounds; a longer text stands alone."""
     data, bounds = text_bytes(column)
     row, rows = 0, len(bounds) - 1
     while row < rows:
-        stop = max(row + 1, int(np.searchsorted(bounds, bounds[row] + limit, "right")) - 1)
+        stop = max(row + 1, min(row + most_rows, int(np.searchsorted(bounds, bounds[row] + limit, "right")) - 1))
         yield row, stop, data[bounds[row]:bounds[stop]], bounds[row:stop + 1] - bounds[row]
         row = stop
 
