@@ -10,7 +10,7 @@ import datetime as dt
 import logging
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,7 +18,8 @@ from folioflow.jobs.process import Blobs, store_outcomes
 from folioflow.operators import lifecycle as L
 from folioflow.operators.contracts import add_columns
 from folioflow.operators.updates import apply_updates, latest_changes
-from folioflow.schemas import MIGRATION
+from folioflow.schemas import EXTRACTING, EXTRACTION_FAILED, MIGRATION
+from folioflow.session import before
 from folioflow.sources.batches import read_batches, write_batch
 from folioflow.sources.blobs import read_blobs
 from folioflow.sources.tables import read_table
@@ -51,21 +52,27 @@ def current_documents(base: DataFrame, out: str, cycle: int) -> DataFrame:
     return apply_updates(base, latest_states(base.sparkSession, out, cycle).select("id", *CHANGED))
 
 
+def died(now: dt.datetime) -> Column:
+    """Attempts begun long ago and never settled: their cycle died."""
+    return (F.col("status") == EXTRACTING) & before(F.col("updated_at"), now, L.STUCK_MINUTES)
+
+
 def candidates(
     base: DataFrame, out: str, cycle: int, now: dt.datetime, max_retries: int, limit: int | None
 ) -> DataFrame:
     """Documents to retry, without joining the whole table to its changes.
 
     The base table is filtered in its scan; documents a cycle has touched are known
-    in full from the cycles' own records.
+    in full from the cycles' own records. Attempts that died count as failed ones.
     """
     touched = latest_states(base.sparkSession, out, cycle)
+    failed = F.when(died(now), F.lit(EXTRACTION_FAILED)).otherwise(F.col("status"))
 
     def due(rows: DataFrame) -> DataFrame:
         return L.retry_candidates(rows, now, max_retries, keep=["processing_notes"])
 
     fresh = due(base).join(touched.select("id"), "id", "left_anti")
-    return L.oldest_first(fresh.unionByName(due(touched)), limit)
+    return L.oldest_first(fresh.unionByName(due(touched.withColumn("status", failed))), limit)
 
 
 def run_cycle(
@@ -82,7 +89,8 @@ def run_cycle(
 
     ``documents`` is the base table; what earlier cycles changed is read from ``out``,
     which belongs to the cycles alone. The candidate set is written before anything is
-    attempted: it is read twice, and its attempts count even if the cycle dies. Texts
+    attempted: it is read twice, and its attempts count even if the cycle dies. Documents
+    whose last allowed attempt died are settled as given up, and counted, here. Texts
     and chunks of the documents that come through are stored like those of any batch.
     Rerunning a cycle replaces its folders. For the options see :func:`store_outcomes`.
     """
@@ -94,8 +102,14 @@ def run_cycle(
     outcomes = store_outcomes(messages, cycle, blobs, out, now, **options).select(
         F.col("document_id").alias("id"), F.col("status").alias("outcome")
     )
+    columns = [c for c in CHANGE.fieldNames() if c != "status"]
+    lost = (
+        latest_states(documents.sparkSession, out, cycle)
+        .where(died(now) & (L.attempts() >= max_retries))
+        .select(*columns, F.lit(EXTRACTION_FAILED).alias("outcome"))
+    )
     settled = L.settle_attempts(
-        attempted.drop("status").join(outcomes, "id"), now, max_retries,
+        attempted.select(*columns).join(outcomes, "id").unionByName(lost), now, max_retries,
         keep=["storage_path", "file_type"],
     )
     return L.cycle_stats(write_batch(settled, f"{out}/settled", cycle))
@@ -115,8 +129,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     logging.basicConfig(level=logging.DEBUG if args.verbose else logging.INFO)
 
     spark = spark or SparkSession.builder.getOrCreate()
-    base = add_columns(read_table(spark, args.documents), MIGRATION)
     while True:
+        base = add_columns(read_table(spark, args.documents), MIGRATION)  # its files of this cycle
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         cycle = int(time.time())
         stats = run_cycle(

@@ -59,7 +59,7 @@ def test_cycles_until_nothing_is_left(spark, store):
     assert [r.summary for r in process.current_texts(spark, out).collect()] == ["fine text in here"]
 
 
-def test_an_attempt_that_died_still_counts(spark, store):
+def test_an_attempt_that_died_still_counts_and_comes_back(spark, store):
     out = str(store / "out")
     base = spark.read.parquet(str(store / "documents"))
     begun = spark.createDataFrame(
@@ -68,7 +68,21 @@ def test_an_attempt_that_died_still_counts(spark, store):
     assert states(reprocess.current_documents(base, out, 1))[2] == ("ExtractingText", 2)
     later = NOW + dt.timedelta(hours=1)
     due = reprocess.candidates(base, out, 1, later, 3, None)
-    assert [r.id for r in due.collect()] == [1]  # 2 is under extraction now
+    assert sorted((r.id, r.retry_count) for r in due.collect()) == [(1, 0), (2, 2)]
+    soon = NOW + dt.timedelta(minutes=20)
+    due = reprocess.candidates(base, out, 1, soon, 3, None)
+    assert [r.id for r in due.collect()] == [1]  # 2 may still be under extraction
+
+
+def test_a_last_attempt_that_died_is_given_up(spark, store):
+    out = str(store / "out")
+    base = spark.read.parquet(str(store / "documents"))
+    blobs = read_blobs(spark, str(store / "objects"))
+    begun = spark.createDataFrame(
+        [(2, "gone.txt", "TXT", "ExtractingText", 3, NOW, "n")], reprocess.CHANGE)
+    begun.write.parquet(f"{out}/attempts/batch_id=0")
+    reprocess.run_cycle(base, blobs, out, 1, NOW + dt.timedelta(hours=1))
+    assert states(reprocess.current_documents(base, out, 2))[2] == ("Failed", 3)
 
 
 def test_candidates_equal_those_of_the_whole_table(spark, store):
