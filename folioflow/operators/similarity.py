@@ -94,26 +94,36 @@ def _top(found: DataFrame, k: int) -> DataFrame:
 
 
 def _scan(queries: Sequence, k: int, by_cell: bool) -> Callable:
-    """Batch function keeping the best ``k`` per query of a whole partition."""
+    """Batch function keeping the best ``k`` per query of a whole partition.
+
+    A query meets the vectors of its own dimension only.
+    """
     ids = [q["query_id"] for q in queries]
-    points = np.array([q["embedding"] for q in queries], dtype=float)
+    points = [np.array(q["embedding"], dtype=float) for q in queries]
+    dims = sorted({len(point) for point in points})
     probes = [set(q["cells"]) for q in queries] if by_cell else None
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: list[list[tuple]] = [[] for _ in ids]
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            matrix = _matrix(batch.column("embedding"), points.shape[1])
-            vec_ids = batch.column("vec_id").to_numpy(zero_copy_only=False)
-            cells = batch.column("cell").to_numpy(zero_copy_only=False) if by_cell else None
-            for i, point in enumerate(points):
-                if cells is None:
-                    near = _closest(vec_ids, matrix, point, k)
-                else:
-                    rows = np.flatnonzero(np.isin(cells, list(probes[i])))
-                    near = _closest(vec_ids[rows], matrix[rows], point, k)
-                best[i] = sorted(best[i] + near)[:k]
+            size = batch.column("embedding").value_lengths().to_numpy(zero_copy_only=False)
+            for dim in dims:
+                same = np.flatnonzero(size == dim)
+                if not len(same):
+                    continue
+                part = batch if len(same) == len(size) else batch.take(pa.array(same))
+                matrix = _matrix(part.column("embedding"), dim)
+                vec_ids = part.column("vec_id").to_numpy(zero_copy_only=False)
+                cells = part.column("cell").to_numpy(zero_copy_only=False) if by_cell else None
+                for i, point in enumerate(points):
+                    if len(point) != dim:
+                        continue
+                    if cells is None:
+                        near = _closest(vec_ids, matrix, point, k)
+                    else:
+                        rows = np.flatnonzero(np.isin(cells, list(probes[i])))
+                        near = _closest(vec_ids[rows], matrix[rows], point, k)
+                    best[i] = sorted(best[i] + near)[:k]
         rows = [(q, v, d) for q, hits in zip(ids, best) for d, v in hits]
         yield pa.RecordBatch.from_pydict({
             "query_id": pa.array([r[0] for r in rows], pa.int64()),
@@ -141,32 +151,32 @@ def _match(k: int) -> Callable:
 
 
 def _slices(rows: DataFrame, limit: int) -> DataFrame:
-    """How many groups of at most about ``limit`` rows each cell needs (one row a cell)."""
-    return rows.groupBy("cell").agg(F.ceil(F.count("*") / limit).cast("int").alias("n"))
+    """How many groups of at most about ``limit`` rows each cell of each dimension needs."""
+    return rows.groupBy("cell", "dim").agg(F.ceil(F.count("*") / limit).cast("int").alias("n"))
 
 
 def _grid(vectors: DataFrame, queries: DataFrame, k: int, max_queries: int) -> DataFrame:
-    """Many queries: meet in groups ``(cell, slice, block)`` bounded on both sides.
+    """Many queries: meet in groups ``(cell, dim, slice, block)`` bounded on both sides.
 
     A cell with a third of all vectors is cut into as many slices as its count asks
     for, so no task gathers it; each group emits only its best ``k`` per query.
     """
-    slices = F.broadcast(_slices(vectors, ROWS_PER_GROUP))
-    blocks = F.broadcast(_slices(queries, max_queries))
-    keys = ["cell", "slice", "block"]
+    vectors, queries = (rows.withColumn("dim", F.size("embedding")) for rows in (vectors, queries))
+    slices, blocks = _slices(vectors, ROWS_PER_GROUP), _slices(queries, max_queries)
+    keys, cell = ["cell", "dim", "slice", "block"], ["cell", "dim"]
     left = (
-        vectors.join(slices, "cell")
+        vectors.join(slices, cell)
         .withColumn("slice", F.pmod(F.xxhash64("vec_id"), F.col("n")))
         .drop("n")
-        .join(blocks, "cell")
+        .join(blocks, cell)
         .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
         .select(*[F.col(c).cast("bigint") for c in keys], "vec_id", "embedding")
     )
     right = (
-        queries.join(blocks, "cell")
+        queries.join(blocks, cell)
         .withColumn("block", F.pmod(F.xxhash64("query_id"), F.col("n")))
         .drop("n")
-        .join(slices, "cell")
+        .join(slices, cell)
         .withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
         .select(*[F.col(c).cast("bigint") for c in keys], "query_id", "embedding")
     )
@@ -186,10 +196,11 @@ def nearest(
     cells are compared; where the vectors are stored by cell, the others are not even
     read. (A filter on a cell derived on the fly would derive it twice.) A query set of
     proven small size travels to the vectors, which then never shuffle; a larger one
-    meets them in bounded groups.
+    meets them in bounded groups. Either way a query meets vectors of its own dimension.
     """
     by_cell = "cell" in vectors.columns and "cells" in queries.columns
     columns = ["query_id", "embedding"] + (["cells"] if by_cell else [])
+    queries, vectors = (rows.where(F.size("embedding") > 0) for rows in (queries, vectors))
     shipped = queries.select(*columns).limit(max_queries + 1).collect()
     if not shipped:
         empty = queries.select(
@@ -198,8 +209,6 @@ def nearest(
             F.lit(None).cast("double").alias("distance"),
         )
         return _top(empty, k)
-    dim = len(shipped[0]["embedding"])
-    vectors = vectors.where(F.size("embedding") == dim)
     if len(shipped) <= max_queries:
         rows = vectors.select(F.col("vec_id").cast("bigint"), "embedding",
                               *(["cell"] if by_cell else []))

@@ -70,6 +70,20 @@ def test_only_equal_dimensions_compare(spark, data):
     assert [r.vec_id for r in S.nearest(vectors.union(longer), query, 3).collect()] == [5000]
 
 
+@pytest.mark.parametrize("carried", [2048, 3])
+def test_queries_of_several_dimensions(spark, data, carried):
+    points, queries, vectors, asked = data
+    longer = np.random.default_rng(5).normal(size=(40, 8))
+    frame = spark.createDataFrame([(1000 + i, [float(x) for x in p]) for i, p in enumerate(longer)], vectors.schema)
+    odd = spark.createDataFrame([(2000, None), (2001, [])], vectors.schema)
+    more = spark.createDataFrame([(100 + i, [float(x) for x in np.float32(p)]) for i, p in enumerate(longer[:3])]
+                                 + [(900, None), (901, [])], asked.schema)
+    got = found(S.nearest(vectors.union(frame).union(odd), more.union(asked), 7, max_queries=carried))
+    floats = longer.astype(np.float32).astype(float)
+    assert got == brute(points, queries, 7) | {
+        (q + 100, rank, i + 1000) for q, rank, i in brute(floats, floats[:3], 7)}
+
+
 def test_fewer_vectors_than_wanted(data):
     points, queries, vectors, asked = data
     few = vectors.where("vec_id < 3")
