@@ -2,23 +2,19 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.functions.text import MAX_FILE_BYTES
 
 MAX_NAMED_PATHS = 10_000
-PLAIN_PATH = re.compile(r"[A-Za-z0-9/._-]+")
 
 
 def _named(wanted: DataFrame) -> list[str] | None:
-    """The wanted paths if they are few and need no escaping, else None."""
+    """The wanted paths if they are few, else None."""
     paths = wanted.select("storage_path").where(F.col("storage_path").isNotNull()).distinct()
     names = [row[0] for row in paths.limit(MAX_NAMED_PATHS + 1).collect()]
-    plain = all(PLAIN_PATH.fullmatch(name) for name in names)
-    return names if plain and len(names) <= MAX_NAMED_PATHS else None
+    return names if len(names) <= MAX_NAMED_PATHS else None
 
 
 def read_blobs(
@@ -39,17 +35,20 @@ def read_blobs(
     )
     base = root.rstrip("/").split(":", 1)[-1].lstrip("/")
 
-    def key(path: str) -> Column:
+    def key(path: Column) -> Column:
         return F.regexp_replace(path, rf"^[^:]+:/+\Q{base}\E/", "")
 
+    # the scan's own file path is escaped, and unescaped it equals the column ``path``
+    plain = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
     names = None if wanted is None else _named(wanted)
     if names is not None:
-        files = files.where(key("_metadata.file_path").isin(names))
+        files = files.where(key(plain).isin(names))
     small = files.where(F.col("length") <= max_bytes).select(
-        key("path").alias("path"), "length", "content"
+        key(F.col("path")).alias("path"), "length", "content"
     )
     large = files.where(F.col("length") > max_bytes).select(
-        key("path").alias("path"), "length", F.lit(None).cast("binary").alias("content")
+        key(F.col("path")).alias("path"), "length", F.lit(None).cast("binary").alias("content")
     )
     return small.unionByName(large)
 
