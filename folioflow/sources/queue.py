@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,17 +12,36 @@ JSON_SPACE = " \t\r\n"
 VALID, FAILED, DEAD = "valid", "failed", "dead_letter"
 
 
+def _with_origin(lines: DataFrame) -> DataFrame:
+    """Lines with ``sent``: the place in the queue of the piece of file they were read from."""
+    origin = F.struct(
+        F.col("_metadata.file_modification_time").alias("at"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+    )
+    return lines.select("value", origin.alias("sent"))
+
+
 def read_messages(spark: SparkSession, path: str) -> DataFrame:
     """One JSON message per line."""
-    return spark.read.text(path)
+    return _with_origin(spark.read.text(path))
 
 
 def stream_messages(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
-    return (
+    return _with_origin(
         spark.readStream.format("text").option("maxFilesPerTrigger", files_per_trigger).load(path)
     )
 
 
+def numbered(lines: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Lines of a batch with their row number, and the columns that tell their order.
+
+    Row numbers ascend within a piece of a file, and ``sent`` orders the pieces.
+    """
+    rows = lines.withColumn("line", F.monotonically_increasing_id())
+    return rows, [c for c in ("sent", "line") if c in rows.columns]
+
+
 def parse_messages(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """Adds ``document_id, storage_path, file_type, route, reason`` to each line.
 
@@ -72,11 +93,14 @@ def dead_letters(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("route") == DEAD)
 
 
-def deliverable(parsed: DataFrame) -> DataFrame:
-    """One message per document; a repeated message is the same work, done once."""
+def deliverable(parsed: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    """One message per document, the last in ``order``: a later upload replaces an earlier one.
+
+    The maximum combines before the shuffle, however often a document is queued.
+    """
     return (
         parsed.where(F.col("route") != DEAD)
         .groupBy("document_id")
-        .agg(F.max(F.struct("storage_path", "file_type")).alias("m"))
+        .agg(F.max(F.struct(*order, "storage_path", "file_type")).alias("m"))
         .select("document_id", "m.storage_path", "m.file_type")
     )

@@ -1,6 +1,7 @@
 """Queue lines, stored objects and batch folders."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -57,6 +58,19 @@ def test_deliverable_keeps_one_message_per_document(spark):
     assert rows == [(7, "a"), (9, "a")]
 
 
+def test_the_last_message_of_a_document_wins(spark, tmp_path):
+    def message(path):
+        return json.dumps({"DocumentId": 1, "StoragePath": path, "FileType": "TXT"}) + "\n"
+
+    (tmp_path / "b.txt").write_text(message("z/old") + message("y/old"))
+    os.utime(tmp_path / "b.txt", (1000, 1000))
+    (tmp_path / "a.txt").write_text(message("x/mid") + message("a/new") + "bad\n")
+    os.utime(tmp_path / "a.txt", (2000, 2000))
+    lines, order = Q.numbered(Q.read_messages(spark, str(tmp_path)))
+    [last] = Q.deliverable(Q.parse_messages(lines), order).collect()
+    assert (order, last.storage_path) == (["sent", "line"], "a/new")
+
+
 @pytest.fixture
 def objects(tmp_path):
     root = tmp_path / "objects"
