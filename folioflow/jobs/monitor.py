@@ -12,7 +12,10 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession
 
+from folioflow.jobs import shared
+from folioflow.operators.contracts import add_columns
 from folioflow.operators.metrics import metrics_snapshot, report_lines
+from folioflow.schemas import MIGRATION
 from folioflow.sources.batches import write_batch
 from folioflow.sources.tables import read_table
 
@@ -29,7 +32,9 @@ def record_metrics(
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     parser = argparse.ArgumentParser(description="Record processing metrics")
     parser.add_argument("--documents", required=True)
-    parser.add_argument("--chunks", required=True)
+    place = parser.add_mutually_exclusive_group(required=True)
+    place.add_argument("--chunks")
+    place.add_argument("--home", help="shared state of all roles, see folioflow.jobs.shared")
     parser.add_argument("--out", required=True)
     parser.add_argument("--interval", type=int, default=60, help="seconds between snapshots")
     parser.add_argument("--run-once", action="store_true")
@@ -39,9 +44,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     spark = spark or SparkSession.builder.getOrCreate()
     while True:
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        docs = read_table(spark, args.documents)
+        if args.home:
+            docs = shared.documents(add_columns(docs, MIGRATION), args.home)
         snapshot = record_metrics(
-            read_table(spark, args.documents),
-            read_table(spark, args.chunks),
+            docs,
+            shared.chunks(spark, args.home) if args.home else read_table(spark, args.chunks),
             args.out,
             int(now.timestamp()),
             now,

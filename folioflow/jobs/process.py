@@ -18,7 +18,7 @@ from folioflow.operators.updates import apply_updates
 from folioflow.schemas import EXTRACTING, EXTRACTION_FAILED, PROCESSED
 from folioflow.session import instant
 from folioflow.sources.batches import latest_set, read_batches, write_batch
-from folioflow.sources.queue import dead_letters, deliverable, parse_messages
+from folioflow.sources.queue import dead_letters, deliverable, numbered, parse_messages
 
 Blobs = DataFrame | Callable[[DataFrame], DataFrame]
 
@@ -33,6 +33,7 @@ TEXT = T.StructType([
     T.StructField("document_id", T.LongType()),
     T.StructField("text", T.StringType()),
     T.StructField("summary", T.StringType()),
+    T.StructField("updated_at", T.TimestampNTZType()),
 ])
 CHUNK = T.StructType([
     T.StructField("document_id", T.LongType()),
@@ -69,7 +70,9 @@ def store_outcomes(
     """
     objects = blobs(messages) if callable(blobs) else blobs
     outcomes = write_batch(
-        process_documents(messages, objects, pages, **options), f"{out}/outcomes", batch_id
+        process_documents(messages, objects, pages, **options).withColumn("updated_at", instant(now)),
+        f"{out}/outcomes",
+        batch_id,
     )
     processed = outcomes.where(F.col("status") == PROCESSED)
     chunks = build_chunk_table(processed, embed_fn, now, "document_id")
@@ -93,9 +96,10 @@ def process_batch(
     see :func:`store_outcomes`. Chunks are complete before a document is reported as
     processed.
     """
+    lines, order = numbered(lines)
     parsed = parse_messages(lines)
     write_batch(dead_letters(parsed).select("value", "reason"), f"{out}/dead_letters", batch_id)
-    begun = deliverable(parsed).withColumns({
+    begun = deliverable(parsed, order).withColumns({
         "status": F.lit(EXTRACTING),
         "error": F.lit(None).cast("string"),
         "processing_started_at": instant(started),

@@ -57,6 +57,11 @@ def died(now: dt.datetime) -> Column:
     return (F.col("status") == EXTRACTING) & before(F.col("updated_at"), now, L.STUCK_MINUTES)
 
 
+def _dead_as_failed(rows: DataFrame, now: dt.datetime) -> DataFrame:
+    failed = F.when(died(now), F.lit(EXTRACTION_FAILED)).otherwise(F.col("status"))
+    return rows.withColumn("status", failed)
+
+
 def candidates(
     base: DataFrame, out: str, cycle: int, now: dt.datetime, max_retries: int, limit: int | None
 ) -> DataFrame:
@@ -66,13 +71,12 @@ def candidates(
     in full from the cycles' own records. Attempts that died count as failed ones.
     """
     touched = latest_states(base.sparkSession, out, cycle)
-    failed = F.when(died(now), F.lit(EXTRACTION_FAILED)).otherwise(F.col("status"))
 
     def due(rows: DataFrame) -> DataFrame:
         return L.retry_candidates(rows, now, max_retries, keep=["processing_notes"])
 
     fresh = due(base).join(touched.select("id"), "id", "left_anti")
-    return L.oldest_first(fresh.unionByName(due(touched.withColumn("status", failed))), limit)
+    return L.oldest_first(fresh.unionByName(due(_dead_as_failed(touched, now))), limit)
 
 
 def run_cycle(
@@ -83,18 +87,25 @@ def run_cycle(
     now: dt.datetime,
     max_retries: int = L.MAX_RETRIES,
     limit: int | None = None,
+    whole: bool = False,
     **options,
 ) -> DataFrame:
     """One cycle over all candidates at once; returns its statistics (one row).
 
     ``documents`` is the base table; what earlier cycles changed is read from ``out``,
-    which belongs to the cycles alone. The candidate set is written before anything is
-    attempted: it is read twice, and its attempts count even if the cycle dies. Documents
-    whose last allowed attempt died are settled as given up, and counted, here. Texts
+    which belongs to the cycles alone. With ``whole`` the table has all changes already,
+    those of other roles included, and alone says what is due. The candidate set is
+    written before anything is attempted: it is read twice, and its attempts count even if
+    the cycle dies. Documents whose last allowed attempt died are settled as given up, and counted, here. Texts
     and chunks of the documents that come through are stored like those of any batch.
     Rerunning a cycle replaces its folders. For the options see :func:`store_outcomes`.
     """
-    due = candidates(documents, out, cycle, now, max_retries, limit)
+    if whole:
+        due = L.retry_candidates(
+            _dead_as_failed(documents, now), now, max_retries, limit=limit, keep=["processing_notes"]
+        )
+    else:
+        due = candidates(documents, out, cycle, now, max_retries, limit)
     attempts = L.start_attempt(due, now).select(*CHANGE.fieldNames())
     attempted = write_batch(attempts, f"{out}/attempts", cycle)
 
@@ -103,10 +114,9 @@ def run_cycle(
         F.col("document_id").alias("id"), F.col("status").alias("outcome")
     )
     columns = [c for c in CHANGE.fieldNames() if c != "status"]
-    lost = (
-        latest_states(documents.sparkSession, out, cycle)
-        .where(died(now) & (L.attempts() >= max_retries))
-        .select(*columns, F.lit(EXTRACTION_FAILED).alias("outcome"))
+    known = documents if whole else latest_states(documents.sparkSession, out, cycle)
+    lost = known.where(died(now) & (L.attempts() >= max_retries)).select(
+        *columns, F.lit(EXTRACTION_FAILED).alias("outcome")
     )
     settled = L.settle_attempts(
         attempted.select(*columns).join(outcomes, "id").unionByName(lost), now, max_retries,
@@ -119,7 +129,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     parser = argparse.ArgumentParser(description="Retry documents whose extraction failed")
     parser.add_argument("--documents", required=True, help="documents table")
     parser.add_argument("--blobs", required=True, help="root folder of the stored objects")
-    parser.add_argument("--out", required=True, help="folder for the cycles' results")
+    place = parser.add_mutually_exclusive_group(required=True)
+    place.add_argument("--out", help="folder for the cycles' results")
+    place.add_argument("--home", help="shared state of all roles, see folioflow.jobs.shared")
     parser.add_argument("--interval", type=int, default=30, help="minutes between cycles")
     parser.add_argument("--max-retries", type=int, default=L.MAX_RETRIES)
     parser.add_argument("--limit", type=int, default=None, help="documents per cycle")
@@ -133,15 +145,17 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         base = add_columns(read_table(spark, args.documents), MIGRATION)  # its files of this cycle
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         cycle = int(time.time())
-        stats = run_cycle(
-            base,
-            lambda wanted: read_blobs(spark, args.blobs, wanted=wanted),
-            args.out,
-            cycle,
-            now,
-            args.max_retries,
-            args.limit,
-        ).first()
+        limits = {"max_retries": args.max_retries, "limit": args.limit}
+
+        def blobs(wanted: DataFrame) -> DataFrame:
+            return read_blobs(spark, args.blobs, wanted=wanted)
+
+        if args.home:
+            from folioflow.jobs import shared  # it builds on this module
+
+            stats = shared.cycle(base, blobs, args.home, cycle, now, **limits).first()
+        else:
+            stats = run_cycle(base, blobs, args.out, cycle, now, **limits).first()
         log.info("cycle %d: %s", cycle, stats.asDict())
         if args.run_once:
             return

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioflow.functions.embedding import (
@@ -19,19 +19,40 @@ from folioflow.functions.text import is_blank
 VENDOR = "openai"
 
 
+#: States in which a chunk is tried again by a later pass.
+PENDING, OPEN = "pending", ["pending", "no_credential", "error"]
+
+
 def embedding_backlog(
-    chunks: DataFrame, docs: DataFrame, limit: int | None = None, vector_col: str | None = None
+    chunks: DataFrame,
+    docs: DataFrame,
+    limit: int | None = None,
+    vector_col: str | None = None,
+    keep_unowned: bool = False,
 ) -> DataFrame:
-    """Chunks without a vector, with the owner of their document."""
+    """Chunks without a vector, with the owner of their document.
+
+    Chunks whose document is not there are left out, or kept with ``owned`` false.
+    """
     owners = docs.select(F.col("id").alias("document_id"), "uploaded_by_user_id")
-    rows = (
-        chunks.where(F.col(vector_col or vector_marker(chunks)).isNull())
-        .select("document_id", "chunk_index", "content")
-        .join(owners, "document_id")
+    missing = chunks.where(F.col(vector_col or vector_marker(chunks)).isNull()).select(
+        "document_id", "chunk_index", "content"
     )
+    if keep_unowned:
+        owners = owners.withColumn("owned", F.lit(True))
+        rows = missing.join(owners, "document_id", "left").withColumn(
+            "owned", F.coalesce("owned", F.lit(False))
+        )
+    else:
+        rows = missing.join(owners, "document_id")
     return rows if limit is None else rows.orderBy("document_id", "chunk_index").limit(limit)
 
 
+def content_hash() -> Column:
+    """Tells whether a vector was made of a chunk's present content."""
+    return F.xxhash64(F.coalesce("content", F.lit("")))
+
+
 def resolve_providers(configurations: DataFrame, providers: DataFrame) -> DataFrame:
     """The provider entry each user's requests go through: ``(user_id, provider_config_id)``.
 
@@ -61,8 +82,11 @@ def plan_backfill(backlog: DataFrame, resolved: DataFrame, has_fallback: bool) -
         .when(F.lit(has_fallback), "fallback")
         .otherwise("none")
     )
+    status = F.when(is_blank(F.col("content")), "blank")
+    if "owned" in backlog.columns:
+        status = status.when(~F.col("owned"), PENDING)
     status = (
-        F.when(is_blank(F.col("content")), "blank")
+        status
         .when(F.col("credential_source") == "none", "no_credential")
         .otherwise("ready")
     )
@@ -99,6 +123,7 @@ def run_backfill(
         vector.alias("embedding"),
         status.alias("embed_status"),
         "credential_source",
+        content_hash().alias("content_hash"),
     ).withColumn("dim", dimension(F.col("embedding")))
 
 

@@ -140,24 +140,25 @@ OBJECTS = f"""objects AS (SELECT 'objects/' || source || '/' || doc_id AS path,
   strlen(text)::BIGINT AS length, text FROM documents WHERE source <> 'src3')"""
 
 
-def outcome(limit: int) -> str:
-    """CTEs (after ``ds``) ending in ``outcomes``: state, error, text per document."""
+def outcome(limit: int, size: int = SMALL_FILE, tag: str = "") -> str:
+    """CTEs (after ``ds``) ending in ``outcomes{tag}``: state, error, text per document."""
     plain = f"{ext('d.file_type', EXTENSIONS)} <> 'pdf'"
     clean = "regexp_replace(regexp_replace(o.text, chr(13) || chr(10), chr(10), 'g'),"
     clean += " chr(13), chr(10), 'g')"
-    return f"""{OBJECTS}, judged AS (SELECT d.id, CASE
+    objects = "" if tag else f"{OBJECTS}, "
+    return f"""{objects}judged{tag} AS (SELECT d.id, CASE
         WHEN coalesce(d.storage_path, '') = '' THEN 'no_storage_path'
         WHEN o.path IS NULL THEN 'not_found'
-        WHEN o.length > {SMALL_FILE} THEN 'too_large'
+        WHEN o.length > {size} THEN 'too_large'
         WHEN NOT {plain} AND p.text IS NULL THEN 'not_extracted' END AS error,
         {plain} AS plain, CASE WHEN {plain} THEN {clean} ELSE p.text END AS raw
       FROM ds d LEFT JOIN objects o ON o.path = d.storage_path
       LEFT JOIN pages_text p ON p.document_id = d.id),
-    outcomes AS (SELECT id AS document_id, error,
+    outcomes{tag} AS (SELECT id AS document_id, error,
         CASE WHEN error IS NULL THEN 'Processed' ELSE 'TextExtractionFailed' END AS status,
         CASE WHEN error IS NULL AND plain THEN 'utf-8' END AS decoded_as,
         CASE WHEN error IS NULL THEN CASE WHEN length(raw) > {limit}
-          THEN substr(raw, 1, {limit}) || {MARKER} ELSE raw END END AS text FROM judged)"""
+          THEN substr(raw, 1, {limit}) || {MARKER} ELSE raw END END AS text FROM judged{tag})"""
 
 
 WHOLE = 10 * 1024 * 1024
@@ -292,7 +293,37 @@ def oracle_sql() -> dict[str, str]:
         SELECT o.document_id, o.status, o.error, {at(NOW)} AS updated_at,
           coalesce(c.n, 0) AS n_chunks, coalesce(c.chars, 0)::BIGINT AS chunk_chars
         FROM outcomes o LEFT JOIN counts c USING (document_id) WHERE o.document_id <> 0"""
+    roles = f"""WITH {DS}, {CF}, {PR}, {RESOLVED}, {assembled(WHOLE)}, {outcome(WHOLE)},
+        {outcome(WHOLE, WHOLE, '_retry')},
+        worked AS (SELECT d.id, coalesce(o.status, d.status) AS status, d.retry_count,
+            CASE WHEN o.status IS NULL THEN d.updated_at ELSE {at(CYCLE_TIMES[0])} END AS updated_at,
+            CASE WHEN o.status IS NULL THEN d.processing_started_at ELSE {at(CYCLE_TIMES[0])} END
+              AS processing_started_at, d.uploaded_by_user_id, o.text
+          FROM ds d LEFT JOIN outcomes o ON o.document_id = d.id AND d.id <> 0),
+        tried AS (SELECT w.id, coalesce(w.retry_count, 0) + 1 AS retry_count, r.text,
+            CASE WHEN r.status <> 'Processed' AND coalesce(w.retry_count, 0) + 1 >= 3
+              THEN 'Failed' ELSE r.status END AS status
+          FROM worked w JOIN outcomes_retry r ON r.document_id = w.id
+          WHERE w.status = 'TextExtractionFailed' AND coalesce(w.retry_count, 0) < 3
+            AND w.updated_at < {at(CYCLE_TIMES[1])} - INTERVAL 10 MINUTE),
+        final AS (SELECT w.id, coalesce(t.status, w.status) AS status,
+            coalesce(t.retry_count, w.retry_count) AS retry_count,
+            CASE WHEN t.id IS NULL THEN w.updated_at ELSE {at(CYCLE_TIMES[1])} END AS updated_at,
+            w.processing_started_at, w.uploaded_by_user_id, coalesce(t.text, w.text) AS text
+          FROM worked w LEFT JOIN tried t USING (id)),
+        ready AS (SELECT id AS doc_id, text, '' AS lang FROM final WHERE text IS NOT NULL),
+        {chunked(1000, 200, source='ready')},
+        ck AS (SELECT c.document_id, CASE WHEN r.provider_config_id IS NOT NULL THEN 1 END AS vec_id
+          FROM chunks c JOIN final f ON f.id = c.document_id
+          LEFT JOIN resolved r ON r.user_id = f.uploaded_by_user_id)"""
     return {
+        "four_roles": f"""{roles}, n AS (SELECT document_id, COUNT(*) AS n_chunks,
+              COUNT(vec_id) AS n_vectors FROM ck GROUP BY 1)
+            SELECT id, status, retry_count, updated_at, coalesce(n_chunks, 0) AS n_chunks,
+              coalesce(n_vectors, 0) AS n_vectors FROM final LEFT JOIN n ON n.document_id = id""",
+        "four_roles_metrics": f"""{roles}, a AS (SELECT {FIGURES} FROM final),
+            b AS (SELECT {PROGRESS} FROM ck)
+            SELECT {at(CYCLE_TIMES[2])} AS "timestamp", a.*, b.* FROM a CROSS JOIN b""",
         "chunk_documents": f"WITH {main} SELECT document_id, chunk_index, content FROM chunks",
         "chunk_sweep": "WITH "
         + ", ".join(chunked(size, lap, str(i)) for i, (size, lap, _) in enumerate(SWEEP))
@@ -350,8 +381,7 @@ def oracle_sql() -> dict[str, str]:
         "queue_dead_letter": f"WITH {LINES} SELECT event_id, value, reason FROM parsed"
         " WHERE route = 'dead_letter'",
         "queue_deliverable": f"""WITH {LINES}, best AS (SELECT document_id, storage_path, file_type,
-              ROW_NUMBER() OVER (PARTITION BY document_id ORDER BY storage_path DESC NULLS LAST,
-                file_type DESC NULLS LAST) AS r FROM parsed WHERE route <> 'dead_letter')
+              ROW_NUMBER() OVER (PARTITION BY document_id ORDER BY event_id DESC) AS r FROM parsed WHERE route <> 'dead_letter')
             SELECT document_id, storage_path, file_type FROM best WHERE r = 1""",
         "fetch_outcome": f"""WITH {DS}, {OBJECTS} SELECT d.id AS document_id, o.length,
             CASE WHEN o.length IS NULL THEN 'missing' WHEN o.length > {SMALL_FILE} THEN 'too_large'

@@ -19,6 +19,7 @@ from folioflow.functions.embedding import (
 )
 from folioflow.jobs import process as P
 from folioflow.jobs import reprocess as R
+from folioflow.jobs import shared
 from folioflow.jobs.monitor import record_metrics
 from folioflow.operators import chunks as C
 from folioflow.operators import contracts as G
@@ -255,7 +256,7 @@ def queue_dead_letter(spark, sf_dir):
 
 @query
 def queue_deliverable(spark, sf_dir):
-    return Q.deliverable(Q.parse_messages(_lines(spark, sf_dir)))
+    return Q.deliverable(Q.parse_messages(_lines(spark, sf_dir)), ["event_id"])
 
 
 @query
@@ -866,6 +867,46 @@ def reprocess_cycle_job(spark, sf_dir):
     )
 
 
+def _four_roles(spark: SparkSession, sf_dir: str) -> str:
+    """Queue, one retry cycle that takes larger files, embedding, metrics: one shared state."""
+    home = workspace(spark, "home")
+    base, objects, pages = fx.document_state(spark, sf_dir), blobs(spark, sf_dir), paged(spark, sf_dir)
+    P.process_batch(
+        _queue_lines(documents(spark, sf_dir)), 0, objects, f"{home}/worker", CYCLE_TIMES[0],
+        pages=pages, max_bytes=SMALL_FILE,
+    )
+    shared.cycle(base, objects, home, 1, CYCLE_TIMES[1], pages=pages)
+    for number in (0, 1):  # the second pass meets only chunks that are still open
+        shared.embed_missing(
+            base, _resolved(spark, sf_dir), home, number, hashing_embedder(MODEL_DIM)
+        )
+    record_metrics(
+        shared.documents(base, home), shared.chunks(spark, home), f"{home}/metrics", 0, CYCLE_TIMES[2]
+    )
+    return home
+
+
+@query
+def four_roles(spark, sf_dir):
+    """Every document after all roles had their turn on it."""
+    home = _four_roles(spark, sf_dir)
+    counts = shared.chunks(spark, home).groupBy(F.col("document_id").alias("id")).agg(
+        F.count("*").alias("n_chunks"), F.count("dim").alias("n_vectors")
+    )
+    docs = shared.documents(fx.document_state(spark, sf_dir), home)
+    return docs.join(counts, "id", "left").select(
+        "id", "status", "retry_count", "updated_at",
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_chunks", "n_vectors")],
+    )
+
+
+@query
+def four_roles_metrics(spark, sf_dir):
+    """The monitor's record of the shared state."""
+    home = _four_roles(spark, sf_dir)
+    return spark.read.parquet(f"{home}/metrics").drop("batch_id", "status_counts", "failed_by_retry_count")
+
+
 @query
 def metrics_history(spark, sf_dir):
     """A metrics snapshot after each cycle."""

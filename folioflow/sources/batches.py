@@ -7,6 +7,8 @@ update costs as much as its batch, not as much as the table.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,14 +33,16 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
         return spark.createDataFrame([], whole)
 
 
-def latest_set(rows: DataFrame, key: str = "document_id") -> DataFrame:
-    """Of every key, only the rows of the last batch that wrote it.
+def latest_set(
+    rows: DataFrame, key: Sequence[str] = ("document_id",), order: Sequence[str] = ("batch_id",)
+) -> DataFrame:
+    """Of every key, only the rows of the batch that wrote it last.
 
-    The last batches come from two narrow columns combined before their shuffle; the
+    The last batches come from a few narrow columns combined before their shuffle; the
     wide rows are joined to them once.
     """
-    last = rows.groupBy(key).agg(F.max("batch_id").alias("batch_id"))
-    return rows.join(last, [key, "batch_id"], "left_semi")
+    last = rows.groupBy(*key).agg(F.max(F.struct(*order)).alias("_last"))
+    return rows.join(last.select(*key, "_last.*"), [*key, *order], "left_semi")
 
 
 def compact(rows: DataFrame, path: str, upto: int) -> None:

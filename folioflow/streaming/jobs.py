@@ -20,7 +20,13 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from folioflow.functions.embedding import VECTOR, EmbedFn
 from folioflow.jobs.process import Blobs, process_batch, sweep_stuck
-from folioflow.operators.embeddings import embedding_backlog, plan_backfill, run_backfill
+from folioflow.operators.embeddings import (
+    OPEN,
+    content_hash,
+    embedding_backlog,
+    plan_backfill,
+    run_backfill,
+)
 from folioflow.operators.lifecycle import STUCK_MINUTES
 from folioflow.schemas import EXTRACTING, EXTRACTION_FAILED
 from folioflow.sources.batches import latest_set, read_batches, write_batch
@@ -40,7 +46,10 @@ VECTORS = T.StructType([
     T.StructField("embed_status", T.StringType()),
     T.StructField("credential_source", T.StringType()),
     T.StructField("dim", T.IntegerType()),
+    T.StructField("content_hash", T.LongType()),
 ])
+CHUNK_KEY = ["document_id", "chunk_index"]
+Rows = DataFrame | Callable[[], DataFrame]
 
 
 def utc_now() -> dt.datetime:
@@ -110,29 +119,32 @@ def _last_changes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _watch(minutes: int, event_time: bool) -> Callable:
-    """State function: remembers only documents whose extraction is under way."""
+    """State function: remembers the last news of a document and whether extraction began.
+
+    Of an ended extraction the moment stays until the watermark has passed it (on the
+    clock, as long as a stuck one would take), so older news that comes later is known
+    as such and never raises an alarm.
+    """
     patience = minutes * 60_000
 
     def watch(
         key: tuple, frames: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
-            since = state.get[0]
+            since, begun = state.get
             state.remove()
-            yield pd.DataFrame({"id": [key[0]], "since": [since]})
+            if begun:
+                yield pd.DataFrame({"id": [key[0]], "since": [since]})
             return
         moment, status = max(
             max(zip(frame["micros"].tolist(), frame["status"].tolist())) for frame in frames
         )
         if state.exists and state.get[0] > moment:
             return
-        if status != EXTRACTING:
-            if state.exists:
-                state.remove()
-            return
-        state.update((moment,))
+        begun = status == EXTRACTING
+        state.update((moment, begun))
         if event_time:
-            deadline = moment // 1000 + patience
+            deadline = moment // 1000 + (patience if begun else 0)
             # A deadline already passed is due with the next watermark.
             state.setTimeoutTimestamp(max(deadline, state.getCurrentWatermarkMs() + 1))
         else:
@@ -147,9 +159,9 @@ def stuck_stream(
 ) -> DataFrame:
     """Documents whose extraction began more than ``minutes`` ago and brought no news.
 
-    ``changes`` is ``(id, status, updated_at)``. A document is kept in state only
-    while it is being extracted, so the state is as large as the work in progress,
-    not as the table; older news is recognised as such that long. With ``lateness``
+    ``changes`` is ``(id, status, updated_at)``. A document is kept in state while it
+    is being extracted, and after its end until older news can no longer come, so the
+    state is as large as the work in progress, not as the table. With ``lateness``
     time is event time behind that watermark, which gives the same result on every
     replay; without, it is the clock.
     """
@@ -165,7 +177,7 @@ def stuck_stream(
         timeout = GroupStateTimeout.EventTimeTimeout
     found = rows.groupBy("id").applyInPandasWithState(
         _watch(minutes, lateness is not None),
-        "id bigint, since bigint", "since bigint", "append", timeout,
+        "id bigint, since bigint", "since bigint, begun boolean", "append", timeout,
     )
     return found.select(
         "id",
@@ -199,8 +211,8 @@ def found_stuck(spark: SparkSession, out: str) -> DataFrame:
 
 def backfill(
     chunks: DataFrame,
-    docs: DataFrame,
-    resolved: DataFrame,
+    docs: Rows,
+    resolved: Rows,
     out: str,
     checkpoint: str,
     embed_fn: EmbedFn | None,
@@ -209,15 +221,60 @@ def backfill(
     seconds: int | None = 1,
     vector_col: str | None = None,
 ) -> StreamingQuery:
-    """Embed chunks as they arrive without a vector."""
+    """Embed chunks as they arrive without a vector.
+
+    ``docs`` and ``resolved`` may be functions that read the tables as they are now;
+    frames keep the files they began with. A chunk whose document is not there yet is
+    written as pending; :func:`backfill_pass` tries it and other open ones again.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        backlog = embedding_backlog(batch, docs, vector_col=vector_col)
-        plan = plan_backfill(backlog, resolved, has_fallback)
-        write_batch(run_backfill(plan, embed_fn, parity), out, batch_id)
+        _embed_missing(
+            batch, docs, resolved, out, batch_id, embed_fn, has_fallback, parity, vector_col
+        )
 
     return _start(chunks, handle, checkpoint, seconds)
 
 
+def _embed_missing(
+    chunks: DataFrame, docs: Rows, resolved: Rows, out: str, number: int, embed_fn: EmbedFn | None,
+    has_fallback: bool, parity: bool, vector_col: str | None,
+) -> DataFrame:
+    owners, credentials = (rows() if callable(rows) else rows for rows in (docs, resolved))
+    backlog = embedding_backlog(chunks, owners, vector_col=vector_col, keep_unowned=True)
+    plan = plan_backfill(backlog, credentials, has_fallback)
+    return write_batch(run_backfill(plan, embed_fn, parity), out, number)
+
+
+def backfill_pass(
+    chunks: DataFrame,
+    docs: Rows,
+    resolved: Rows,
+    out: str,
+    number: int,
+    embed_fn: EmbedFn | None,
+    has_fallback: bool = False,
+    parity: bool = False,
+    vector_col: str | None = None,
+) -> DataFrame:
+    """Look for missing vectors in the whole table, and write those found as batch ``number``.
+
+    What an earlier pass settled for the same content is left alone; open chunks, which
+    waited for their document or a credential or met an error, are tried again.
+    """
+    done = read_batches(chunks.sparkSession, out, VECTORS).where(
+        (F.col("batch_id") < number)
+        & (~F.col("embed_status").isin(OPEN) | F.col("dim").isNotNull())
+    )
+    key = [*CHUNK_KEY, "content_hash"]
+    waiting = chunks.withColumn("content_hash", content_hash()).join(
+        done.select(*key).distinct(), key, "left_anti"
+    )
+    return _embed_missing(
+        waiting, docs, resolved, out, number, embed_fn, has_fallback, parity, vector_col
+    )
+
+
 def backfilled(spark: SparkSession, out: str) -> DataFrame:
-    return latest_set(read_batches(spark, out, VECTORS))
+    """The last word on every chunk and content."""
+    return latest_set(read_batches(spark, out, VECTORS), [*CHUNK_KEY, "content_hash"])

@@ -171,11 +171,33 @@ def test_clock_timeouts():
     state = FakeState(now_ms=100_000)
     assert feed(state, (40_000_000, "ExtractingText")) == [] and state.timeout == 30 * 60_000 - 60_000
     assert feed(state, (30_000_000, "Processed")) == [] and state.exists  # older news
-    assert feed(state, (50_000_000, "Processed")) == [] and not state.exists
+    assert feed(state, (50_000_000, "Processed")) == [] and state.get == (50_000_000, False)
+    assert feed(state, (45_000_000, "ExtractingText")) == [] and state.get == (50_000_000, False)
     feed(state, (60_000_000, "ExtractingText"))
     state.hasTimedOut = True
     [found] = J._watch(30, event_time=False)((7,), iter([]), state)
     assert found.to_dict("list") == {"id": [7], "since": [60_000_000]} and not state.exists
+    state.hasTimedOut = False
+    feed(state, (70_000_000, "Processed"))
+    state.hasTimedOut = True
+    assert list(J._watch(30, event_time=False)((7,), iter([]), state)) == [] and not state.exists
+
+
+def test_news_out_of_order_raise_no_alarm(spark, tmp_path):
+    schema = "id long, status string, updated_at timestamp_ntz"
+    parts = [
+        changes([(1, "Processed", 10), (2, "ExtractingText", 8), (3, "Failed", 9)]),
+        changes([(1, "ExtractingText", 5), (3, "ExtractingText", 8), (2, "ExtractingText", 3)]),
+        changes([(9, "Processed", 300)]),
+        changes([(9, "Processed", 301)]),
+    ]
+    folder = tmp_path / "changes"
+    for n, rows in enumerate(parts):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/{n}")
+    out = str(tmp_path / "out")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/*")
+    J.watch_stuck(stream, out, str(tmp_path / "c"), seconds=None, lateness="1 hour", partitions=2).awaitTermination()
+    assert [(r.id, r.stuck_since) for r in J.found_stuck(spark, out).collect()] == [(2, T0 + dt.timedelta(minutes=8))]
 
 
 def test_backfill_equals_batch(spark, tmp_path):
@@ -198,5 +220,45 @@ def test_backfill_equals_batch(spark, tmp_path):
     plan = E.plan_backfill(E.embedding_backlog(spark.createDataFrame(rows, schema), docs), resolved, False)
     twin = E.run_backfill(plan, hashing_embedder(16))
     columns = ["document_id", "chunk_index", "embed_status", "credential_source", "dim", "embedding"]
-    assert rows_of(J.backfilled(spark, out), *columns) == rows_of(twin, *columns)
-    assert read_batches(spark, out, J.VECTORS).count() == twin.count() == 28
+    got = J.backfilled(spark, out)
+    assert rows_of(got.where("embed_status != 'pending'"), *columns) == rows_of(twin, *columns)
+    assert read_batches(spark, out, J.VECTORS).count() == twin.count() + 4 == 32
+    assert [r.document_id for r in got.where("embed_status = 'pending'").collect()] == [7] * 4
+
+
+def test_chunks_wait_for_their_document_and_credential(spark, tmp_path):
+    schema = "document_id long, chunk_index int, content string, embedding array<float>"
+    chunks, docs, out = (str(tmp_path / name) for name in ("chunks", "docs", "out"))
+
+    def arrive(path, rows, schema):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+
+    arrive(chunks, [(1, 0, "one", None), (1, 1, " ", None), (2, 0, "two", None), (3, 0, "three", None)], schema)
+    arrive(docs, [(1, "u1"), (3, "u3")], "id long, uploaded_by_user_id string")
+    known = [("u1", 11)]
+
+    def resolved():
+        return spark.createDataFrame(known, "user_id string, provider_config_id long")
+
+    def stream():
+        rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(chunks)
+        J.backfill(rows, lambda: spark.read.parquet(docs), resolved, out, str(tmp_path / "c"),
+                   hashing_embedder(16), seconds=None).awaitTermination()
+
+    def states():
+        return sorted((r.document_id, r.chunk_index, r.embed_status) for r in J.backfilled(spark, out).collect())
+
+    def again(number):
+        return J.backfill_pass(spark.read.parquet(chunks), spark.read.parquet(docs), resolved(), out, number, hashing_embedder(16))
+
+    stream()
+    assert states() == [(1, 0, "embedded"), (1, 1, "blank"), (2, 0, "pending"), (3, 0, "no_credential")]
+    arrive(docs, [(2, "u2"), (4, "u1")], "id long, uploaded_by_user_id string")
+    arrive(chunks, [(4, 0, "four", None)], schema)
+    stream()  # a document that came after the stream began
+    assert states()[-1] == (4, 0, "embedded")
+    known += [("u2", 22), ("u3", 33)]
+    for _ in range(2):  # replayed
+        assert again(2).count() == 2
+    assert [s for *_, s in states()] == ["embedded", "blank", "embedded", "embedded", "embedded"]
+    assert again(3).count() == 0
