@@ -9,7 +9,8 @@ the words taken come closest to the target.
 
 A unit is a group of equal rows (same id, text, source), so results do not depend on the
 order of rows. NULL texts have no words, NULL ids and sources are values like any other.
-A source without words has target 0. An empty table gives an empty mix.
+A source without words has target 0 and keeps its place in the weights. An empty table
+gives an empty mix.
 """
 
 from __future__ import annotations
@@ -139,19 +140,24 @@ def fly(units: DataFrame, buckets: str, final: bool) -> DataFrame:
     return units.withColumn("bucket", F.expr(buckets)).groupBy("source", "bucket").applyInPandas(run, units.withColumn("bucket", F.expr(buckets)).schema).drop("bucket")
 
 
-def mix(docs: DataFrame, key: str, size: str, source: str, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
+def goals(sized: DataFrame, size: str, source: str, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
+    """The targets over all rows: a source without words keeps its place among the weights."""
+    per_source = sized.groupBy(F.col(source).alias("source")).agg(F.sum(size).alias("source_size"))
+    return materialise(targets(per_source, weights, cap), "mix-targets")
+
+
+def mix(docs: DataFrame, key: str, size: str, source: str, goal: DataFrame, cap: int = CAP) -> DataFrame:
     """(_key, source, source_size, target, copies) per distinct ``key`` of rows with words.
 
-    ``key`` tells rows apart; rows that share one are taken together. Rows without words
-    never move a total and are left out, as are those of a source with target 0.
+    ``key`` tells rows apart; rows that share one are taken together. ``goal`` has the sources'
+    targets. Rows without words never move a total and are left out.
     """
     rows = docs.select(F.col(key).alias("key"), F.col(size).alias("words"), F.col(source).alias("source")).where("words > 0")
     units = materialise(
         rows.groupBy("key", "source").agg(F.sum("words").alias("words"), F.count("*").alias("rows")), "mix-units"
     )
-    per_source = units.groupBy("source").agg(F.sum("words").alias("source_size"), F.count("*").alias("_units"))
-    goal = materialise(targets(per_source, weights, cap), "mix-targets")
-    share = goal.join(per_source.select(F.col("source").alias("_source"), "_units"), F.col("source").eqNullSafe(F.col("_source")), "inner").drop("_source")
+    per_source = units.groupBy(F.col("source").alias("_source")).agg(F.count("*").alias("_units"))
+    share = goal.join(per_source, F.col("source").eqNullSafe(F.col("_source")), "inner").drop("_source")
     rate = F.least(F.lit(float(cap)), F.col("target") / F.col("source_size"))
     begun = materialise(
         units.alias("u").join(share.alias("g"), F.expr("u.source <=> g.source"))
@@ -193,8 +199,8 @@ def mixed_sizes(docs: DataFrame, key: str, text: str, source: str, weights: tupl
     """(doc_id, size, source_size, target, taken) of every row."""
     kept = [F.col(key).alias("doc_id"), F.col(source).alias("source"), row_key(key, text, source).alias("_row")]
     sized = materialise(with_sizes(docs, text, kept), "mix-sizes")
-    taken = mix(sized, "_row", "size", "source", weights, cap)
-    goal = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap)
+    goal = goals(sized, "size", "source", weights, cap)
+    taken = mix(sized, "_row", "size", "source", goal, cap)
     rows = sized.join(taken.select("_key", "copies"), F.col("_row") == F.col("_key"), "left")
     return (
         rows.alias("r").join(goal.alias("g"), F.expr("r.source <=> g.source"))
@@ -205,7 +211,8 @@ def mixed_sizes(docs: DataFrame, key: str, text: str, source: str, weights: tupl
 def mixed(docs: DataFrame, key: str, text: str, source: str, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
     """The rows of ``docs``, all columns, each as often as the mix takes it."""
     name = row_key(key, text, source)
-    sized = with_sizes(docs, text, [F.col(source).alias("source"), name.alias("_row")])
-    taken = mix(materialise(sized, "mix-sizes"), "_row", "size", "source", weights, cap).where("copies > 0").select("_key", "copies")
+    sized = materialise(with_sizes(docs, text, [F.col(source).alias("source"), name.alias("_row")]), "mix-sizes")
+    goal = goals(sized, "size", "source", weights, cap)
+    taken = mix(sized, "_row", "size", "source", goal, cap).where("copies > 0").select("_key", "copies")
     rows = docs.select(F.struct("*").alias("row"), name.alias("_key")).join(taken, "_key")
     return rows.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")

@@ -237,6 +237,18 @@ def test_targets_stop_at_the_cap(spark):
     assert got["a"] == 30 and got["b"] == pytest.approx(780) and got[None] == pytest.approx(300)
 
 
+def test_a_source_without_words_keeps_its_place(spark):
+    rows = [(k, text, None, "a") for k, text in enumerate(["", " \n", None])]
+    rows += [(10 + k, f"w{k} " * 10, None, "bc"[k % 2]) for k in range(200)]
+    got = mixing.mixed_sizes(spark.createDataFrame(rows, DOCS), "doc_id", "text", "source").toPandas()
+    got["source"] = got.doc_id.map({d: s for d, _, _, s in rows})
+    per = got.groupby("source").agg(taken=("taken", "sum"), target=("target", "first"))
+    assert per.target.tolist() == pytest.approx([0, 4000 / 3, 2000 / 3])
+    assert ((per.taken - per.target).abs() <= 10).all()
+    drawn = mixing.mixed(spark.createDataFrame(rows, DOCS), "doc_id", "text", "source").groupBy("source").count().collect()
+    assert all(abs(10 * r["count"] - per.target[r.source]) <= 10 for r in drawn) and len(drawn) == 2
+
+
 def test_quality_learns_and_scores_empty_texts(docs, empty):
     texts = [b"calm words in a row " * k for k in range(1, 30)] + [b"JUNK!! $$$ ### " * k for k in range(1, 30)]
     net = quality.train(texts, [1] * 29 + [0] * 29)
