@@ -13,7 +13,8 @@ others' postings are blocks of items with the largest weight per block; their su
 block's best score, and only blocks whose bound reaches the threshold are scored in full.
 No item above the threshold is lost.
 
-The index travels to the tasks in slices of bounded size, one pass over the texts each.
+The index travels to the tasks in slices of bounded size, one pass over the texts each. Word
+counts, lengths and windows are those of all items, so slices never change a result.
 An item's answer is its last sentence, or the last half of its words if it has only one.
 Items and texts without words, NULLs included, match nothing. Repeated ids are rows of
 their own: equal hits are reported once.
@@ -21,14 +22,17 @@ their own: equal hits are reported once.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folioflow.llm.store import extended, materialise
 from folioflow.llm.words import WordHasher, slices
 
 K1, B = 1.2, 0.75
@@ -59,24 +63,34 @@ def question_and_answer(text: str) -> tuple[str, str]:
     return text[:cut], text[cut:]
 
 
+class Totals(NamedTuple):
+    """What scores and windows take from all items: their number, mean and largest number of words."""
+
+    items: int
+    mean: float
+    span: int
+
+
 class Index:
-    """Block-max postings of items: (item_id, text) pairs, texts with words only."""
+    """Block-max postings of a slice's items: (item_id, text) pairs, texts with words only.
+
+    ``holders`` maps the slice's words, sorted, to the number of all items that hold them.
+    """
 
-    def __init__(self, items: list[tuple[int, str]]) -> None:
+    def __init__(self, items: list[tuple[int, str]], totals: Totals, holders: tuple[np.ndarray, np.ndarray]) -> None:
         tool = hasher()
         found = [(key, text, words_of(text, tool)) for key, text in items]
-        found = [(key, text, words) for key, text, words in found if len(words)]
         self.ids = [key for key, _, _ in found]
         self.parts = [tuple(words_of(part, tool) for part in question_and_answer(text)) for _, text, _ in found]
         lengths = np.array([len(w) for _, _, w in found], float)
-        self.span = int(lengths.max()) if len(found) else 1
+        self.span = totals.span
         owner = np.repeat(np.arange(len(found)), lengths.astype(int))
         self.terms, term = np.unique(np.concatenate([np.zeros(0, U64), *[w for _, _, w in found]]), return_inverse=True)
         key, times = np.unique(term * max(1, len(found)) + owner, return_counts=True)
         term, item = key // max(1, len(found)), key % max(1, len(found))
-        df = np.bincount(term, minlength=len(self.terms))
-        idf = np.log1p((len(found) - df + 0.5) / (df + 0.5))
-        norm = K1 * (1 - B + B * lengths / lengths.mean()) if len(found) else lengths
+        df = holders[1][np.searchsorted(holders[0], self.terms)]
+        idf = np.log1p((totals.items - df + 0.5) / (df + 0.5))
+        norm = K1 * (1 - B + B * lengths / totals.mean)
         weight = idf[term] * times * (K1 + 1) / (times + norm[item])
         weight /= np.bincount(item, weight, len(found))[item]
         # postings by term; a block's postings by (term, block)
@@ -180,25 +194,49 @@ def overlap(part: np.ndarray, passage: np.ndarray) -> float:
     return float(np.isin(grams(part, size), grams(passage, size)).mean())
 
 
-def item_slices(items: DataFrame, key: str, text: str) -> Iterator[list[tuple[int, str]]]:
-    """The items, in order, in lists of at most SLICE_ITEMS items and about SLICE_CHARS characters."""
-    rows = items.select(F.col(key).alias("k"), F.col(text).alias("t")).where("k IS NOT NULL AND t IS NOT NULL").distinct().orderBy("k", "t")
-    held, chars = [], 0
-    for row in rows.toLocalIterator():
-        held.append((row.k, row.t))
-        chars += len(row.t)
-        if len(held) >= SLICE_ITEMS or chars >= SLICE_CHARS:
-            yield held
-            held, chars = [], 0
-    if held:
-        yield held
+def indexes(items: DataFrame, key: str, text: str) -> Iterator[Index]:
+    """The items' index in slices of about SLICE_ITEMS items and SLICE_CHARS characters at most."""
+    rows = items.select(F.col(key).alias("k"), F.col(text).alias("t")).where("k IS NOT NULL AND t IS NOT NULL").distinct()
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tool = hasher()
+        for batch in batches:
+            size = [np.diff(tool.spans(data, bounds)[2]) for _, _, data, bounds in slices(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate([np.zeros(0, np.int64), *size]))], names=["k", "t", "n"])
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tool = hasher()
+        for batch in batches:
+            for start, stop, data, bounds in slices(batch.column(1)):
+                begin, end, at = tool.spans(data, bounds)
+                words = tool.hashes(data, begin, end)
+                for k in range(stop - start):
+                    own = np.unique(words[at[k]:at[k + 1]]).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), batch.column(0)[start + k].as_py())), pa.array(own)], names=["slice", "term"])
+
+    counted = materialise(rows.mapInArrow(measure, extended(rows.schema, "n long")).where("n > 0"), "items")
+    total = counted.agg(F.count("*").alias("items"), F.avg("n").alias("mean"), F.max("n").alias("span"), F.sum(F.length("t")).alias("chars")).first()
+    if not total["items"]:
+        return
+    totals = Totals(total["items"], total["mean"], total["span"])
+    count = max(math.ceil(total["items"] / SLICE_ITEMS), math.ceil(total["chars"] / SLICE_CHARS))
+    sliced = counted.withColumn("slice", F.pmod(F.xxhash64("k", "t"), F.lit(count)))
+    pairs = sliced.select("slice", "t").mapInArrow(spread, "slice long, term long").groupBy("slice", "term").agg(F.count("*").alias("own"))
+    holders = materialise(pairs.join(pairs.groupBy("term").agg(F.sum("own").alias("df")), "term").select("slice", "term", "df"), "item-words")
+    for k in range(count):
+        part = sliced.where(F.col("slice") == k).select("k", "t").orderBy("k", "t").collect()  # bounded by the slice
+        words = holders.where(F.col("slice") == k).select("term", "df").toArrow()
+        term, df = words.column(0).to_numpy().view(U64), words.column(1).to_numpy()
+        order = np.argsort(term)
+        if part:
+            yield Index([(r.k, r.t) for r in part], totals, (term[order], df[order]))
 
 
 def clean(docs: DataFrame, text: str, items: DataFrame, item_key: str, item_text: str) -> DataFrame:
     """The rows of ``docs``, all columns, in whose text no item is found."""
     spark, at_text, rest = docs.sparkSession, docs.columns.index(text), docs
-    for part in item_slices(items, item_key, item_text):
-        index = spark.sparkContext.broadcast(Index(part))  # bounded by the slice
+    for part in indexes(items, item_key, item_text):
+        index = spark.sparkContext.broadcast(part)  # bounded by the slice
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             tool = hasher()
@@ -221,8 +259,8 @@ def hits(docs: DataFrame, key: str, text: str, items: DataFrame, item_key: str,
     kinds = source.schema["doc_id"].dataType.simpleString(), items.schema[item_key].dataType.simpleString()
     schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, score double, question_overlap double, answer_overlap double"
     found = spark.createDataFrame([], schema)
-    for part in item_slices(items, item_key, item_text):
-        index = spark.sparkContext.broadcast(Index(part))  # bounded by the slice
+    for part in indexes(items, item_key, item_text):
+        index = spark.sparkContext.broadcast(part)  # bounded by the slice
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             tool, own = hasher(), index.value

@@ -191,6 +191,40 @@ def test_decontamination_equals_brute_force(spark, docs, empty):
     assert decontaminate.hits(empty, "doc_id", "text", bench, "item_id", "text").count() == 0
 
 
+def test_slices_never_change_a_hit(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    spoken = [f"w{k}" for k in range(300)]
+    texts = ["the of and " + " ".join(rng.choice(spoken, n)) + ". And " + " ".join(rng.choice(spoken, 6)) for n in rng.integers(4, 60, 25)]
+    bench = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    passages = []
+    for k, text in enumerate(texts * 8):
+        found = text.split()
+        first = int(rng.integers(0, len(found) // 2))
+        passages.append((k, " ".join([*rng.choice(spoken, 20), *found[first:], *rng.choice(spoken, 20)]), None, None))
+    frame = spark.createDataFrame(passages, DOCS)
+
+    def found():
+        return sorted(map(tuple, decontaminate.hits(frame, "doc_id", "text", bench, "item_id", "text").collect()))
+
+    def kept():
+        return sorted(r.doc_id for r in decontaminate.clean(frame, "text", bench, "item_id", "text").collect())
+
+    whole, rest = found(), kept()
+    assert rest == sorted(set(range(len(passages))) - {d for d, *_ in whole}) and 20 < len(whole) < len(passages)
+    # BM25 against itself, written out
+    tool = [re.findall(r"[a-z0-9]+", t.lower()) for t in texts]
+    holders, mean = collections.Counter(w for t in tool for w in set(t)), np.mean([len(t) for t in tool])
+    for doc, item, score, *_ in whole:
+        said = tool[item]
+        weight = {w: np.log1p((25 - holders[w] + 0.5) / (holders[w] + 0.5)) * said.count(w) * 2.2 / (said.count(w) + 1.2 * (0.25 + 0.75 * len(said) / mean)) for w in set(said)}
+        there = set(re.findall(r"[a-z0-9]+", passages[doc][1].lower()))
+        assert score <= sum(v for w, v in weight.items() if w in there) / sum(weight.values()) + 1e-9
+    monkeypatch.setattr(decontaminate, "SLICE_ITEMS", 6)
+    assert found() == whole
+    monkeypatch.setattr(decontaminate, "SLICE_ITEMS", 1)
+    assert found() == whole and kept() == rest
+
+
 def test_language_of_awkward_texts(docs, empty, spark):
     names, prototypes = language.learn(docs, "text", "lang")
     got = {r.doc_id: (r.lang_pred, r.score) for r in language.predict(docs, "text", [F.col("doc_id")], names, prototypes).collect()}
