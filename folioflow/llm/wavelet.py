@@ -41,18 +41,25 @@ CACHE_UNITS, SHARD_BYTES = 600_000, 16 << 20
 class Encoder:
     """Whole texts to ids of a byte-level BPE file, by way of the distinct pieces between spaces.
 
+    Special strings become their own ids, as the library does by default; with ``plain`` they
+    are text like any other.
+
     The tokenizer never merges across the start of ``space + non-space``, so a text's ids are
     those of its pieces in a row, and the library encodes a piece it has met before only
     once. Spaces before other white space are not such starts. New pieces are encoded many
     in a row; a piece's ids are those that cover its bytes.
     """
 
-    def __init__(self, path: str, units: int) -> None:
+    def __init__(self, path: str, units: int, plain: bool = True) -> None:
         from tokenizers import Tokenizer
 
         self.units = units
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        special = {} if plain else {t.content: n for n, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.special = {text: np.array([number]) for text, number in special.items()}
+        longest = sorted(map(re.escape, special), key=len, reverse=True)
+        self.between = re.compile(f"({'|'.join(longest)})") if special else None
+        self.tokenizer.encode_special_tokens = True  # of what stands between them, and of all when plain
         vocabulary = self.tokenizer.get_vocab()
         self.width = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, number in vocabulary.items():
@@ -78,6 +85,16 @@ class Encoder:
         return [np.array(e.ids, self.kind) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        if self.between is None or not any(map(self.between.search, texts)):
+            return self._plain(texts)
+        parts = [self.between.split(text) for text in texts]  # text, special, text, ...
+        encoded = iter(self._plain([part for of in parts for part in of[::2]]))
+        return [
+            np.concatenate([self.special[part].astype(self.kind) if k % 2 else next(encoded) for k, part in enumerate(of)])
+            for of in parts
+        ]
+
+    def _plain(self, texts: list[str]) -> list[np.ndarray]:
         cut = [self.start.split(text) if self.ambiguous.search(text) else text.split(" ") for text in texts]
         firsts = self._encode([parts.pop(0) for parts in cut])
         known = self.known
@@ -90,14 +107,14 @@ class Encoder:
         return [np.concatenate(pair) for pair in zip(firsts, rest, strict=True)]
 
 
-def encoder(path: str, units: int = CACHE_UNITS) -> Encoder:
+def encoder(path: str, units: int = CACHE_UNITS, plain: bool = True) -> Encoder:
     """The worker's encoder of a file: the pieces it knows, about ``units``, outlive a task."""
     home = sys.modules.setdefault("folioflow_worker", types.ModuleType("folioflow_worker"))
     if not hasattr(home, "encoders"):
         home.encoders = {}
-    if (path, units) not in home.encoders:
-        home.encoders[path, units] = Encoder(path, units)
-    return home.encoders[path, units]
+    if (path, units, plain) not in home.encoders:
+        home.encoders[path, units, plain] = Encoder(path, units, plain)
+    return home.encoders[path, units, plain]
 
 
 class WaveletMatrix:
@@ -236,7 +253,7 @@ def write_shards(docs: DataFrame, key: str, text: str, folder: str, vocabulary:
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode = encoder(vocabulary, units)
+        encode = encoder(vocabulary, units, plain=False)
         ids, doc_ids, counts = [], [], []
         for batch in batches:
             doc_ids += batch.column(0).to_pylist()

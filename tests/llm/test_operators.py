@@ -123,6 +123,17 @@ def test_token_files_round_trip(docs, empty):
     assert wavelet.token_table(empty, "doc_id", "text", VOCABULARY).count() == 0
 
 
+def test_special_strings_are_the_librarys_ids(spark):
+    tool = Tokenizer.from_file(VOCABULARY)
+    mark = "<|endoftext|>"
+    texts = [f"a {mark} b", mark, f"{mark}{mark}", f"  {mark}  x é🙂 ", f"x{mark}", f"one two {mark[:-1]} three", f"\n{mark}\n a  b {mark}", "plain", ""]
+    rows = [(k, t, None, None) for k, t in enumerate(texts)]
+    got = sorted((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in wavelet.token_table(spark.createDataFrame(rows, DOCS), "doc_id", "text", VOCABULARY).collect())
+    ids = [[*tool.encode(t, add_special_tokens=False).ids, 0] for t in texts]
+    starts = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).tolist()
+    assert got == [(k, s, len(i), zlib.crc32(np.array(i, "<u4").tobytes())) for k, (i, s) in enumerate(zip(ids, starts, strict=False))]
+
+
 def test_wavelet_matrix_answers():
     ids = np.random.default_rng(2).integers(0, 300, 5000)
     matrix, doc_ids, counts = wavelet.unpack(wavelet.pack(wavelet.WaveletMatrix.build(ids), [None, 7], np.array([1, 4999])))
