@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +28,13 @@ SYMBOLS = 64
 UNDETERMINED = "und"
 #: Rows counted at once: the table of counts has a row for each of them.
 COUNT_ROWS = 512
+#: Dimensions computed at once: more of them cost time, not memory.
+DIMENSIONS_AT_ONCE = 512
+#: Texts of fewer letters are too short to tell any language from chance.
+LEAST_LETTERS = 32
+#: So many texts at least are needed to know how near a language's texts are.
+LEAST_TEXTS = 100
+BEGINNINGS = (64, 128, 256, 512, 1024)
 
 
 def symbol_table() -> bytes:
@@ -46,10 +54,14 @@ def letter_vectors(dimensions: int) -> np.ndarray:
     return (bits.astype(np.float32) * 2 - 1).reshape(SYMBOLS, dimensions)
 
 
-def trigram_vectors(codes: np.ndarray, letters: np.ndarray) -> np.ndarray:
-    """Bind: the first letter rotated by two, the second by one, the third as it is."""
-    first, second = np.roll(letters, 2, axis=1), np.roll(letters, 1, axis=1)
-    return first[codes >> 12] * second[(codes >> 6) & 63] * letters[codes & 63]
+def trigram_vectors(codes: np.ndarray, letters: np.ndarray, part: slice = slice(None)) -> np.ndarray:
+    """Bind: the first letter rotated by two, the second by one, the third as it is; some dimensions of it."""
+    first, second = np.roll(letters, 2, axis=1)[:, part], np.roll(letters, 1, axis=1)[:, part]
+    return first[codes >> 12] * second[(codes >> 6) & 63] * letters[:, part][codes & 63]
+
+
+def parts(dimensions: int) -> list[slice]:
+    return [slice(k, k + DIMENSIONS_AT_ONCE) for k in range(0, dimensions, DIMENSIONS_AT_ONCE)]
 
 
 def trigrams(data: np.ndarray, bounds: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -109,7 +121,8 @@ def learn(docs: DataFrame, text: str, lang: str, dimensions: int = DIMENSIONS) -
                 kinds, of = np.unique(names[start:stop].astype(str), return_inverse=True)
                 distinct, counts = count_matrix(codes, of[row], len(kinds))
                 # whole numbers below 2^53: the sums don't depend on the order of rows
-                vectors = counts.astype(np.float64) @ trigram_vectors(distinct, letters)
+                counts = counts.astype(np.float64)
+                vectors = np.concatenate([counts @ trigram_vectors(distinct, letters, p) for p in parts(dimensions)], axis=1)
                 for kind, vector in zip(kinds, vectors, strict=True):
                     sums[kind] = sums.get(kind, 0) + vector
                 if len(sums) > 1000:
@@ -131,21 +144,26 @@ def learn(docs: DataFrame, text: str, lang: str, dimensions: int = DIMENSIONS) -
     return names, prototypes / np.where(length > 0, length, 1)
 
 
-def nearest(column: pa.Array, prototypes: np.ndarray, table: np.ndarray, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Number of the prototype nearest to each text, -1 for texts without a letter, and the cosine."""
-    best, score = np.full(len(column), -1), np.zeros(len(column))
+def nearest(column: pa.Array, prototypes: np.ndarray, table: np.ndarray, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number of the prototype nearest to each text, -1 for texts without a letter, the cosine, and the number of letters."""
+    best, score, size = np.full(len(column), -1), np.zeros(len(column)), np.zeros(len(column), np.int64)
     if not len(prototypes):
-        return best, score
+        return best, score, size
     for start, stop, data, bounds in slices(column, SLICE_BYTES // 2, COUNT_ROWS):
         codes, row = trigrams(data, bounds, table)
         distinct, counts = count_matrix(codes, row, stop - start)
-        vectors = (counts.astype(np.float32) @ trigram_vectors(distinct, letters)).astype(np.float64)
-        length = np.linalg.norm(vectors, axis=1)
-        cosine = vectors @ prototypes.T / np.where(length > 0, length, 1)[:, None]
-        some = np.bincount(row, minlength=stop - start) > 0
+        counts = counts.astype(np.float32)
+        square, cosine = np.zeros(stop - start), np.zeros((stop - start, len(prototypes)))
+        for part in parts(prototypes.shape[1]):
+            vectors = (counts @ trigram_vectors(distinct, letters, part)).astype(np.float64)
+            square += (vectors * vectors).sum(axis=1)
+            cosine += vectors @ prototypes[:, part].T
+        cosine /= np.sqrt(np.where(square > 0, square, 1))[:, None]
+        size[start:stop] = np.bincount(row, minlength=stop - start)
+        some = size[start:stop] > 0
         best[start:stop] = np.where(some, cosine.argmax(axis=1), -1)
         score[start:stop] = np.where(some, cosine.max(axis=1).clip(0, 1), 0)
-    return best, score
+    return best, score, size
 
 
 def predict(docs: DataFrame, text: str, keep: list[Column], names: list[str], prototypes: np.ndarray) -> DataFrame:
@@ -159,7 +177,7 @@ def predict(docs: DataFrame, text: str, keep: list[Column], names: list[str], pr
         table = np.frombuffer(zlib.decompress(packed), np.uint8)
         letters = letter_vectors(dimensions)
         for batch in batches:
-            best, score = nearest(batch.column(batch.num_columns - 1), prototypes, table, letters)
+            best, score, _ = nearest(batch.column(batch.num_columns - 1), prototypes, table, letters)
             label = np.array([*names, UNDETERMINED], object)[best]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(label, pa.string()), pa.array(score)],
@@ -169,8 +187,40 @@ def predict(docs: DataFrame, text: str, keep: list[Column], names: list[str], pr
     return source.mapInArrow(compare, extended(kept, "lang_pred string, score double"))
 
 
-def speaking(docs: DataFrame, text: str, prototypes: np.ndarray, least: float) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text has a letter and a prototype at ``least`` this near."""
+def limits(docs: DataFrame, text: str, prototypes: np.ndarray, share: float = 0.01, part: float = 2 / 3) -> np.ndarray:
+    """The least cosine of a text of 2^k to 2^(k+1) letters, for each k: ``part`` of what all but ``share`` reach.
+
+    Cosines grow with the text. Every text learned tells of short ones by its beginnings of
+    BEGINNINGS characters; a length of fewer than LEAST_TEXTS is judged as the one below it,
+    and texts below LEAST_LETTERS are not judged. A histogram (lengths x 1001) reaches the driver.
+    """
+    packed = symbol_table()
+    dimensions = prototypes.shape[1]
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.frombuffer(zlib.decompress(packed), np.uint8)
+        letters = letter_vectors(dimensions)
+        for batch in batches:
+            for most in BEGINNINGS:
+                _, score, size = nearest(pc.utf8_slice_codeunits(batch.column(0), 0, most), prototypes, table, letters)
+                judged = size >= LEAST_LETTERS
+                cells = np.log2(size[judged]).astype(np.int64) * 1001 + (score[judged] * 1000).astype(np.int64)
+                cell, texts = np.unique(cells, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(texts.astype(np.int64))], names=["cell", "texts"])
+
+    source = docs.select(F.col(text).alias("text")).where("text IS NOT NULL")
+    found = source.mapInArrow(measure, "cell long, texts long").groupBy("cell").agg(F.sum("texts").alias("texts")).collect()
+    table, least = np.zeros((64, 1001)), np.zeros(64)
+    for r in found:
+        table[divmod(r.cell, 1001)] = r.texts
+    for k, reached in enumerate(table.cumsum(axis=1)):
+        enough = reached[-1] >= LEAST_TEXTS
+        least[k] = np.searchsorted(reached, share * reached[-1], "right") / 1000 * part if enough else least[max(0, k - 1)]
+    return least
+
+
+def speaking(docs: DataFrame, text: str, prototypes: np.ndarray, least: np.ndarray) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text has a letter and, for its length, a prototype near enough."""
     packed = symbol_table()
     dimensions, at = prototypes.shape[1], docs.columns.index(text)
 
@@ -178,7 +228,8 @@ def speaking(docs: DataFrame, text: str, prototypes: np.ndarray, least: float) -
         table = np.frombuffer(zlib.decompress(packed), np.uint8)
         letters = letter_vectors(dimensions)
         for batch in batches:
-            best, score = nearest(batch.column(at), prototypes, table, letters)
-            yield batch.filter(pa.array((best >= 0) & (score >= least)))
+            best, score, size = nearest(batch.column(at), prototypes, table, letters)
+            need = np.where(size >= LEAST_LETTERS, least[np.log2(np.maximum(size, 1)).astype(np.int64)], 0)
+            yield batch.filter(pa.array((best >= 0) & (score >= need)))
 
     return docs.mapInArrow(keep, docs.schema)

@@ -314,6 +314,25 @@ def test_held_out_accuracy(spark):
     assert judged.agg(F.avg((F.col("quality") == F.col("predicted")).cast("int"))).first()[0] > 0.9
 
 
+def test_pipeline_keeps_short_texts_and_drops_unknown_languages(spark):
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rng = np.random.default_rng(6)
+    russian = "Все люди рождаются свободными и равными в своём достоинстве и правах, они наделены разумом и совестью. " * 40
+    letters = list("abcdefghijklmnopqrstuvwxyz     ")
+    odd = [(size, russian[k:k + size]) for size in (100, 300, 3000) for k in range(20)]
+    odd += [(size, "".join(rng.choice(letters, size))) for size in (300, 1000, 3000) for _ in range(20)]
+    near = [(100, "".join(rng.choice(letters, 100))) for _ in range(40)]
+    short = ["Avec.", "A.", "Erö.", "A.\nAll rights reserved.", "river", "Hello there", "Ereaea."]
+    texts = [*[t for _, t in odd], *[t for _, t in near], *short]
+    more = spark.createDataFrame([(10**9 + k, t, None, "x", len(t)) for k, t in enumerate(texts)], table.schema)
+    kept = {r.doc_id for r in corpus_pipeline.identify(spark, table.union(more), "").select("doc_id").collect()}
+    assert not any(10**9 + k in kept for k in range(len(odd)))
+    assert sum(10**9 + len(odd) + k in kept for k in range(len(near))) <= 2
+    assert all(10**9 + len(odd) + len(near) + k in kept for k in range(len(short)))
+    lost = [r.text for r in table.select("doc_id", "text").collect() if r.doc_id not in kept and re.search("[a-zA-Z]", r.text or "")]
+    assert len(lost) <= 0.005 * table.count()
+
+
 def test_pipeline_keeps_columns_and_survives_awkward_rows(spark, docs, tmp_path):
     folder = str(tmp_path)
     frame = docs.withColumn("n_chars", F.length("text"))
