@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.llm import chat, decontaminate, jaccard, language, mixing, projections, quality, secrets, warc, wavelet
+from folioflow.llm import chat, decontaminate, jaccard, language, mixing, projections, quality, repair, secrets, warc, wavelet
 from folioflow.llm.store import fold
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -99,3 +99,32 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mix all documents to the sources' target weights."""
     return mixing.mixed_sizes(table(spark, sf_dir, "documents"), "doc_id", "text", "source")
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversation rows with faults planted by a digest of conversation and turn; NULLs become a space."""
+    space = F.lit(" ")
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))
+    plain = rows.select(
+        "conv_id", "turn", F.coalesce("role", space).alias("role"), F.coalesce("text", space).alias("text"),
+        (F.crc32(key.cast("binary")) % 20).alias("fault"),
+    )
+    return plain.where("fault != 0").select(
+        "conv_id", "turn", F.when(F.col("fault") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("fault") == 1, "").when(F.col("fault") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text")).alias("text"),
+        F.explode(F.when(F.col("fault") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
+    ).drop("copy")
+
+
+@query
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damage every conversation and repair it; those that lost all rows have no faults and no audit."""
+    rows = table(spark, sf_dir, "conversations")
+    found = repair.repair(damaged(rows), "conv_id", "turn", "role", "text")
+    every = rows.select("conv_id").distinct().withColumnRenamed("conv_id", "_every")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return every.join(found, F.col("_every").eqNullSafe(F.col("conv_id")), "left").select(
+        F.col("_every").alias("conv_id"), *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
