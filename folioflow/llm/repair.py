@@ -11,9 +11,8 @@ are range-sorted, and what a partition holds of a conversation is one chunk. Eve
 backwards from a speculative vector of costs to go. Fix-up passes rerun the chunks whose
 successor turned out otherwise, along with their earlier run, until both vectors differ only by
 a constant: from there on the earlier run stands, with that constant added. When no chunk
-changes any more the backward costs are stitched. Each chunk of a long conversation then
-tells, for all four states, in which one it ends; chained, these give every chunk its first
-state, and within a chunk the least edit on a cheapest way is traced row by row. A conversation
+changes any more the backward costs are stitched. Each chunk also tells, for all four states,
+in which one it ends; chained, these give every chunk its first state, and within a chunk the least edit on a cheapest way is traced row by row. A conversation
 of any length, a third of all rows included, is thus worked on by many tasks; only its digest,
 SHA-256 being sequential, is streamed by one task, which holds no text but the row at hand.
 
@@ -48,8 +47,17 @@ NAMES = {2: "user", 3: "assistant"}
 FINAL = (0, 4, 2, 0)
 LAST_POS = (1 << 63) - 1
 
-CHUNK = "c string, part long, blank long, duplicate long, truncated long, illegal long, first int, last int"
-RUN = "assumed array<int>, start array<int>, gain long"
+#: What a chunk is, and what its last run found.
+CHUNK = {
+    "c": pa.string(), "part": pa.int64(), "n": pa.int64(), "blank": pa.int64(), "duplicate": pa.int64(), "truncated": pa.int64(),
+    "illegal": pa.int64(), "first": pa.int32(), "last": pa.int32(), "turns": pa.int64(), "low": pa.int64(), "high": pa.int64(),
+}
+RUN = {"assumed": pa.list_(pa.int32()), "start": pa.list_(pa.int32()), "gain": pa.int64(), "ends": pa.list_(pa.int32())}
+KEY = {"c": pa.string(), "part": pa.int64()}
+DDL = {pa.string(): "string", pa.int64(): "long", pa.int32(): "int", pa.list_(pa.int32()): "array<int>", pa.list_(pa.int64()): "array<long>",
+       pa.list_(pa.string()): "array<string>"}
+EDIT = {"c": pa.string(), "pos": pa.int64(), "audit": pa.string(), "inserted": pa.list_(pa.string()), "renamed": pa.string()}
+NEVER = 1 << 40
 
 
 class Moves:
@@ -103,13 +111,8 @@ def repair(rows: DataFrame, conv: str, turn: str, role: str, text: str) -> DataF
     table = materialise(_ordered(rows, conv, turn, role, text), "repair-rows")
     codes = materialise(_faults(table), "repair-codes")
     chunks = _converged(codes)
-    edits = _edits(codes, chunks)
-    digests = _digests(table, edits)
-    turns = table.groupBy("c").agg(
-        F.first("conv").alias(conv),
-        F.coalesce(F.max("turn") - F.min("turn") + 1 - F.count_distinct("turn"), F.lit(0)).cast("long").alias("gaps"),
-    )
-    return turns.join(_totals(chunks), "c").join(digests, "c").drop("c")
+    digests = _digests(table, _edits(codes, chunks))
+    return digests.join(_totals(chunks), "c").drop("c").withColumnRenamed("conv", conv)
 
 
 def lines(rows: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:
@@ -141,10 +144,10 @@ def _ordered(rows: DataFrame, conv: str, turn: str, role: str, text: str) -> Dat
 
 
 def _faults(table: DataFrame) -> DataFrame:
-    """(c, part, pos, initial, fault): each row's first fault."""
+    """(c, part, pos, turn, initial, fault): each row's first fault."""
     end = F.rtrim("text", F.lit(SPACE))
     coded = table.select(
-        "c", "pos", F.shiftright("pos", 33).alias("part"),
+        "c", "pos", "turn", F.shiftright("pos", 33).alias("part"),
         (F.position(F.substring("role", 1, 1), F.lit(INITIALS)) - 1).alias("at"), F.length(F.substring("role", 1, 1)).alias("named"),
         F.when(end == "", BLANK).when(~F.right(end, F.lit(1)).isin(".", "!", "?"), TRUNCATED).otherwise(SOUND).alias("fault"),
         F.sha2(F.concat_ws("\x00", F.sha2("role", 256), F.sha2("text", 256)), 256).alias("same"),
@@ -152,17 +155,27 @@ def _faults(table: DataFrame) -> DataFrame:
     firsts = coded.groupBy("c", "same").agg(F.min("pos").alias("pos")).select("pos", F.lit(True).alias("new"))
     repeated = F.col("new").isNull() & (F.col("fault") != BLANK)
     return coded.join(firsts, "pos", "left").select(
-        "c", "part", "pos", "initial", F.when(repeated, DUPLICATE).otherwise(F.col("fault")).cast("int").alias("fault")
+        "c", "part", "pos", "turn", "initial", F.when(repeated, DUPLICATE).otherwise(F.col("fault")).cast("int").alias("fault")
     )
 
 
+def _ddl(fields: dict) -> str:
+    return ", ".join(f"{name} {DDL[kind]}" for name, kind in fields.items())
+
+
+def _batch(rows: list[tuple], fields: dict) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [[] for _ in fields]
+    return pa.RecordBatch.from_arrays([pa.array(list(x), t) for x, t in zip(columns, fields.values(), strict=True)], names=list(fields))
+
+
 def _vector(values: tuple) -> Column:
     return F.array(*map(F.lit, values))
 
 
-def _backwards(codes: DataFrame) -> DataFrame:
+def _backwards(codes: DataFrame, width: int | None = None) -> DataFrame:
     """Rows of each chunk together, the last one first."""
-    return codes.repartition(shuffle_width(codes.sparkSession), "c", "part").sortWithinPartitions("c", "part", F.desc("pos"))
+    width = width or shuffle_width(codes.sparkSession)
+    return codes.repartition(width, "c", "part").sortWithinPartitions("c", "part", F.desc("pos"))
 
 
 def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, int, int, pa.RecordBatch]]:
@@ -176,8 +189,8 @@ def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, int,
             yield (names[a], int(parts[a])), a, b, batch
 
 
-def _rows(batch: pa.RecordBatch, a: int, b: int) -> Iterator[tuple[int, int]]:
-    return zip(batch["initial"][a:b].to_pylist(), batch["fault"][a:b].to_pylist(), strict=True)
+def _values(batch: pa.RecordBatch, a: int, b: int, *names: str) -> Iterator[tuple]:
+    return zip(*(batch[name].slice(a, b - a).to_pylist() for name in names), strict=True)
 
 
 def _speculate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,85 +198,136 @@ def _speculate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     moves, now, found = Moves(), None, []
     legal = {(0, 1), (1, 2), (2, 1)}
 
-    def flush() -> pa.RecordBatch:
-        names = ["c", "part", "blank", "duplicate", "truncated", "illegal", "first", "last", "assumed", "start", "gain"]
-        types = [pa.string(), *[pa.int64()] * 5, pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int64()]
-        columns = zip(*found, strict=True) if found else [[] for _ in names]
-        return pa.RecordBatch.from_arrays([pa.array(list(x), t) for x, t in zip(columns, types, strict=True)], names=names)
-
     def close() -> tuple:
-        return (*now, *counts[1:], illegal, following, last, list(FINAL), list(costs), gain)
+        return (*now, sum(counts), *counts[1:], illegal, following, last, turns, low, high, list(FINAL), list(costs), gain, ends)
 
     for key, a, b, batch in _stretches(batches):
         if key != now:
             if now is not None:
                 found.append(close())
-            now, costs, gain, counts, illegal, following, last = key, FINAL, 0, [0] * 4, 0, None, None
-        for initial, fault in _rows(batch, a, b):
-            costs, least, _ = moves(initial, fault, costs)
+            now, costs, gain, ends = key, FINAL, 0, [0, 1, 2, 3]
+            counts, illegal, following, last, turns, low, high = [0] * 4, 0, None, None, 0, None, None
+        for turn, initial, fault in _values(batch, a, b, "turn", "initial", "fault"):
+            costs, least, edits = moves(initial, fault, costs)
             gain += least
+            ends = [ends[state] for _, state in edits]
             counts[fault] += 1
             if following is None:
                 last = initial
             else:
                 illegal += (initial, following) not in legal
             following = initial
+            if turn is not None and turn != low:
+                turns += 1
+                low, high = turn, turn if high is None else high
         if len(found) >= 4096:
-            yield flush()
+            yield _batch(found, CHUNK | RUN)
             found = []
     if now is not None:
         found.append(close())
-    yield flush()
+    yield _batch(found, CHUNK | RUN)
 
 
 def _fix_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Chunks run again from their successor's costs, beside their earlier run until both agree."""
+    """Chunks run again from their successor's costs, beside their earlier run until both agree.
+
+    From there on only the chain of states is drawn further.
+    """
     moves, now, found = Moves(), None, []
 
     def close() -> tuple:
         if met:
-            return (*now, list(wanted), earlier["start"], gain + earlier["gain"] - old_gain)
-        return (*now, list(wanted), list(costs), gain)
+            return (*now, list(wanted), earlier["start"], gain + earlier["gain"] - old_gain, ends)
+        return (*now, list(wanted), list(costs), gain, ends)
 
     for key, a, b, batch in _stretches(batches):
         if key != now:
             if now is not None:
                 found.append(close())
             earlier = {k: batch[k][a].as_py() for k in ("wanted", "assumed", "start", "gain")}
-            wanted = tuple(earlier["wanted"])
-            now, costs, gain, old, old_gain, met = key, wanted, 0, tuple(earlier["assumed"]), 0, False
-        if met:
-            continue
-        for initial, fault in _rows(batch, a, b):
-            costs, least, _ = moves(initial, fault, costs)
-            gain += least
-            old, least, _ = moves(initial, fault, old)
-            old_gain += least
-            if met := costs == old:
-                break
+            now, wanted, gain, old_gain, met, ends = key, tuple(earlier["wanted"]), 0, 0, False, [0, 1, 2, 3]
+            costs, old = wanted, tuple(earlier["assumed"])
+        for initial, fault in _values(batch, a, b, "initial", "fault"):
+            costs, least, edits = moves(initial, fault, costs)
+            ends = [ends[state] for _, state in edits]
+            if not met:
+                gain += least
+                old, least, _ = moves(initial, fault, old)
+                old_gain += least
+                met = costs == old
     if now is not None:
         found.append(close())
-    types = [pa.string(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int64()]
-    columns = zip(*found, strict=True) if found else [[] for _ in types]
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(list(x), t) for x, t in zip(columns, types, strict=True)], names=["c", "part", "assumed", "start", "gain"]
-    )
+    yield _batch(found, KEY | RUN)
+
+
+def _matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each chunk's costs from every first to every last state: four runs, each from one certain last state."""
+    moves, now, found = Moves(), None, []
+    units = [tuple(0 if s == e else float("inf") for s in range(4)) for e in range(4)]
+
+    def close() -> tuple:
+        whole = [min(NEVER, cost + gain) for costs, gain in runs for cost in costs]
+        return (*now, [int(cost) for cost in whole])
+
+    for key, a, b, batch in _stretches(batches):
+        if key != now:
+            if now is not None:
+                found.append(close())
+            now, runs = key, [(unit, 0) for unit in units]
+        for initial, fault in _values(batch, a, b, "initial", "fault"):
+            runs = [(after, gain + least) for costs, gain in runs for after, least, _ in [moves(initial, fault, costs)]]
+    if now is not None:
+        found.append(close())
+    yield _batch(found, KEY | {"matrix": pa.list_(pa.int64())})
+
+
+def _multiplied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The costs each chunk ends in, from the last chunk of a conversation to its first."""
+    now, costs, found = None, FINAL, []
+    for batch in batches:
+        for c, part, matrix in _values(batch, 0, batch.num_rows, "c", "part", "matrix"):
+            now, costs = c, costs if c == now else FINAL
+            found.append((c, part, list(costs)))
+            before = [min(matrix[4 * e + s] + costs[e] for e in range(4)) for s in range(4)]
+            costs = tuple(cost - min(before) for cost in before)
+    yield _batch(found, KEY | {"wanted": pa.list_(pa.int32())})
 
 
 def _converged(codes: DataFrame) -> DataFrame:
-    """Every chunk with the costs it starts from and ends in, true along its conversation."""
-    chunks = materialise(_backwards(codes).mapInArrow(_speculate, f"{CHUNK}, {RUN}"), "repair-chunks")
+    """Every chunk with the costs it starts from and ends in, true along its conversation.
+
+    Where a second pass would still meet unlike costs, as along rows that only exchange two
+    states, the chunks' whole matrices are multiplied instead: the number of passes never
+    depends on the number of chunks.
+    """
+    spark = codes.sparkSession
+    chunks = materialise(_backwards(codes).mapInArrow(_speculate, _ddl(CHUNK | RUN)), "repair-chunks")
     order = Window.partitionBy("c").orderBy("part")
-    while True:
+    rows = max(chunks.agg(F.sum("n")).first()[0] or 0, 1)
+
+    def redone(wanted: DataFrame, function, fields: dict) -> DataFrame:
+        """As many tasks as the chunks' share of all rows asks for."""
+        share = (wanted.agg(F.sum("n")).first()[0] or 0) / rows
+        some = _backwards(codes.join(wanted.drop("n"), ["c", "part"]), max(1, round(share * shuffle_width(spark))))
+        return some.mapInArrow(function, _ddl(fields))
+
+    for turn in range(3):
         linked = chunks.withColumn("wanted", F.coalesce(F.lead("start").over(order), _vector(FINAL)))
-        wrong = linked.where("wanted != assumed").select("c", "part", "wanted", "assumed", "start", "gain")
+        wrong = linked.where("wanted != assumed").select("c", "part", "n", "wanted", "assumed", "start", "gain")
         if wrong.isEmpty():
-            return chunks
-        again = materialise(_backwards(codes.join(wrong, ["c", "part"])).mapInArrow(_fix_up, f"c string, part long, {RUN}"), "repair-fixed")
-        new = [F.coalesce(F.col(f"n.{k}"), F.col(f"o.{k}")).alias(k) for k in ("assumed", "start", "gain")]
-        kept = [f"o.{f.split()[0]}" for f in CHUNK.split(", ")]
-        joined = chunks.alias("o").join(again.alias("n"), (F.col("o.c") == F.col("n.c")) & (F.col("o.part") == F.col("n.part")), "left")
-        chunks = materialise(joined.select(*kept, *new), "repair-chunks")
+            break
+        if turn == 1:
+            unlike = chunks.join(wrong.select("c").distinct(), "c", "left_semi")
+            matrices = redone(unlike.select("c", "part", "n"), _matrices, KEY | {"matrix": pa.list_(pa.int64())})
+            chained = matrices.repartition(shuffle_width(spark), "c").sortWithinPartitions("c", F.desc("part"))
+            true = materialise(chained.mapInArrow(_multiplied, _ddl(KEY | {"wanted": pa.list_(pa.int32())})), "repair-costs")
+            wrong = unlike.join(true, ["c", "part"]).where("wanted != assumed").select(*wrong.columns)
+        again = materialise(redone(wrong, _fix_up, KEY | RUN), "repair-fixed")
+        new = [F.coalesce(F.col(f"n.{k}"), F.col(f"o.{k}")).alias(k) for k in RUN]
+        same = (F.col("o.c") == F.col("n.c")) & (F.col("o.part") == F.col("n.part"))
+        joined = chunks.alias("o").join(again.alias("n"), same, "left")
+        chunks = materialise(joined.select(*[f"o.{k}" for k in CHUNK], *new), "repair-chunks")
+    return chunks
 
 
 def _totals(chunks: DataFrame) -> DataFrame:
@@ -271,38 +335,22 @@ def _totals(chunks: DataFrame) -> DataFrame:
     before = F.lag("last").over(order)
     legal = ((before == 0) & (F.col("first") == 1)) | ((before == 1) & (F.col("first") == 2)) | ((before == 2) & (F.col("first") == 1))
     seam = F.when(before.isNotNull() & ~legal, 1).otherwise(0)
-    return chunks.withColumn("seam", seam).groupBy("c").agg(
+    known = F.max("high").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    turns = F.col("turns") - F.when(F.col("low") == known, 1).otherwise(0)
+    return chunks.withColumns({"seam": seam, "own": turns}).groupBy("c").agg(
+        F.coalesce(F.max("high") - F.min("low") + 1 - F.sum("own"), F.lit(0)).alias("gaps"),
         F.sum("blank").alias("blank"), F.sum("duplicate").alias("duplicate"), F.sum("truncated").alias("truncated"),
         (F.sum("illegal") + F.sum("seam")).alias("illegal"),
         (F.sum("gain") + F.min_by("start", "part")[0]).alias("cost"),
     )
 
 
-def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For every chunk the state it ends in, by the state it begins in."""
-    moves, now, found = Moves(), None, []
-    for key, a, b, batch in _stretches(batches):
-        if key != now:
-            if now is not None:
-                found.append((*now, ends))
-            now, costs, ends = key, tuple(batch["assumed"][a].as_py()), [0, 1, 2, 3]
-        for initial, fault in _rows(batch, a, b):
-            costs, _, edits = moves(initial, fault, costs)
-            ends = [ends[state] for _, state in edits]
-    if now is not None:
-        found.append((*now, ends))
-    columns = zip(*found, strict=True) if found else [[], [], []]
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(list(x), t) for x, t in zip(columns, [pa.string(), pa.int64(), pa.list_(pa.int32())], strict=True)], names=["c", "part", "ends"]
-    )
-
-
 def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The state each chunk begins in, along the chunks of a conversation."""
     now, state = None, 0
     for batch in batches:
         begins = []
-        for c, ends in zip(batch["c"].to_pylist(), batch["ends"].to_pylist(), strict=True):
+        for c, ends in _values(batch, 0, batch.num_rows, "c", "ends"):
             now, state = c, state if c == now else 0
             begins.append(state)
             state = ends[state]
@@ -326,10 +374,7 @@ def _trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if last and FINAL[here]:
             inserted = ["user", "assistant"] if here == 1 else ["assistant"]
             out.append((now[0], LAST_POS, "I" * len(inserted), inserted, None))
-        types = [pa.string(), pa.int64(), pa.string(), pa.list_(pa.string()), pa.string()]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(x), t) for x, t in zip(zip(*out, strict=True), types, strict=True)], names=["c", "pos", "audit", "inserted", "renamed"]
-        )
+        return _batch(out, EDIT)
 
     for key, a, b, batch in _stretches(batches):
         if key != now:
@@ -337,8 +382,8 @@ def _trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield walk()
             costs, state, last = (batch[k][a].as_py() for k in ("assumed", "begin", "ending"))
             now, costs, places, steps = key, tuple(costs), [], []
-        places += batch["pos"][a:b].to_pylist()
-        for initial, fault in _rows(batch, a, b):
+        places += batch["pos"].slice(a, b - a).to_pylist()
+        for initial, fault in _values(batch, a, b, "initial", "fault"):
             costs, _, edits = moves(initial, fault, costs)
             steps.append(edits)
     if now is not None:
@@ -349,15 +394,13 @@ def _edits(codes: DataFrame, chunks: DataFrame) -> DataFrame:
     """(c, pos, audit, inserted, renamed) of every row, and of what follows a last row."""
     order = Window.partitionBy("c").orderBy("part")
     placed = chunks.select(
-        "c", "part", "assumed", F.lead("part").over(order).isNull().alias("ending"), F.lag("part").over(order).isNull().alias("opening")
+        "c", "part", "assumed", "ends", F.lead("part").over(order).isNull().alias("ending"), F.lag("part").over(order).isNull().alias("opening")
     )
-    some = placed.where("NOT (opening AND ending)").select("c", "part", "assumed")
-    ends = _backwards(codes.join(some, ["c", "part"])).mapInArrow(_ends, "c string, part long, ends array<int>")
-    chained = ends.repartition(shuffle_width(codes.sparkSession), "c").sortWithinPartitions("c", "part")
+    # conversations of several chunks: at most two chunks a range partition, a few bytes each
+    chained = placed.where("NOT (opening AND ending)").select("c", "part", "ends").repartition("c").sortWithinPartitions("c", "part")
     begins = chained.mapInArrow(_chained, "c string, part long, begin int")
     known = placed.join(begins, ["c", "part"], "left").select("c", "part", "assumed", "ending", F.coalesce("begin", F.lit(0)).alias("begin"))
-    fields = "c string, pos long, audit string, inserted array<string>, renamed string"
-    return materialise(_backwards(codes.join(known, ["c", "part"])).mapInArrow(_trace, fields), "repair-edits")
+    return materialise(_backwards(codes.join(known, ["c", "part"])).mapInArrow(_trace, _ddl(EDIT)), "repair-edits")
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -370,28 +413,32 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begun = True
 
     for batch in batches:
-        columns = (batch[k].to_pylist() for k in ("c", "kind", "audit", "inserted", "role", "text"))
-        for c, kind, step, inserted, role, text in zip(*columns, strict=True):
+        columns = ("c", "kind", "audit", "inserted", "role", "text")
+        kinds = batch["conv"].type
+        for k, (c, kind, step, inserted, role, text) in enumerate(_values(batch, 0, batch.num_rows, *columns)):
             if c != now:
                 if now is not None:
-                    found.append((now, "".join(audit), digest.hexdigest()))
-                now, audit, digest, begun, edit = c, [], hashlib.sha256(), False, None
+                    found.append((now, conv, "".join(audit), digest.hexdigest()))
+                now, audit, digest, begun, edit, conv = c, [], hashlib.sha256(), False, None, None
             if kind == 0:
                 audit.append(step)
                 for name in inserted:
                     line(f"{name}:")
                 edit = (step[-1], role)
-            elif edit[0] != "D":
-                line(f"{edit[1] or role}:{text}")
+            else:
+                conv = batch["conv"][k].as_py()
+                if edit[0] != "D":
+                    line(f"{edit[1] or role}:{text}")
     if now is not None:
-        found.append((now, "".join(audit), digest.hexdigest()))
-    columns = zip(*found, strict=True) if found else [[], [], []]
-    yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.string()) for x in columns], names=["c", "audit", "repaired_sha256"])
+        found.append((now, conv, "".join(audit), digest.hexdigest()))
+        yield _batch(found, {"c": pa.string(), "conv": kinds, "audit": pa.string(), "repaired_sha256": pa.string()})
 
 
 def _digests(table: DataFrame, edits: DataFrame) -> DataFrame:
-    both = edits.select("c", "pos", F.lit(0).alias("kind"), "audit", "inserted", F.col("renamed").alias("role"), F.lit("").alias("text")).union(
-        table.select("c", "pos", F.lit(1).alias("kind"), F.lit("").alias("audit"), F.lit(None).cast("array<string>").alias("inserted"), "role", "text")
+    kind = table.schema["conv"].dataType.simpleString()
+    none = F.lit(None).cast(kind)
+    both = edits.select("c", none.alias("conv"), "pos", F.lit(0).alias("kind"), "audit", "inserted", F.col("renamed").alias("role"), F.lit("").alias("text")).union(
+        table.select("c", "conv", "pos", F.lit(1).alias("kind"), F.lit("").alias("audit"), F.array().cast("array<string>").alias("inserted"), "role", "text")
     )
     dealt = both.repartition(shuffle_width(table.sparkSession), "c").sortWithinPartitions("c", "pos", "kind")
-    return dealt.mapInArrow(_digest, "c string, audit string, repaired_sha256 string")
+    return dealt.mapInArrow(_digest, f"c string, conv {kind}, audit string, repaired_sha256 string")

@@ -108,6 +108,20 @@ def test_fix_ups_change_speculative_costs(spark):
     check(got, rows)
 
 
+def test_costs_that_never_agree_take_no_more_passes(spark, monkeypatch):
+    """Rows of no legal role exchange two states for ever: pass after pass would mend one chunk only."""
+    rows = [(5, t, "tool", f"Text {t}.") for t in range(401)] + [(6, t, "tool", "Same.") for t in range(300)]
+    runs, usual, width = [], repair.materialise, spark.conf.get("spark.sql.shuffle.partitions")
+    monkeypatch.setattr(repair, "materialise", lambda frame, name: runs.append(name) or usual(frame, name))
+    spark.conf.set("spark.sql.shuffle.partitions", 30)
+    try:
+        got = repair.repair(spark.createDataFrame(rows, SCHEMA), "conv_id", "turn", "role", "text").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+    check(got, rows)
+    assert "repair-costs" in runs and runs.count("repair-fixed") <= 2
+
+
 def test_awkward_rows(spark):
     rows = [(None, None, None, None), (None, 3, "user", "A."), (None, 1, "user", "A."), (7, None, "user", "B"), (7, None, "user", "B"), (8, 5, "é", "x!")]
     frame = spark.createDataFrame([(*r, 1) for r in rows], f"{SCHEMA}, pos long").withColumnRenamed("pos", "c")
