@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.llm import chat, decontaminate, jaccard, language, mixing, projections, quality, repair, secrets, warc, wavelet
+from folioflow.llm import chat, decontaminate, jaccard, language, mixing, projections, quality, repair, runs, secrets, warc, wavelet
 from folioflow.llm.store import fold
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -128,3 +128,30 @@ def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("audit", F.lit("")).alias("audit"),
         F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
     )
+
+
+def looped(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): in a tenth of the documents, by a digest of the id, the end repeats a few words."""
+    digest = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", "[ \t-\r]+"), lambda w: w != "")
+    planted = docs.select("doc_id", "text", (digest % 10 == 0).alias("hit"), F.floor(digest / 10).alias("g")).withColumn(
+        "w", F.when(F.col("hit"), words).otherwise(F.array().cast("array<string>"))
+    ).withColumn("n", F.size("w"))
+    at = planted.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n"))).withColumn(
+        "p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))
+    )
+    place = "transform(w, (x, i) -> element_at(w, cast(if(i < a, i, a + (i - a) % p) AS INT) + 1))"
+    return at.select("doc_id", F.when(F.col("hit") & (F.col("n") > 0), F.expr(f"array_join({place}, ' ')")).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, a tenth of which get looping ends."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = runs.find_runs(looped(docs), "text")
+    best = F.col("strongest")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), *[best[k].alias(k) for k in ("start", "length", "period")],
+        F.expr("(1000 * strongest.length) div strongest.period").alias("exponent_milli"),
+        runs.run_digest(F.col("runs")).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
