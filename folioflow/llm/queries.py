@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.llm import chat, decontaminate, jaccard, language, mixing, projections, quality, repair, runs, secrets, warc, wavelet
+from folioflow.llm import chat, decontaminate, jaccard, language, mixing, multiindex, projections, quality, repair, runs, secrets, warc, wavelet
 from folioflow.llm.store import fold
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -155,3 +155,11 @@ def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("(1000 * strongest.length) div strongest.period").alias("exponent_milli"),
         runs.run_digest(F.col("runs")).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
     )
+
+
+@query
+def op12_multiindex(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth one, among all others."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    index = multiindex.build(rows, "vec_id", "embedding", 10)
+    return multiindex.search(index, rows.where("vec_id % 100 = 0"), "vec_id", "embedding", 10)
