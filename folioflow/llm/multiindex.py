@@ -144,8 +144,14 @@ def build(rows: DataFrame, id_col: str, vector_col: str, k: int = 10, recall: fl
     books = {}
     sizes = {dim: max(1, min(MOST, round(math.sqrt(n / CELL_ROWS)))) for dim, n in totals.items()}
     most = max([TRIALS, *(SAMPLE * size for size in sizes.values())])
-    place = F.row_number().over(Window.partitionBy("dim").orderBy(F.xxhash64("entry"), "entry"))
-    sample = entries.select("entry", "vector", "dim").withColumn("_k", place).where(F.col("_k") <= most)
+    hashed = F.xxhash64("entry")
+    # twice as many as wanted, by hash, before any are compared: what meets in one task never grows with the table
+    share = F.lit(1.0)
+    for dim, n in totals.items():
+        share = F.when(F.col("dim") == dim, min(1.0, 2 * most / n)).otherwise(share)
+    few = entries.select("entry", "vector", "dim").where(F.pmod(hashed, F.lit(1 << 30)) < share * (1 << 30))
+    place = F.row_number().over(Window.partitionBy("dim").orderBy(F.pmod(hashed, F.lit(1 << 30)), "entry"))
+    sample = few.withColumn("_k", place).where(F.col("_k") <= most)
     drawn: dict[int, list] = {}
     for row in sample.orderBy("dim", "_k").collect():
         drawn.setdefault(row.dim, []).append((row.entry, row.vector))
