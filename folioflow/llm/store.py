@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -49,3 +52,34 @@ def write_file(store: fs.FileSystem, path: str, content: bytes) -> None:
 def extended(schema: StructType, fields: str) -> StructType:
     """A schema with more fields, given as DDL."""
     return StructType([*schema.fields, *StructType.fromDDL(fields).fields])
+
+
+def lean(function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """A batch function that hands the memory it freed back to the system when it ends.
+
+    Python workers serve one task after another, of all operators; what the allocators hold
+    back adds up over them.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+        if trim is not None:
+            trim(0)
+
+    return run
+
+
+def running_totals(frame: DataFrame, order: str, value: str, name: str, bucket: int = 4096) -> DataFrame:
+    """The sum of ``value`` over all rows of a smaller ``order``, a unique whole number from 0 on.
+
+    Rows are summed by buckets of numbers first, so no task orders more than a bucket, or the buckets.
+    """
+    numbered = frame.withColumn("_bucket", F.floor(F.col(order) / bucket))
+    sums = numbered.groupBy("_bucket").agg(F.sum(value).alias("_sum"))
+    before = F.sum("_sum").over(Window.orderBy("_bucket")) - F.col("_sum")
+    within = F.sum(value).over(Window.partitionBy("_bucket").orderBy(order)) - F.col(value)
+    return numbered.join(sums.select("_bucket", before.alias("_before")), "_bucket").withColumn(
+        name, F.col("_before") + within
+    ).drop("_bucket", "_before")

@@ -26,16 +26,18 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from folioflow.llm.store import open_store, write_file
+from folioflow.llm.store import lean, open_store, running_totals, write_file
 from folioflow.session import workspace
 
 MAGIC = b"WMX1"
 BLOCK = 1 << 19
 LEVEL = 1
-CACHE_UNITS, SHARD_BYTES = 600_000, 16 << 20
+CACHE_BYTES, SHARD_BYTES = 112 << 20, 16 << 20
+#: Tasks that write shards; beyond so many shards a task writes several, one after the other.
+MOST_TASKS = 20_000
 
 
 class Encoder:
@@ -50,10 +52,10 @@ class Encoder:
     in a row; a piece's ids are those that cover its bytes.
     """
 
-    def __init__(self, path: str, units: int, plain: bool = True) -> None:
+    def __init__(self, path: str, memory: int, plain: bool = True) -> None:
         from tokenizers import Tokenizer
 
-        self.units = units
+        self.room = memory  # bytes left for pieces
         self.tokenizer = Tokenizer.from_file(path)
         special = {} if plain else {t.content: n for n, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.special = {text: np.array([number]) for text, number in special.items()}
@@ -96,25 +98,37 @@ class Encoder:
 
     def _plain(self, texts: list[str]) -> list[np.ndarray]:
         cut = [self.start.split(text) if self.ambiguous.search(text) else text.split(" ") for text in texts]
-        firsts = self._encode([parts.pop(0) for parts in cut])
-        known = self.known
-        found = self._learn(list(set().union(*cut).difference(known)))
-        known.update(found)
-        rest = [np.frombuffer(b"".join(map(known.__getitem__, parts)), self.kind) for parts in cut]
-        if len(known) > self.units:  # remember no more pieces: the frequent ones came early
-            for piece in found:
-                del known[piece]
-        return [np.concatenate(pair) for pair in zip(firsts, rest, strict=True)]
-
-
-def encoder(path: str, units: int = CACHE_UNITS, plain: bool = True) -> Encoder:
-    """The worker's encoder of a file: the pieces it knows, about ``units``, outlive a task."""
+        firsts = self._encode([parts[0] for parts in cut])
+        held, open_, new = [], [], set()
+        for parts, first in zip(cut, firsts, strict=True):
+            ids = list(map(self.known.get, parts))
+            ids[0] = first.tobytes()
+            held.append(ids)
+            if None in ids:
+                missing = [k for k, found in enumerate(ids) if found is None]
+                open_.append((parts, ids, missing))
+                new.update([parts[k] for k in missing])
+        found = self._learn(list(new))
+        for parts, ids, missing in open_:
+            for k in missing:
+                ids[k] = found[parts[k]]
+        if self.room > 0:  # remember no more than that: the frequent pieces come early
+            for piece, ids in found.items():
+                self.room -= sys.getsizeof(piece) + sys.getsizeof(ids) + 100
+                if self.room <= 0:
+                    break
+                self.known[piece] = ids
+        return [np.frombuffer(b"".join(ids), self.kind) for ids in held]
+
+
+def encoder(path: str, memory: int = CACHE_BYTES, plain: bool = True) -> Encoder:
+    """The worker's encoder of a file: the pieces it knows, ``memory`` bytes, outlive a task."""
     home = sys.modules.setdefault("folioflow_worker", types.ModuleType("folioflow_worker"))
     if not hasattr(home, "encoders"):
         home.encoders = {}
-    if (path, units, plain) not in home.encoders:
-        home.encoders[path, units, plain] = Encoder(path, units, plain)
-    return home.encoders[path, units, plain]
+    if (path, memory, plain) not in home.encoders:
+        home.encoders[path, memory, plain] = Encoder(path, memory, plain)
+    return home.encoders[path, memory, plain]
 
 
 class WaveletMatrix:
@@ -240,44 +254,68 @@ def stored_ids(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
 
-def write_shards(docs: DataFrame, key: str, text: str, folder: str, vocabulary: str, end_id: int = 0, shard_bytes: int = SHARD_BYTES, units: int = CACHE_UNITS) -> DataFrame:
-    """Write the documents' ids in ascending order of ``key``; one row per shard (name, docs, tokens).
+def write_shards(docs: DataFrame, key: str, text: str, folder: str, vocabulary: str, end_id: int = 0, shard_bytes: int = SHARD_BYTES, memory: int = CACHE_BYTES) -> DataFrame:
+    """Write the documents' ids in ascending order of ``key``; one row per shard (part, piece, name, docs, tokens).
 
     Texts are dealt by range of the key into shards of about ``shard_bytes``; a task holds
-    the ids of one shard, 2 bytes each, and publishes its file when it is complete.
+    the ids of one shard, 2 bytes each, and publishes its file when it is complete. Shards
+    follow each other by (part, piece), as numbers.
     """
     source = stored_ids(docs, key, text)
     total = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(1, -(-total // shard_bytes))
+    tasks = int(max(1, min(MOST_TASKS, -(-total // shard_bytes))))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode = encoder(vocabulary, units, plain=False)
-        ids, doc_ids, counts = [], [], []
+        encode = encoder(vocabulary, memory, plain=False)
+        part, piece = TaskContext.get().partitionId(), 0
+        store, path = open_store(folder)
+        ids, doc_ids, counts, size = [], [], [], 0
+
+        def close() -> pa.RecordBatch:
+            name = f"shard-{part:06d}-{piece:06d}.wm"
+            end = np.array([end_id], encode.kind)
+            joined = np.concatenate([x for found in ids for x in (found, end)])
+            ids.clear()
+            write_file(store, f"{path}/{name}", pack(WaveletMatrix.build(joined), doc_ids, np.array(counts)))
+            return pa.RecordBatch.from_pylist(
+                [{"part": part, "piece": piece, "name": name, "docs": len(doc_ids), "tokens": len(joined)}], _shard_rows()
+            )
+
         for batch in batches:
-            doc_ids += batch.column(0).to_pylist()
             for at in range(0, batch.num_rows, 256):
-                for found in encode(batch.column(1).slice(at, 256).to_pylist()):
-                    ids += [found, np.array([end_id], found.dtype)]
-                    counts.append(len(found) + 1)
+                some = batch.slice(at, 256)
+                found = encode(some.column(1).to_pylist())
+                ids += found
+                doc_ids += some.column(0).to_pylist()
+                counts += [len(x) + 1 for x in found]
+                size += some.column(1).nbytes
+                if size > 1.5 * shard_bytes:  # a range of more than its share
+                    yield close()
+                    piece, doc_ids, counts, size = piece + 1, [], [], 0
         if doc_ids:
-            name = f"shard-{TaskContext.get().partitionId():06d}.wm"
-            store, path = open_store(folder)
-            joined = np.concatenate(ids)
-            ids.clear()
-            write_file(store, f"{path}/{name}", pack(WaveletMatrix.build(joined), doc_ids, np.array(counts)))
-            yield pa.RecordBatch.from_pylist([{"name": name, "docs": len(doc_ids), "tokens": len(joined)}], _shard_rows())
+            yield close()
 
     store, path = open_store(folder)
     store.create_dir(path)
     order = ["doc_id", F.xxhash64("text")]
-    dealt = source.repartitionByRange(int(shards), *order).sortWithinPartitions("doc_id", F.xxhash64("text"), F.sha2("text", 256))
-    return dealt.mapInArrow(write, "name string, docs long, tokens long")
+    dealt = source.repartitionByRange(tasks, *order).sortWithinPartitions("doc_id", F.xxhash64("text"), F.sha2("text", 256))
+    return dealt.mapInArrow(lean(write), SHARD)
+
+
+SHARD = "part long, piece long, name string, docs long, tokens long"
 
 
 def _shard_rows() -> pa.Schema:
-    return pa.schema([("name", pa.string()), ("docs", pa.int64()), ("tokens", pa.int64())])
+    return pa.schema([("part", pa.int64()), ("piece", pa.int64()), ("name", pa.string()), ("docs", pa.int64()), ("tokens", pa.int64())])
+
+
+def placed(shards: DataFrame) -> DataFrame:
+    """Shards with ``start``, the number of ids in all shards before, in the order of (part, piece)."""
+    parts = running_totals(shards.groupBy("part").agg(F.sum("tokens").alias("all")), "part", "all", "before")
+    within = F.sum("tokens").over(Window.partitionBy("part").orderBy("piece")) - F.col("tokens")
+    return shards.join(parts.drop("all"), "part").withColumn("start", F.col("before") + within).drop("before")
 
 
 def read_shards(spark: SparkSession, shards: DataFrame, folder: str, rows: Callable, schema: str) -> DataFrame:
@@ -290,23 +328,19 @@ def read_shards(spark: SparkSession, shards: DataFrame, folder: str, rows: Calla
                 with store.open_input_stream(f"{path}/{shard['name']}") as file:
                     yield rows(shard, *unpack(file.read()))
 
-    return shards.mapInArrow(read, schema)
+    return shards.mapInArrow(lean(read), schema)
 
 
-def token_table(docs: DataFrame, key: str, text: str, vocabulary: str, end_id: int = 0, shard_bytes: int = SHARD_BYTES, units: int = CACHE_UNITS) -> DataFrame:
+def token_table(docs: DataFrame, key: str, text: str, vocabulary: str, end_id: int = 0, shard_bytes: int = SHARD_BYTES, memory: int = CACHE_BYTES) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) read back from the written shards.
 
-    ``units`` bounds the pieces a worker remembers: fewer save memory and cost time.
+    ``memory`` bounds the pieces a worker remembers: fewer save memory and cost time.
     """
     spark = docs.sparkSession
     folder = workspace(spark, "wavelet")
     manifest = f"{folder}-manifest"
-    write_shards(docs, key, text, folder, vocabulary, end_id, shard_bytes, units).write.parquet(manifest)
-    shards = spark.read.schema("name string, docs long, tokens long").parquet(manifest)
-    # one row a shard: its first position follows from the shards before it
-    listed = shards.orderBy("name").collect()
-    start = np.concatenate([[0], np.cumsum([r.tokens for r in listed])]).tolist()
-    placed = spark.createDataFrame([(r.name, s) for r, s in zip(listed, start, strict=False)], "name string, start long")
+    write_shards(docs, key, text, folder, vocabulary, end_id, shard_bytes, memory).write.parquet(manifest)
+    shards = spark.read.schema(SHARD).parquet(manifest)
 
     def rows(shard: dict, matrix: WaveletMatrix, doc_ids: list, counts: np.ndarray) -> pa.RecordBatch:
         ids = matrix.all().astype("<u4")
@@ -317,5 +351,5 @@ def token_table(docs: DataFrame, key: str, text: str, vocabulary: str, end_id: i
             names=["doc_id", "start", "n_tokens", "ids_crc32"],
         )
 
-    dealt = placed.repartition(max(1, len(listed)), "name") if listed else placed
+    dealt = placed(shards).repartition(max(1, min(MOST_TASKS, shards.count())))
     return read_shards(spark, dealt, folder, rows, "doc_id long, start long, n_tokens long, ids_crc32 long")
