@@ -13,27 +13,31 @@ others' postings are blocks of items with the largest weight per block; their su
 block's best score, and only blocks whose bound reaches the threshold are scored in full.
 No item above the threshold is lost.
 
-The index travels to the tasks in slices of bounded size, one pass over the texts each. Word
-counts, lengths and windows are those of all items, so slices never change a result.
+The index is cut into slices of bounded size, each built by one task and written to the shared
+folder; the texts are passed once, and a task holds one slice at a time. Word counts, lengths
+and windows are those of all items, so slices never change a result.
 An item's answer is its last sentence, or the last half of its words if it has only one.
-Items and texts without words, NULLs included, match nothing. Repeated ids are rows of
-their own: equal hits are reported once.
+Items and texts without words, NULLs included, match nothing. An item with a NULL id is found
+like any other. Repeated ids are rows of their own: equal hits are reported once.
 """
 
 from __future__ import annotations
 
 import math
+import pickle
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from folioflow.llm.store import extended, materialise
+from folioflow.llm.store import extended, lean, materialise, open_store, write_file
 from folioflow.llm.words import WordHasher, slices
+from folioflow.session import workspace
 
 K1, B = 1.2, 0.75
 THRESHOLD, SLACK = 0.6, 0.5
@@ -75,13 +79,21 @@ class Index:
     """Block-max postings of a slice's items: (item_id, text) pairs, texts with words only.
 
     ``holders`` maps the slice's words, sorted, to the number of all items that hold them.
+    An index is stored and loaded as a dict of arrays and lists.
     """
 
-    def __init__(self, items: list[tuple[int, str]], totals: Totals, holders: tuple[np.ndarray, np.ndarray]) -> None:
+    def __init__(self, state: dict) -> None:
+        self.__dict__.update(state)
+
+    @classmethod
+    def build(cls, items: list[tuple], totals: Totals, holders: tuple[np.ndarray, np.ndarray]) -> dict:
+        self = cls({})
         tool = hasher()
         found = [(key, text, words_of(text, tool)) for key, text in items]
         self.ids = [key for key, _, _ in found]
-        self.parts = [tuple(words_of(part, tool) for part in question_and_answer(text)) for _, text, _ in found]
+        parts = [words_of(part, tool) for _, text, _ in found for part in question_and_answer(text)]
+        self.part_words = np.concatenate([np.zeros(0, U64), *parts])
+        self.part_bounds = np.concatenate([[0], np.cumsum([len(part) for part in parts], dtype=np.int64)])
         lengths = np.array([len(w) for _, _, w in found], float)
         self.span = totals.span
         owner = np.repeat(np.arange(len(found)), lengths.astype(int))
@@ -118,6 +130,12 @@ class Index:
         self.block_id = block_key % max(1, self.blocks)
         self.block_begin = np.searchsorted(block_key // max(1, self.blocks), np.arange(len(self.terms) + 1))
         self.essential = ~aside
+        return vars(self)
+
+    def parts(self, item: int) -> tuple[np.ndarray, np.ndarray]:
+        """Words of an item's question and answer."""
+        a, b, c = self.part_bounds[2 * item:2 * item + 3]
+        return self.part_words[a:b], self.part_words[b:c]
 
     def lookup(self, words: np.ndarray) -> np.ndarray:
         """Term numbers of words, -1 where no item has the word."""
@@ -173,7 +191,7 @@ class Index:
         out = []
         for k in np.flatnonzero(total >= THRESHOLD):
             item = block * ITEMS_PER_BLOCK + int(k)
-            question, answer = (overlap(part, passage) for part in self.parts[item])
+            question, answer = (overlap(part, passage) for part in self.parts(item))
             if question >= OVERLAP and answer >= OVERLAP:
                 out.append((item, float(total[k]), question, answer))
         return out
@@ -194,9 +212,10 @@ def overlap(part: np.ndarray, passage: np.ndarray) -> float:
     return float(np.isin(grams(part, size), grams(passage, size)).mean())
 
 
-def indexes(items: DataFrame, key: str, text: str) -> Iterator[Index]:
-    """The items' index in slices of about SLICE_ITEMS items and SLICE_CHARS characters at most."""
-    rows = items.select(F.col(key).alias("k"), F.col(text).alias("t")).where("k IS NOT NULL AND t IS NOT NULL").distinct()
+def build_index(items: DataFrame, key: str, text: str) -> tuple[str, int]:
+    """Folder and number of the index's slices, of about SLICE_ITEMS items and SLICE_CHARS characters at most."""
+    spark = items.sparkSession
+    rows = items.select(F.col(key).alias("k"), F.col(text).alias("t")).where("t IS NOT NULL").distinct()
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = hasher()
@@ -214,69 +233,98 @@ def indexes(items: DataFrame, key: str, text: str) -> Iterator[Index]:
                     own = np.unique(words[at[k]:at[k + 1]]).view(np.int64)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), batch.column(0)[start + k].as_py())), pa.array(own)], names=["slice", "term"])
 
+    folder = workspace(spark, "item-slices")
+    store, path = open_store(folder)
+    store.create_dir(path)
     counted = materialise(rows.mapInArrow(measure, extended(rows.schema, "n long")).where("n > 0"), "items")
     total = counted.agg(F.count("*").alias("items"), F.avg("n").alias("mean"), F.max("n").alias("span"), F.sum(F.length("t")).alias("chars")).first()
     if not total["items"]:
-        return
-    totals = Totals(total["items"], total["mean"], total["span"])
+        return folder, 0
+    totals = total["items"], total["mean"], total["span"]
     count = max(math.ceil(total["items"] / SLICE_ITEMS), math.ceil(total["chars"] / SLICE_CHARS))
     sliced = counted.withColumn("slice", F.pmod(F.xxhash64("k", "t"), F.lit(count)))
     pairs = sliced.select("slice", "t").mapInArrow(spread, "slice long, term long").groupBy("slice", "term").agg(F.count("*").alias("own"))
-    holders = materialise(pairs.join(pairs.groupBy("term").agg(F.sum("own").alias("df")), "term").select("slice", "term", "df"), "item-words")
-    for k in range(count):
-        part = sliced.where(F.col("slice") == k).select("k", "t").orderBy("k", "t").collect()  # bounded by the slice
-        words = holders.where(F.col("slice") == k).select("term", "df").toArrow()
-        term, df = words.column(0).to_numpy().view(U64), words.column(1).to_numpy()
+    holders = pairs.join(pairs.groupBy("term").agg(F.sum("own").alias("df")), "term").select("slice", "term", "df")
+
+    def write(number: tuple, part: pa.Table, words: pa.Table) -> pa.Table:
+        slice_ = number[0].as_py()
+        term, df = words["term"].to_numpy().view(U64), words["df"].to_numpy()
         order = np.argsort(term)
-        if part:
-            yield Index([(r.k, r.t) for r in part], totals, (term[order], df[order]))
+        part = part.sort_by([("k", "ascending"), ("t", "ascending")])
+        state = Index.build(list(zip(part["k"].to_pylist(), part["t"].to_pylist(), strict=True)), Totals(*totals), (term[order], df[order]))
+        store, path = open_store(folder)
+        write_file(store, f"{path}/{slice_}", pickle.dumps(state, protocol=5))
+        return pa.table({"slice": pa.array([slice_], pa.int64())})
+
+    written = sliced.select("slice", "k", "t").groupBy("slice").cogroup(holders.groupBy("slice")).applyInArrow(write, "slice long")
+    written.agg(F.count("*")).collect()
+    return folder, count
+
+
+def searches(folder: str, count: int) -> Callable[[pa.Array], Iterator[tuple]]:
+    """A function from a column of texts to (row, index, item, score, question, answer) of all hits.
+
+    One slice is loaded at a time, for all texts at hand; a single one stays loaded.
+    """
+    tool, store, path = hasher(), *open_store(folder)
+    kept: list[Index] = []
+
+    def load(number: int) -> Index | None:
+        if kept:
+            return kept[0]
+        info = store.get_file_info(f"{path}/{number}")
+        if not info.is_file:  # no item fell into it
+            return None
+        with store.open_input_stream(info.path) as file:
+            index = Index(pickle.loads(file.read()))
+        if count == 1:
+            kept.append(index)
+        return index
+
+    def search(texts: pa.Array) -> Iterator[tuple]:
+        for number in range(count):
+            index = load(number)
+            for start, _, data, bounds in slices(texts) if index else ():
+                begin, end, at = tool.spans(data, bounds)
+                for t, *hit in index.search(tool.hashes(data, begin, end), at):
+                    yield start + t, index, *hit
+
+    return search
 
 
 def clean(docs: DataFrame, text: str, items: DataFrame, item_key: str, item_text: str) -> DataFrame:
     """The rows of ``docs``, all columns, in whose text no item is found."""
-    spark, at_text, rest = docs.sparkSession, docs.columns.index(text), docs
-    for part in indexes(items, item_key, item_text):
-        index = spark.sparkContext.broadcast(part)  # bounded by the slice
+    at_text = docs.columns.index(text)
+    folder, count = build_index(items, item_key, item_text)
 
-        def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
-            tool = hasher()
-            for batch in batches:
-                free = np.ones(batch.num_rows, bool)
-                for start, _, data, bounds in slices(batch.column(at_text)):
-                    begin, end, at = tool.spans(data, bounds)
-                    for t, *_ in index.value.search(tool.hashes(data, begin, end), at):
-                        free[start + t] = False
-                yield batch.filter(pa.array(free))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        search = searches(folder, count)
+        for batch in batches:
+            free = np.ones(batch.num_rows, bool)
+            for row, *_ in search(batch.column(at_text)):
+                free[row] = False
+            yield batch.filter(pa.array(free))
 
-        rest = rest.mapInArrow(run, docs.schema)
-    return rest
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def hits(docs: DataFrame, key: str, text: str, items: DataFrame, item_key: str, item_text: str) -> DataFrame:
     """(doc_id, item_id, score, question_overlap, answer_overlap): one row per text and item found in it."""
-    spark = docs.sparkSession
     source = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).where("text IS NOT NULL")
     kinds = source.schema["doc_id"].dataType.simpleString(), items.schema[item_key].dataType.simpleString()
     schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, score double, question_overlap double, answer_overlap double"
-    found = spark.createDataFrame([], schema)
-    for part in indexes(items, item_key, item_text):
-        index = spark.sparkContext.broadcast(part)  # bounded by the slice
-
-        def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
-            tool, own = hasher(), index.value
-            for batch in batches:
-                rows, items = [], []
-                for start, _, data, bounds in slices(batch.column(1)):
-                    begin, end, at = tool.spans(data, bounds)
-                    for t, *hit in own.search(tool.hashes(data, begin, end), at):
-                        rows.append(start + t)
-                        items.append((own.ids[hit[0]], *hit[1:]))
-                columns = list(zip(*items, strict=True)) if items else [[]] * 4
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(columns[0], pa.int64() if not items else None),
-                     *[pa.array(c, pa.float64()) for c in columns[1:]]],
-                    names=["doc_id", "item_id", "score", "question_overlap", "answer_overlap"],
-                )
-
-        found = found.union(source.mapInArrow(run, schema))
+    kind = to_arrow_type(items.schema[item_key].dataType)
+    folder, count = build_index(items, item_key, item_text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        search = searches(folder, count)
+        for batch in batches:
+            found = [(row, index.ids[item], *scores) for row, index, item, *scores in search(batch.column(1))]
+            rows, ids, *scores = zip(*found, strict=True) if found else [()] * 5
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(ids, kind), *[pa.array(c, pa.float64()) for c in scores]],
+                names=["doc_id", "item_id", "score", "question_overlap", "answer_overlap"],
+            )
+
+    found = source.mapInArrow(lean(run), schema)
     return found.groupBy("doc_id", "item_id").agg(*[F.max(c).alias(c) for c in ("score", "question_overlap", "answer_overlap")])
