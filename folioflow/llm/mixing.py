@@ -4,8 +4,10 @@ Every document is taken ``target / source size`` times on average: the whole par
 certain, the rest as an inclusion probability. The flight phase moves these probabilities
 through the null space of two constraints, the source's words and its number of
 documents, until each is 0 or 1 but for at most two units of a block. These leftovers meet
-in larger blocks again, until one block a source is left; its last two units land so that
-the words taken come closest to the target.
+in larger blocks again, until one block a source is left. There the few units that outweigh
+the others are drawn first, in a way that the others can make up for, and the others' chances
+follow. ``RESERVE`` units of all sizes stay out of the last flight; they and its leftovers
+are the landing problem: of all their choices the one whose words come closest to the target.
 
 A unit is a group of equal rows (same id, text, source), so results do not depend on the
 order of rows. NULL texts have no words, NULL ids and sources are values like any other.
@@ -24,12 +26,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioflow.llm.store import extended, materialise
+from folioflow.llm.store import extended, lean, materialise
 from folioflow.llm.words import WordHasher, slices
 
 WEIGHTS = (5, 2, 1)
 CAP = 3
 BLOCK = 4096
+#: Units that land, spread in size, and units drawn first: all choices of each are looked at.
+RESERVE, GIANTS = 14, 10
+#: Where a source has no more ways than that to take its units, each up to the cap, all are looked at.
+WAYS = 1 << 20
 EPSILON = 1e-9
 
 
@@ -53,7 +59,7 @@ def with_sizes(docs: DataFrame, text: str, keep: list[Column], name: str = "size
                 [*batch.columns[:-1], pa.array(np.concatenate(found))], names=[*kept.names, name]
             )
 
-    return source.mapInArrow(count, extended(kept, f"{name} long"))
+    return source.mapInArrow(lean(count), extended(kept, f"{name} long"))
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
@@ -114,28 +120,87 @@ def flight(size: np.ndarray, count: np.ndarray, chance: np.ndarray, draws: np.nd
     return np.array(p)
 
 
-def land(size: np.ndarray, chance: np.ndarray) -> np.ndarray:
-    """0 or 1 for the few open units: the choice whose words come closest to the expected."""
-    p = chance.copy()
-    open_ = [i for i in range(len(p)) if 0 < p[i] < 1]
-    want = float((size[open_] * p[open_]).sum())
-    choices = range(1 << len(open_))
-    best = min(choices, key=lambda c: (abs(sum(size[i] for k, i in enumerate(open_) if c >> k & 1) - want), c))
-    for k, i in enumerate(open_):
-        p[i] = float(best >> k & 1)
-    return p
+def choices(size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every choice among a few units (rows of 0 and 1) and the words it takes."""
+    taken = (np.arange(1 << len(size))[:, None] >> np.arange(len(size))) & 1
+    return taken, taken @ size
 
 
-def fly(units: DataFrame, buckets: str, final: bool) -> DataFrame:
-    """One flight per source and bucket; in the final one the rest lands."""
+def drawn_first(size: np.ndarray, rate: np.ndarray, draws: np.ndarray, cap: int) -> np.ndarray:
+    """Rates after the units that outweigh the others were drawn, and the others made up for it.
+
+    Of the choices that leave the others a total they can reach, or come nearest to that, the one
+    taken differs in the fewest units from the units' own draws. The others then share their
+    total in proportion, up to the cap.
+    """
+    whole = np.floor(rate + EPSILON)
+    largest = np.argsort(-size, kind="stable")
+    giants = np.array([i for k, i in enumerate(largest[:GIANTS]) if k + 1 < len(size) and size[i] >= 4 * size[largest[k + 1:]].mean()], int)
+    giants = giants[rate[giants] - whole[giants] > EPSILON]
+    if not len(giants):
+        return rate
+    others = np.setdiff1d(np.arange(len(size)), giants)
+    taken, words = choices(size[giants])
+    left = (size * rate).sum() - words - (size * whole)[giants].sum()
+    missed = np.maximum(0, -left) + np.maximum(0, left - cap * size[others].sum())
+    flips = (taken != (draws[giants] < (rate - whole)[giants])).sum(axis=1)
+    best = np.lexsort((np.arange(len(words)), flips, missed))[0]
+    new, goal = rate.copy(), min(max(0.0, left[best]), cap * size[others].sum())
+    new[giants] = whole[giants] + taken[best]
+    for _ in range(len(others)):  # what the cap cuts off is shared again
+        total = (size * new)[others].sum()
+        open_ = others[(new[others] < cap) & (new[others] > 0)] if goal > total else others
+        if abs(goal - total) < EPSILON * max(1.0, goal) or not len(open_):
+            break
+        new[open_] = np.minimum(cap, new[open_] * (1 + (goal - total) / (size * new)[open_].sum()))
+    return new
+
+
+def few(size: np.ndarray, rate: np.ndarray, cap: int) -> np.ndarray:
+    """Of all ways to take few units, among those within half a percent of the expected words the one nearest to the rates."""
+    words, away = np.zeros(1), np.zeros(1)
+    for one, expected in zip(size, rate, strict=True):
+        copies = np.arange(cap + 1)
+        words = np.add.outer(words, copies * one).ravel()
+        away = np.add.outer(away, one * (copies - expected) ** 2).ravel()
+    miss = np.abs(words - (size * rate).sum())
+    room = max(miss.min(), 0.005 * (size * rate).sum())
+    best = int(np.argmin(np.where(miss <= room + EPSILON, away, np.inf)))
+    return np.array(np.unravel_index(best, (cap + 1,) * len(size)), float)
+
+
+def settle(size: np.ndarray, count: np.ndarray, rate: np.ndarray, draws: np.ndarray, cap: int) -> np.ndarray:
+    """How often every unit of a source's last block is taken, the words near the expected."""
+    if (cap + 1) ** len(size) <= WAYS:
+        return few(size, rate, cap)
+    want = float((size * rate).sum())
+    rate = drawn_first(size, rate, draws, cap)
+    whole = np.floor(rate + EPSILON)
+    p = np.maximum(0.0, rate - whole)
+    open_ = np.flatnonzero(p > EPSILON)
+    by_size = open_[np.argsort(size[open_], kind="stable")]
+    reserve = by_size if len(by_size) <= RESERVE else by_size[np.unique(np.linspace(0, len(by_size) - 1, RESERVE).astype(int))]
+    rest = np.setdiff1d(np.arange(len(p)), reserve)
+    p[rest] = flight(size[rest], count[rest], p[rest], draws[rest])
+    last = np.concatenate([reserve, rest[(p[rest] > 0) & (p[rest] < 1)]])
+    p[last] = 0
+    taken, words = choices(size[last])
+    p[last] = taken[np.lexsort((np.arange(len(words)), np.abs(words + (size * (whole + p)).sum() - want)))[0]]
+    return whole + p
+
+
+def fly(units: DataFrame, buckets: str, final: bool, cap: int) -> DataFrame:
+    """One flight per source and bucket; in the final one all units settle."""
 
     def run(block: pd.DataFrame) -> pd.DataFrame:
         block = block.sort_values("key", ignore_index=True)
         size, count = block["words"].to_numpy(float), block["rows"].to_numpy(float)
         draws = (block["draw"].to_numpy(np.int64).astype(np.uint64) >> np.uint64(11)) / 2.0**53
-        chance = flight(size, count, block["chance"].to_numpy(float), draws)
-        block["chance"] = land(size, chance) if final else chance
-        return block
+        chance = block["chance"].to_numpy(float)
+        if final:
+            taken = settle(size, count, block["whole"].to_numpy(float) + chance, draws, cap)
+            return block.assign(whole=taken.astype(np.int64), chance=0.0)
+        return block.assign(chance=flight(size, count, chance, draws))
 
     return units.withColumn("bucket", F.expr(buckets)).groupBy("source", "bucket").applyInPandas(run, units.withColumn("bucket", F.expr(buckets)).schema).drop("bucket")
 
@@ -173,7 +238,7 @@ def mix(docs: DataFrame, key: str, size: str, source: str, goal: DataFrame, cap:
     while most:
         final = most <= BLOCK
         flown = materialise(
-            fly(rest, "0L" if final else f"pmod(xxhash64(key, {level}), CAST(ceil(left / {BLOCK}) AS BIGINT))", final),
+            fly(rest, "0L" if final else f"pmod(xxhash64(key, {level}), CAST(ceil(left / {BLOCK}) AS BIGINT))", final, cap),
             f"mix-{level}",
         )
         done.append(flown.where("chance IN (0, 1)"))
