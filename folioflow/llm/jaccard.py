@@ -30,7 +30,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from folioflow.llm.blocks import meetings, tally, whole_groups
 from folioflow.llm.components import components
-from folioflow.llm.store import extended, materialise, shuffle_width
+from folioflow.llm.store import extended, lean, materialise, shuffle_width
 from folioflow.llm.words import WordHasher, mix, numbers, shingles, slices
 
 SIZE, THRESHOLD, RECALL = 5, 0.8, 0.9999
@@ -98,7 +98,7 @@ def sign(docs: DataFrame, key: str, text: str, carry: list[Column], size: int, b
                     names=[*kept.names, "packed", "size", "words", "d1", "d2", "bands"],
                 )
 
-    return source.mapInArrow(run, extended(kept, "packed binary, size long, words long, d1 long, d2 long, bands array<long>"))
+    return source.mapInArrow(lean(run), extended(kept, "packed binary, size long, words long, d1 long, d2 long, bands array<long>"))
 
 
 def candidates(texts: DataFrame) -> DataFrame:
@@ -180,7 +180,7 @@ def verify(members: DataFrame, size: int, threshold: float) -> DataFrame:
 
     spark = members.sparkSession
     dealt = members.repartition(shuffle_width(spark), "root", "low", "high").sortWithinPartitions("root", "low", "high", "class")
-    return dealt.mapInArrow(run, "class long, links long, root long")
+    return dealt.mapInArrow(lean(run), "class long, links long, root long")
 
 
 def join(docs: DataFrame, key: str, text: str, size: int = SIZE, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
@@ -203,7 +203,7 @@ def deduplicate(docs: DataFrame, key: str, text: str, size: int = SIZE, threshol
             texts = [decompress(text).decode() for text in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), batch.column(1)], names=["text", "carried"])
 
-    whole = rest.mapInArrow(unpack, StructType([StructField("text", StringType()), rest.schema["carried"]]))
+    whole = rest.mapInArrow(lean(unpack), StructType([StructField("text", StringType()), rest.schema["carried"]]))
     return whole.select(*[
         (F.when(~F.col("carried.none"), F.col("text")) if c == text else F.col(f"carried.others.`{c}`")).alias(c) for c in docs.columns
     ])

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.llm.store import extended
+from folioflow.llm.store import extended, lean
 from folioflow.llm.words import SLICE_BYTES, numbers, slices
 
 DIMENSIONS = 512
@@ -131,7 +131,7 @@ def learn(docs: DataFrame, text: str, lang: str, dimensions: int = DIMENSIONS) -
 
     known = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
     total = (
-        known.mapInArrow(bundle, "lang string, place long, total long")
+        known.mapInArrow(lean(bundle), "lang string, place long, total long")
         .groupBy("lang", "place").agg(F.sum("total").alias("total"))
         .collect()
     )
@@ -184,7 +184,7 @@ def predict(docs: DataFrame, text: str, keep: list[Column], names: list[str], pr
                 names=[*kept.names, "lang_pred", "score"],
             )
 
-    return source.mapInArrow(compare, extended(kept, "lang_pred string, score double"))
+    return source.mapInArrow(lean(compare), extended(kept, "lang_pred string, score double"))
 
 
 def limits(docs: DataFrame, text: str, prototypes: np.ndarray, share: float = 0.01, part: float = 2 / 3) -> np.ndarray:
@@ -209,7 +209,7 @@ def limits(docs: DataFrame, text: str, prototypes: np.ndarray, share: float = 0.
                 yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(texts.astype(np.int64))], names=["cell", "texts"])
 
     source = docs.select(F.col(text).alias("text")).where("text IS NOT NULL")
-    found = source.mapInArrow(measure, "cell long, texts long").groupBy("cell").agg(F.sum("texts").alias("texts")).collect()
+    found = source.mapInArrow(lean(measure), "cell long, texts long").groupBy("cell").agg(F.sum("texts").alias("texts")).collect()
     table, least = np.zeros((64, 1001)), np.zeros(64)
     for r in found:
         table[divmod(r.cell, 1001)] = r.texts
@@ -232,4 +232,4 @@ def speaking(docs: DataFrame, text: str, prototypes: np.ndarray, least: np.ndarr
             need = np.where(size >= LEAST_LETTERS, least[np.log2(np.maximum(size, 1)).astype(np.int64)], 0)
             yield batch.filter(pa.array((best >= 0) & (score >= need)))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(lean(keep), docs.schema)

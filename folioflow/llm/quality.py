@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.llm.store import extended
+from folioflow.llm.store import extended, lean
 from folioflow.llm.words import slices
 
 CHUNK, STEP = 256, 4
@@ -184,4 +184,4 @@ def score(docs: DataFrame, text: str, keep: list[Column], net: Network) -> DataF
                 [*batch.columns[:-1], pa.array(np.concatenate([*found, np.zeros(0)]))], names=[*kept.names, "score"]
             )
 
-    return source.mapInArrow(run, extended(kept, "score double"))
+    return source.mapInArrow(lean(run), extended(kept, "score double"))

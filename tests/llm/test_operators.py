@@ -2,8 +2,12 @@
 
 import collections
 import hashlib
+import os
 import re
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -16,6 +20,7 @@ from folioflow.llm import chat, decontaminate, jaccard, language, mixing, projec
 from folioflow.llm.queries import QUERIES
 
 VOCABULARY = str(public_tokenizers.path("byte_bpe_50k.json"))
+ROOT = Path(__file__).resolve().parents[2]
 LONG = "word " * 60_000
 TEXTS = [
     (1, "the quick brown fox jumps over the lazy dog near the river bank today", "en", "a"),
@@ -115,7 +120,6 @@ def test_vectors_equal_brute_force(spark):
 
 def test_token_files_round_trip(docs, empty):
     tool = Tokenizer.from_file(VOCABULARY)
-    tool.encode_special_tokens = True
     got = sorted(((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in wavelet.token_table(docs, "doc_id", "text", VOCABULARY).collect()), key=lambda r: r[1])
     ids = [(d, [*tool.encode(t or "", add_special_tokens=False).ids, 0]) for d, t, *_ in sorted(TEXTS, key=lambda r: (r[0] is not None, r[0] or 0))]
     starts = np.concatenate([[0], np.cumsum([len(i) for _, i in ids])])
@@ -134,6 +138,29 @@ def test_special_strings_are_the_librarys_ids(spark):
     assert got == [(k, s, len(i), zlib.crc32(np.array(i, "<u4").tobytes())) for k, (i, s) in enumerate(zip(ids, starts, strict=False))]
 
 
+def test_shards_of_any_size_and_memory_give_the_same_rows(spark):
+    rng = np.random.default_rng(8)
+    rows = [(k, " ".join(rng.choice(list("abcdefgh"), int(n))), None, None) for k, n in enumerate(rng.integers(1, 400, 300))] + [(7, LONG, None, None)]
+    frame = spark.createDataFrame(rows, DOCS)
+    whole = sorted(map(tuple, wavelet.token_table(frame, "doc_id", "text", VOCABULARY).collect()))
+    assert len(whole) == len(rows)
+    small = sorted(map(tuple, wavelet.token_table(frame, "doc_id", "text", VOCABULARY, shard_bytes=2000, memory=0).collect()))
+    wavelet_tasks, wavelet.MOST_TASKS = wavelet.MOST_TASKS, 3
+    few = sorted(map(tuple, wavelet.token_table(frame, "doc_id", "text", VOCABULARY, shard_bytes=2000, memory=500).collect()))
+    wavelet.MOST_TASKS = wavelet_tasks
+    assert small == whole == few
+
+
+def test_starts_follow_a_million_shards_by_number(spark):
+    shards = spark.range(1_000_001).selectExpr("id AS part", "CAST(0 AS LONG) AS piece", "concat('shard-', id) AS name", "1L AS docs", "id % 3 AS tokens")
+    more = spark.createDataFrame([(999_999, 1, "x", 1, 5)], wavelet.SHARD)
+    got = wavelet.placed(shards.union(more))
+    before = sum(k % 3 for k in range(999_999))
+    assert {(r.part, r.piece): r.start for r in got.where("part >= 999999").collect()} == {
+        (999_999, 0): before, (999_999, 1): before + 999_999 % 3, (1_000_000, 0): before + 999_999 % 3 + 5}
+    assert got.where("part = 4097").first().start == sum(k % 3 for k in range(4097)) and got.count() == 1_000_002
+
+
 def test_wavelet_matrix_answers():
     ids = np.random.default_rng(2).integers(0, 300, 5000)
     matrix, doc_ids, counts = wavelet.unpack(wavelet.pack(wavelet.WaveletMatrix.build(ids), [None, 7], np.array([1, 4999])))
@@ -202,6 +229,76 @@ def test_decontamination_equals_brute_force(spark, docs, empty):
     assert decontaminate.hits(empty, "doc_id", "text", bench, "item_id", "text").count() == 0
 
 
+def all_hits(items, texts):
+    """Full BM25 of every item against every window of every text, and the shares of question and answer."""
+    def said(text):
+        return re.findall(r"[a-z0-9\x80-\U0010ffff]+", "".join(c.lower() if c.isascii() else c for c in text or ""))
+
+    def share(part, passage):
+        size = min(3, len(part))
+        have = {tuple(passage[i:i + size]) for i in range(len(passage) - size + 1)}
+        own = [tuple(part[i:i + size]) for i in range(len(part) - size + 1)] if size else []
+        return sum(g in have for g in own) / len(own) if own else 1.0
+
+    items = [(key, text, said(text)) for key, text in items if said(text)]
+    holders = collections.Counter(w for _, _, found in items for w in set(found))
+    mean, span = np.mean([len(found) for _, _, found in items]), max(len(found) for _, _, found in items)
+    weights = []
+    for _, _, found in items:
+        norm = 1.2 * (1 - 0.75 + 0.75 * len(found) / mean)
+        one = {w: np.log1p((len(items) - holders[w] + 0.5) / (holders[w] + 0.5)) * n * 2.2 / (n + norm) for w, n in collections.Counter(found).items()}
+        weights.append({w: v / sum(one.values()) for w, v in one.items()})
+    out = {}
+    for doc, text in texts:
+        found = said(text)
+        for k in range(max(1, -(-len(found) // span))):
+            passage = found[k * span:(k + 2) * span]
+            there = set(passage)
+            for (key, whole, _), weight in zip(items, weights, strict=True):
+                score = sum(v for w, v in weight.items() if w in there)
+                if score >= 0.6:
+                    parts = [share(said(part), passage) for part in decontaminate.question_and_answer(whole)]
+                    if min(parts) >= 0.5:
+                        out[doc, key] = max(out.get((doc, key), 0), round(score, 9))
+    return out
+
+
+def test_every_window_of_the_small_table_is_judged_as_by_full_scores(spark):
+    folder = "/root/testdata/sf0.001"
+    items = [tuple(r) for r in spark.read.parquet(f"{folder}/benchmark.parquet").select("item_id", "text").collect()]
+    texts = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
+    got = {(r.doc_id, r.item_id): round(r.score, 9) for r in QUERIES["op7_decontamination"](spark, folder).collect()}
+    want = all_hits(items, texts)
+    assert got == pytest.approx(want) and len(want) >= 3
+    kept = corpus_pipeline.decontaminated(spark, spark.read.parquet(f"{folder}/documents.parquet"), folder)
+    assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == sorted({d for d, _ in texts} - {d for d, _ in want})
+
+
+def test_items_without_id_are_found(spark):
+    bench = spark.createDataFrame([(None, "alpha beta gamma delta epsilon zeta"), (1, "something else entirely here now")], "item_id long, text string")
+    frame = spark.createDataFrame([(71, "x alpha beta gamma delta epsilon zeta y", None, None), (72, "nothing", None, None)], DOCS)
+    assert [(r.doc_id, r.item_id) for r in decontaminate.hits(frame, "doc_id", "text", bench, "item_id", "text").collect()] == [(71, None)]
+    assert [r.doc_id for r in decontaminate.clean(frame, "text", bench, "item_id", "text").collect()] == [72]
+
+
+def test_executors_need_no_copy_of_the_package(tmp_path):
+    """A driver script elsewhere, the package on no one's PYTHONPATH."""
+    script = tmp_path / "job.py"
+    script.write_text(
+        "import sys\n"
+        f"sys.path.insert(0, {str(ROOT)!r})\n"
+        "from folioflow.session import local_session\n"
+        "from folioflow.llm.queries import QUERIES\n"
+        "spark = local_session('2', **{'spark.sql.shuffle.partitions': '2'})\n"
+        "for name in ('op7_decontamination', 'op11_repair', 'op12_multiindex', 'op13_runs'):\n"
+        "    print(name, QUERIES[name](spark, '/root/testdata/sf0.001').count())\n"
+    )
+    bare = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=bare, capture_output=True, text=True, timeout=600, check=False)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert len(re.findall(r"^op\d+_\w+ \d+$", done.stdout, re.M)) == 4
+
+
 def test_slices_never_change_a_hit(spark, monkeypatch):
     rng = np.random.default_rng(5)
     spoken = [f"w{k}" for k in range(300)]
@@ -276,6 +373,31 @@ def test_mix_meets_its_targets(spark, docs, empty):
     assert mixed.columns == docs.columns
 
 
+def test_targets_are_met_by_few_texts_of_unlike_sizes(spark):
+    rng = np.random.default_rng(7)
+    rows, key = [], 0
+    for source in range(12):
+        sizes = np.maximum(1, rng.lognormal(3, 1.5, 50)).astype(int)
+        sizes[0] = [5184, 2000, 900][source % 3]
+        for n in sizes:
+            rows.append((key, "w " * int(n), None, f"s{source:02d}"))
+            key += 1
+    got = mixing.mixed_sizes(spark.createDataFrame(rows, DOCS), "doc_id", "text", "source").toPandas()
+    got["source"] = got.doc_id.map({d: s for d, _, _, s in rows})
+    for _, one in got.groupby("source"):
+        target, least = one.target.iloc[0], one["size"].min()
+        assert abs(one.taken.sum() - target) <= max(0.01 * target, least) and (one.taken <= 3 * one["size"]).all()
+
+
+@pytest.mark.parametrize("folder", ["sf0.001", "sf0.01"])
+def test_every_source_of_the_tables_comes_near_its_target(spark, folder):
+    docs = spark.read.parquet(f"/root/testdata/{folder}/documents.parquet")
+    got = QUERIES["op10_mixing"](spark, f"/root/testdata/{folder}").join(docs.select("doc_id", "source"), "doc_id").toPandas()
+    for _, one in got.groupby("source", dropna=False):
+        target, some = one.target.iloc[0], one["size"][one["size"] > 0]
+        assert abs(one.taken.sum() - target) <= max(0.01 * target, some.min() if len(some) else 0)
+
+
 def test_targets_stop_at_the_cap(spark):
     sizes = spark.createDataFrame([("a", 10), ("b", 1000), (None, 100)], "source string, source_size long")
     got = {r.source: r.target for r in mixing.targets(sizes).collect()}
