@@ -16,6 +16,7 @@ ids by their text's digest; equal rows are equal anyway. An empty table has no s
 from __future__ import annotations
 
 import json
+import os
 import re
 import struct
 import sys
@@ -35,7 +36,7 @@ from folioflow.session import workspace
 MAGIC = b"WMX1"
 BLOCK = 1 << 19
 LEVEL = 1
-CACHE_BYTES, SHARD_BYTES = 112 << 20, 16 << 20
+CACHE_BYTES, SHARD_BYTES = 48 << 20, 8 << 20
 #: Tasks that write shards; beyond so many shards a task writes several, one after the other.
 MOST_TASKS = 20_000
 
@@ -53,6 +54,7 @@ class Encoder:
     """
 
     def __init__(self, path: str, memory: int, plain: bool = True) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.room = memory  # bytes left for pieces
