@@ -31,16 +31,51 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folioflow.llm.store import lean, open_store, running_totals, write_file
+from folioflow.llm.words import WordHasher, slices
 from folioflow.session import workspace
 
 MAGIC = b"WMX1"
 BLOCK = 1 << 19
 LEVEL = 1
 CACHE_BYTES, SHARD_BYTES = 48 << 20, 8 << 20
+#: Memory of a remembered piece, and bytes of text encoded at once.
+PIECE_BYTES, ENCODE_BYTES = 64, 1 << 19
 #: Tasks that write shards; beyond so many shards a task writes several, one after the other.
 MOST_TASKS = 20_000
 
 
+class Pieces:
+    """A hash table from 64-bit hashes to numbers, for many at once; 0 is no hash."""
+
+    def __init__(self, most: int) -> None:
+        self.room = most
+        size = 1 << max(4, (2 * most).bit_length())
+        self.mask = np.uint64(size - 1)
+        self.keys, self.values = np.zeros(size, np.uint64), np.zeros(size, np.int32)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The numbers, -1 for unknown hashes."""
+        found, open_, slot = np.full(len(hashes), -1, np.int32), np.arange(len(hashes)), hashes & self.mask
+        while len(open_):
+            held = self.keys[slot]
+            same = held == hashes[open_]
+            found[open_[same]] = self.values[slot[same]]
+            more = ~same & (held != 0)
+            open_, slot = open_[more], (slot[more] + np.uint64(1)) & self.mask
+        return found
+
+    def add(self, hashes: np.ndarray, values: np.ndarray) -> None:
+        """Distinct unknown hashes."""
+        slot = hashes & self.mask
+        while len(hashes):
+            _, first = np.unique(slot, return_index=True)
+            first = first[self.keys[slot[first]] == 0]
+            self.keys[slot[first]], self.values[slot[first]] = hashes[first], values[first]
+            rest = np.ones(len(hashes), bool)
+            rest[first] = False
+            hashes, values, slot = hashes[rest], values[rest], (slot[rest] + np.uint64(1)) & self.mask
+
+
 class Encoder:
     """Whole texts to ids of a byte-level BPE file, by way of the distinct pieces between spaces.
 
@@ -49,78 +84,117 @@ class Encoder:
 
     The tokenizer never merges across the start of ``space + non-space``, so a text's ids are
     those of its pieces in a row, and the library encodes a piece it has met before only
-    once. Spaces before other white space are not such starts. New pieces are encoded many
-    in a row; a piece's ids are those that cover its bytes.
+    once. Spaces before other white space are not such starts, nor are, to be safe, those
+    before the lead bytes of wide spaces. New pieces are encoded many in a row; a piece's ids
+    are those that cover its bytes. Known pieces are told by a 64-bit hash of their bytes.
     """
 
     def __init__(self, path: str, memory: int, plain: bool = True) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
-        self.room = memory  # bytes left for pieces
         self.tokenizer = Tokenizer.from_file(path)
         special = {} if plain else {t.content: n for n, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.special = {text: np.array([number]) for text, number in special.items()}
         longest = sorted(map(re.escape, special), key=len, reverse=True)
         self.between = re.compile(f"({'|'.join(longest)})") if special else None
+        self.marks = [text.encode() for text in special]
         self.tokenizer.encode_special_tokens = True  # of what stands between them, and of all when plain
         vocabulary = self.tokenizer.get_vocab()
         self.width = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, number in vocabulary.items():
             self.width[number] = len(token)  # one character a byte
         self.kind = np.uint16 if len(self.width) <= 1 << 16 else np.uint32
-        self.known: dict[str, bytes] = {}
-        self.ambiguous = re.compile(r" (?:\s|$)")
-        self.start = re.compile(r" (?=\S)")
-
-    def _learn(self, new: list[str]) -> dict[str, bytes]:
+        self.words = WordHasher()
+        self.pieces = Pieces(memory // PIECE_BYTES)
+        self.begin, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)  # of the pieces' ids in the store
+        self.store = np.zeros(0, self.kind)
+        lead = np.arange(256)
+        self.opens = (lead > 32) & (lead != 127) & ~np.isin(lead, [0xC2, 0xE1, 0xE2, 0xE3])
+
+    def _learn(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces in a row, and how many each has."""
         groups = [new[k:k + 512] for k in range(0, len(new), 512)]
-        found: dict[str, bytes] = {}
-        size = np.dtype(self.kind).itemsize
+        ids, sizes = [np.zeros(0, self.kind)], [np.zeros(0, np.int64)]
         for group, encoded in zip(groups, self._encode([" " + " ".join(g) for g in groups]), strict=True):
-            last = np.cumsum(self.width[encoded])
             ends = np.cumsum([len(piece.encode()) + 1 for piece in group])
-            cut = ((np.searchsorted(last, ends) + 1) * size).tolist()
-            raw = encoded.tobytes()
-            found.update(zip(group, map(raw.__getitem__, map(slice, [0, *cut], cut)), strict=True))
-        return found
+            sizes.append(np.diff(np.searchsorted(np.cumsum(self.width[encoded]), ends) + 1, prepend=0))
+            ids.append(encoded)
+        return np.concatenate(ids), np.concatenate(sizes)
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.kind) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        if self.between is None or not any(map(self.between.search, texts)):
-            return self._plain(texts)
-        parts = [self.between.split(text) for text in texts]  # text, special, text, ...
-        encoded = iter(self._plain([part for of in parts for part in of[::2]]))
-        return [
-            np.concatenate([self.special[part].astype(self.kind) if k % 2 else next(encoded) for k, part in enumerate(of)])
-            for of in parts
-        ]
+        """Every text's ids."""
+        if self.between is not None and any(map(self.between.search, texts)):
+            parts = [self.between.split(text) for text in texts]  # text, special, text, ...
+            encoded = iter(self._plain([part for of in parts for part in of[::2]]))
+            return [
+                np.concatenate([self.special[part].astype(self.kind) if k % 2 else next(encoded) for k, part in enumerate(of)])
+                for of in parts
+            ]
+        return self._plain(texts)
 
     def _plain(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [self.start.split(text) if self.ambiguous.search(text) else text.split(" ") for text in texts]
-        firsts = self._encode([parts[0] for parts in cut])
-        held, open_, new = [], [], set()
-        for parts, first in zip(cut, firsts, strict=True):
-            ids = list(map(self.known.get, parts))
-            ids[0] = first.tobytes()
-            held.append(ids)
-            if None in ids:
-                missing = [k for k, found in enumerate(ids) if found is None]
-                open_.append((parts, ids, missing))
-                new.update([parts[k] for k in missing])
-        found = self._learn(list(new))
-        for parts, ids, missing in open_:
-            for k in missing:
-                ids[k] = found[parts[k]]
-        if self.room > 0:  # remember no more than that: the frequent pieces come early
-            for piece, ids in found.items():
-                self.room -= sys.getsizeof(piece) + sys.getsizeof(ids) + 100
-                if self.room <= 0:
-                    break
-                self.known[piece] = ids
-        return [np.frombuffer(b"".join(ids), self.kind) for ids in held]
+        raw = [text.encode() for text in texts]
+        bounds = np.concatenate([[0], np.cumsum([len(one) for one in raw], dtype=np.int64)])
+        ids, at = self._pieces(np.frombuffer(b"".join(raw), np.uint8), bounds)
+        return [ids[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+
+    def column(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The ids of some texts in a row and how many each has, for all texts of a column."""
+        for start, stop, data, bounds in slices(texts, ENCODE_BYTES):
+            if self.marks and any(map(data.tobytes().__contains__, self.marks)):
+                found = self(texts.slice(start, stop - start).to_pylist())
+                yield np.concatenate(found), np.array([len(one) for one in found])
+            else:
+                ids, at = self._pieces(data, bounds)
+                yield ids, np.diff(at)
+
+    def _pieces(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and the n + 1 bounds of the texts among them."""
+        follows = np.zeros(len(data), bool)
+        follows[:-1] = self.opens[data[1:]]
+        last = bounds[1:][np.diff(bounds) > 0] - 1
+        follows[last] = False  # the next byte is another text's
+        cut = np.flatnonzero((data == 32) & follows)
+        at = np.searchsorted(cut, bounds)  # each text's first piece after its beginning
+        ends = np.concatenate([cut[1:], bounds[-1:]])[:len(cut)]
+        has = at[1:] > at[:-1]
+        ends[at[1:][has] - 1] = bounds[1:][has]
+        first_ends = bounds[1:].copy()
+        first_ends[has] = cut[at[:-1][has]]
+
+        raw = data.tobytes()
+        hashes = np.maximum(self.words.hashes(data, cut, ends), np.uint64(1))
+        number = self.pieces.find(hashes)
+        unknown = np.flatnonzero(number < 0)
+        fresh, where, back = np.unique(hashes[unknown], return_index=True, return_inverse=True)
+        some = unknown[where]
+        learned, sizes = self._learn([raw[a:b].decode() for a, b in zip((cut[some] + 1).tolist(), ends[some].tolist(), strict=True)])
+        firsts = self._encode([raw[a:b].decode() for a, b in zip(bounds[:-1].tolist(), first_ends.tolist(), strict=True)])
+
+        # known pieces, then new ones, then the texts' beginnings
+        begin = np.concatenate([self.begin, len(self.store) + np.cumsum(sizes) - sizes])
+        size = np.concatenate([self.size, sizes])
+        number[unknown] = len(self.begin) + back
+        lengths = np.array([len(one) for one in firsts], np.int64)
+        base = len(self.store) + len(learned)
+        store = np.concatenate([self.store, learned, *firsts])
+        take_begin = np.insert(begin[number], at[:-1], base + np.cumsum(lengths) - lengths)
+        take_size = np.insert(size[number], at[:-1], lengths)
+        past = np.concatenate([[0], np.cumsum(take_size)])
+        ids = store[np.repeat(take_begin - past[:-1], take_size) + np.arange(past[-1])]
+
+        keep = min(len(fresh), self.pieces.room)  # remember no more: the frequent ones come early
+        if keep:
+            self.pieces.room -= keep
+            self.pieces.add(fresh[:keep], np.arange(len(self.begin), len(self.begin) + keep, dtype=np.int32))
+            used = int(sizes[:keep].sum())
+            self.begin, self.size = begin[:len(self.begin) + keep], size[:len(self.size) + keep]
+            self.store = store[:len(self.store) + used].copy()
+        return ids, past[np.concatenate([at[:-1] + np.arange(len(at) - 1), [len(past) - 1]])]
 
 
 def encoder(path: str, memory: int = CACHE_BYTES, plain: bool = True) -> Encoder:
@@ -277,25 +351,27 @@ def write_shards(docs: DataFrame, key: str, text: str, folder: str, vocabulary:
 
         def close() -> pa.RecordBatch:
             name = f"shard-{part:06d}-{piece:06d}.wm"
-            end = np.array([end_id], encode.kind)
-            joined = np.concatenate([x for found in ids for x in (found, end)])
+            joined = np.concatenate(ids)
             ids.clear()
-            write_file(store, f"{path}/{name}", pack(WaveletMatrix.build(joined), doc_ids, np.array(counts)))
+            write_file(store, f"{path}/{name}", pack(WaveletMatrix.build(joined), doc_ids, np.concatenate(counts)))
             return pa.RecordBatch.from_pylist(
                 [{"part": part, "piece": piece, "name": name, "docs": len(doc_ids), "tokens": len(joined)}], _shard_rows()
             )
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                some = batch.slice(at, 256)
-                found = encode(some.column(1).to_pylist())
-                ids += found
-                doc_ids += some.column(0).to_pylist()
-                counts += [len(x) + 1 for x in found]
-                size += some.column(1).nbytes
-                if size > 1.5 * shard_bytes:  # a range of more than its share
+            names, done = batch.column(0).to_pylist(), 0
+            for found, lengths in encode.column(batch.column(1)):
+                ends = np.cumsum(lengths)
+                ids.append(np.insert(found, ends, end_id))
+                doc_ids += names[done:done + len(lengths)]
+                counts.append(lengths + 1)
+                done += len(lengths)
+                size += len(found)
+                if 2 * size > shard_bytes:  # a range of more than its share
                     yield close()
-                    piece, doc_ids, counts, size = piece + 1, [], [], 0
+                    piece, size = piece + 1, 0
+                    doc_ids.clear()
+                    counts.clear()
         if doc_ids:
             yield close()
 
