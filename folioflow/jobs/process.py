@@ -18,9 +18,10 @@ from folioflow.operators.updates import apply_updates
 from folioflow.schemas import EXTRACTING, EXTRACTION_FAILED, PROCESSED
 from folioflow.session import instant
 from folioflow.sources.batches import latest_set, read_batches, write_batch
+from folioflow.sources.objects import ObjectStore
 from folioflow.sources.queue import dead_letters, deliverable, numbered, parse_messages
 
-Blobs = DataFrame | Callable[[DataFrame], DataFrame]
+Blobs = DataFrame | ObjectStore | Callable[[DataFrame], DataFrame | ObjectStore]
 
 STATE = T.StructType([
     T.StructField("document_id", T.LongType()),
@@ -91,9 +92,8 @@ def process_batch(
 ) -> None:
     """Run one batch to its end; a replay of the same batch writes the same folders.
 
-    ``blobs`` may be a function from the messages at hand to their stored objects, as
-    ``lambda wanted: read_blobs(spark, root, wanted=wanted)``; for the other options
-    see :func:`store_outcomes`. Chunks are complete before a document is reported as
+    ``blobs`` is a store to fetch from by key, a table of contents, or a function from the
+    messages at hand to either; for the other options see :func:`store_outcomes`. Chunks are complete before a document is reported as
     processed.
     """
     lines, order = numbered(lines)

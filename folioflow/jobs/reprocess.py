@@ -21,7 +21,7 @@ from folioflow.operators.updates import apply_updates, latest_changes
 from folioflow.schemas import EXTRACTING, EXTRACTION_FAILED, MIGRATION
 from folioflow.session import before
 from folioflow.sources.batches import read_batches, write_batch
-from folioflow.sources.blobs import read_blobs
+from folioflow.sources.objects import ObjectStore
 from folioflow.sources.tables import read_table
 
 log = logging.getLogger("folioflow.reprocess")
@@ -129,6 +129,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     parser = argparse.ArgumentParser(description="Retry documents whose extraction failed")
     parser.add_argument("--documents", required=True, help="documents table")
     parser.add_argument("--blobs", required=True, help="root folder of the stored objects")
+    parser.add_argument("--inventory", help="table (path, length) of the stored objects")
     place = parser.add_mutually_exclusive_group(required=True)
     place.add_argument("--out", help="folder for the cycles' results")
     place.add_argument("--home", help="shared state of all roles, see folioflow.jobs.shared")
@@ -147,9 +148,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         cycle = int(time.time())
         limits = {"max_retries": args.max_retries, "limit": args.limit}
 
-        def blobs(wanted: DataFrame) -> DataFrame:
-            return read_blobs(spark, args.blobs, wanted=wanted)
-
+        inventory = read_table(spark, args.inventory) if args.inventory else None
+        blobs = ObjectStore(args.blobs, inventory)
         if args.home:
             from folioflow.jobs import shared  # it builds on this module
 

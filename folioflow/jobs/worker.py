@@ -10,8 +10,9 @@ import argparse
 from pyspark.sql import SparkSession
 
 from folioflow.functions.embedding import hashing_embedder
-from folioflow.sources.blobs import read_blobs
+from folioflow.sources.objects import ObjectStore
 from folioflow.sources.queue import stream_messages
+from folioflow.sources.tables import read_table
 from folioflow.streaming.jobs import ingest
 
 
@@ -19,6 +20,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     parser = argparse.ArgumentParser(description="Process queued documents")
     parser.add_argument("--queue", required=True, help="folder of message files, a message a line")
     parser.add_argument("--blobs", required=True, help="root folder of the stored objects")
+    parser.add_argument("--inventory", help="table (path, length) of the stored objects")
     parser.add_argument("--out", required=True, help="folder for the results")
     parser.add_argument("--checkpoint", required=True)
     parser.add_argument("--seconds", type=int, default=5, help="seconds between micro-batches")
@@ -30,7 +32,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     spark = spark or SparkSession.builder.getOrCreate()
     ingest(
         stream_messages(spark, args.queue),
-        lambda wanted: read_blobs(spark, args.blobs, wanted=wanted),
+        ObjectStore(args.blobs, read_table(spark, args.inventory) if args.inventory else None),
         args.out,
         args.checkpoint,
         seconds=None if args.run_once else args.seconds,

@@ -11,6 +11,7 @@ from folioflow.functions import text as X
 from folioflow.operators.pages import assemble_pages
 from folioflow.schemas import EXTRACTION_FAILED, PROCESSED
 from folioflow.sources.blobs import fetch
+from folioflow.sources.objects import ObjectStore, fetch_objects
 
 
 def route(messages: DataFrame, complete: bool = False) -> DataFrame:
@@ -44,7 +45,7 @@ def extracted_texts(
 
 def process_documents(
     messages: DataFrame,
-    blobs: DataFrame,
+    blobs: DataFrame | ObjectStore,
     pages: DataFrame | None = None,
     recognised: DataFrame | None = None,
     max_bytes: int = X.MAX_FILE_BYTES,
@@ -54,6 +55,8 @@ def process_documents(
 ) -> DataFrame:
     """Outcome of every message: state, text, summary and a typed error.
 
+    ``blobs`` is a table of contents or, better for more than a few, a store that objects
+    are fetched from by key: then contents are decoded by the task that read them.
     ``pages`` is the page table of paged documents, ``recognised`` brings
     ``(document_id, text)`` from an outside recogniser; a document is in one of them.
     With ``parity`` a paged or image document without text counts as processed and
@@ -61,16 +64,22 @@ def process_documents(
     the reverse.
     """
     routed = route(messages, complete)
-    rows = fetch(routed, blobs)
+    plain = F.col("extractor") == "text"
     extracted = extracted_texts(routed, pages, recognised, max_chars)
-    if extracted is None:
-        rows = rows.withColumn("_extracted", F.lit(None).cast("string"))
+
+    def with_extracted(rows: DataFrame) -> DataFrame:
+        if extracted is None:
+            return rows.withColumn("_extracted", F.lit(None).cast("string"))
+        return rows.join(extracted.withColumnRenamed("text", "_extracted"), "document_id", "left")
+
+    if isinstance(blobs, ObjectStore):
+        # of other documents only the length is asked for: their texts come from elsewhere
+        read = fetch_objects(routed.where(plain), blobs, max_bytes)
+        rest = fetch_objects(routed.where(~plain), blobs, max_bytes, content=F.lit(False))
+        rows = read.withColumn("_extracted", F.lit(None).cast("string")).unionByName(with_extracted(rest))
     else:
-        rows = rows.join(
-            extracted.withColumnRenamed("text", "_extracted"), "document_id", "left"
-        )
+        rows = with_extracted(fetch(routed, blobs))
     # One step per column: a later step then refers to a value instead of deriving it again.
-    plain = F.col("extractor") == "text"
     rows = rows.withColumn(
         "decoded_as", F.when(plain, X.decoded_as(F.col("content")))
     ).withColumn(

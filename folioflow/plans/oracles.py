@@ -391,6 +391,15 @@ def oracle_sql() -> dict[str, str]:
             SELECT document_id, status, error, decoded_as, md5(text) AS text_digest,
               CAST(CASE WHEN length(text) > 1000 THEN 1003 ELSE length(text) END AS INT)
                 AS summary_chars FROM outcomes""",
+        "fetch_stored": f"""WITH {DS}, {OBJECTS} SELECT d.id AS document_id, o.length,
+            CASE WHEN o.length IS NULL THEN 'missing' WHEN o.length > {SMALL_FILE} THEN 'too_large'
+              ELSE 'fetched' END AS outcome,
+            CASE WHEN o.length <= {SMALL_FILE} THEN md5(o.text) END AS digest
+            FROM ds d LEFT JOIN objects o ON o.path = d.storage_path""",
+        "process_stored": f"""WITH {DS}, {assembled(WHOLE)}, {outcome(3000)}
+            SELECT document_id, status, error, decoded_as, md5(text) AS text_digest,
+              CAST(CASE WHEN length(text) > 1000 THEN 1003 ELSE length(text) END AS INT)
+                AS summary_chars FROM outcomes""",
         "process_outcome_parity": f"""WITH {DS}, {OBJECTS}, judged AS (SELECT CASE
               WHEN coalesce(d.storage_path, '') = '' THEN 'no_storage_path'
               WHEN o.path IS NULL THEN 'not_found'

@@ -37,6 +37,7 @@ from folioflow.session import workspace
 from folioflow.sources import queue as Q
 from folioflow.sources.batches import read_batches, write_batch
 from folioflow.sources.blobs import fetch
+from folioflow.sources.objects import ObjectStore, fetch_objects, put_objects
 from folioflow.streaming import jobs as J
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -286,6 +287,41 @@ def process_outcome(spark, sf_dir):
     )
 
 
+def _stored(spark: SparkSession, sf_dir: str) -> ObjectStore:
+    """The documents as real objects below a folder, with the inventory of what was written."""
+    out = workspace(spark, "objects")
+    written = put_objects(blobs(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism), f"{out}/store")
+    return ObjectStore(f"{out}/store", write_batch(written, f"{out}/inventory", 0))
+
+
+@query
+def fetch_stored(spark, sf_dir):
+    """Objects opened by key: contents never cross a shuffle."""
+    rows = fetch_objects(messages(fx.document_state(spark, sf_dir)), _stored(spark, sf_dir), SMALL_FILE)
+    return rows.select(
+        "document_id",
+        "length",
+        F.when(F.col("length").isNull(), "missing")
+        .when(F.col("length") > SMALL_FILE, "too_large")
+        .otherwise("fetched")
+        .alias("outcome"),
+        F.md5("content").alias("digest"),
+    )
+
+
+@query
+def process_stored(spark, sf_dir):
+    """Every document's outcome, contents decoded by the task that reads them."""
+    docs = fx.document_state(spark, sf_dir)
+    rows = process_documents(
+        messages(docs), _stored(spark, sf_dir), paged(spark, sf_dir), None, SMALL_FILE, 3000
+    )
+    return rows.select(
+        "document_id", "status", "error", "decoded_as", F.md5("text").alias("text_digest"),
+        F.length("summary").alias("summary_chars"),
+    )
+
+
 @query
 def process_outcome_parity(spark, sf_dir):
     """The same with empty extractions counted as processed."""

@@ -7,28 +7,13 @@ from pyspark.sql import functions as F
 
 from folioflow.functions.text import MAX_FILE_BYTES
 
-MAX_NAMED_PATHS = 10_000
 
-
-def _named(wanted: DataFrame) -> list[str] | None:
-    """The wanted paths if they are few, else None."""
-    paths = wanted.select("storage_path").where(F.col("storage_path").isNotNull()).distinct()
-    names = [row[0] for row in paths.limit(MAX_NAMED_PATHS + 1).collect()]
-    return names if len(names) <= MAX_NAMED_PATHS else None
-
-
-def read_blobs(
-    spark: SparkSession,
-    root: str,
-    max_bytes: int = MAX_FILE_BYTES,
-    wanted: DataFrame | None = None,
-) -> DataFrame:
+def read_blobs(spark: SparkSession, root: str, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
     """Every object below ``root``, keyed by its path relative to ``root``.
 
-    The length filter reaches the scan, so objects over the limit are listed without
-    their bytes ever being read. With ``wanted``, a frame with few ``storage_path``
-    values, only those files are opened: a small batch does not read the store. Many
-    wanted paths are left to the join.
+    For work on a whole store. The length filter reaches the scan, so objects over the
+    limit are listed without their bytes ever being read. Single objects are fetched by
+    key, see :mod:`folioflow.sources.objects`.
     """
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
@@ -38,12 +23,6 @@ def read_blobs(
     def key(path: Column) -> Column:
         return F.regexp_replace(path, rf"^[^:]+:/+\Q{base}\E/", "")
 
-    # the scan's own file path is escaped, and unescaped it equals the column ``path``
-    plain = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-
-    names = None if wanted is None else _named(wanted)
-    if names is not None:
-        files = files.where(key(plain).isin(names))
     small = files.where(F.col("length") <= max_bytes).select(
         key(F.col("path")).alias("path"), "length", "content"
     )

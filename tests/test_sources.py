@@ -2,6 +2,7 @@
 
 import json
 import os
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from folioflow.operators.process import process_documents
 from folioflow.sources import batches as B
 from folioflow.sources import queue as Q
 from folioflow.sources.blobs import fetch, read_blobs
+from folioflow.sources.objects import ObjectStore, dealt_by_bytes, fetch_objects, put_objects, take_inventory
 
 LINES = [
     ('{"DocumentId": 7, "StoragePath": "a", "FileType": "PDF"}', "valid", None),
@@ -89,25 +91,52 @@ def test_objects_over_the_limit_are_listed_but_not_read(spark, objects):
     assert bytes(rows["edge.txt"].content) == b"y" * 100
 
 
-def test_few_wanted_objects_open_only_those(spark, objects, monkeypatch):
-    def wanted(*paths):
-        return spark.createDataFrame([(p,) for p in paths], "storage_path string")
-
-    def seen(df):
-        return sorted(r.path for r in df.collect())
-
-    some = read_blobs(spark, objects, 100, wanted("a.txt", "big.txt", "gone.txt", None))
-    assert seen(some) == ["a.txt", "big.txt"]
-    whole = read_blobs(spark, objects, 100)
-    assert some.rdd.getNumPartitions() < whole.rdd.getNumPartitions()
-    assert seen(read_blobs(spark, objects, 100, wanted("a.txt", "o d d.txt"))) == seen(whole.where("path = 'a.txt'"))
-    monkeypatch.setattr("folioflow.sources.blobs.MAX_NAMED_PATHS", 1)
-    assert len(seen(read_blobs(spark, objects, 100, wanted("a.txt", "edge.txt")))) == 4
-    plan = whole._jdf.queryExecution().executedPlan().toString()
-    assert "LessThanOrEqual(length,100)" in plan and "GreaterThan(length,100)" in plan
-
-
-def test_processing_stored_objects(spark, objects):
+def stores(spark, root, tmp_path):
+    """The same objects with and without an inventory."""
+    path = str(tmp_path / f"inventory-{uuid.uuid4().hex}")
+    take_inventory(spark, root).write.parquet(path)
+    return [ObjectStore(root), ObjectStore(root, spark.read.parquet(path))]
+
+
+def test_only_wanted_objects_are_opened(spark, objects, tmp_path):
+    names = ["a.txt", "big.txt", "gone.txt", None, "", "../objects/a.txt", "/a.txt", "sub", "a.txt", "sub/b.txt"]
+    rows = spark.createDataFrame([(i, p, i != 8) for i, p in enumerate(names)], "id long, storage_path string, content_wanted boolean")
+    text = "olá\r\nmundo".encode()
+    for store in stores(spark, objects, tmp_path):
+        found = fetch_objects(rows, store, 100, F.col("content_wanted"))
+        got = {r.id: (r.length, None if r.content is None else bytes(r.content)) for r in found.collect()}
+        assert got == {0: (11, text), 1: (101, None), 2: (None, None), 3: (None, None), 4: (None, None), 5: (None, None),
+                       6: (None, None), 7: (None, None), 8: (11, None), 9: (3, "olá".encode("latin-1"))}
+        assert "content" not in found.select("id", "length").columns
+    assert "binaryFile" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ten_thousand_and_one_paths_are_opened_by_key(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "many")
+    rows = spark.range(10_001).select(F.format_string("d%d/%d.txt", F.col("id") % 7, "id").alias("path"), F.encode(F.col("id").cast("string"), "UTF-8").alias("content"))
+    inventory = put_objects(rows.repartition(4), root)
+    inventory.write.parquet(str(tmp_path / "listed"))
+    wanted = rows.select(F.col("path").alias("storage_path"))
+    monkeypatch.setattr(type(spark.read), "format", lambda *_: pytest.fail("the store was listed"))
+    for store in (ObjectStore(root), ObjectStore(root, spark.read.parquet(str(tmp_path / "listed")))):
+        found = fetch_objects(wanted, store)
+        assert found.where("decode(content, 'UTF-8') = regexp_extract(storage_path, '([0-9]+).txt', 1)").count() == 10_001
+
+
+def test_tasks_are_dealt_equal_bytes_and_contents_stay_where_they_were_read(spark, objects, tmp_path):
+    sizes = [(f"p{i}", 1 << (10 + i % 15)) for i in range(3000)]
+    rows = spark.createDataFrame(sizes, "storage_path string, length long")
+    parts = dealt_by_bytes(rows, F.col("length"), F.col("storage_path")).groupBy(F.spark_partition_id()).agg(F.sum("length")).collect()
+    shares = [r[1] for r in parts]
+    assert len(shares) == 4 and max(shares) < 1.2 * min(shares)
+    messages = spark.createDataFrame([(1, "a.txt", "TXT"), (2, "sub/b.txt", "PDF")], "document_id long, storage_path string, file_type string")
+    for store in stores(spark, objects, tmp_path):
+        plan = process_documents(messages, store)._jdf.queryExecution().executedPlan().toString()
+        reading = plan.index("MapInArrow")
+        assert "Exchange" not in plan[:reading] and "Exchange" in plan[reading:]
+
+
+def test_processing_stored_objects(spark, objects, tmp_path):
     messages = spark.createDataFrame(
         [(1, "a.txt", "TXT"), (2, "sub/b.txt", "txt"), (3, "big.txt", "TXT"), (4, "edge.txt", "TXT"),
          (5, "gone.txt", "TXT"), (6, None, "TXT"), (7, "a.txt", "PDF"), (8, "edge.txt", "CSV")],
@@ -120,8 +149,13 @@ def test_processing_stored_objects(spark, objects):
     )
 
     def run(**options):
-        out = process_documents(messages, read_blobs(spark, objects, 100), pages, max_bytes=100, **options)
-        return {r.document_id: r for r in out.collect()}
+        whole, *others = (
+            process_documents(messages, blobs, pages, max_bytes=100, **options)
+            for blobs in (read_blobs(spark, objects, 100), *stores(spark, objects, tmp_path))
+        )
+        rows = {r.document_id: r for r in whole.collect()}
+        assert all({r.document_id: r for r in other.select(*whole.columns).collect()} == rows for other in others)
+        return rows
 
     got = run()
     assert {i: (r.status, r.error, r.decoded_as) for i, r in got.items()} == {
@@ -181,14 +215,13 @@ def test_queue_files(spark, tmp_path):
     assert parsed.where(F.col("document_id") == 1).count() == 1
 
 
-@pytest.mark.parametrize("limit", [10_000, 1])
-def test_odd_names_and_roots_are_found_by_both_routes(spark, tmp_path, monkeypatch, limit):
+def test_odd_names_and_roots_are_found(spark, tmp_path):
     root = tmp_path / "my store 50%20+é"
     names = ["a b.txt", "c+d%20é.txt", "plain.txt"]
     for name in names:
         (root / "x").mkdir(parents=True, exist_ok=True)
         (root / "x" / name).write_text(name)
     wanted = spark.createDataFrame([(f"x/{name}",) for name in names[:2]], "storage_path string")
-    monkeypatch.setattr("folioflow.sources.blobs.MAX_NAMED_PATHS", limit)
-    got = fetch(wanted, read_blobs(spark, str(root), 100, wanted)).collect()
-    assert {(r.storage_path, bytes(r.content).decode()) for r in got} == {(f"x/{n}", n) for n in names[:2]}
+    whole = fetch(wanted, read_blobs(spark, str(root), 100))
+    for found in [whole, *(fetch_objects(wanted, store) for store in stores(spark, str(root), tmp_path))]:
+        assert {(r.storage_path, bytes(r.content).decode()) for r in found.collect()} == {(f"x/{n}", n) for n in names[:2]}

@@ -14,6 +14,7 @@ from folioflow.operators.process import process_documents
 from folioflow.sources import queue as Q
 from folioflow.sources.batches import read_batches
 from folioflow.sources.blobs import read_blobs
+from folioflow.sources.objects import ObjectStore
 from folioflow.streaming import jobs as J
 
 NOW = dt.datetime(2024, 5, 1)
@@ -51,7 +52,7 @@ def test_ingest_equals_batch_and_survives_replay(spark, queue, tmp_path):
 
     def run(checkpoint):
         lines = Q.stream_messages(spark, folder, files_per_trigger=1)
-        query = J.ingest(lines, lambda wanted: read_blobs(spark, objects, wanted=wanted), out, checkpoint, seconds=None,
+        query = J.ingest(lines, ObjectStore(objects), out, checkpoint, seconds=None,
                          clock=lambda: NOW, embed_fn=embed, sweep_every=2)
         query.awaitTermination()
 
