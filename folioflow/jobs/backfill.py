@@ -18,7 +18,7 @@ from folioflow.functions.embedding import BACKFILL_DIM, hashing_embedder
 from folioflow.jobs import shared
 from folioflow.operators.embeddings import resolve_providers
 from folioflow.sources.tables import read_table
-from folioflow.streaming.jobs import backfill
+from folioflow.streaming.jobs import backfill, fold_vectors
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
@@ -51,6 +51,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     while args.home:
         number = int(time.time())
         shared.embed_missing(documents(), resolved, args.home, number, embedder, **options)
+        fold_vectors(spark, f"{args.home}/vectors")
         if args.run_once:
             return
         time.sleep(args.seconds)

@@ -18,6 +18,7 @@ from folioflow.operators.updates import apply_updates
 from folioflow.schemas import EXTRACTING, EXTRACTION_FAILED, PROCESSED
 from folioflow.session import instant
 from folioflow.sources.batches import latest_set, read_batches, write_batch
+from folioflow.sources.levels import fold_batches, last_sets, read_levels
 from folioflow.sources.objects import ObjectStore
 from folioflow.sources.queue import dead_letters, deliverable, numbered, parse_messages
 
@@ -123,7 +124,7 @@ def process_batch(
 def _written_states(spark: SparkSession, out: str) -> DataFrame:
     steps = ["started", "states", "sweeps"]
     tables = [
-        read_batches(spark, f"{out}/{name}", STATE).withColumn("step", F.lit(i))
+        read_levels(spark, f"{out}/{name}", STATE).withColumn("step", F.lit(i))
         for i, name in enumerate(steps)
     ]
     return reduce(DataFrame.unionByName, tables)
@@ -166,11 +167,22 @@ def sweep_stuck(
 
 
 def current_chunks(spark: SparkSession, out: str) -> DataFrame:
-    return latest_set(read_batches(spark, f"{out}/chunks", CHUNK))
+    return latest_set(read_levels(spark, f"{out}/chunks", CHUNK))
 
 
 def current_texts(spark: SparkSession, out: str) -> DataFrame:
-    return latest_set(read_batches(spark, f"{out}/outcomes", TEXT).where("text IS NOT NULL"))
+    return latest_set(read_levels(spark, f"{out}/outcomes", TEXT).where("text IS NOT NULL"))
+
+
+def fold_outputs(spark: SparkSession, out: str) -> None:
+    """Fold older batches, so that reading the current state does not grow with their number."""
+    by_document = last_sets(["document_id"])
+    for name, schema, fold in [
+        *[(step, STATE, by_document) for step in ("started", "states", "sweeps")],
+        ("chunks", CHUNK, by_document),
+        ("outcomes", TEXT, lambda rows: by_document(rows.where("text IS NOT NULL"))),
+    ]:
+        fold_batches(spark, f"{out}/{name}", schema, ["document_id"], fold)
 
 
 def updated_documents(documents: DataFrame, out: str) -> DataFrame:

@@ -14,13 +14,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioflow.jobs.process import Blobs, store_outcomes
+from folioflow.jobs.process import Blobs, fold_outputs, store_outcomes
 from folioflow.operators import lifecycle as L
 from folioflow.operators.contracts import add_columns
 from folioflow.operators.updates import apply_updates, latest_changes
 from folioflow.schemas import EXTRACTING, EXTRACTION_FAILED, MIGRATION
 from folioflow.session import before
-from folioflow.sources.batches import read_batches, write_batch
+from folioflow.sources.batches import write_batch
+from folioflow.sources.levels import fold_batches, last_values, read_levels
 from folioflow.sources.objects import ObjectStore
 from folioflow.sources.tables import read_table
 
@@ -40,8 +41,8 @@ CHANGED = ["status", "retry_count", "updated_at", "processing_notes"]
 
 def latest_states(spark: SparkSession, out: str, cycle: int) -> DataFrame:
     """The last state of every document touched by a cycle before ``cycle``."""
-    begun = read_batches(spark, f"{out}/attempts", CHANGE).withColumn("step", F.lit(0))
-    ended = read_batches(spark, f"{out}/settled", CHANGE).withColumn("step", F.lit(1))
+    begun = read_levels(spark, f"{out}/attempts", CHANGE).withColumn("step", F.lit(0))
+    ended = read_levels(spark, f"{out}/settled", CHANGE).withColumn("step", F.lit(1))
     earlier = begun.unionByName(ended).where(F.col("batch_id") < cycle)
     columns = [c for c in CHANGE.fieldNames() if c != "id"]
     return latest_changes(earlier, "id", ["batch_id", "step"], columns)
@@ -125,6 +126,14 @@ def run_cycle(
     return L.cycle_stats(write_batch(settled, f"{out}/settled", cycle))
 
 
+def fold_cycles(spark: SparkSession, out: str) -> None:
+    """Fold the records of older cycles."""
+    columns = [c for c in CHANGE.fieldNames() if c != "id"]
+    for name in ("attempts", "settled"):
+        fold_batches(spark, f"{out}/{name}", CHANGE, ["id"], last_values("id", columns))
+    fold_outputs(spark, out)
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     parser = argparse.ArgumentParser(description="Retry documents whose extraction failed")
     parser.add_argument("--documents", required=True, help="documents table")
@@ -157,6 +166,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         else:
             stats = run_cycle(base, blobs, args.out, cycle, now, **limits).first()
         log.info("cycle %d: %s", cycle, stats.asDict())
+        fold_cycles(spark, f"{args.home}/cycles" if args.home else args.out)
         if args.run_once:
             return
         time.sleep(args.interval * 60)

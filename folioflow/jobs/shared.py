@@ -21,7 +21,8 @@ from folioflow.functions.embedding import EmbedFn
 from folioflow.jobs import process, reprocess
 from folioflow.operators.embeddings import content_hash
 from folioflow.operators.updates import apply_updates, latest_changes, write_vectors
-from folioflow.sources.batches import latest_set, read_batches
+from folioflow.sources.batches import latest_set
+from folioflow.sources.levels import read_levels
 from folioflow.streaming.jobs import CHUNK_KEY, Rows, backfill_pass, backfilled
 
 ROLES = ["worker", "cycles"]
@@ -30,7 +31,7 @@ ROLES = ["worker", "cycles"]
 def _written(spark: SparkSession, home: str, name: str, schema, upto: int | None) -> DataFrame:
     """A table of the worker's and the cycles' batches; of cycles only those before ``upto``."""
     parts = [
-        read_batches(spark, f"{home}/{role}/{name}", schema).withColumn("role", F.lit(k))
+        read_levels(spark, f"{home}/{role}/{name}", schema).withColumn("role", F.lit(k))
         for k, role in enumerate(ROLES)
     ]
     if upto is not None:

@@ -126,5 +126,3 @@ def replace_chunks(current: DataFrame, fresh: DataFrame) -> DataFrame:
     return current.join(replaced, "document_id", "left_anti").unionByName(
         fresh, allowMissingColumns=True
     )
-
-

@@ -316,6 +316,12 @@ def oracle_sql() -> dict[str, str]:
         ck AS (SELECT c.document_id, CASE WHEN r.provider_config_id IS NOT NULL THEN 1 END AS vec_id
           FROM chunks c JOIN final f ON f.id = c.document_id
           LEFT JOIN resolved r ON r.user_id = f.uploaded_by_user_id)"""
+    replaced = f"""WITH good AS (SELECT * FROM documents WHERE doc_id IN
+              (SELECT doc_id FROM labels WHERE quality = 1)),
+            {chunked(1000, 200, source='good')}, {CK}
+            SELECT document_id, chunk_index, content FROM chunks UNION ALL
+            SELECT document_id, chunk_index, content FROM ck
+            WHERE document_id NOT IN (SELECT document_id FROM chunks)"""
     return {
         "four_roles": f"""{roles}, n AS (SELECT document_id, COUNT(*) AS n_chunks,
               COUNT(vec_id) AS n_vectors FROM ck GROUP BY 1)
@@ -342,12 +348,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT c.document_id, c.chunk_index, CAST(length(any_value(c.content)) AS INT) AS n_chars,
               768 AS dim, CAST(COUNT(v.bucket) AS INT) AS n_buckets, {at(NOW)} AS created_at
             FROM chunks c LEFT JOIN vec v USING (document_id, chunk_index) GROUP BY 1, 2""",
-        "chunk_replace": f"""WITH good AS (SELECT * FROM documents WHERE doc_id IN
-              (SELECT doc_id FROM labels WHERE quality = 1)),
-            {chunked(1000, 200, source='good')}, {CK}
-            SELECT document_id, chunk_index, content FROM chunks UNION ALL
-            SELECT document_id, chunk_index, content FROM ck
-            WHERE document_id NOT IN (SELECT document_id FROM chunks)""",
+        "chunk_replace": replaced,
+        "chunk_replace_buckets": replaced,
         "summarize_text": """SELECT doc_id, CASE WHEN length(text) > 1000
             THEN left(text, 1000) || '...' ELSE text END AS summary FROM documents""",
         "truncate_text": f"""SELECT doc_id, CASE WHEN length(text) > 2000
@@ -601,6 +603,14 @@ def oracle_sql() -> dict[str, str]:
               LEFT JOIN counts c ON c.document_id = d.id"""
             for i in range(len(CYCLE_TIMES))
         ),
+        "levelled_state": """WITH c AS (SELECT user_id AS id, event_id % 40 AS batch, ts, event_id,
+              CASE event_type WHEN 'error' THEN 'TextExtractionFailed'
+                WHEN 'purchase' THEN 'Processed' WHEN 'view' THEN 'Queued'
+                ELSE 'ExtractingText' END AS status,
+              CASE WHEN event_type = 'error' THEN 'error ' || event_id END AS note FROM events)
+            SELECT id, arg_max(status, (batch, ts, event_id)) AS status,
+              arg_max(note, (batch, ts, event_id)) FILTER (WHERE note IS NOT NULL) AS processing_notes,
+              arg_max(ts, (batch, ts, event_id)) AS updated_at FROM c GROUP BY 1""",
         "metrics_history": f"WITH {DS}, {CK}, {assembled(WHOLE)}, {outcome(WHOLE)}, {cycles()}, "
         + ", ".join(
             f"m{i} AS (SELECT {at(now)} AS \"timestamp\", {FIGURES} FROM s{i + 1})"

@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folioflow.functions import text as X
 from folioflow.functions.embedding import (
@@ -37,6 +38,8 @@ from folioflow.session import workspace
 from folioflow.sources import queue as Q
 from folioflow.sources.batches import read_batches, write_batch
 from folioflow.sources.blobs import fetch
+from folioflow.sources.buckets import read_buckets, replace_in_buckets, write_buckets
+from folioflow.sources.levels import fold_batches, last_values, read_levels
 from folioflow.sources.objects import ObjectStore, fetch_objects, put_objects
 from folioflow.streaming import jobs as J
 
@@ -44,6 +47,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 SMALL_FILE = 4000
+CHUNK_BUCKETS = 16
 CYCLE_TIMES = [NOW + dt.timedelta(minutes=30 * i) for i in range(3)]
 
 
@@ -142,6 +146,20 @@ def chunk_replace(spark, sf_dir):
     return C.replace_chunks(fx.chunk_state(spark, sf_dir).drop("vec_id"), stored)
 
 
+@query
+def chunk_replace_buckets(spark, sf_dir):
+    """The same swap on disk: only the buckets of the documents labelled good are rewritten."""
+    out = workspace(spark, "buckets")
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    fresh = C.chunk_documents(texts(spark, sf_dir).join(good, "doc_id", "left_semi"))
+    stored = write_batch(fresh, f"{out}/fresh", 0)
+    current = fx.chunk_state(spark, sf_dir).select("document_id", "chunk_index", "content")
+    write_buckets(current, f"{out}/chunks", "document_id", CHUNK_BUCKETS)
+    for _ in range(2):  # replayed
+        replace_in_buckets(stored, f"{out}/chunks", "document_id", 1, CHUNK_BUCKETS)
+    return read_buckets(spark, f"{out}/chunks", stored.schema).select("document_id", "chunk_index", "content")
+
+
 @query
 def summarize_text(spark, sf_dir):
     return documents(spark, sf_dir).select("doc_id", X.summarize(F.col("text")).alias("summary"))
@@ -943,6 +961,31 @@ def four_roles_metrics(spark, sf_dir):
     return spark.read.parquet(f"{home}/metrics").drop("batch_id", "status_counts", "failed_by_retry_count")
 
 
+LEVEL_BATCHES = 40
+LEVELLED = T.StructType([
+    T.StructField("id", T.LongType()), T.StructField("status", T.StringType()),
+    T.StructField("processing_notes", T.StringType()), T.StructField("updated_at", T.TimestampNTZType()),
+])
+
+
+@query
+def levelled_state(spark, sf_dir):
+    """Forty batches of changes, folded along the way: every document's last values."""
+    out = workspace(spark, "levels")
+    changes = _changes(spark, sf_dir).withColumn("batch", F.expr(f"seq % {LEVEL_BATCHES}"))
+    per_batch = U.latest_changes(
+        changes.withColumn("id", F.struct("batch", "id")), "id", ["updated_at", "seq"],
+        ["status", "processing_notes", "updated_at"],
+    )
+    stored = write_batch(per_batch.select("id.batch", "id.id", "status", "processing_notes", "updated_at"), f"{out}/all", 0)
+    columns = ["status", "processing_notes", "updated_at"]
+    for number in range(LEVEL_BATCHES):
+        write_batch(stored.where(F.col("batch") == number).select("id", *columns).coalesce(1), f"{out}/table", number)
+        fold_batches(spark, f"{out}/table", LEVELLED, ["id"], last_values("id", columns))
+    rows = read_levels(spark, f"{out}/table", LEVELLED)
+    return U.latest_changes(rows, "id", ["batch_id"], columns)
+
+
 @query
 def metrics_history(spark, sf_dir):
     """A metrics snapshot after each cycle."""

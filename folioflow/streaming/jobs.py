@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from folioflow.functions.embedding import VECTOR, EmbedFn
-from folioflow.jobs.process import Blobs, process_batch, sweep_stuck
+from folioflow.jobs.process import Blobs, fold_outputs, process_batch, sweep_stuck
 from folioflow.operators.embeddings import (
     OPEN,
     content_hash,
@@ -30,6 +30,7 @@ from folioflow.operators.embeddings import (
 from folioflow.operators.lifecycle import STUCK_MINUTES
 from folioflow.schemas import EXTRACTING, EXTRACTION_FAILED
 from folioflow.sources.batches import latest_set, read_batches, write_batch
+from folioflow.sources.levels import fold_batches, last_sets, read_levels
 
 SWEEP_EVERY = 20
 Clock = Callable[[], dt.datetime]
@@ -49,6 +50,7 @@ VECTORS = T.StructType([
     T.StructField("content_hash", T.LongType()),
 ])
 CHUNK_KEY = ["document_id", "chunk_index"]
+VECTOR_KEY = [*CHUNK_KEY, "content_hash"]
 Rows = DataFrame | Callable[[], DataFrame]
 
 
@@ -94,13 +96,14 @@ def ingest(
     """Process a stream of queue messages; see :func:`process_batch`.
 
     Every ``sweep_every`` micro-batches the states written so far are swept for
-    documents whose extraction began long ago and never ended.
+    documents whose extraction began long ago and never ended, and older batches are folded.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         process_batch(batch, batch_id, blobs, out, clock(), **options)
         if (batch_id + 1) % sweep_every == 0:
             sweep_stuck(batch.sparkSession, out, batch_id, clock())
+            fold_outputs(batch.sparkSession, out)
 
     return _start(lines, handle, checkpoint, seconds)
 
@@ -262,13 +265,12 @@ def backfill_pass(
     What an earlier pass settled for the same content is left alone; open chunks, which
     waited for their document or a credential or met an error, are tried again.
     """
-    done = read_batches(chunks.sparkSession, out, VECTORS).where(
+    done = read_levels(chunks.sparkSession, out, VECTORS).where(
         (F.col("batch_id") < number)
         & (~F.col("embed_status").isin(OPEN) | F.col("dim").isNotNull())
     )
-    key = [*CHUNK_KEY, "content_hash"]
     waiting = chunks.withColumn("content_hash", content_hash()).join(
-        done.select(*key).distinct(), key, "left_anti"
+        done.select(*VECTOR_KEY).distinct(), VECTOR_KEY, "left_anti"
     )
     return _embed_missing(
         waiting, docs, resolved, out, number, embed_fn, has_fallback, parity, vector_col
@@ -277,4 +279,9 @@ def backfill_pass(
 
 def backfilled(spark: SparkSession, out: str) -> DataFrame:
     """The last word on every chunk and content."""
-    return latest_set(read_batches(spark, out, VECTORS), [*CHUNK_KEY, "content_hash"])
+    return latest_set(read_levels(spark, out, VECTORS), VECTOR_KEY)
+
+
+def fold_vectors(spark: SparkSession, out: str) -> None:
+    """Fold the vectors of older passes."""
+    fold_batches(spark, out, VECTORS, VECTOR_KEY, last_sets(VECTOR_KEY))
