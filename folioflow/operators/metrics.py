@@ -7,6 +7,7 @@ a single narrow scan and one shuffle of a few rows per task.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -176,12 +177,16 @@ def metrics_snapshot(
     vector_col: str | None = None,
 ) -> DataFrame:
     """All figures in one record: one narrow pass over each table."""
-    parts = document_summary(document_cells(docs), max_retries).unionByName(
-        embedding_progress(chunks, vector_col), allowMissingColumns=True
+    figures = document_summary(document_cells(docs), max_retries)
+    return joined_record(figures, embedding_progress(chunks, vector_col)).select(
+        instant(now).alias("timestamp"), "*"
     )
-    return parts.agg(
-        *[F.first(c, ignorenulls=True).alias(c) for c in parts.columns]
-    ).select(instant(now).alias("timestamp"), "*")
+
+
+def joined_record(*records: DataFrame) -> DataFrame:
+    """Single rows of different figures as one row."""
+    parts = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), records)
+    return parts.agg(*[F.first(c, ignorenulls=True).alias(c) for c in parts.columns])
 
 
 def report_lines(snapshot: DataFrame) -> DataFrame:

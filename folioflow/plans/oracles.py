@@ -322,14 +322,16 @@ def oracle_sql() -> dict[str, str]:
             SELECT document_id, chunk_index, content FROM chunks UNION ALL
             SELECT document_id, chunk_index, content FROM ck
             WHERE document_id NOT IN (SELECT document_id FROM chunks)"""
+    role_metrics = f"""{roles}, a AS (SELECT {FIGURES} FROM final),
+            b AS (SELECT {PROGRESS} FROM ck)
+            SELECT {at(CYCLE_TIMES[2])} AS "timestamp", a.*, b.* FROM a CROSS JOIN b"""
     return {
         "four_roles": f"""{roles}, n AS (SELECT document_id, COUNT(*) AS n_chunks,
               COUNT(vec_id) AS n_vectors FROM ck GROUP BY 1)
             SELECT id, status, retry_count, updated_at, coalesce(n_chunks, 0) AS n_chunks,
               coalesce(n_vectors, 0) AS n_vectors FROM final LEFT JOIN n ON n.document_id = id""",
-        "four_roles_metrics": f"""{roles}, a AS (SELECT {FIGURES} FROM final),
-            b AS (SELECT {PROGRESS} FROM ck)
-            SELECT {at(CYCLE_TIMES[2])} AS "timestamp", a.*, b.* FROM a CROSS JOIN b""",
+        "four_roles_metrics": role_metrics,
+        "metrics_ledger": role_metrics,
         "chunk_documents": f"WITH {main} SELECT document_id, chunk_index, content FROM chunks",
         "chunk_sweep": "WITH "
         + ", ".join(chunked(size, lap, str(i)) for i, (size, lap, _) in enumerate(SWEEP))

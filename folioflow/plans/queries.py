@@ -21,7 +21,7 @@ from folioflow.functions.embedding import (
 from folioflow.jobs import process as P
 from folioflow.jobs import reprocess as R
 from folioflow.jobs import shared
-from folioflow.jobs.monitor import record_metrics
+from folioflow.jobs.monitor import record_ledger, record_metrics
 from folioflow.operators import chunks as C
 from folioflow.operators import contracts as G
 from folioflow.operators import embeddings as E
@@ -921,19 +921,23 @@ def reprocess_cycle_job(spark, sf_dir):
     )
 
 
-def _four_roles(spark: SparkSession, sf_dir: str) -> str:
+def _four_roles(spark: SparkSession, sf_dir: str, after_each: Callable | None = None) -> str:
     """Queue, one retry cycle that takes larger files, embedding, metrics: one shared state."""
     home = workspace(spark, "home")
+    after_each = after_each or (lambda *_: None)
     base, objects, pages = fx.document_state(spark, sf_dir), blobs(spark, sf_dir), paged(spark, sf_dir)
     P.process_batch(
         _queue_lines(documents(spark, sf_dir)), 0, objects, f"{home}/worker", CYCLE_TIMES[0],
         pages=pages, max_bytes=SMALL_FILE,
     )
+    after_each(base, home, 1)
     shared.cycle(base, objects, home, 1, CYCLE_TIMES[1], pages=pages)
+    after_each(base, home, 2)
     for number in (0, 1):  # the second pass meets only chunks that are still open
         shared.embed_missing(
             base, _resolved(spark, sf_dir), home, number, hashing_embedder(MODEL_DIM)
         )
+        after_each(base, home, 3 + number)
     record_metrics(
         shared.documents(base, home), shared.chunks(spark, home), f"{home}/metrics", 0, CYCLE_TIMES[2]
     )
@@ -986,6 +990,18 @@ def levelled_state(spark, sf_dir):
     return U.latest_changes(rows, "id", ["batch_id"], columns)
 
 
+@query
+def metrics_ledger(spark, sf_dir):
+    """The shared state's figures kept by additions and retractions after every role's turn."""
+
+    def turn(base: DataFrame, home: str, number: int) -> None:
+        record_ledger(base, home, f"{home}/records", number, CYCLE_TIMES[2])
+
+    home = _four_roles(spark, sf_dir, turn)
+    last = spark.read.parquet(f"{home}/records/batch_id=4")
+    return last.drop("status_counts", "failed_by_retry_count")
+
+
 @query
 def metrics_history(spark, sf_dir):
     """A metrics snapshot after each cycle."""

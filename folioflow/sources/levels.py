@@ -37,10 +37,10 @@ Fold = Callable[[DataFrame], DataFrame]
 
 @dataclass(frozen=True)
 class Snapshot:
-    """``runs`` are (level, folder name); ``covered`` the batches they hold that still have folders."""
+    """``runs`` are (level, folder name, last batch); ``covered`` the batches they hold that still have folders."""
 
     number: int = 0
-    runs: tuple[tuple[int, str], ...] = ()
+    runs: tuple[tuple[int, str, int], ...] = ()
     covered: frozenset[int] = field(default_factory=frozenset)
 
 
@@ -50,7 +50,7 @@ def _numbers(spark: SparkSession, path: str) -> list[int]:
 
 def _load(spark: SparkSession, path: str, number: int) -> Snapshot:
     said = json.loads(files.read_text(spark, f"{path}/_manifests/{number:06d}.json"))
-    return Snapshot(number, tuple((level, name) for level, name in said["runs"]), frozenset(said["covered"]))
+    return Snapshot(number, tuple(map(tuple, said["runs"])), frozenset(said["covered"]))
 
 
 def snapshot(spark: SparkSession, path: str) -> Snapshot:
@@ -76,11 +76,15 @@ def _rows(spark: SparkSession, path: str, schema: T.StructType, runs: Sequence[s
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
-def read_levels(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Rows of the last snapshot's runs and of all later batches, with their ``batch_id``."""
-    now = snapshot(spark, path)
-    tail = [n for n in batches(spark, path) if n not in now.covered]
-    return _rows(spark, path, schema, [name for _, name in now.runs], tail)
+def read_levels(spark: SparkSession, path: str, schema: T.StructType, since: int | None = None) -> DataFrame:
+    """Rows of the last snapshot's runs and of all later batches, with their ``batch_id``.
+
+    With ``since`` only those of this batch and later ones; runs and batches before it are not opened.
+    """
+    now, least = snapshot(spark, path), -1 if since is None else since
+    tail = [n for n in batches(spark, path) if n not in now.covered and n >= least]
+    rows = _rows(spark, path, schema, [name for _, name, last in now.runs if last >= least], tail)
+    return rows if since is None else rows.where(F.col("batch_id") >= since)
 
 
 def fold_batches(
@@ -96,15 +100,16 @@ def fold_batches(
     if len(waiting) < fanout:
         return False
     level, taken, left = 1, [], list(now.runs)
-    while sum(at == level for at, _ in left) + 1 >= fanout:
-        taken += [name for at, name in left if at == level]
+    while sum(run[0] == level for run in left) + 1 >= fanout:
+        taken += [run for run in left if run[0] == level]
         left = [run for run in left if run[0] != level]
         level += 1
     name = f"l{level}-{waiting[0]}-{waiting[-1]}-{uuid.uuid4().hex}"
-    rows = fold(_rows(spark, path, schema, taken, waiting))
+    rows = fold(_rows(spark, path, schema, [run[1] for run in taken], waiting))
+    last = max([waiting[-1], *(run[2] for run in taken)])
     rows.repartitionByRange(*key).sortWithinPartitions(*key).write.parquet(f"{path}/_runs/{name}")
     covered = (now.covered | set(waiting)) & set(there)
-    said = json.dumps({"runs": [*left, (level, name)], "covered": sorted(covered)})
+    said = json.dumps({"runs": [*left, (level, name, last)], "covered": sorted(covered)})
     if not files.publish(spark, f"{path}/_manifests/{now.number + 1:06d}.json", said):
         raise RuntimeError(f"another job folds {path}")
     tidy(spark, path)
@@ -119,7 +124,7 @@ def tidy(spark: SparkSession, path: str, keep: int = KEEP) -> None:
         return
     for n in set.intersection(*(set(s.covered) for s in kept)) if len(kept) == keep else ():
         files.remove(spark, f"{path}/batch_id={n}")
-    used = {name for s in kept for _, name in s.runs}
+    used = {run[1] for s in kept for run in s.runs}
     for name in files.names(spark, f"{path}/_runs"):
         if name not in used:
             files.remove(spark, f"{path}/_runs/{name}")
