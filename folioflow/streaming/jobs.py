@@ -16,7 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import (
+    ExpiredTimerInfo,
+    StatefulProcessor,
+    StatefulProcessorHandle,
+    TimerValues,
+)
 
 from folioflow.functions.embedding import VECTOR, EmbedFn
 from folioflow.jobs.process import Blobs, fold_outputs, process_batch, sweep_stuck
@@ -33,6 +38,10 @@ from folioflow.sources.batches import latest_set, read_batches, write_batch
 from folioflow.sources.levels import fold_batches, last_sets, read_levels
 
 SWEEP_EVERY = 20
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
 Clock = Callable[[], dt.datetime]
 
 STUCK = T.StructType([
@@ -63,24 +72,26 @@ def _start(
     handle: Callable,
     checkpoint: str,
     seconds: int | None,
-    partitions: int | None = None,
+    settings: dict[str, str] | None = None,
 ) -> StreamingQuery:
-    """``seconds`` between micro-batches, or everything available once when None."""
+    """``seconds`` between micro-batches, or everything available once when None.
+
+    A stateful query keeps the ``settings`` it first starts with; the session gets its own back.
+    """
     writer = rows.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     if seconds is None:
         writer = writer.trigger(availableNow=True)
     else:
         writer = writer.trigger(processingTime=f"{seconds} seconds")
-    if partitions is None:
-        return writer.start()
-    # A stateful query keeps the partition count it first starts with.
     conf = rows.sparkSession.conf
-    usual = conf.get("spark.sql.shuffle.partitions")
-    conf.set("spark.sql.shuffle.partitions", partitions)
+    usual = {key: conf.get(key, None) for key in settings or {}}
     try:
+        for key, value in (settings or {}).items():
+            conf.set(key, value)
         return writer.start()
     finally:
-        conf.set("spark.sql.shuffle.partitions", usual)
+        for key, value in usual.items():
+            conf.unset(key) if value is None else conf.set(key, value)
 
 
 def ingest(
@@ -121,66 +132,87 @@ def _last_changes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         ).to_batches()
 
 
-def _watch(minutes: int, event_time: bool) -> Callable:
-    """State function: remembers the last news of a document and whether extraction began.
+class StuckWatch(StatefulProcessor):
+    """Remembers a document's last news and whether its extraction began, with a timer each.
 
-    Of an ended extraction the moment stays until the watermark has passed it (on the
-    clock, as long as a stuck one would take), so older news that comes later is known
-    as such and never raises an alarm.
+    Of an ended extraction the moment stays until older news can no longer come, so that such news
+    never raises an alarm: until the watermark has passed it or, on the clock, as long as a stuck
+    one would take. Timers clear both; a time to live would also forget extractions that began
+    before the query stood still. Moments are in microseconds, timers in milliseconds.
     """
-    patience = minutes * 60_000
 
-    def watch(
-        key: tuple, frames: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            since, begun = state.get
-            state.remove()
-            if begun:
-                yield pd.DataFrame({"id": [key[0]], "since": [since]})
-            return
+    def __init__(self, minutes: int, event_time: bool) -> None:
+        self.patience, self.event_time = minutes * 60_000, event_time
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.news = handle.getValueState("news", "micros bigint, begun boolean, due bigint")
+
+    def _remember(self, moment: int, begun: bool, timers: TimerValues) -> None:
+        now = timers.getCurrentWatermarkInMs() if self.event_time else timers.getCurrentProcessingTimeInMs()
+        wait = self.patience if begun or not self.event_time else 0
+        due = max(moment // 1000 + wait, now + 1)  # one in the past is due next
+        self.news.update((moment, begun, due))
+        self.handle.registerTimer(due)
+
+    def handleInitialState(self, key: tuple, initialState: pd.DataFrame, timerValues: TimerValues) -> None:
+        moment, status = max(zip(initialState["micros"].tolist(), initialState["status"].tolist(), strict=True))
+        self._remember(moment, status == EXTRACTING, timerValues)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
         moment, status = max(
-            max(zip(frame["micros"].tolist(), frame["status"].tolist())) for frame in frames
+            max(zip(frame["micros"].tolist(), frame["status"].tolist(), strict=True)) for frame in rows
         )
-        if state.exists and state.get[0] > moment:
-            return
-        begun = status == EXTRACTING
-        state.update((moment, begun))
-        if event_time:
-            deadline = moment // 1000 + (patience if begun else 0)
-            # A deadline already passed is due with the next watermark.
-            state.setTimeoutTimestamp(max(deadline, state.getCurrentWatermarkMs() + 1))
-        else:
-            waited = state.getCurrentProcessingTimeMs() - moment // 1000
-            state.setTimeoutDuration(max(patience - waited, 1))
+        known = self.news.get()
+        if known is not None and known[0] > moment:
+            return iter(())
+        if known is not None:
+            self.handle.deleteTimer(known[2])
+        self._remember(moment, status == EXTRACTING, timerValues)
+        return iter(())
+
+    def handleExpiredTimer(
+        self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo
+    ) -> Iterator[pd.DataFrame]:
+        known = self.news.get()
+        if known is None or known[2] > expiredTimerInfo.getExpiryTimeInMs():
+            return iter(())
+        self.news.clear()
+        return iter([pd.DataFrame({"id": [key[0]], "since": [known[0]]})] if known[1] else ())
 
-    return watch
+    def close(self) -> None:
+        pass
+
+
+def _moments(changes: DataFrame) -> DataFrame:
+    moment = F.col("updated_at").cast("timestamp")
+    return changes.select(
+        "id", "status", moment.alias("updated_at"), F.unix_micros(moment).alias("micros")
+    )
 
 
 def stuck_stream(
-    changes: DataFrame, minutes: int = STUCK_MINUTES, lateness: str | None = None
+    changes: DataFrame, minutes: int = STUCK_MINUTES, lateness: str | None = None, known: DataFrame | None = None
 ) -> DataFrame:
     """Documents whose extraction began more than ``minutes`` ago and brought no news.
 
-    ``changes`` is ``(id, status, updated_at)``. A document is kept in state while it
+    ``changes`` is ``(id, status, updated_at)``. A document is kept in state, in RocksDB, while it
     is being extracted, and after its end until older news can no longer come, so the
     state is as large as the work in progress, not as the table. With ``lateness``
     time is event time behind that watermark, which gives the same result on every
-    replay; without, it is the clock.
+    replay; without, it is the clock. ``known`` is a table like ``changes`` of documents that
+    were under extraction before the stream began; it is read when the query first starts.
     """
-    moment = F.col("updated_at").cast("timestamp")
-    rows = changes.select(
-        "id", "status", moment.alias("updated_at"), F.unix_micros(moment).alias("micros")
-    )
+    rows = _moments(changes)
     rows = rows.mapInArrow(_last_changes, rows.schema)
     if lateness is not None:
         rows = rows.withWatermark("updated_at", lateness)
-    timeout = GroupStateTimeout.ProcessingTimeTimeout
-    if lateness is not None:
-        timeout = GroupStateTimeout.EventTimeTimeout
-    found = rows.groupBy("id").applyInPandasWithState(
-        _watch(minutes, lateness is not None),
-        "id bigint, since bigint", "since bigint, begun boolean", "append", timeout,
+    begun = None
+    if known is not None:
+        begun = _moments(known.where(F.col("status") == EXTRACTING)).select("id", "status", "micros").groupBy("id")
+    found = rows.groupBy("id").transformWithStateInPandas(
+        StuckWatch(minutes, lateness is not None), "id bigint, since bigint", "append",
+        "processingTime" if lateness is None else "eventTime", begun,
     )
     return found.select(
         "id",
@@ -197,6 +229,7 @@ def watch_stuck(
     minutes: int = STUCK_MINUTES,
     lateness: str | None = None,
     partitions: int | None = None,
+    known: DataFrame | None = None,
 ) -> StreamingQuery:
     """Record the findings of :func:`stuck_stream`, batch by batch."""
 
@@ -204,7 +237,9 @@ def watch_stuck(
         write_batch(batch, out, batch_id)
 
     return _start(
-        stuck_stream(changes, minutes, lateness), handle, checkpoint, seconds, partitions
+        stuck_stream(changes, minutes, lateness, known), handle, checkpoint, seconds, STATE_STORE | (
+            {} if partitions is None else {"spark.sql.shuffle.partitions": str(partitions)}
+        )
     )
 
 

@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -140,48 +141,77 @@ def test_stuck_stream_equals_batch(spark, tmp_path):
     assert all(r.status == "TextExtractionFailed" for r in J.found_stuck(spark, out).collect())
 
 
-class FakeState:
-    """Just enough of the engine's state handle to drive the function by hand."""
+class FakeEngine:
+    """Just enough of the engine's state, timers and clock to drive the processor by hand."""
 
     def __init__(self, now_ms):
-        self.value, self.now, self.timeout, self.hasTimedOut = None, now_ms, None, False
+        self.value, self.now, self.timers = None, now_ms, []
 
-    exists = property(lambda self: self.value is not None)
-    get = property(lambda self: self.value)
+    def getValueState(self, *_):
+        return self
+
+    def get(self):
+        return self.value
 
     def update(self, value):
         self.value = value
 
-    def remove(self):
-        self.value = self.timeout = None
+    def clear(self):
+        self.value = None
+
+    def registerTimer(self, ms):
+        self.timers.append(ms)
+
+    def deleteTimer(self, ms):
+        self.timers.remove(ms)
 
-    def getCurrentProcessingTimeMs(self):
+    def getCurrentProcessingTimeInMs(self):
         return self.now
 
-    def setTimeoutDuration(self, ms):
-        self.timeout = ms
+    def getExpiryTimeInMs(self):
+        return self.now
 
 
-def test_clock_timeouts():
-    import pandas as pd
+def test_clock_timers():
+    engine, watch = FakeEngine(now_ms=100_000), J.StuckWatch(30, event_time=False)
+    watch.init(engine)
 
-    def feed(state, *rows):
+    def feed(*rows):
         frame = pd.DataFrame(rows, columns=["micros", "status"])
-        return list(J._watch(30, event_time=False)((7,), iter([frame]), state))
-
-    state = FakeState(now_ms=100_000)
-    assert feed(state, (40_000_000, "ExtractingText")) == [] and state.timeout == 30 * 60_000 - 60_000
-    assert feed(state, (30_000_000, "Processed")) == [] and state.exists  # older news
-    assert feed(state, (50_000_000, "Processed")) == [] and state.get == (50_000_000, False)
-    assert feed(state, (45_000_000, "ExtractingText")) == [] and state.get == (50_000_000, False)
-    feed(state, (60_000_000, "ExtractingText"))
-    state.hasTimedOut = True
-    [found] = J._watch(30, event_time=False)((7,), iter([]), state)
-    assert found.to_dict("list") == {"id": [7], "since": [60_000_000]} and not state.exists
-    state.hasTimedOut = False
-    feed(state, (70_000_000, "Processed"))
-    state.hasTimedOut = True
-    assert list(J._watch(30, event_time=False)((7,), iter([]), state)) == [] and not state.exists
+        return list(watch.handleInputRows((7,), iter([frame]), engine))
+
+    def ring():
+        engine.now = engine.timers.pop()
+        return list(watch.handleExpiredTimer((7,), engine, engine))
+
+    assert feed((40_000_000, "ExtractingText")) == [] and engine.timers == [40_000 + 30 * 60_000]
+    assert feed((30_000_000, "Processed")) == [] and engine.value[:2] == (40_000_000, True)  # older news
+    feed((50_000_000, "Processed"))
+    feed((45_000_000, "ExtractingText"))
+    assert engine.value[:2] == (50_000_000, False) and engine.timers == [50_000 + 30 * 60_000]
+    feed((60_000_000, "ExtractingText"), (55_000_000, "Processed"))
+    [found] = ring()
+    assert found.to_dict("list") == {"id": [7], "since": [60_000_000]} and engine.value is None
+    feed((70_000_000, "Processed"))
+    assert ring() == [] and engine.value is None
+    watch.handleInitialState((7,), pd.DataFrame({"micros": [80_000_000], "status": ["ExtractingText"]}), engine)
+    engine.value = (80_000_000, True, engine.timers[-1] + 5)  # a timer that was replaced meanwhile
+    assert ring() == [] and engine.value is not None
+
+
+def test_a_watch_starts_from_a_table(spark, tmp_path):
+    schema = "id long, status string, updated_at timestamp_ntz"
+    known = spark.createDataFrame(changes([(1, "ExtractingText", 0), (2, "Processed", 1), (3, "ExtractingText", 2)]), schema)
+    folder = tmp_path / "changes"
+    for n, rows in enumerate([changes([(3, "Processed", 20)]), changes([(4, "Queued", 60)]), changes([(4, "Queued", 61)])]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/{n}")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/*")
+    out = str(tmp_path / "out")
+    J.watch_stuck(stream, out, str(tmp_path / "c"), seconds=None, lateness="0 seconds", partitions=2, known=known).awaitTermination()
+    assert [(r.id, r.stuck_since) for r in J.found_stuck(spark, out).collect()] == [(1, T0)]
+    assert spark.conf.get("spark.sql.shuffle.partitions") != "2"
+    assert "RocksDB" not in (spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") or "")
+    assert list((tmp_path / "c" / "state").rglob("*.zip"))  # RocksDB snapshots
 
 
 def test_news_out_of_order_raise_no_alarm(spark, tmp_path):
