@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -76,10 +77,11 @@ def with_defaults(rows: DataFrame, contract: Contract, now: dt.datetime) -> Data
 
 
 def assign_ids(rows: DataFrame, key: Column, start: Column, id_col: str = "id") -> DataFrame:
-    """Dense identities following ``start``, without a global sort.
+    """Dense 64-bit identities following ``start``, without a global sort.
 
-    Rows fall into buckets by a digest of ``key`` (unique per row); bucket sizes give
-    every bucket its offset, and rows are numbered inside their bucket only.
+    Rows fall into buckets by a digest of ``key``; bucket sizes give every bucket its offset,
+    and rows are numbered inside their bucket only, those of equal keys in the order of a hash
+    of all their columns. ``rows`` is read twice: pass it as stored.
     """
     bucketed = rows.withColumn("_key", key.cast("string")).withColumn(
         "_bucket", F.substring(F.md5("_key"), 1, ID_BUCKET_DIGITS)
@@ -92,7 +94,8 @@ def assign_ids(rows: DataFrame, key: Column, start: Column, id_col: str = "id")
             (F.sum("_n").over(Window.orderBy("_bucket")) - F.col("_n")).alias("_offset"),
         )
     )
-    number = F.row_number().over(Window.partitionBy("_bucket").orderBy("_key"))
+    order = Window.partitionBy("_bucket").orderBy("_key", F.xxhash64(*rows.columns))
+    number = F.row_number().over(order).cast("long")
     return (
         bucketed.join(F.broadcast(offsets), "_bucket")
         .withColumn(id_col, start + F.col("_offset") + number)
@@ -103,7 +106,13 @@ def assign_ids(rows: DataFrame, key: Column, start: Column, id_col: str = "id")
 def insert(
     table: DataFrame, rows: DataFrame, contract: Contract, key: Column, now: dt.datetime
 ) -> DataFrame:
-    """The inserted rows with identities above the table's highest."""
-    top = table.agg(F.coalesce(F.max("id"), F.lit(0)).alias("top")).first()["top"]
-    numbered = assign_ids(rows, key, F.lit(top))
-    return with_defaults(numbered, contract, now)
+    """The inserted rows with 64-bit identities above the table's highest.
+
+    Nothing runs before the result is used; the highest identity is a subquery of it.
+    """
+    top = table.select(F.coalesce(F.max("id"), F.lit(0)).cast("long")).scalar()
+    numbered = assign_ids(rows, key, top)
+    wide = replace(contract, schema=T.StructType([
+        T.StructField("id", T.LongType()) if f.name == "id" else f for f in contract.schema
+    ]))
+    return with_defaults(numbered, wide, now)

@@ -437,7 +437,7 @@ def oracle_sql() -> dict[str, str]:
             FROM ck c LEFT JOIN embeddings e USING (vec_id)
             LEFT JOIN n USING (document_id, chunk_index)""",
         "insert_defaults": f"""WITH {DS}, k AS (SELECT 'doc_' || id || '.pdf' AS f, updated_at
-              FROM ds)
+              FROM ds, range(2))
             SELECT (SELECT MAX(id) FROM ds) + ROW_NUMBER() OVER (ORDER BY substr(md5(f), 1, 4), f)
                 AS id, f AS processed_file_name, 'TextExtractionFailed' AS status,
               0 AS retry_count, updated_at, {at(NOW)} AS created_at, '' AS original_file_name,

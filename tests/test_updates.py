@@ -56,6 +56,15 @@ def test_insert_fills_defaults(spark):
     assert row.text_extracted is None and row.description is None
 
 
+def test_identities_go_beyond_32_bits_and_keys_may_repeat(spark):
+    table = spark.createDataFrame([(1 << 40,)], "id long")
+    rows = spark.createDataFrame([("same",), ("same",), ("other",)], "processed_file_name string")
+    new = U.insert(table, rows, migrated(CONTRACTS["documents"]), F.col("processed_file_name"), NOW)
+    assert sorted(r.id for r in new.collect()) == [(1 << 40) + k for k in (1, 2, 3)]
+    none = U.insert(table.limit(0), rows, migrated(CONTRACTS["documents"]), F.col("processed_file_name"), NOW)
+    assert sorted(r.id for r in none.collect()) == [1, 2, 3]
+
+
 def test_status_defaults_when_left_out(spark):
     rows = spark.createDataFrame([(1, "f")], "id int, processed_file_name string")
     row = U.with_defaults(rows, CONTRACTS["documents"], NOW).first()
