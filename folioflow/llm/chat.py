@@ -126,14 +126,16 @@ def merged(spans: list[dict]) -> list[dict]:
     return out
 
 
-def turn_tokens(role: str, text: str, encode, control: int) -> tuple[np.ndarray, np.ndarray]:
-    """Token ids of a formatted turn and its loss mask."""
-    head, body, tail = encode([escape_role(role) + "\n", escape(text), "\n"])
-    tokens = np.concatenate([[control], head, body, [control + 1], tail]).astype(np.int32)
-    loss = np.zeros(len(tokens), bool)
-    if role == "assistant":
-        loss[1 + len(head):1 + len(head) + len(body)] = True
-    return tokens, loss
+def turn_tokens(turns: list[tuple[str, str]], encode, control: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Token ids of formatted turns and their loss masks."""
+    found, out = encode([part for role, text in turns for part in (escape_role(role) + "\n", escape(text), "\n")]), []
+    for (role, _), head, body, tail in zip(turns, found[::3], found[1::3], found[2::3], strict=True):
+        tokens = np.concatenate([[control], head, body, [control + 1], tail]).astype(np.int32)
+        loss = np.zeros(len(tokens), bool)
+        if role == "assistant":
+            loss[1 + len(head):1 + len(head) + len(body)] = True
+        out.append((tokens, loss))
+    return out
 
 
 def packs(rows: DataFrame, key: str, turn: str, role: str, text: str, vocabulary: str, pack_tokens: int = PACK_TOKENS) -> DataFrame:
@@ -170,7 +172,8 @@ class Lazy:
         self.turns, self.encode, self.control = turns, encode, control
 
     def __getitem__(self, part: slice) -> list[tuple[np.ndarray, np.ndarray]]:
-        return [turn_tokens(role, text, self.encode, self.control) for role, text in self.turns[part]]
+        turns = self.turns[part]
+        return turn_tokens(turns, self.encode, self.control) if turns else []
 
 
 class Decoder:

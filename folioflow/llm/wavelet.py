@@ -76,6 +76,15 @@ class Pieces:
             hashes, values, slot = hashes[rest], values[rest], (slot[rest] + np.uint64(1)) & self.mask
 
 
+def _grown(array: np.ndarray, need: int) -> np.ndarray:
+    """The array, or a longer one that begins with it."""
+    if need <= len(array):
+        return array
+    longer = np.empty(max(need, 2 * len(array)), array.dtype)
+    longer[:len(array)] = array
+    return longer
+
+
 class Encoder:
     """Whole texts to ids of a byte-level BPE file, by way of the distinct pieces between spaces.
 
@@ -107,8 +116,9 @@ class Encoder:
         self.kind = np.uint16 if len(self.width) <= 1 << 16 else np.uint32
         self.words = WordHasher()
         self.pieces = Pieces(memory // PIECE_BYTES)
-        self.begin, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)  # of the pieces' ids in the store
-        self.store = np.zeros(0, self.kind)
+        # the pieces' ids in a row and where each begins; what lies behind the counts is scratch
+        self.store, self.held = np.empty(1 << 16, self.kind), 0
+        self.begin, self.size, self.count = np.empty(1 << 12, np.int64), np.empty(1 << 12, np.int64), 0
         lead = np.arange(256)
         self.opens = (lead > 32) & (lead != 127) & ~np.isin(lead, [0xC2, 0xE1, 0xE2, 0xE3])
 
@@ -176,24 +186,27 @@ class Encoder:
         firsts = self._encode([raw[a:b].decode() for a, b in zip(bounds[:-1].tolist(), first_ends.tolist(), strict=True)])
 
         # known pieces, then new ones, then the texts' beginnings
-        begin = np.concatenate([self.begin, len(self.store) + np.cumsum(sizes) - sizes])
-        size = np.concatenate([self.size, sizes])
-        number[unknown] = len(self.begin) + back
         lengths = np.array([len(one) for one in firsts], np.int64)
-        base = len(self.store) + len(learned)
-        store = np.concatenate([self.store, learned, *firsts])
-        take_begin = np.insert(begin[number], at[:-1], base + np.cumsum(lengths) - lengths)
-        take_size = np.insert(size[number], at[:-1], lengths)
+        base, behind = self.held + len(learned), self.count + len(sizes)
+        self.store = _grown(self.store, base + int(lengths.sum()))
+        self.store[self.held:base] = learned
+        if len(firsts):
+            self.store[base:base + int(lengths.sum())] = np.concatenate(firsts)
+        self.begin, self.size = _grown(self.begin, behind), _grown(self.size, behind)
+        self.begin[self.count:behind] = self.held + np.cumsum(sizes) - sizes
+        self.size[self.count:behind] = sizes
+        number[unknown] = self.count + back
+        take_begin = np.insert(self.begin[number], at[:-1], base + np.cumsum(lengths) - lengths)
+        take_size = np.insert(self.size[number], at[:-1], lengths)
         past = np.concatenate([[0], np.cumsum(take_size)])
-        ids = store[np.repeat(take_begin - past[:-1], take_size) + np.arange(past[-1])]
+        ids = self.store[np.repeat(take_begin - past[:-1], take_size) + np.arange(past[-1])]
 
         keep = min(len(fresh), self.pieces.room)  # remember no more: the frequent ones come early
         if keep:
             self.pieces.room -= keep
-            self.pieces.add(fresh[:keep], np.arange(len(self.begin), len(self.begin) + keep, dtype=np.int32))
-            used = int(sizes[:keep].sum())
-            self.begin, self.size = begin[:len(self.begin) + keep], size[:len(self.size) + keep]
-            self.store = store[:len(self.store) + used].copy()
+            self.pieces.add(fresh[:keep], np.arange(self.count, self.count + keep, dtype=np.int32))
+            self.count += keep
+            self.held += int(sizes[:keep].sum())
         return ids, past[np.concatenate([at[:-1] + np.arange(len(at) - 1), [len(past) - 1]])]
 
 
