@@ -895,13 +895,15 @@ def stream_backfill(spark, sf_dir):
     )
 
 
-def _cycles(spark: SparkSession, sf_dir: str, after_each: Callable | None = None) -> str:
+def _cycles(
+    spark: SparkSession, sf_dir: str, after_each: Callable | None = None, indexed: bool = False
+) -> str:
     out = workspace(spark, "cycles")
     base, pages = fx.document_state(spark, sf_dir), paged(spark, sf_dir)
     objects = blobs(spark, sf_dir)
     for number, now in enumerate(CYCLE_TIMES):
         R.run_cycle(
-            base, objects, out, number, now, pages=pages, max_bytes=SMALL_FILE,
+            base, objects, out, number, now, indexed=indexed, pages=pages, max_bytes=SMALL_FILE,
         )
         if after_each:
             after_each(R.current_documents(base, out, number + 1), out, number, now)
@@ -910,8 +912,11 @@ def _cycles(spark: SparkSession, sf_dir: str, after_each: Callable | None = None
 
 @query
 def reprocess_cycle_job(spark, sf_dir):
-    """Three cycles half an hour apart, the documents they touched and their chunks."""
-    out = _cycles(spark, sf_dir)
+    """Three cycles half an hour apart, the documents they touched and their chunks.
+
+    The cycles find what is due by an index of due times.
+    """
+    out = _cycles(spark, sf_dir, indexed=True)
     chunks = read_batches(spark, f"{out}/chunks", P.CHUNK).groupBy(
         "batch_id", F.col("document_id").alias("id")
     ).agg(F.count("*").alias("n"))
