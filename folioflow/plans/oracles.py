@@ -530,6 +530,10 @@ def oracle_sql() -> dict[str, str]:
             len(embedding) <> 768 AS unexpected FROM embeddings GROUP BY ALL""",
         "vector_topk": f"WITH {MEANS} {RANKED} FROM pairs QUALIFY rank <= 10",
         "vector_topk_kmeans": f"WITH {MEANS} {RANKED} FROM pairs QUALIFY rank <= 10",
+        "vector_topk_codes": f"WITH {MEANS} {RANKED} FROM pairs QUALIFY rank <= 10",
+        "vector_codes_recall": """WITH e AS (SELECT COUNT(*) AS n FROM embeddings)
+            SELECT COUNT(*) AS n_queries, COUNT(*) * least(any_value(e.n), 10) AS wanted, TRUE AS enough
+            FROM embeddings CROSS JOIN e WHERE vec_id % 20 = 0""",
         "vector_topk_ivf": f"""WITH {MEANS}, cells AS (SELECT vec_id, arg_min(query_id, distance)
               AS cell FROM pairs GROUP BY 1),
             probes AS (SELECT a.query_id, b.query_id AS cell FROM means a CROSS JOIN means b

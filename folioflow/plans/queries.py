@@ -23,6 +23,7 @@ from folioflow.jobs import reprocess as R
 from folioflow.jobs import shared
 from folioflow.jobs.monitor import record_ledger, record_metrics
 from folioflow.operators import chunks as C
+from folioflow.operators import coded as V
 from folioflow.operators import contracts as G
 from folioflow.operators import embeddings as E
 from folioflow.operators import lifecycle as L
@@ -667,6 +668,35 @@ def vector_topk_kmeans(spark, sf_dir):
     return _ranked(S.nearest_in_cells(vectors, S.mean_vectors(vectors, "label"), cells, 10, 8))
 
 
+def _coded(spark: SparkSession, vectors: DataFrame) -> V.Index:
+    dim = vectors.select(F.max(F.size("embedding"))).first()[0]
+    return V.build(vectors, workspace(spark, "coded"), dim, n_cells=8, parts=16)
+
+
+@query
+def vector_topk_codes(spark, sf_dir):
+    """A stored index of byte codes that lets no neighbour go: the same as the exact search."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return _ranked(V.search(_coded(spark, vectors), S.mean_vectors(vectors, "label"), 10, 8))
+
+
+@query
+def vector_codes_recall(spark, sf_dir):
+    """Whether calibrated probes and 200 candidates by codes find nine of ten exact neighbours.
+
+    Searched for is every twentieth vector, against all of them.
+    """
+    vectors = table(spark, sf_dir, "embeddings")
+    asked = vectors.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    index = _coded(spark, vectors)
+    found = V.search(index, asked, 10, V.calibrate(spark, index, 10, 0.99), 200)
+    return V.recall(found, S.nearest(vectors, asked, 10)).agg(
+        F.count("*").alias("n_queries"),
+        F.coalesce(F.sum("wanted"), F.lit(0)).alias("wanted"),
+        F.coalesce(F.sum("hits") * 10 >= F.sum("wanted") * 9, F.lit(True)).alias("enough"),
+    )
+
+
 # --- contracts --------------------------------------------------------------------------
 
 
