@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import sys
+import types
 from collections.abc import Callable, Sequence
 
 import numpy as np
@@ -42,6 +44,31 @@ def hashing_embedder(dim: int = MODEL_DIM) -> EmbedFn:
     return embed
 
 
+def referred_model(load: Callable[[str], EmbedFn], reference: str) -> EmbedFn:
+    """A model that tasks load from ``reference``, once in the life of a Python worker.
+
+    Only ``load`` and the reference travel with the plan, never the model, which may be
+    gigabytes. A worker holds the last model it used. One that cannot be loaded fails its
+    task, to be tried again, instead of leaving every text without a vector.
+    """
+
+    def model() -> EmbedFn:
+        # functions arrive anew with every task; what outlives them is the worker's module table
+        held = sys.modules.setdefault("_folioflow_models", types.ModuleType("_folioflow_models"))
+        key = (load.__module__, load.__qualname__, reference)
+        if getattr(held, "key", None) != key:
+            held.key = held.model = None  # let go of the last one before the next is loaded
+            held.model = load(reference)
+            held.key = key
+        return held.model
+
+    def embed(texts: Sequence[str]) -> np.ndarray:
+        return model()(texts)
+
+    embed.prepare = model
+    return embed
+
+
 def _embed_rows(embed_fn: EmbedFn, texts: list[str]) -> list[np.ndarray | None]:
     """One batch call; a failing batch is retried row by row so only bad rows are lost."""
     try:
@@ -72,6 +99,8 @@ def embed(text: Column, embed_fn: EmbedFn | None) -> Column:
         texts = batch.to_pylist()
         known = [i for i, text in enumerate(texts) if text is not None]
         rows: list[np.ndarray | None] = [None] * len(texts)
+        if known and hasattr(embed_fn, "prepare"):
+            embed_fn.prepare()
         for at in range(0, len(known), MODEL_BATCH):
             some = known[at : at + MODEL_BATCH]
             for i, vector in zip(some, _embed_rows(embed_fn, [texts[i] for i in some])):

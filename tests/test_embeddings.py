@@ -1,10 +1,12 @@
 """Batch embedding, credentials and the backfill policy."""
 
+import os
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from folioflow.functions.embedding import embed, hashing_embedder
+from folioflow.functions.embedding import embed, hashing_embedder, referred_model
 from folioflow.operators import embeddings as E
 
 
@@ -90,3 +92,31 @@ def test_dimensions(spark):
     df = spark.createDataFrame([([1.0] * 768,), ([1.0] * 1536,), ([1.0] * 1536,), (None,)], "embedding array<float>")
     rows = {r.dim: (r.n, r.unexpected) for r in E.dimension_audit(df).collect()}
     assert rows == {768: (1, False), 1536: (2, True), None: (1, False)}
+
+
+def test_model_is_loaded_once_a_worker_and_never_travels(spark, tmp_path):
+    log = str(tmp_path)
+
+    def load(reference):
+        with open(f"{log}/{os.getpid()}", "a") as out:
+            out.write(reference + "\n")
+        return lambda texts: np.array([[len(text), len(reference)] for text in texts])
+
+    model = referred_model(load, "models/one")
+    rows = spark.range(4000).repartition(24).select("id", F.col("id").cast("string").alias("text"))
+    for _ in range(2):
+        got = rows.select("id", embed(F.col("text"), model).alias("v")).collect()
+        assert len(got) == 4000 and all(list(r.v) == [len(str(r.id)), 10] for r in got)
+    loads = [path.read_text().splitlines() for path in tmp_path.iterdir()]
+    assert loads and all(lines == ["models/one"] for lines in loads)
+
+
+def test_model_that_cannot_be_loaded_fails_the_task(spark):
+    def load(reference):
+        raise OSError(f"no {reference}")
+
+    rows = spark.createDataFrame([("a",)], "text string").select(embed(F.col("text"), referred_model(load, "gone")))
+    with pytest.raises(Exception, match="no gone"):
+        rows.collect()
+    nothing = spark.createDataFrame([(None,)], "text string")
+    assert nothing.select(embed(F.col("text"), referred_model(load, "gone")).alias("v")).first().v is None
