@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import importlib
 import sys
 import types
 from collections.abc import Callable, Sequence
@@ -69,6 +70,17 @@ def referred_model(load: Callable[[str], EmbedFn], reference: str) -> EmbedFn:
     return embed
 
 
+def imported_model(function: str, reference: str) -> EmbedFn:
+    """A model by names alone: ``module:function`` of a package on the workers, and its reference."""
+
+    def load(named: str) -> EmbedFn:
+        place, _, reference = named.partition("@")
+        module, _, name = place.partition(":")
+        return getattr(importlib.import_module(module), name)(reference)
+
+    return referred_model(load, f"{function}@{reference}")
+
+
 def _embed_rows(embed_fn: EmbedFn, texts: list[str]) -> list[np.ndarray | None]:
     """One batch call; a failing batch is retried row by row so only bad rows are lost."""
     try:

@@ -14,7 +14,7 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioflow.functions.embedding import BACKFILL_DIM, hashing_embedder
+from folioflow.functions.embedding import BACKFILL_DIM, hashing_embedder, imported_model
 from folioflow.jobs import shared
 from folioflow.operators.embeddings import resolve_providers
 from folioflow.sources.tables import read_table
@@ -28,6 +28,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     parser.add_argument("--home", help="shared state of all roles, see folioflow.jobs.shared")
     for name in ["chunks", "out", "checkpoint"]:
         parser.add_argument(f"--{name}", help="without --home")
+    parser.add_argument("--model", help="module:function on the workers that loads the model")
+    parser.add_argument("--reference", default="", help="what that function is to load")
     parser.add_argument("--fallback", action="store_true", help="a shared credential exists")
     parser.add_argument("--parity", action="store_true", help="zeros where no vector can be made")
     parser.add_argument("--seconds", type=int, default=1, help="seconds between batches")
@@ -46,7 +48,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
             read_table(spark, args.configurations), read_table(spark, args.providers)
         )
 
-    embedder = hashing_embedder(BACKFILL_DIM)
+    if args.model:
+        embedder = imported_model(args.model, args.reference)
+    else:
+        embedder = hashing_embedder(BACKFILL_DIM)
     options = {"has_fallback": args.fallback, "parity": args.parity}
     while args.home:
         number = int(time.time())

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from folioflow.functions.embedding import embed, hashing_embedder, referred_model
+from folioflow.functions.embedding import embed, hashing_embedder, imported_model, referred_model
 from folioflow.operators import embeddings as E
 
 
@@ -120,3 +120,24 @@ def test_model_that_cannot_be_loaded_fails_the_task(spark):
         rows.collect()
     nothing = spark.createDataFrame([(None,)], "text string")
     assert nothing.select(embed(F.col("text"), referred_model(load, "gone")).alias("v")).first().v is None
+
+
+def test_two_references_are_two_models(spark):
+    def load(reference):
+        return lambda texts: np.array([[len(reference)] for _ in texts])
+
+    rows = spark.createDataFrame([("x",)], "text string").coalesce(1)
+    for reference in ("a", "bbb", "a"):
+        assert rows.select(embed(F.col("text"), referred_model(load, reference)).alias("v")).first().v == [len(reference)]
+
+
+def test_model_by_name(spark, tmp_path):
+    (tmp_path / "named_model.py").write_text(
+        "import numpy as np\n\n\ndef load(reference):\n"
+        "    return lambda texts: np.array([[len(text), len(reference)] for text in texts])\n")
+    spark.sparkContext.addPyFile(str(tmp_path / "named_model.py"))
+    rows = spark.createDataFrame([("word",)], "text string")
+    model = imported_model("named_model:load", "store@v2")
+    assert rows.select(embed(F.col("text"), model).alias("v")).first().v == [4.0, 8.0]
+    with pytest.raises(Exception, match="no_such_module"):
+        rows.select(embed(F.col("text"), imported_model("no_such_module:f", "x"))).collect()
