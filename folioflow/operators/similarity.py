@@ -140,7 +140,7 @@ def _match(k: int) -> Callable:
         if len(vectors) and len(queries):
             matrix = np.array(vectors["embedding"].tolist(), dtype=float)
             ids = vectors["vec_id"].to_numpy()
-            for query_id, point in zip(queries["query_id"], queries["embedding"]):
+            for query_id, point in zip(queries["query_id"], queries["point"]):
                 near = _closest(ids, matrix, np.asarray(point, dtype=float), k)
                 rows += [(query_id, v, d) for d, v in near]
         return pd.DataFrame(rows, columns=["query_id", "vec_id", "distance"]).astype(
@@ -178,7 +178,9 @@ def _grid(vectors: DataFrame, queries: DataFrame, k: int, max_queries: int) -> D
         .drop("n")
         .join(slices, cell)
         .withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-        .select(*[F.col(c).cast("bigint") for c in keys], "query_id", "embedding")
+        # columns of its own: the queries may be picked from the very frame of the vectors
+        .select(*[F.col(c).cast("bigint") for c in keys],
+                F.col("query_id").alias("query_id"), F.col("embedding").alias("point"))
     )
     return left.groupBy(keys).cogroup(right.groupBy(keys)).applyInPandas(_match(k), FOUND)
 

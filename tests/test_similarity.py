@@ -49,6 +49,15 @@ def test_more_queries_than_a_task_carries(data, monkeypatch):
     assert "FlatMapCoGroupsInPandas" in plan and "Cartesian" not in plan
 
 
+def test_many_queries_picked_from_the_vectors_themselves(data, monkeypatch):
+    """Both sides then have columns of one frame, which must not be taken for each other."""
+    points, _, vectors, _ = data
+    monkeypatch.setattr(S, "ROWS_PER_GROUP", 400)
+    asked = vectors.where("vec_id % 90 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    got = {(q // 90, rank, v) for q, rank, v in found(S.nearest(vectors, asked, 7, max_queries=4))}
+    assert got == brute(points, points[::90], 7)
+
+
 def test_all_cells_is_exact_and_few_cells_recall_most(data, monkeypatch):
     points, queries, vectors, asked = data
     centroids = S.train_cells(vectors, 12)
