@@ -15,6 +15,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from folioflow.functions.memory import hand_back, text_slices
+
 # Separators from coarse to fine; below the last, a fixed-width cut.
 SEPARATORS = ["\n\n", "\n", ". ", "! ", "? ", "; ", ", ", " "]
 CHUNK_SIZE = 1000
@@ -90,9 +92,12 @@ def chunk_array(text: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERL
 
     @F.arrow_udf(T.ArrayType(T.StringType()))
     def chunks(batch: pa.Array) -> pa.Array:
-        return pa.array(
-            [split_text(text, size, overlap) for text in batch.to_pylist()],
-            type=pa.list_(pa.string()),
-        )
+        kind = pa.list_(pa.string())
+        parts = [
+            pa.array([split_text(text, size, overlap) for text in part.to_pylist()], type=kind)
+            for part in text_slices(batch)
+        ]
+        hand_back()
+        return pa.concat_arrays(parts) if parts else pa.array([], type=kind)
 
     return chunks(text)

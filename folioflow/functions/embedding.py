@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from folioflow.functions.memory import hand_back
+
 MODEL_DIM = 768
 BACKFILL_DIM = 1536
 MAX_EMBED_CHARS = 8192
@@ -108,16 +110,19 @@ def embed(text: Column, embed_fn: EmbedFn | None) -> Column:
 
     @F.arrow_udf(VECTOR)
     def vectors(batch: pa.Array) -> pa.Array:
-        texts = batch.to_pylist()
-        known = [i for i, text in enumerate(texts) if text is not None]
-        rows: list[np.ndarray | None] = [None] * len(texts)
-        if known and hasattr(embed_fn, "prepare"):
+        if batch.null_count < len(batch) and hasattr(embed_fn, "prepare"):
             embed_fn.prepare()
+        known = np.flatnonzero(batch.is_valid().to_numpy(zero_copy_only=False))
+        parts, done = [], 0
         for at in range(0, len(known), MODEL_BATCH):
-            some = known[at : at + MODEL_BATCH]
-            for i, vector in zip(some, _embed_rows(embed_fn, [texts[i] for i in some])):
-                rows[i] = vector
-        return _list_array(rows)
+            # rows up to this call's last text; only they are Python objects
+            end = len(batch) if at + MODEL_BATCH >= len(known) else int(known[at + MODEL_BATCH])
+            texts = batch.slice(done, end - done).to_pylist()
+            vector = iter(_embed_rows(embed_fn, [text for text in texts if text is not None]))
+            parts.append(_list_array([None if text is None else next(vector, None) for text in texts]))
+            done = end
+        hand_back()
+        return pa.concat_arrays(parts) if parts else _list_array([None] * len(batch))
 
     return vectors(F.substring(text, 1, MAX_EMBED_CHARS))
 
