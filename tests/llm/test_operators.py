@@ -455,6 +455,17 @@ def test_pipeline_keeps_short_texts_and_drops_unknown_languages(spark):
     assert len(lost) <= 0.005 * table.count()
 
 
+def test_limits_of_long_texts_are_learned_from_whole_texts(spark):
+    """Long texts that begin with noise and go on as their language: the noise must not be all that counts."""
+    rng = np.random.default_rng(3)
+    noise = ["".join(rng.choice(list("bcdfgkqvwxyz "), 1024)) for _ in range(120)]
+    rows = [(n + "the quick brown fox jumps over the lazy dog near the river bank " * 50, "en") for n in noise]
+    frame = spark.createDataFrame(rows, "text string, lang string")
+    _, prototypes = language.learn(frame, "text", "lang")
+    least = language.limits(frame, "text", prototypes)
+    assert least[11] > 1.5 * least[9] and least[12] == least[11]
+
+
 def test_pipeline_keeps_columns_and_survives_awkward_rows(spark, docs, tmp_path):
     folder = str(tmp_path)
     frame = docs.withColumn("n_chars", F.length("text"))
