@@ -78,7 +78,9 @@ def process_documents(
         rest = fetch_objects(routed.where(~plain), blobs, max_bytes, content=F.lit(False))
         rows = read.withColumn("_extracted", F.lit(None).cast("string")).unionByName(with_extracted(rest))
     else:
-        rows = with_extracted(fetch(routed, blobs))
+        # contents move last, and only once; of one too large nothing but its length is used
+        usable = blobs.withColumn("content", F.when(F.col("length") <= max_bytes, F.col("content")))
+        rows = fetch(with_extracted(routed), usable)
     # One step per column: a later step then refers to a value instead of deriving it again.
     rows = rows.withColumn(
         "decoded_as", F.when(plain, X.decoded_as(F.col("content")))

@@ -1,9 +1,14 @@
 """The four roles work on one state."""
 
 import datetime as dt
+import re
+
+from pyspark.sql import functions as F
 
 from folioflow.functions.embedding import hashing_embedder
 from folioflow.jobs import backfill, monitor, process, reprocess, shared, worker
+from folioflow.operators.process import process_documents
+from folioflow.sources.batches import write_batch
 from folioflow.sources.blobs import read_blobs
 
 NOW = dt.datetime(2024, 5, 1, 12)
@@ -83,3 +88,39 @@ def test_vectors_of_replaced_chunks_are_not_kept(spark, tmp_path):
         assert [(r.content, r.dim) for r in shared.chunks(spark, home).collect()] == [(text, None)]
         assert shared.embed_missing(table, resolved, home, number, hashing_embedder(8)).count() == 1
         assert [(r.content, r.dim) for r in shared.chunks(spark, home).collect()] == [(text, 8)]
+
+
+def test_counting_chunks_moves_no_contents(spark, tmp_path):
+    """What is asked of a content is computed below the first join."""
+    counts = shared.chunks(spark, str(tmp_path)).groupBy("document_id").agg(F.count("dim"))
+    plan = counts._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert any("xxhash64" in line for line in plan)
+    assert not [line for line in plan if "Project" in line and re.search(r"[\[ ]content#\d+[,\]]", line)]
+
+
+def test_contents_of_objects_move_last(spark):
+    """Pages are joined before the objects, whose contents then move once; a too large one's do not."""
+    messages = spark.createDataFrame([(1, "a", "TXT"), (2, "b", "TXT"), (3, "c", "PDF")],
+                                     "document_id long, storage_path string, file_type string")
+    blobs = spark.createDataFrame([(p, len(c), c.encode()) for p, c in (("a", "short"), ("b", "x" * 99), ("c", "%PDF"))],
+                                  "path string, length long, content binary")
+    pages = spark.createDataFrame([(3, 1, "a page " * 20, None)], "document_id long, page int, page_text string, ocr_text string")
+    out = process_documents(messages, blobs, pages, max_bytes=50)
+    joins = [line for line in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join LeftOuter" in line]
+    assert "storage_path" in joins[0]
+    got = {r.document_id: (r.status, r.text and r.text[:5], r.error) for r in out.collect()}
+    assert got[1] == ("Processed", "short", None) and got[2] == ("TextExtractionFailed", None, "too_large")
+    assert got[3][0] == "Processed" and got[3][2] is None
+
+
+def test_copies_of_a_chunk_each_get_their_vector(spark, tmp_path):
+    """A content joined in last is joined once to each of the equal rows that wait for it."""
+    home = str(tmp_path / "home")
+    rows = [(1, 0, "equal text", None, None, NOW)] * 3 + [(1, 1, "  ", None, None, NOW), (2, 0, "other text", None, None, NOW)]
+    for number, created in enumerate((NOW, NOW + dt.timedelta(hours=1))):  # the earlier set is replaced by an equal one
+        write_batch(spark.createDataFrame([(*r[:5], created) for r in rows], process.CHUNK), f"{home}/worker/chunks", number)
+    table = spark.createDataFrame([(1, "u"), (2, "none")], "id long, uploaded_by_user_id string")
+    resolved = spark.createDataFrame([("u", 9)], "user_id string, provider_config_id long")
+    done = shared.embed_missing(table, resolved, home, 0, hashing_embedder(8))
+    assert sorted((r.document_id, r.chunk_index, r.embed_status, r.dim) for r in done.collect()) == [
+        *[(1, 0, "embedded", 8)] * 3, (1, 1, "blank", None), (2, 0, "no_credential", None)]
