@@ -18,12 +18,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.functions.embedding import EmbedFn
+from folioflow.functions.text import is_blank
 from folioflow.jobs import process, reprocess
 from folioflow.operators.embeddings import content_hash
 from folioflow.operators.updates import apply_updates, latest_changes, write_vectors
 from folioflow.sources.batches import latest_set
 from folioflow.sources.levels import read_levels
-from folioflow.streaming.jobs import CHUNK_KEY, Rows, backfill_pass, backfilled
+from folioflow.streaming.jobs import VECTOR_KEY, Rows, backfill_pass, backfilled
 
 ROLES = ["worker", "cycles"]
 
@@ -66,15 +67,21 @@ def documents(
     return apply_updates(now, last.select("id", *[c for c in last.columns[1:] if c in now.columns]))
 
 
-def chunks(spark: SparkSession, home: str) -> DataFrame:
-    """The last chunk set of every document, with the vectors made of its present contents."""
+def _hashed_sets(spark: SparkSession, home: str) -> DataFrame:
+    """All chunk sets. What is asked of a content is told in the scan, so that contents need not move for it."""
     sets = _written(spark, home, "chunks", process.CHUNK, None)
+    return sets.withColumns({"content_hash": content_hash(), "blank": is_blank(F.col("content"))})
+
+
+def _with_vectors(spark: SparkSession, home: str, sets: DataFrame) -> DataFrame:
     current = latest_set(sets, order=["created_at", "role", "batch_id"]).drop("role", "batch_id")
-    key = [*CHUNK_KEY, "content_hash"]
     vectors = backfilled(spark, f"{home}/vectors").where("dim IS NOT NULL")
-    return write_vectors(
-        current.withColumn("content_hash", content_hash()), vectors.drop("batch_id"), key
-    ).drop("content_hash")
+    return write_vectors(current, vectors.drop("batch_id"), VECTOR_KEY)
+
+
+def chunks(spark: SparkSession, home: str) -> DataFrame:
+    """The last chunk set of every document, with the vectors made of its present contents."""
+    return _with_vectors(spark, home, _hashed_sets(spark, home)).drop("content_hash", "blank")
 
 
 def cycle(
@@ -91,6 +98,9 @@ def embed_missing(
     base: DataFrame, resolved: Rows, home: str, number: int, embed_fn: EmbedFn | None, **options
 ) -> DataFrame:
     """One backfill pass over the shared chunks."""
+    spark = base.sparkSession
+    sets = _hashed_sets(spark, home)
     return backfill_pass(
-        chunks(base.sparkSession, home), base, resolved, f"{home}/vectors", number, embed_fn, **options
+        _with_vectors(spark, home, sets.drop("content", "embedding")), base, resolved, f"{home}/vectors", number,
+        embed_fn, contents=sets.select(*VECTOR_KEY, "content"), **options,
     )

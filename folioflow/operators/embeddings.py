@@ -32,11 +32,13 @@ def embedding_backlog(
 ) -> DataFrame:
     """Chunks without a vector, with the owner of their document.
 
-    Chunks whose document is not there are left out, or kept with ``owned`` false.
+    Chunks whose document is not there are left out, or kept with ``owned`` false. Chunks
+    may bring ``content_hash`` and ``blank``, what is asked of a content, in its place.
     """
     owners = docs.select(F.col("id").alias("document_id"), "uploaded_by_user_id")
+    brought = [c for c in ("content", "content_hash", "blank") if c in chunks.columns]
     missing = chunks.where(F.col(vector_col or vector_marker(chunks)).isNull()).select(
-        "document_id", "chunk_index", "content"
+        "document_id", "chunk_index", *brought
     )
     if keep_unowned:
         owners = owners.withColumn("owned", F.lit(True))
@@ -82,7 +84,8 @@ def plan_backfill(backlog: DataFrame, resolved: DataFrame, has_fallback: bool) -
         .when(F.lit(has_fallback), "fallback")
         .otherwise("none")
     )
-    status = F.when(is_blank(F.col("content")), "blank")
+    blank = F.col("blank") if "blank" in backlog.columns else is_blank(F.col("content"))
+    status = F.when(blank, "blank")
     if "owned" in backlog.columns:
         status = status.when(~F.col("owned"), PENDING)
     status = (

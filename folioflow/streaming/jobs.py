@@ -276,11 +276,13 @@ def backfill(
 
 def _embed_missing(
     chunks: DataFrame, docs: Rows, resolved: Rows, out: str, number: int, embed_fn: EmbedFn | None,
-    has_fallback: bool, parity: bool, vector_col: str | None,
+    has_fallback: bool, parity: bool, vector_col: str | None, contents: DataFrame | None = None,
 ) -> DataFrame:
     owners, credentials = (rows() if callable(rows) else rows for rows in (docs, resolved))
     backlog = embedding_backlog(chunks, owners, vector_col=vector_col, keep_unowned=True)
     plan = plan_backfill(backlog, credentials, has_fallback)
+    if contents is not None:
+        plan = plan.join(contents.dropDuplicates(VECTOR_KEY), VECTOR_KEY, "left")
     return write_batch(run_backfill(plan, embed_fn, parity), out, number)
 
 
@@ -294,21 +296,27 @@ def backfill_pass(
     has_fallback: bool = False,
     parity: bool = False,
     vector_col: str | None = None,
+    contents: DataFrame | None = None,
 ) -> DataFrame:
     """Look for missing vectors in the whole table, and write those found as batch ``number``.
 
     What an earlier pass settled for the same content is left alone; open chunks, which
     waited for their document or a credential or met an error, are tried again.
+
+    With ``contents``, ``(document_id, chunk_index, content_hash, content)``, the chunks have
+    ``content_hash`` and ``blank`` instead of contents. These then move only once, when
+    everything else about the open chunks is known.
     """
     done = read_levels(chunks.sparkSession, out, VECTORS).where(
         (F.col("batch_id") < number)
         & (~F.col("embed_status").isin(OPEN) | F.col("dim").isNotNull())
     )
-    waiting = chunks.withColumn("content_hash", content_hash()).join(
+    hashed = chunks if contents is not None else chunks.withColumn("content_hash", content_hash())
+    waiting = hashed.join(
         done.select(*VECTOR_KEY).distinct(), VECTOR_KEY, "left_anti"
     )
     return _embed_missing(
-        waiting, docs, resolved, out, number, embed_fn, has_fallback, parity, vector_col
+        waiting, docs, resolved, out, number, embed_fn, has_fallback, parity, vector_col, contents
     )
 
 
