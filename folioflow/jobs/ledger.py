@@ -117,8 +117,10 @@ def _stage_chunks(spark: SparkSession, home: str, out: str, number: int, since:
         read_levels(spark, f"{home}/{role}/chunks", process.CHUNK, since.get(f"{role}/chunks", 0)).withColumn("role", F.lit(k))
         for k, role in enumerate(("worker", "cycles"))
     ])
-    fresh = latest_set(sets, order=["created_at", "role", "batch_id"]).select(
-        "document_id", "chunk_index", content_hash().alias("content_hash"), F.lit(1).alias("current"),
+    # hashed in the scan, so that contents never move
+    hashed = sets.withColumn("content_hash", content_hash())
+    fresh = latest_set(hashed, order=["created_at", "role", "batch_id"]).select(
+        "document_id", "chunk_index", "content_hash", F.lit(1).alias("current"),
         F.col("dim").isNotNull().cast("int").alias("embedded"), F.col("created_at").alias("at"), "role",
     )
     vectors = read_levels(spark, f"{home}/vectors", VECTORS, since.get("vectors", 0)).where("dim IS NOT NULL").select(
