@@ -118,6 +118,95 @@ def test_vectors_equal_brute_force(spark):
     assert projections.near_duplicates(frame.limit(0), "vec_id", "embedding").count() == 0
 
 
+def unit_rows(rng, n, dimension):
+    rows = rng.standard_normal((n, dimension)).astype(np.float32)
+    return rows / np.linalg.norm(rows, axis=1, keepdims=True)
+
+
+def vector_frame(spark, matrices, kind="float"):
+    rows = [v.tolist() for m in matrices for v in m]
+    return spark.createDataFrame(list(enumerate(rows)), f"vec_id long, embedding array<{kind}>").repartition(3)
+
+
+def brute_vectors(matrix):
+    """Links and, for components, the least row reachable, of unit rows."""
+    near = matrix.astype(float) @ matrix.astype(float).T >= 0.9
+    root = np.arange(len(near))
+    while ((least := np.array([root[n].min() for n in near])) != root).any():
+        root = least
+    return near.sum(axis=1) - 1, root
+
+
+def test_vectors_move_less_than_four_times_the_input(spark, tmp_path, monkeypatch):
+    from folioflow.llm import store
+
+    frame = vector_frame(spark, [unit_rows(np.random.default_rng(3), 12_000, 64)])
+    frame.write.parquet(f"{tmp_path}/in")
+    local = str(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()[0])
+    used = []
+
+    def held():
+        files = (os.path.join(d, f) for top in (local, f"{tmp_path}/work") for d, _, names in os.walk(top) for f in names)
+        return sum(os.lstat(f).st_size for f in files if os.path.exists(f))
+
+    def written(frame, name, plain=store.materialise):
+        out = plain(frame, name)
+        used.append(held() - before)
+        return out
+
+    before = held()
+    monkeypatch.setattr(store, "workspace", lambda spark, name, number=iter(range(99)): f"{tmp_path}/work/{name}-{next(number)}")
+    monkeypatch.setattr(projections, "materialise", written)
+    setting = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    assert projections.near_duplicates(spark.read.parquet(f"{tmp_path}/in"), "vec_id", "embedding").count() == 12_000
+    assert max(used) < 4 * 12_000 * 64 * 4
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == setting
+
+
+def test_vectors_in_many_cells_blocks_and_balls_equal_brute_force(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    base, lone = unit_rows(rng, 900, 32), unit_rows(rng, 50, 5)
+    crowd = base[:1] + 0.015 * rng.standard_normal((400, 32))
+    rim = base[:1] + 0.06 * rng.standard_normal((200, 32))  # many lie near the crowd, not in its ball
+    matrix = np.concatenate([base, crowd, rim, crowd[:3], crowd[:1]]).astype(np.float32)
+    matrix = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
+    for name, value in (("CELL_BYTES", 30_000), ("BLOCK_BYTES", 15_000), ("PASS_BYTES", 1), ("HEAVY", 40), ("SMALL", 8)):
+        monkeypatch.setattr(projections, name, value)
+    got = {r.vec_id: r for r in projections.near_duplicates(vector_frame(spark, [matrix, lone]), "vec_id", "embedding").collect()}
+    links, root = brute_vectors(matrix)
+    found = np.array([got[k].n_links for k in range(len(matrix))])
+    assert (found <= links).all() and found.sum() >= 0.999 * links.sum()
+    assert [got[k].component_id for k in range(len(matrix))] == root.tolist()
+    small, _ = brute_vectors(lone)
+    assert [got[len(matrix) + k].n_links for k in range(50)] == small.tolist()
+
+
+@pytest.mark.parametrize("threshold,wide", [(0.9, 64), (0.8, 16)])
+def test_vector_pairs_just_above_the_threshold_are_found(spark, monkeypatch, threshold, wide):
+    rng = np.random.default_rng(5)
+    base = unit_rows(rng, 3000, wide).astype(float)
+    aside = unit_rows(rng, 3000, wide).astype(float)
+    aside -= (aside * base).sum(axis=1, keepdims=True) / (base * base).sum(axis=1, keepdims=True) * base
+    aside /= np.linalg.norm(aside, axis=1, keepdims=True)
+    c = threshold + 0.0005
+    pairs = c * base / np.linalg.norm(base, axis=1, keepdims=True) + (1 - c * c) ** 0.5 * aside
+    monkeypatch.setattr(projections, "CELL_BYTES", 60_000)
+    frame = vector_frame(spark, [base, pairs], "double")
+    got = {r.vec_id: r for r in projections.near_duplicates(frame, "vec_id", "embedding", threshold=threshold).collect()}
+    assert np.mean([got[k].n_links > 0 and got[3000 + k].component_id == got[k].component_id for k in range(3000)]) >= 0.995
+
+
+def test_rounds_let_every_two_blocks_meet_once():
+    for n in range(1, 10):
+        plan = projections.passes(100, {1: {7: (n, 50)}} if n > 1 else {}, 2)
+        turns = [turn for units in plan for table, turn in units if table == 1]
+        met = [(b, b) for b in range(n)]
+        for turn in turns[1:]:
+            met += {tuple(sorted((b, (b + turn) % n))) for b in range(n)}
+        assert turns == list(range(n // 2 + 1))
+        assert sorted(met) == [(a, b) for a in range(n) for b in range(a, n)]
+
+
 def test_token_files_round_trip(docs, empty):
     tool = Tokenizer.from_file(VOCABULARY)
     got = sorted(((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in wavelet.token_table(docs, "doc_id", "text", VOCABULARY).collect()), key=lambda r: r[1])
